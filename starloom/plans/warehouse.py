@@ -1,9 +1,11 @@
-"""The warehouse derived lazily from the given tables.
-
-Every layer is a DataFrame built from the ``events`` table (through the
-adapter, the JSON raw layer and the parser), so a query on any layer is one
-logical plan from the stored raw layer to the result: Catalyst prunes columns
-and pushes filters through the whole chain, and surrogate keys are stable
+"""The warehouse derived from the given tables.
+
+The ``events`` table goes through the adapter into the raw layer (JSON
+documents) and the parser into the staging layer; both are stored once (as
+the product stores them). Everything above - dimensions, facts, views,
+reports, checks - is computed by each query as one logical plan from the
+stored staging rows: Catalyst prunes columns and pushes filters into the
+Parquet scan, and surrogate keys are stable
 functions of the data (see ``operators.keys``), so a layer used twice in one
 plan agrees with itself.
 
@@ -21,13 +23,17 @@ from pyspark.sql import functions as F
 
 from starloom.operators import dims, facts, marts, profile, staging
 from starloom.operators.keys import next_key_start
-from starloom.session import configure, shared_dir
+from starloom.schemas import RAW_EVENTS, STAGING_EVENTS
+from starloom.session import configure, scratch_path
 from starloom.sources.driver import order_events, product_events
 from starloom.sources.raw import to_payload
 
 AS_OF = _dt.date(2024, 7, 15)
 EARLY_CUTOFF = "batch_20240115"
 
+# (application id, sf_dir) -> (raw path, staging path) written this session.
+_STORED: dict[tuple[str, str], tuple[str, str]] = {}
+
 
 class Warehouse:
     """All layers over one set of given tables (``sf_dir``)."""
@@ -43,25 +49,36 @@ class Warehouse:
         """Product events in staging shape (adapter output)."""
         return product_events(self.spark, self.sf_dir)
 
+    def _stored(self) -> tuple[str, str]:
+        """Write the raw layer (JSON documents) and the staging layer (typed
+        rows) once per application and set of given tables, as Parquet in
+        the shared folder; later queries of the session read them back, as
+        the product reads its stored raw and staging tables."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _STORED:
+            base = scratch_path(self.spark, "warehouse")
+            raw_path, stg_path = f"{base}/raw_events", f"{base}/staging_events"
+            to_payload(self.events).withColumn("loaded_at", F.localtimestamp()) \
+                .write.mode("overwrite").parquet(raw_path)
+            raw = self.spark.read.schema(RAW_EVENTS).parquet(raw_path)
+            staging.parse_events(raw).write.mode("overwrite").parquet(stg_path)
+            _STORED[key] = (raw_path, stg_path)
+        return _STORED[key]
+
     @cached_property
     def raw(self) -> DataFrame:
-        """Raw layer: one JSON document per event.
+        """Raw layer: one JSON document per event (stored)."""
+        return self.spark.read.schema(RAW_EVENTS).parquet(self._stored()[0])
 
-        Stored once per warehouse (a reliable checkpoint in the shared
-        folder), as the raw table is stored in the product: every layer above
-        reads JSON text, never the adapter's plan, and lineage stops here."""
-        shared_dir(self.spark)
-        return to_payload(self.events).withColumn("loaded_at", F.localtimestamp()).checkpoint(eager=True)
+    @cached_property
+    def staging(self) -> DataFrame:
+        """Staging layer: typed, validated events (stored)."""
+        return self.spark.read.schema(STAGING_EVENTS).parquet(self._stored()[1])
 
     @cached_property
     def raw_early(self) -> DataFrame:
         return self.raw.where(F.col("batch_id") <= EARLY_CUTOFF)
 
-    # ------------------------------------------------------------- staging
-    @cached_property
-    def staging(self) -> DataFrame:
-        return staging.parse_events(self.raw, check_contract=False)
-
     @cached_property
     def staging_early(self) -> DataFrame:
         return self.staging.where(F.col("batch_id") <= EARLY_CUTOFF)
