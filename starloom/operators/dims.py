@@ -148,23 +148,24 @@ def apply_scd2(dim: DataFrame, changes: DataFrame, start: int, now: Column | Non
     other users are returned unchanged, so at most one row per user is
     current afterwards (the partial unique index invariant).
     """
+    from starloom.operators.profile import change_intervals
+
     now = now if now is not None else F.localtimestamp()
     cur = dim.where(F.col("is_current")).select(
         "user_id", F.col("effective_date").alias("_eff"), *[F.col(c).alias(f"_c_{c}") for c in tracked])
-    ch = changes.join(cur, "user_id").where(F.col("change_ts") >= F.col("_eff"))
-    w = Window.partitionBy("user_id").orderBy("change_ts", "change_id")
-    differs = None
-    for c in tracked:
-        prev = F.coalesce(F.lag(c).over(w), F.col(f"_c_{c}"))
-        d = ~F.col(c).eqNullSafe(prev)
-        differs = d if differs is None else (differs | d)
-    points = ch.withColumn("_diff", differs).where("_diff")
-    wp = Window.partitionBy("user_id").orderBy("change_ts", "change_id")
-    points = points.withColumn("_next", F.lead("change_ts").over(wp)) \
-        .withColumn("_rn", F.row_number().over(wp))
-    first_point = points.where(F.col("_rn") == 1).select("user_id", F.col("change_ts").alias("_close_at"))
-
-    marked = dim.join(first_point, "user_id", "left")
+    ch = (changes.join(cur, "user_id").where(F.col("change_ts") >= F.col("_eff"))
+          .select("user_id", "change_ts", "change_id", *tracked, F.lit(False).alias("_seed")))
+    # The current row's state seeds each changed user's sequence, so the
+    # first change is compared with it; the seed is always the first point.
+    seeds = cur.join(ch.select("user_id").distinct(), "user_id").select(
+        "user_id", F.col("_eff").alias("change_ts"), F.lit("").alias("change_id"),
+        *[F.col(f"_c_{c}").alias(c) for c in tracked], F.lit(True).alias("_seed"))
+    seq = change_intervals(seeds.unionByName(ch), tracked, keep_first=True)
+    points = seq.where(~F.col("_seed"))
+    close = seq.where(F.col("_seed") & F.col("next_change_ts").isNotNull()).select(
+        "user_id", F.col("next_change_ts").alias("_close_at"))
+
+    marked = dim.join(close, "user_id", "left")
     closing = F.col("is_current") & F.col("_close_at").isNotNull()
     kept = marked.select(
         "user_sk", "user_id", "email", "signup_date", "current_plan", "account_status",
@@ -177,9 +178,9 @@ def apply_scd2(dim: DataFrame, changes: DataFrame, start: int, now: Column | Non
     base = dim.where(F.col("is_current")).select("user_id", "email", "signup_date")
     opened = points.join(base, "user_id").select(
         "user_id", "email", "signup_date", *tracked,
-        F.col("_next").isNull().alias("is_current"),
+        F.col("next_change_ts").isNull().alias("is_current"),
         F.col("change_ts").alias("effective_date"),
-        F.col("_next").alias("end_date"),
+        F.col("next_change_ts").alias("end_date"),
         now.alias("created_at"), now.alias("updated_at"), F.col("change_id"),
     )
     opened = assign_keys(opened, ["user_id", "effective_date", "change_id"], "user_sk", start)

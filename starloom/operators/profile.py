@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.numeric import pct
+from starloom.operators.sequence import neighbors
 from starloom.schemas import EVENT_TYPE_WEIGHTS, PLATFORM_WEIGHTS
 
 
@@ -120,18 +121,30 @@ def plan_history(staging: DataFrame) -> DataFrame:
     before opens an interval ending where the next one starts. The last
     interval per user is open (valid_to NULL).
 
-    Change points need the previous state, a per-user ordered window; it
-    runs over subscription events plus one start row per user only."""
+    Previous state and next start come from ``sequence.neighbors``, which
+    splits a user with very many events over several tasks."""
     starts = staging.groupBy("user_id").agg(F.min("event_timestamp").alias("change_ts")).select(
         "user_id", "change_ts", F.lit("").alias("change_id"),
         F.lit("free").alias("current_plan"), F.lit("active").alias("account_status"))
     ch = starts.unionByName(plan_changes(staging))
-    w = Window.partitionBy("user_id").orderBy("change_ts", "change_id")
-    prev_plan, prev_status = F.lag("current_plan").over(w), F.lag("account_status").over(w)
-    points = ch.where(F.lit(True)).withColumn(
-        "_diff", prev_plan.isNull() | ~F.col("current_plan").eqNullSafe(prev_plan)
-        | ~F.col("account_status").eqNullSafe(prev_status)).where("_diff")
-    return points.select(
+    return change_intervals(ch, ("current_plan", "account_status")).select(
         "user_id", F.col("current_plan").alias("plan"), "account_status",
-        F.col("change_ts").alias("valid_from"),
-        F.lead("change_ts").over(w).alias("valid_to"))
+        F.col("change_ts").alias("valid_from"), F.col("next_change_ts").alias("valid_to"))
+
+
+def change_intervals(changes: DataFrame, tracked: tuple[str, ...], keep_first: bool = True) -> DataFrame:
+    """Collapse (user_id, change_ts, change_id, <tracked>) rows to change
+    points - rows whose tracked state differs from the row before - and
+    give each the start of the next point (``next_change_ts``) and
+    ``is_first`` (no earlier point). With ``keep_first`` the first row of a
+    user always counts as a point."""
+    order = ["change_ts", "change_id"]
+    nb = neighbors(changes, "user_id", order, prev_cols=list(tracked))
+    differs = None
+    for c in tracked:
+        d = ~F.col(c).eqNullSafe(F.col(f"prev_{c}"))
+        differs = d if differs is None else (differs | d)
+    cond = (~F.col("has_prev") | differs) if keep_first else (F.col("has_prev") & differs)
+    points = nb.where(cond).select(*changes.columns)
+    ends = neighbors(points, "user_id", order, next_cols=["change_ts"])
+    return ends.select(*changes.columns, "next_change_ts", (~F.col("has_prev")).alias("is_first"))

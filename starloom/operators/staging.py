@@ -88,19 +88,28 @@ def parse_events(raw: DataFrame, strict: bool = True, check_contract: bool = Tru
     return fields.select(*[checks[n].alias(n) for n in STAGING_COLUMNS])
 
 
+def fail_on_duplicates(df: DataFrame, key: str, message: str) -> DataFrame:
+    """``df`` unchanged, plus a guard branch that fails the query when a key
+    value occurs more than once. The duplicate count is a partial (map-side)
+    aggregation, so a key repeated millions of times costs no more than a
+    unique one; with no duplicates the guard adds no rows."""
+    dups = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    guard = dups.select("_n", *[
+        (F.col(key) if c == key else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c in df.columns
+    ]).withColumn(key, F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit(message + ": "), F.col(key))))
+                  .cast(df.schema[key].dataType))
+    # The error depends on the count, so no pushed-down filter can evaluate
+    # it below the aggregation (on rows that are not duplicates).
+    return df.unionByName(guard.drop("_n"))
+
+
 def new_events(parsed: DataFrame, staging: DataFrame | None, strict_unique: bool = True) -> DataFrame:
     """Parsed rows whose (payload) event_id is not in staging yet; a
     rerun adds nothing. With ``strict_unique`` a repeated event_id among the
-    new rows fails the statement (primary key); the count is a window over
-    event_id, which rides on the anti-join's clustering by the same key."""
+    new rows fails the statement (primary key)."""
     out = parsed if staging is None else parsed.join(staging.select("event_id"), "event_id", "left_anti")
     if strict_unique:
-        n = F.count(F.lit(1)).over(Window.partitionBy("event_id"))
-        out = (out.withColumn("_n", n)
-               .withColumn("event_id", F.when(F.col("_n") > 1, _fail("duplicate key value violates unique "
-                                                                        "constraint on staging event_id"))
-                           .otherwise(F.col("event_id")))
-               .drop("_n"))
+        out = fail_on_duplicates(out, "event_id", "duplicate key value violates unique constraint on event_id")
     return out.select(*parsed.columns)
 
 

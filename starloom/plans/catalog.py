@@ -159,6 +159,25 @@ def _staging_quarantine(w: Warehouse) -> DataFrame:
 
 
 # ------------------------------------------------------------- dimensions
+@query("dim_date")
+def _dim_date(w: Warehouse) -> DataFrame:
+    """The calendar rows the event facts reference (the calendar itself
+    is fixed input; this reads it through the data)."""
+    used = w.fact_events.select("date_key").distinct()
+    return w.dim_date.join(used, "date_key", "left_semi")
+
+
+@query("dim_features")
+def _dim_features(w: Warehouse) -> DataFrame:
+    """The seeded features with their keys and how often the facts
+    use them (0 for unused ones)."""
+    uses = w.fact_events.where(F.col("feature_sk").isNotNull()).groupBy("feature_sk") \
+        .agg(F.count(F.lit(1)).alias("n_events"))
+    return w.dim_features.join(uses, "feature_sk", "left").select(
+        "feature_sk", "feature_id", "feature_name", "feature_category", "is_premium",
+        F.coalesce("n_events", F.lit(0)).alias("n_events"))
+
+
 @query("dim_users")
 def _dim_users(w: Warehouse) -> DataFrame:
     """C2."""
