@@ -261,7 +261,8 @@ def _daily_incremental(w: Warehouse) -> DataFrame:
     late = w.fact_for(w.staging_late)
     refreshed = facts.refresh_daily(w.fact_events, early, late).drop("_action")
     months = facts.touched_months(late)
-    untouched = early.join(F.broadcast(months), F.trunc("activity_date", "MM") == F.col("_month"), "left_anti")
+    untouched = early.join(F.broadcast(months), F.date_format("activity_date", "yyyy-MM") == F.col("_month"),
+                           "left_anti")
     cols = ["activity_date", "user_sk", *facts.DAILY_METRICS]
     return _daily_out(w, untouched.select(*cols).unionByName(refreshed.select(*cols)))
 

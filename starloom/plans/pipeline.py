@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -35,15 +36,18 @@ class RunSummary:
     metrics of the writes themselves)."""
 
     rows: dict[str, int] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(sorted(self.rows.items()), "step string, n_rows bigint")
 
 
 def _observed_write(df: DataFrame, root: str, table: str, mode: str, summary: RunSummary) -> None:
+    t0 = time.perf_counter()
     obs = Observation(f"{table}_{uuid.uuid4().hex[:8]}")
     write_layer(df.observe(obs, F.count(F.lit(1)).alias("n")), root, table, mode)
     summary.rows[table] = summary.rows.get(table, 0) + int(obs.get.get("n", 0) or 0)
+    summary.seconds[table] = round(summary.seconds.get(table, 0.0) + time.perf_counter() - t0, 3)
 
 
 def new_core_root(base: str) -> str:
