@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
-from starloom.sources.layers import upsert
+from starloom.sources.layers import insert_absent, upsert
 
 FACT_COLUMNS = [
     "event_id", "user_sk", "document_sk", "feature_sk", "date_key", "event_type", "session_id",
@@ -44,8 +44,7 @@ def build_fact_events(staging: DataFrame, users: DataFrame, documents: DataFrame
     s = staging
     if event_keys:
         s = s.withColumn("event_sk", F.lit(start).cast("bigint") + F.monotonically_increasing_id() + 1)
-    if existing is not None:
-        s = s.join(existing.select("event_id"), "event_id", "left_anti")
+    s = insert_absent(s, existing, ["event_id"])
     s = s.withColumn("date_key", date_key(F.col("event_timestamp")))
     s = s.join(F.broadcast(dates.select("date_key")), "date_key")
     s = s.join(F.broadcast(features.select("feature_id", "feature_sk")), "feature_id", "left")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starloom.functions.inet import is_inet
 from starloom.functions.json import payload_field, payload_text
 from starloom.schemas import NOT_NULL, VARCHAR_LIMITS
+from starloom.sources.layers import insert_absent
 
 # Text fields of the payload, by staging column.
 TEXT_FIELDS = {
@@ -107,7 +108,7 @@ def new_events(parsed: DataFrame, staging: DataFrame | None, strict_unique: bool
     """Parsed rows whose (payload) event_id is not in staging yet; a
     rerun adds nothing. With ``strict_unique`` a repeated event_id among the
     new rows fails the statement (primary key)."""
-    out = parsed if staging is None else parsed.join(staging.select("event_id"), "event_id", "left_anti")
+    out = insert_absent(parsed, staging, ["event_id"])
     if strict_unique:
         out = fail_on_duplicates(out, "event_id", "duplicate key value violates unique constraint on event_id")
     return out.select(*parsed.columns)

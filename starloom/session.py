@@ -25,6 +25,8 @@ EXECUTION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # MIN / MAX / COUNT of stored layers from Parquet footers (watermarks).
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

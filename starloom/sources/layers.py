@@ -80,10 +80,18 @@ def write_layer(df: DataFrame, root: str, table: str, mode: str = "append") -> N
 
 
 def insert_absent(new: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not stored yet (ON CONFLICT DO NOTHING)."""
+    """Rows of ``new`` whose key is not stored yet (ON CONFLICT DO NOTHING).
+
+    The stored table is probed, not shuffled: its key columns are semi-joined
+    with the (distinct) new keys - the build side, broadcast by AQE when its
+    measured size allows - which yields the few keys already stored; the new
+    rows are then anti-joined with those. A daily batch against years of
+    history scans the history's key column once and moves only the batch."""
     if existing is None:
         return new
-    return new.join(existing.select(*keys), keys, "left_anti")
+    probe = new.select(*keys).distinct()
+    hits = existing.select(*keys).join(probe, keys, "left_semi")
+    return new.join(hits, keys, "left_anti")
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: list[str], update_cols: list[str],

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.json import json_timestamp_text, payload_field
 from starloom.sources.driver import feature_name_of
+from starloom.sources.layers import insert_absent
 
 
 def to_payload(events: DataFrame) -> DataFrame:
@@ -70,9 +71,7 @@ def ingest_raw(incoming: DataFrame, existing: DataFrame | None, order_col: str |
     first = (incoming.groupBy("event_id")
              .agg(F.min_by(F.struct(*cols), rank).alias("_r"))
              .select("event_id", "_r.*"))
-    if existing is None:
-        return first
-    return first.join(existing.select("event_id"), "event_id", "left_anti")
+    return insert_absent(first, existing, ["event_id"])
 
 
 def raw_inventory(raw: DataFrame) -> DataFrame:
