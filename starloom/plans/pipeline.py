@@ -52,13 +52,13 @@ def _observed_write(df: DataFrame, root: str, table: str, mode: str, summary: Ru
 
 def _watermark(prev: DataFrame | None, col: str):
     """Start of the increment: the latest stamp written by the previous
-    step, minus a day of margin for clock differences between runs (the
+    step, minus a minute of margin for clock steps between runs (the
     anti-joins make the overlap harmless). One MAX, answered from Parquet
     footers."""
     if prev is None:
         return None
     latest = prev.agg(F.max(col)).first()[0]
-    return None if latest is None else latest - _dt.timedelta(days=1)
+    return None if latest is None else latest - _dt.timedelta(minutes=1)
 
 
 def new_core_root(base: str) -> str:
