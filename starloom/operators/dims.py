@@ -139,49 +139,58 @@ def apply_scd2(dim: DataFrame, changes: DataFrame, start: int, now: Column | Non
     """SCD type 2 on the user dimension.
 
     ``changes``: (user_id, change_ts, change_id, <tracked columns>), the
-    state a user is in from ``change_ts`` on. For every user with a current
-    row, changes at or after its effective_date are ordered by time; those
-    that differ from the state before them are change points. The current
-    row is closed at the first change point (is_current false, end_date
-    set), each change point opens a version that ends at the next one, the
-    last stays current. Versions get new keys from ``start`` + 1. Rows of
-    other users are returned unchanged, so at most one row per user is
-    current afterwards (the partial unique index invariant).
+    state a user is in from ``change_ts`` on. For every user with changes,
+    the existing versions and the changes form one sequence in time order:
+    each existing version stays (same key; its end_date / is_current follow
+    from the version after it), and each change whose state differs from the
+    state just before it opens a new version (new key from ``start`` + 1).
+    A change later than the current version closes it; a late change, older
+    than the current version, is placed inside the history (the version it
+    falls into ends at the change). Users without changes are returned
+    unchanged; at most one row per user stays current.
+
+    The ordering runs through ``sequence.neighbors``, so a user with very
+    many versions or changes is split over several tasks.
     """
-    from starloom.operators.profile import change_intervals
+    from starloom.operators.sequence import neighbors
 
     now = now if now is not None else F.localtimestamp()
-    cur = dim.where(F.col("is_current")).select(
-        "user_id", F.col("effective_date").alias("_eff"), *[F.col(c).alias(f"_c_{c}") for c in tracked])
-    ch = (changes.join(cur, "user_id").where(F.col("change_ts") >= F.col("_eff"))
-          .select("user_id", "change_ts", "change_id", *tracked, F.lit(False).alias("_seed")))
-    # The current row's state seeds each changed user's sequence, so the
-    # first change is compared with it; the seed is always the first point.
-    seeds = cur.join(ch.select("user_id").distinct(), "user_id").select(
-        "user_id", F.col("_eff").alias("change_ts"), F.lit("").alias("change_id"),
-        *[F.col(f"_c_{c}").alias(c) for c in tracked], F.lit(True).alias("_seed"))
-    seq = change_intervals(seeds.unionByName(ch), tracked, keep_first=True)
-    points = seq.where(~F.col("_seed"))
-    close = seq.where(F.col("_seed") & F.col("next_change_ts").isNotNull()).select(
-        "user_id", F.col("next_change_ts").alias("_close_at"))
-
-    marked = dim.join(close, "user_id", "left")
-    closing = F.col("is_current") & F.col("_close_at").isNotNull()
-    kept = marked.select(
+    affected = changes.select("user_id").distinct()
+    old = dim.join(affected, "user_id", "left_semi")
+    untouched = dim.join(affected, "user_id", "left_anti")
+    order = ["change_ts", "change_id"]
+    seq_old = old.select("user_id", F.col("effective_date").alias("change_ts"), F.lit("").alias("change_id"),
+                         *tracked, F.col("user_sk").alias("_old_sk"))
+    seq_new = changes.join(dim.select("user_id").distinct(), "user_id", "left_semi").select(
+        "user_id", "change_ts", "change_id", *tracked, F.lit(None).cast("bigint").alias("_old_sk"))
+    nb = neighbors(seq_old.unionByName(seq_new), "user_id", order, prev_cols=list(tracked))
+    differs = None
+    for c in tracked:
+        d = ~F.col(c).eqNullSafe(F.col(f"prev_{c}"))
+        differs = d if differs is None else (differs | d)
+    is_old = F.col("_old_sk").isNotNull()
+    points = nb.where(is_old | ~F.col("has_prev") | differs).select(*seq_old.columns)
+    chain = neighbors(points, "user_id", order, next_cols=["change_ts"])
+
+    ends = chain.where(F.col("_old_sk").isNotNull()).select(
+        F.col("_old_sk").alias("user_sk"), F.col("next_change_ts").alias("_end"))
+    o = old.join(ends, "user_sk")
+    moved = ~F.col("end_date").eqNullSafe(F.col("_end"))
+    kept = o.select(
         "user_sk", "user_id", "email", "signup_date", "current_plan", "account_status",
-        F.when(closing, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+        F.col("_end").isNull().alias("is_current"),
         "effective_date",
-        F.when(closing, F.col("_close_at")).otherwise(F.col("end_date")).alias("end_date"),
+        F.col("_end").alias("end_date"),
         "created_at",
-        F.when(closing, now).otherwise(F.col("updated_at")).alias("updated_at"),
+        F.when(moved, now).otherwise(F.col("updated_at")).alias("updated_at"),
     )
-    base = dim.where(F.col("is_current")).select("user_id", "email", "signup_date")
-    opened = points.join(base, "user_id").select(
-        "user_id", "email", "signup_date", *tracked,
+    base = old.groupBy("user_id").agg(F.min_by(F.struct("email", "signup_date"), F.col("effective_date")).alias("_b"))
+    opened = chain.where(F.col("_old_sk").isNull()).join(base, "user_id").select(
+        "user_id", F.col("_b.email").alias("email"), F.col("_b.signup_date").alias("signup_date"), *tracked,
         F.col("next_change_ts").isNull().alias("is_current"),
         F.col("change_ts").alias("effective_date"),
         F.col("next_change_ts").alias("end_date"),
         now.alias("created_at"), now.alias("updated_at"), F.col("change_id"),
     )
     opened = assign_keys(opened, ["user_id", "effective_date", "change_id"], "user_sk", start)
-    return kept.unionByName(opened.select(*kept.columns))
+    return untouched.select(*kept.columns).unionByName(kept).unionByName(opened.select(*kept.columns))

@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS
 
@@ -42,17 +43,17 @@ def exists(spark: SparkSession, root: str, table: str) -> bool:
 
 
 def read_layer(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """The stored table with its declared schema (plus partition columns),
-    or None when it was never written."""
+    """The stored table read with its declared schema (plus its partition
+    columns), or None when it was never written. Nothing is inferred, and a
+    layer whose writes were all empty reads as an empty table."""
     if not exists(spark, root, table):
         return None
-    df = spark.read.parquet(layer_path(root, table))
     schema = LAYER_SCHEMAS.get(table)
-    if schema is not None:
-        keep = [f.name for f in schema.fields] + [c for c in _partition_cols(table) if c not in schema.fieldNames()]
-        df = df.select(*[F.col(c).cast(schema[c].dataType) if c in schema.fieldNames() else F.col(c)
-                         for c in keep if c in df.columns])
-    return df
+    if schema is None:
+        return spark.read.parquet(layer_path(root, table))
+    fields = list(schema.fields) + [T.StructField(c, T.StringType(), True)
+                                    for c in _partition_cols(table) if c not in schema.fieldNames()]
+    return spark.read.schema(T.StructType(fields)).parquet(layer_path(root, table))
 
 
 def write_layer(df: DataFrame, root: str, table: str, mode: str = "append") -> None:

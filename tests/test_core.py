@@ -143,3 +143,22 @@ def test_retention_variants_differ(spark):
          for r in marts.retention_cohorts(users, daily, "cohort").collect()}
     assert a == {0: (2, 100.0), 1: (1, 100.0)}
     assert b == {0: (2, 100.0), 1: (2, 50.0)}
+
+
+def test_scd2_places_a_late_change_inside_history(spark, raw_rows):
+    stg = _stg(raw_rows, [
+        event("b0", ts="2024-01-01T00:00:00Z", user="u9"),
+        event("b1", etype="subscription_started", ts="2024-02-01T00:00:00Z", user="u9", props={"plan": "pro"}),
+    ])
+    users = dims.build_dim_users(stg, effective_from_first_event=True)
+    v2 = dims.apply_scd2(users, profile.plan_changes(stg), start=1)
+    late = _stg(raw_rows, [event("b2", etype="subscription_cancelled", ts="2024-01-15T00:00:00Z", user="u9",
+                                 props={"reason": "other"})])
+    v3 = dims.apply_scd2(v2, profile.plan_changes(late), start=2).orderBy("effective_date").collect()
+    assert [(r.current_plan, r.account_status, str(r.effective_date)[:10], str(r.end_date)[:10] if r.end_date else None,
+             r.is_current) for r in v3] == [
+        ("free", "active", "2024-01-01", "2024-01-15", False),
+        ("free", "cancelled", "2024-01-15", "2024-02-01", False),
+        ("pro", "active", "2024-02-01", None, True)]
+    before = {r.user_sk for r in v2.collect()}
+    assert before <= {r.user_sk for r in v3}  # existing versions keep their keys
