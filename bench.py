@@ -33,7 +33,7 @@ HEADLINE = [
     "chk_reconcile",
     "session_rollup",
     "plan_history",
-    "pipeline_run",
+    "daily_load",
 ]
 
 
@@ -61,7 +61,7 @@ def main() -> None:
         "queries": times,
         "sf": sf,
         "events": events,
-        "pipeline_events_per_sec": round(events / times["pipeline_run"], 1) if times.get("pipeline_run") else None,
+        "daily_load_events_per_sec": round(events / times["daily_load"], 1) if times.get("daily_load") else None,
     }))
     spark.stop()
 

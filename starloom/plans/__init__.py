@@ -1,2 +1,2 @@
 """Compositions of the operators: the lazily derived warehouse over the given
-tables, the stored pipeline, and the query catalog."""
+tables, the stored daily load, and the query catalog."""

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.inet import is_inet
 from starloom.operators import dims, facts, marts, profile, quality, reports, staging
-from starloom.plans import pipeline
+from starloom.plans import daily_load
 from starloom.plans.warehouse import EARLY_CUTOFF, Warehouse
 from starloom.schemas import VARCHAR_LIMITS
 from starloom.session import scratch_path
@@ -488,7 +488,7 @@ def _plan_history(w: Warehouse) -> DataFrame:
     return profile.plan_history(w.staging)
 
 
-# -------------------------------------------------- streaming and pipeline
+# ----------------------------------------------- streaming and daily load
 @query("stream_ingest")
 def _stream_ingest(w: Warehouse) -> DataFrame:
     """Land the early batches, stream; land everything again (repeats
@@ -505,23 +505,23 @@ def _stream_ingest(w: Warehouse) -> DataFrame:
     return read_layer(spark, core_root, "staging_events").select("event_id", "batch_id", "event_type", "user_id")
 
 
-def _run_two_loads(w: Warehouse) -> tuple[str, str, pipeline.RunSummary]:
+def _run_two_loads(w: Warehouse) -> tuple[str, str, daily_load.RunSummary]:
     spark = w.spark
-    base = scratch_path(spark, "pipeline")
+    base = scratch_path(spark, "daily-load")
     raw_root, core_root = f"{base}/raw", f"{base}/core"
     raw = w.raw.select("event_id", "raw_payload", "batch_id")
-    s1 = pipeline.run_pipeline(spark, raw_root, core_root, raw.where(F.col("batch_id") <= EARLY_CUTOFF), w.as_of)
-    s2 = pipeline.run_pipeline(spark, raw_root, core_root, raw, w.as_of)
-    total = pipeline.RunSummary({k: s1.rows.get(k, 0) + s2.rows.get(k, 0) for k in set(s1.rows) | set(s2.rows)})
+    s1 = daily_load.run_load(spark, raw_root, core_root, raw.where(F.col("batch_id") <= EARLY_CUTOFF), w.as_of)
+    s2 = daily_load.run_load(spark, raw_root, core_root, raw, w.as_of)
+    total = daily_load.RunSummary({k: s1.rows.get(k, 0) + s2.rows.get(k, 0) for k in set(s1.rows) | set(s2.rows)})
     return raw_root, core_root, total
 
 
-@query("pipeline_run")
-def _pipeline_run(w: Warehouse) -> DataFrame:
+@query("daily_load")
+def _daily_load(w: Warehouse) -> DataFrame:
     """H1: two stored runs (early batches, then the whole delivery again);
     rows per stored table, read back."""
     raw_root, core_root, _ = _run_two_loads(w)
-    return pipeline.layer_counts(w.spark, raw_root, core_root)
+    return daily_load.layer_counts(w.spark, raw_root, core_root)
 
 
 @query("run_summary")

@@ -67,7 +67,7 @@ def new_core_root(base: str) -> str:
     return os.path.join(base, f"core-{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}")
 
 
-def run_pipeline(spark: SparkSession, raw_root: str, core_root: str, incoming: DataFrame | None = None,
+def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataFrame | None = None,
                  as_of: _dt.date | str | None = None) -> RunSummary:
     """H1: one full run. ``incoming``: (event_id, raw_payload, batch_id)
     rows delivered since the last run (may repeat old ones)."""

@@ -549,5 +549,5 @@ UNION ALL SELECT 'dim_date', COUNT(*) FROM dim_date
 UNION ALL SELECT 'fact_events', COUNT(*) FROM fact_events
 UNION ALL SELECT 'fact_daily_user_activity', COUNT(*) FROM daily""")
 
-ORACLE["pipeline_run"] = _COUNTS
+ORACLE["daily_load"] = _COUNTS
 ORACLE["run_summary"] = _COUNTS.rsplit("\nUNION ALL", 1)[0]

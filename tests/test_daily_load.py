@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from starloom.operators import quality
-from starloom.plans import pipeline
+from starloom.plans import daily_load
 from starloom.plans.warehouse import EARLY_CUTOFF, Warehouse
 from starloom.session import scratch_path
 from starloom.sources.layers import read_layer
@@ -14,17 +14,17 @@ SF = "/root/testdata/sf0.001"
 
 def test_two_runs_then_rerun_writes_nothing(spark):
     w = Warehouse(spark, SF)
-    base = scratch_path(spark, "test-pipeline")
+    base = scratch_path(spark, "test-load")
     raw_root, core_root = f"{base}/raw", f"{base}/core"
     raw = w.raw.select("event_id", "raw_payload", "batch_id")
     as_of = dt.date(2024, 7, 15)
-    pipeline.run_pipeline(spark, raw_root, core_root, raw.where(F.col("batch_id") <= EARLY_CUTOFF), as_of)
-    pipeline.run_pipeline(spark, raw_root, core_root, raw, as_of)
-    counts = {r.table_name: r.n_rows for r in pipeline.layer_counts(spark, raw_root, core_root).collect()}
+    daily_load.run_load(spark, raw_root, core_root, raw.where(F.col("batch_id") <= EARLY_CUTOFF), as_of)
+    daily_load.run_load(spark, raw_root, core_root, raw, as_of)
+    counts = {r.table_name: r.n_rows for r in daily_load.layer_counts(spark, raw_root, core_root).collect()}
     n = w.staging.count()
     assert counts["raw_events"] == n and counts["staging_events"] == n and counts["fact_events"] == n
     assert counts["dim_date"] == 2557 and counts["dim_features"] == 8
-    again = pipeline.run_pipeline(spark, raw_root, core_root, raw, as_of)
+    again = daily_load.run_load(spark, raw_root, core_root, raw, as_of)
     for table in ("raw_events", "staging_events", "dim_users", "dim_documents", "dim_date", "dim_features",
                   "fact_events"):
         assert again.rows[table] == 0, table

@@ -11,7 +11,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from starloom.sources.driver import TABLES
 
 SF = "/root/testdata/sf0.001"
-SKIP_SLOW = {"pipeline_run", "run_summary", "stream_ingest"}  # covered in test_pipeline
+SKIP_SLOW = {"daily_load", "run_summary", "stream_ingest"}  # covered in test_daily_load
 
 
 @pytest.fixture(scope="module")

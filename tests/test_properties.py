@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import event
-from starloom.plans import pipeline
+from starloom.plans import daily_load
 from starloom.session import scratch_path
 from starloom.sources.layers import read_layer
 
@@ -51,7 +51,7 @@ def _rows(spec):
 def _load(spark, batches):
     base = scratch_path(spark, "prop")
     for b in batches:
-        pipeline.run_pipeline(spark, f"{base}/raw", f"{base}/core", b, dt.date(2024, 3, 1))
+        daily_load.run_load(spark, f"{base}/raw", f"{base}/core", b, dt.date(2024, 3, 1))
     fact = read_layer(spark, f"{base}/core", "fact_events")
     users = read_layer(spark, f"{base}/core", "dim_users")
     daily = read_layer(spark, f"{base}/core", "fact_daily_user_activity").join(users.select("user_sk", "user_id"),
