@@ -33,6 +33,10 @@ def land(raw: DataFrame, landing_dir: str) -> None:
 
 
 def load_micro_batch(batch: DataFrame, raw_root: str, core_root: str) -> None:
+    """One micro-batch: new raw rows (exactly once by event_id), then their
+    staging rows. Rows that do not parse or validate go to the
+    ``staging_rejects`` table with their reasons instead of failing the
+    stream (B9), so one bad event cannot stop ingestion."""
     spark = batch.sparkSession
     incoming = batch.where(F.col("event_id").isNotNull() & F.col("raw_payload").isNotNull()
                            & F.col("batch_id").isNotNull())
@@ -42,7 +46,9 @@ def load_micro_batch(batch: DataFrame, raw_root: str, core_root: str) -> None:
     new_raw = new_raw.checkpoint(eager=True)
     write_layer(new_raw, raw_root, "raw_events", "append")
     stg_prev = read_layer(spark, core_root, "staging_events")
-    write_layer(staging.new_events(staging.parse_events(new_raw), stg_prev), core_root, "staging_events", "append")
+    good, rejects = staging.split_valid(new_raw, stg_prev)
+    write_layer(staging.new_events(good, stg_prev), core_root, "staging_events", "append")
+    write_layer(rejects.withColumn("rejected_at", F.localtimestamp()), core_root, "staging_rejects", "append")
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, raw_root: str, core_root: str, checkpoint: str,

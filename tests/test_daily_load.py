@@ -50,3 +50,16 @@ def test_stream_replays_add_nothing(spark):
     stg = read_layer(spark, f"{base}/core", "staging_events")
     assert stg.count() == w.staging.count()
     assert stg.select("event_id").distinct().count() == stg.count()
+
+
+def test_stream_quarantines_bad_events(spark, raw_rows):
+    from conftest import event
+    base = scratch_path(spark, "test-stream-bad")
+    rows = raw_rows([("ok1", event("ok1"), "b"), ("bad", "{broken", "b"),
+                     ("ip", event("ip", ctx={"platform": "web", "ip_address": "300.0.0.1"}), "b")])
+    stream.land(rows, f"{base}/landing")
+    stream.stream_ingest(spark, f"{base}/landing", f"{base}/raw", f"{base}/core", f"{base}/ckpt")
+    stg = read_layer(spark, f"{base}/core", "staging_events")
+    assert [r.event_id for r in stg.collect()] == ["ok1"]
+    rej = spark.read.parquet(f"{base}/core/staging_rejects")
+    assert sorted(sum((r.reasons for r in rej.collect()), [])) == ["bad_ip", "malformed_json"]
