@@ -16,6 +16,7 @@ import datetime as _dt
 import os
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,6 +29,9 @@ from starloom.sources.layers import read_layer, write_layer
 from starloom.sources.raw import ingest_raw
 
 VIEWS = ("user_retention_cohorts", "feature_adoption_funnel", "churn_risk_scores")
+# Watermark margin for clock steps between runs (the anti-joins make the
+# overlap harmless).
+_MARGIN = _dt.timedelta(minutes=1)
 
 
 @dataclass
@@ -58,7 +62,7 @@ def _watermark(prev: DataFrame | None, col: str):
     if prev is None:
         return None
     latest = prev.agg(F.max(col)).first()[0]
-    return None if latest is None else latest - _dt.timedelta(minutes=1)
+    return None if latest is None else latest - _MARGIN
 
 
 def new_core_root(base: str) -> str:
@@ -96,16 +100,26 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     stg = read_layer(spark, core_root, "staging_events")
 
     # Dimensions, insert-if-absent with keys after the max.
-    dd_prev = read_layer(spark, core_root, "dim_date")
-    _observed_write(dims.build_dim_date(spark, existing=dd_prev), core_root, "dim_date", "append", summary)
-    df_prev = read_layer(spark, core_root, "dim_features")
-    _observed_write(dims.build_dim_features(spark, df_prev), core_root, "dim_features", "append", summary)
-    du_prev = read_layer(spark, core_root, "dim_users")
-    users_new = dims.build_dim_users(stg, du_prev, start=next_key_start(du_prev, "user_sk"))
-    _observed_write(users_new, core_root, "dim_users", "append", summary)
-    doc_prev = read_layer(spark, core_root, "dim_documents")
-    docs_new = dims.build_dim_documents(stg, doc_prev, start=next_key_start(doc_prev, "document_sk"))
-    _observed_write(docs_new, core_root, "dim_documents", "append", summary)
+    # They do not depend on each other, so their jobs run side by side.
+    def load_dates():
+        prev = read_layer(spark, core_root, "dim_date")
+        _observed_write(dims.build_dim_date(spark, existing=prev), core_root, "dim_date", "append", summary)
+
+    def load_features():
+        prev = read_layer(spark, core_root, "dim_features")
+        _observed_write(dims.build_dim_features(spark, prev), core_root, "dim_features", "append", summary)
+
+    def load_users():
+        prev = read_layer(spark, core_root, "dim_users")
+        new = dims.build_dim_users(stg, prev, start=next_key_start(prev, "user_sk"))
+        _observed_write(new, core_root, "dim_users", "append", summary)
+
+    def load_documents():
+        prev = read_layer(spark, core_root, "dim_documents")
+        new = dims.build_dim_documents(stg, prev, start=next_key_start(prev, "document_sk"))
+        _observed_write(new, core_root, "dim_documents", "append", summary)
+
+    _side_by_side(load_dates, load_features, load_users, load_documents)
 
     users = read_layer(spark, core_root, "dim_users")
     docs = read_layer(spark, core_root, "dim_documents")
@@ -116,8 +130,11 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     # fact write, plus rows a load drops (dates outside the calendar), which
     # are retried every run; the anti-join keeps it exact.
     fact_prev = read_layer(spark, core_root, "fact_events")
-    first_new_sk = next_key_start(fact_prev, "event_sk")
-    since = _watermark(fact_prev, "created_at")
+    first_new_sk, since = 0, None
+    if fact_prev is not None:
+        top = fact_prev.agg(F.max("event_sk"), F.max("created_at")).first()  # from footers
+        first_new_sk = int(top[0] or 0)
+        since = None if top[1] is None else top[1] - _MARGIN
     stg_new = stg
     if since is not None:
         lo, hi = dates.agg(F.min("full_date"), F.max("full_date")).first()
@@ -153,8 +170,16 @@ def refresh_views(spark: SparkSession, core_root: str, users: DataFrame, daily:
         "feature_adoption_funnel": marts.feature_adoption(fact, features),
         "churn_risk_scores": marts.churn_risk(users, daily, as_of),
     }
-    for name, df in views.items():
-        _observed_write(df, core_root, name, "overwrite", summary)
+    _side_by_side(*[(lambda n=name, d=df: _observed_write(d, core_root, n, "overwrite", summary))
+                     for name, df in views.items()])
+
+
+def _side_by_side(*steps) -> None:
+    """Run independent steps as concurrent Spark jobs (the scheduler shares
+    the executors between them); the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for f in [pool.submit(step) for step in steps]:
+            f.result()
 
 
 def layer_counts(spark: SparkSession, raw_root: str, core_root: str) -> DataFrame:
