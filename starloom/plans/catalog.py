@@ -18,7 +18,6 @@ from starloom.functions.inet import is_inet
 from starloom.operators import dims, facts, marts, profile, quality, reports, staging
 from starloom.plans import daily_load
 from starloom.plans.warehouse import EARLY_CUTOFF, Warehouse
-from starloom.schemas import VARCHAR_LIMITS
 from starloom.session import scratch_path
 from starloom.sources.raw import ingest_raw, raw_inventory, stamp_batch
 from starloom.streaming import ingest as stream

@@ -1,7 +1,6 @@
 """Every registered query against its oracle SQL in DuckDB on the sf0.001
 tables (the driver does the same at sf0.01; see tools/check_oracle.py)."""
 
-import math
 import os
 
 import duckdb

@@ -6,7 +6,6 @@ import json
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from conftest import event
 from starloom.plans import daily_load
