@@ -33,8 +33,8 @@ def build_fact_events(staging: DataFrame, users: DataFrame, documents: DataFrame
     and documents grow with the data, so the join strategy is left to AQE,
     which broadcasts them only when their measured size is under the
     threshold and otherwise shuffles (and splits skewed user partitions).
-    Rows without a document skip the document join instead of piling up
-    under the NULL key in one partition.
+    Rows without a document are salted so they do not pile up under the
+    NULL key in one partition.
 
     ``event_keys``: number the rows with ``start`` + position in the scan
     (unique, not dense; stable on recomputation, no extra shuffle).
@@ -50,10 +50,12 @@ def build_fact_events(staging: DataFrame, users: DataFrame, documents: DataFrame
     s = s.join(F.broadcast(features.select("feature_id", "feature_sk")), "feature_id", "left")
     cur = users.where(F.col("is_current")).select("user_id", "user_sk")
     s = s.join(cur, "user_id")
-    docs = documents.select("document_id", "document_sk")
-    with_doc = s.where(F.col("document_id").isNotNull()).join(docs, "document_id", "left")
-    no_doc = s.where(F.col("document_id").isNull()).withColumn("document_sk", F.lit(None).cast("bigint"))
-    s = with_doc.unionByName(no_doc)
+    # Rows without a document join on a per-row key that no document id can
+    # equal (NUL prefix + event id): they spread over all partitions instead
+    # of piling up under the NULL key, in one scan and one join.
+    docs = documents.select(F.col("document_id").alias("_doc_key"), "document_sk")
+    salted = F.coalesce(F.col("document_id"), F.concat(F.lit("\u0000"), F.col("event_id")))
+    s = s.withColumn("_doc_key", salted).join(docs, "_doc_key", "left").drop("_doc_key")
     cols = (["event_sk"] if event_keys else []) + FACT_COLUMNS
     extra = [c for c in keep if c not in cols]
     return s.select(*cols, now.alias("created_at"), *extra)
