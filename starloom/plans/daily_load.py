@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import dims, facts, marts, staging
 from starloom.operators.keys import next_key_start
+from starloom.schemas import FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 from starloom.session import configure
 from starloom.sources.layers import read_layer, write_layer
 from starloom.sources.raw import ingest_raw
@@ -196,3 +197,33 @@ def layer_counts(spark: SparkSession, raw_root: str, core_root: str) -> DataFram
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def quality_report(spark: SparkSession, raw_root: str, core_root: str) -> DataFrame:
+    """G1-G6 over the stored layers: one row per rule with its violation
+    count (all 0 after a good run)."""
+    from starloom.operators import quality
+
+    raw = read_layer(spark, raw_root, "raw_events")
+    t = {name: read_layer(spark, core_root, name) for name in (
+        "staging_events", "dim_users", "dim_documents", "dim_features", "dim_date", "fact_events",
+        "fact_daily_user_activity")}
+    checks = [quality.chk_not_null(raw, "raw_events"), quality.chk_unique(raw, "raw_events", ["event_id"])]
+    for name, df in t.items():
+        if name in NOT_NULL:
+            checks.append(quality.chk_not_null(df, name))
+        for keys in UNIQUE_KEYS.get(name, []):
+            checks.append(quality.chk_unique(df, name, keys))
+        if name in VARCHAR_LIMITS:
+            checks.append(quality.chk_lengths(df, name))
+    checks.append(quality.chk_one_current(t["dim_users"]))
+    for child, col, parent, pcol, nullable in FOREIGN_KEYS:
+        checks.append(quality.chk_foreign_key(t[child], child, col, t[parent], pcol, nullable))
+    rec = quality.chk_reconcile(t["fact_events"], t["fact_daily_user_activity"])
+    checks.append(rec.agg(F.count_if(F.col("difference") != 0).cast("bigint").alias("violations")).select(
+        F.lit("fact_daily_user_activity").alias("table_name"), F.lit("reconcile").alias("rule"),
+        F.lit("total_events").alias("column_name"), "violations"))
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out

@@ -37,6 +37,9 @@ def test_two_runs_then_rerun_writes_nothing(spark):
     assert quality.chk_unique(daily, "daily", ["activity_date", "user_sk"]).first().violations == 0
     assert quality.chk_unique(fact, "fact_events", ["event_sk"]).first().violations == 0
     assert daily.count() == w.daily.count()
+    report = daily_load.quality_report(spark, raw_root, core_root)
+    failing = [tuple(r) for r in report.where("violations != 0").collect()]
+    assert failing == [] and report.count() > 40
 
 
 def test_stream_replays_add_nothing(spark):
