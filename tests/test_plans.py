@@ -47,3 +47,50 @@ def test_retention_dedups_activity_first(spark):
     plan = w.retention._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan
     assert marts.RETENTION_COLUMNS == w.retention.columns
+
+
+def _single_partition_over_scan(plan: str) -> list[str]:
+    """SinglePartition exchanges whose input reaches a file scan without an
+    aggregation in between (event-sized data in one task)."""
+    lines = plan.splitlines()
+    bad = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-|"))
+        for nxt in lines[i + 1:]:
+            d = len(nxt) - len(nxt.lstrip(" :+-|"))
+            if d <= depth:
+                break
+            if "HashAggregate" in nxt or "ObjectHashAggregate" in nxt or "SortAggregate" in nxt:
+                break
+            if "FileScan" in nxt:
+                bad.append(line.strip())
+                break
+    return bad
+
+
+def test_no_single_partition_exchange_over_events(spark):
+    w = Warehouse(spark, SF)
+    for df in (w.fact_events, w.daily, w.funnel, w.retention_true, w.churn, w.dim_users, w.dim_documents):
+        assert _single_partition_over_scan(_plan(df)) == []
+
+
+def test_incremental_daily_refresh_prunes_months(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from starloom.plans import daily_load
+    from starloom.session import scratch_path
+    from starloom.sources.layers import read_layer
+    base = scratch_path(spark, "test-prune")
+    daily_load.run_load(spark, f"{base}/raw", f"{base}/core", Warehouse(spark, SF).raw.select(
+        "event_id", "raw_payload", "batch_id"), dt.date(2024, 7, 15))
+    fact = read_layer(spark, f"{base}/core", "fact_events")
+    daily = read_layer(spark, f"{base}/core", "fact_daily_user_activity")
+    plan = _plan(facts.refresh_daily(fact, daily, fact.where(F.col("event_month") == "2024-03")))
+    import re
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert any("event_month" in f and "2024-03" in f for f in filters)
+    assert any("activity_month" in f and "2024-03" in f for f in filters)
