@@ -99,36 +99,37 @@ def build_daily(fact: DataFrame, now: Column | None = None, keep: tuple[str, ...
                       now.alias("created_at"), now.alias("updated_at"))
 
 
-def _month_key(df: DataFrame, ts_col: str, partition_col: str):
-    """The month as 'yyyy-MM': the stored partition column when present (so
-    a join on it prunes partitions), else derived from ``ts_col``."""
-    if partition_col in df.columns:
-        return F.col(partition_col)
-    return F.date_format(F.col(ts_col), "yyyy-MM")
+def touched_days(new_facts: DataFrame) -> DataFrame:
+    """Event days of new facts (``_day``): at most one row per calendar
+    day, a fixed bound."""
+    day = F.col("event_date") if "event_date" in new_facts.columns else F.col("event_timestamp").cast("date")
+    return new_facts.select(day.alias("_day")).distinct()
 
 
-def touched_months(new_facts: DataFrame) -> DataFrame:
-    """Months ('yyyy-MM') that new facts fall in: at most one row per
-    calendar month, a fixed bound."""
-    return new_facts.select(_month_key(new_facts, "event_timestamp", "event_month").alias("_month")).distinct()
+def month_of_day(day):
+    return F.date_format(day, "yyyy-MM")
 
 
 def refresh_daily(fact: DataFrame, previous: DataFrame | None, new_facts: DataFrame,
                   now: Column | None = None) -> DataFrame:
-    """Recompute the daily fact only for months touched by new facts
-    and upsert it into the previous daily rows of those months (C9
+    """Recompute the daily fact only for the days touched by new facts
+    and upsert it into the previous daily rows of the touched months (C9
     semantics: metrics replaced, created_at kept, nothing deleted).
 
-    Returns the rows of the touched months only; writing them with dynamic
-    partition overwrite leaves every other month's files untouched. On
-    stored layers the semi-joins are on the month partition columns with the
-    (broadcast, calendar-bounded) month list, so dynamic partition pruning
-    reads only the touched months of facts and daily rows."""
-    months = F.broadcast(touched_months(new_facts))
-    scoped = fact.join(months, _month_key(fact, "event_timestamp", "event_month") == F.col("_month"), "left_semi")
+    Returns every row of the touched months (untouched days kept), so a
+    dynamic partition overwrite of the month partitions leaves every other
+    month's files untouched. On stored layers the semi-joins are on the
+    partition columns (event day, activity month) with broadcast lists
+    bounded by the calendar, so only the touched days of facts and the
+    touched months of daily rows are read."""
+    days = F.broadcast(touched_days(new_facts))
+    fact_day = F.col("event_date") if "event_date" in fact.columns else F.col("event_timestamp").cast("date")
+    scoped = fact.join(days, fact_day == F.col("_day"), "left_semi")
     fresh = build_daily(scoped, now)
     prev = None
     if previous is not None:
-        prev = previous.join(months, _month_key(previous, "activity_date", "activity_month") == F.col("_month"),
-                             "left_semi")
+        months = F.broadcast(touched_days(new_facts).select(month_of_day(F.col("_day")).alias("_month")).distinct())
+        prev_month = F.col("activity_month") if "activity_month" in previous.columns \
+            else month_of_day(F.col("activity_date"))
+        prev = previous.join(months, prev_month == F.col("_month"), "left_semi")
     return upsert(prev, fresh.drop("created_at", "updated_at"), ["activity_date", "user_sk"], DAILY_METRICS, now)

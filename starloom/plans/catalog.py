@@ -259,8 +259,8 @@ def _daily_incremental(w: Warehouse) -> DataFrame:
     early = facts.build_daily(w.fact_for(w.staging_early))
     late = w.fact_for(w.staging_late)
     refreshed = facts.refresh_daily(w.fact_events, early, late).drop("_action")
-    months = facts.touched_months(late)
-    untouched = early.join(F.broadcast(months), F.date_format("activity_date", "yyyy-MM") == F.col("_month"),
+    months = facts.touched_days(late).select(facts.month_of_day(F.col("_day")).alias("_month")).distinct()
+    untouched = early.join(F.broadcast(months), facts.month_of_day(F.col("activity_date")) == F.col("_month"),
                            "left_anti")
     cols = ["activity_date", "user_sk", *facts.DAILY_METRICS]
     return _daily_out(w, untouched.select(*cols).unionByName(refreshed.select(*cols)))

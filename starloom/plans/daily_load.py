@@ -50,7 +50,7 @@ class RunSummary:
 def _observed_write(df: DataFrame, root: str, table: str, mode: str, summary: RunSummary) -> None:
     t0 = time.perf_counter()
     obs = Observation(f"{table}_{uuid.uuid4().hex[:8]}")
-    write_layer(df.observe(obs, F.count(F.lit(1)).alias("n")), root, table, mode)
+    write_layer(df, root, table, mode, observation=obs)
     summary.rows[table] = summary.rows.get(table, 0) + int(obs.get.get("n", 0) or 0)
     summary.seconds[table] = round(summary.seconds.get(table, 0.0) + time.perf_counter() - t0, 3)
 

@@ -234,11 +234,15 @@ LAYER_SCHEMAS = {
     "fact_daily_user_activity": FACT_DAILY,
 }
 
-# Physical layout of the stored layers: partition columns (derived, low
-# cardinality) so that incremental steps prune by batch day or month.
+# Physical layout of the stored layers: partition columns (bounded by the
+# calendar) so incremental steps read and rewrite only what they touch: raw
+# and staging by delivery batch, event facts by event day (a refresh reads
+# only the touched days), user-day facts by month (a small table whose
+# touched months are rewritten whole).
 LAYER_PARTITIONS = {
     "raw_events": ["batch_id"],
-    "staging_events": ["event_month"],
-    "fact_events": ["event_month"],
+    "staging_events": ["batch_id"],
+    "fact_events": ["event_date"],
     "fact_daily_user_activity": ["activity_month"],
 }
+PARTITION_TYPES = {"event_date": T.DateType(), "activity_month": T.StringType()}

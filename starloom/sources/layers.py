@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS
+from starloom.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS, PARTITION_TYPES
 
 
 def layer_path(root: str, table: str) -> str:
@@ -26,8 +26,8 @@ def _partition_cols(table: str) -> list[str]:
 
 def with_layout_columns(df: DataFrame, table: str) -> DataFrame:
     """Add the derived partition column a stored layer is laid out by."""
-    if table in ("staging_events", "fact_events") and "event_month" not in df.columns:
-        return df.withColumn("event_month", F.date_format("event_timestamp", "yyyy-MM"))
+    if table == "fact_events" and "event_date" not in df.columns:
+        return df.withColumn("event_date", F.col("event_timestamp").cast("date"))
     if table == "fact_daily_user_activity" and "activity_month" not in df.columns:
         return df.withColumn("activity_month", F.date_format("activity_date", "yyyy-MM"))
     return df
@@ -51,20 +51,28 @@ def read_layer(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     schema = LAYER_SCHEMAS.get(table)
     if schema is None:
         return spark.read.parquet(layer_path(root, table))
-    fields = list(schema.fields) + [T.StructField(c, T.StringType(), True)
+    fields = list(schema.fields) + [T.StructField(c, PARTITION_TYPES.get(c, T.StringType()), True)
                                     for c in _partition_cols(table) if c not in schema.fieldNames()]
     return spark.read.schema(T.StructType(fields)).parquet(layer_path(root, table))
 
 
-def write_layer(df: DataFrame, root: str, table: str, mode: str = "append") -> None:
+def write_layer(df: DataFrame, root: str, table: str, mode: str = "append", observation=None) -> None:
     """Write one layer.
 
     ``append``: add rows (callers anti-join first for insert-if-absent);
     ``overwrite``: full replace; ``partitions``: replace only the partitions
-    present in ``df`` (dynamic partition overwrite).
+    present in ``df`` (dynamic partition overwrite). ``observation``
+    receives the number of rows written as metric ``n``.
     """
     df = with_layout_columns(df, table)
     parts = _partition_cols(table)
+    if parts:
+        # AQE rebalances the rows by partition value before the write: few
+        # files per partition, and a hot partition is split over tasks.
+        df = df.hint("rebalance", *parts)
+    if observation is not None:
+        # Rows written, counted on the write itself (last step of the plan).
+        df = df.observe(observation, F.count(F.lit(1)).alias("n"))
     writer = df.write.format("parquet")
     if parts:
         writer = writer.partitionBy(*parts)

