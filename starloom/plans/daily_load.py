@@ -100,6 +100,18 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     _observed_write(new_stg, core_root, "staging_events", "append", summary)
     stg = read_layer(spark, core_root, "staging_events")
 
+    # The increment of this load: staging rows processed after the last
+    # completed load (its fact write). A user or document without a row has
+    # all its staging rows in here - every earlier load inserted rows for
+    # everything it staged - so the dimensions aggregate the increment only.
+    fact_prev = read_layer(spark, core_root, "fact_events")
+    first_new_sk, since = 0, None
+    if fact_prev is not None:
+        top = fact_prev.agg(F.max("event_sk"), F.max("created_at")).first()  # from footers
+        first_new_sk = int(top[0] or 0)
+        since = None if top[1] is None else top[1] - _MARGIN
+    increment = stg if since is None else stg.where(F.col("processed_at") > F.lit(since))
+
     # Dimensions, insert-if-absent with keys after the max.
     # They do not depend on each other, so their jobs run side by side.
     def load_dates():
@@ -112,12 +124,12 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
 
     def load_users():
         prev = read_layer(spark, core_root, "dim_users")
-        new = dims.build_dim_users(stg, prev, start=next_key_start(prev, "user_sk"))
+        new = dims.build_dim_users(increment, prev, start=next_key_start(prev, "user_sk"))
         _observed_write(new, core_root, "dim_users", "append", summary)
 
     def load_documents():
         prev = read_layer(spark, core_root, "dim_documents")
-        new = dims.build_dim_documents(stg, prev, start=next_key_start(prev, "document_sk"))
+        new = dims.build_dim_documents(increment, prev, start=next_key_start(prev, "document_sk"))
         _observed_write(new, core_root, "dim_documents", "append", summary)
 
     _side_by_side(load_dates, load_features, load_users, load_documents)
@@ -127,15 +139,9 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     features = read_layer(spark, core_root, "dim_features")
     dates = read_layer(spark, core_root, "dim_date")
 
-    # Facts for staging rows not loaded yet: rows staged since the last
-    # fact write, plus rows a load drops (dates outside the calendar), which
-    # are retried every run; the anti-join keeps it exact.
-    fact_prev = read_layer(spark, core_root, "fact_events")
-    first_new_sk, since = 0, None
-    if fact_prev is not None:
-        top = fact_prev.agg(F.max("event_sk"), F.max("created_at")).first()  # from footers
-        first_new_sk = int(top[0] or 0)
-        since = None if top[1] is None else top[1] - _MARGIN
+    # Facts for staging rows not loaded yet: the increment, plus rows a
+    # load drops (dates outside the calendar), which are retried every run;
+    # the anti-join keeps it exact.
     stg_new = stg
     if since is not None:
         lo, hi = dates.agg(F.min("full_date"), F.max("full_date")).first()

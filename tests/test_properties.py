@@ -59,7 +59,13 @@ def _load(spark, batches):
     metrics = sorted(tuple(r) for r in daily.select("activity_date", "user_id", "total_events", "login_count",
                                                     "documents_edited", "documents_created", "total_active_seconds",
                                                     "distinct_features_used").collect())
-    return ids, metrics
+    docs = read_layer(spark, f"{base}/core", "dim_documents")
+    # Users and documents: the same key sets (signup date / owner may depend
+    # on arrival order, as in the reference, so they are not compared).
+    keys = (sorted(r.user_id for r in users.select("user_id").collect()),
+            sorted(r.document_id for r in docs.select("document_id").collect()))
+    assert users.where("is_current").count() == len(keys[0])
+    return ids, metrics, keys
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
