@@ -51,23 +51,46 @@ def retention_cohorts(users: DataFrame, daily: DataFrame, denominator: str = "gr
     )
 
 
-def feature_adoption(fact: DataFrame, features: DataFrame) -> DataFrame:
-    """Per feature (name, category, premium) among feature_used facts:
-    distinct users, uses, ROUND(AVG(duration), 2) in decimals, first and
-    last use. Unused features are absent.
-
-    Two-level aggregation: first by (feature, user) - shuffled on both
-    keys, so the work spreads over all partitions even though there are
-    only 8 features - then by feature, which is a map-side-combined
-    aggregation of at most 8 rows per task."""
+def feature_user_rollup(fact: DataFrame) -> DataFrame:
+    """First level of D2: feature_used facts per (feature, user) - uses,
+    duration sum and count, first and last use. Mergeable: two rollups of
+    disjoint fact sets combine with ``merge_feature_rollup``."""
     used = fact.where(F.col("event_type") == "feature_used").select(
         "feature_sk", "user_sk", "duration_seconds", "event_timestamp")
-    per_user = used.groupBy("feature_sk", "user_sk").agg(
+    return used.groupBy("feature_sk", "user_sk").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("duration_seconds").alias("dur_sum"),
         F.count("duration_seconds").alias("dur_n"),
         F.min("event_timestamp").alias("first_ts"),
         F.max("event_timestamp").alias("last_ts"))
+
+
+def merge_feature_rollup(prev: DataFrame | None, delta: DataFrame) -> DataFrame:
+    """Combine a stored rollup with the rollup of new facts (one full outer
+    join on (feature, user))."""
+    if prev is None:
+        return delta
+    p = prev.select("feature_sk", "user_sk", *[F.col(c).alias(f"_p_{c}") for c in
+                                              ("n", "dur_sum", "dur_n", "first_ts", "last_ts")])
+    j = p.join(delta, ["feature_sk", "user_sk"], "full_outer")
+
+    def add(c):
+        return (F.coalesce(F.col(f"_p_{c}"), F.lit(0)) + F.coalesce(F.col(c), F.lit(0))).alias(c)
+
+    return j.select(
+        "feature_sk", "user_sk", add("n"),
+        F.when(F.col("_p_dur_sum").isNull() & F.col("dur_sum").isNull(), F.lit(None))
+        .otherwise(F.coalesce(F.col("_p_dur_sum"), F.lit(0)) + F.coalesce(F.col("dur_sum"), F.lit(0)))
+        .alias("dur_sum"),
+        add("dur_n"),
+        F.least("_p_first_ts", "first_ts").alias("first_ts"),
+        F.greatest("_p_last_ts", "last_ts").alias("last_ts"))
+
+
+def funnel_from_rollup(per_user: DataFrame, features: DataFrame) -> DataFrame:
+    """Levels 2-3 of D2: per feature from the (feature, user) rollup - a
+    map-side-combined aggregation of at most 8 rows per task - then the
+    feature attributes (broadcast, 8 rows)."""
     per_feature = per_user.groupBy("feature_sk").agg(
         F.count(F.lit(1)).alias("unique_users"),
         F.sum("n").alias("total_uses"),
@@ -92,6 +115,18 @@ def feature_adoption(fact: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
+def feature_adoption(fact: DataFrame, features: DataFrame) -> DataFrame:
+    """Per feature (name, category, premium) among feature_used facts:
+    distinct users, uses, ROUND(AVG(duration), 2) in decimals, first and
+    last use. Unused features are absent.
+
+    Two-level aggregation: first by (feature, user) - shuffled on both
+    keys, so the work spreads over all partitions even though there are
+    only 8 features - then by feature. The stored daily load keeps the first
+    level as a rollup and merges only new facts into it."""
+    return funnel_from_rollup(feature_user_rollup(fact), features)
+
+
 def churn_category(days) -> "F.Column":
     return (F.when(days > CHURN_HIGH_DAYS, "high")
             .when(days > CHURN_MEDIUM_DAYS, "medium")
