@@ -31,7 +31,10 @@ def retention_cohorts(users: DataFrame, daily: DataFrame, denominator: str = "gr
     size table has one row per month (bounded by the calendar)."""
     cohorts = users.where(F.col("is_current")).select(
         "user_sk", month_start(F.col("signup_date")).alias("cohort_month"))
-    activity = daily.select("user_sk", month_start(F.col("activity_date")).alias("activity_month")).distinct()
+    if "activity_month" in daily.columns and "activity_date" not in daily.columns:
+        activity = daily.select("user_sk", "activity_month")  # a maintained user-month rollup
+    else:
+        activity = daily.select("user_sk", month_start(F.col("activity_date")).alias("activity_month")).distinct()
     j = cohorts.join(activity, "user_sk", "left")
     g = j.groupBy("cohort_month", "activity_month").agg(
         F.count(F.lit(1)).alias("group_size"),
@@ -127,6 +130,34 @@ def feature_adoption(fact: DataFrame, features: DataFrame) -> DataFrame:
     return funnel_from_rollup(feature_user_rollup(fact), features)
 
 
+def user_activity_rollup(fact: DataFrame) -> DataFrame:
+    """Per user key: fact count and last active day (mergeable). Over all
+    facts this equals SUM(total_events) and MAX(activity_date) of the daily
+    table, the inputs of D3."""
+    return fact.groupBy("user_sk").agg(
+        F.count(F.lit(1)).alias("lifetime_events"),
+        F.max(F.col("event_timestamp").cast("date")).alias("last_active_date"))
+
+
+def merge_user_activity(prev: DataFrame | None, delta: DataFrame) -> DataFrame:
+    if prev is None:
+        return delta
+    p = prev.select("user_sk", F.col("lifetime_events").alias("_pn"), F.col("last_active_date").alias("_pd"))
+    j = p.join(delta, "user_sk", "full_outer")
+    return j.select("user_sk",
+                    (F.coalesce("_pn", F.lit(0)) + F.coalesce("lifetime_events", F.lit(0))).alias("lifetime_events"),
+                    F.greatest("_pd", "last_active_date").alias("last_active_date"))
+
+
+def user_month_activity(fact: DataFrame) -> DataFrame:
+    """Distinct (user key, activity month) pairs: the activity side of D1."""
+    return fact.select("user_sk", month_start(F.col("event_timestamp").cast("date")).alias("activity_month")).distinct()
+
+
+def merge_user_months(prev: DataFrame | None, delta: DataFrame) -> DataFrame:
+    return delta if prev is None else prev.select("user_sk", "activity_month").unionByName(delta).distinct()
+
+
 def churn_category(days) -> "F.Column":
     return (F.when(days > CHURN_HIGH_DAYS, "high")
             .when(days > CHURN_MEDIUM_DAYS, "medium")
@@ -144,9 +175,12 @@ def churn_risk(users: DataFrame, daily: DataFrame, as_of: _dt.date | str, by: st
     user's current, active row."""
     as_of_col = F.lit(as_of).cast("date")
     if by == "user_sk":
-        last = daily.groupBy("user_sk").agg(
-            F.max("activity_date").alias("last_active_date"),
-            F.sum("total_events").alias("lifetime_events"))
+        if "lifetime_events" in daily.columns:
+            last = daily.select("user_sk", "last_active_date", "lifetime_events")  # maintained rollup
+        else:
+            last = daily.groupBy("user_sk").agg(
+                F.max("activity_date").alias("last_active_date"),
+                F.sum("total_events").alias("lifetime_events"))
         cur = users.where(F.col("is_current") & (F.col("account_status") == "active")).select(
             "user_sk", "user_id", "current_plan")
         j = cur.join(last, "user_sk")

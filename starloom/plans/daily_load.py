@@ -165,44 +165,46 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
         _observed_write(refreshed, core_root, "fact_daily_user_activity", "partitions", summary)
     daily = read_layer(spark, core_root, "fact_daily_user_activity")
 
-    # D2 level 1, maintained: merge the facts the rollup has not seen yet.
-    rollup = refresh_feature_rollup(spark, core_root, fact, summary)
-
-    # Recompute of the three views, atomic overwrite each.
-    refresh_views(spark, core_root, users, daily, rollup, features, as_of, summary)
+    # Rollups of the append-only facts, maintained: each merges only the facts
+    # it has not seen yet, so the views below read rollups, not history.
+    feature_usage = maintain_rollup(spark, core_root, "feature_user_usage", fact, marts.feature_user_rollup,
+                                    marts.merge_feature_rollup, summary)
+    user_activity = maintain_rollup(spark, core_root, "user_activity", fact, marts.user_activity_rollup,
+                                    marts.merge_user_activity, summary)
+    user_months = maintain_rollup(spark, core_root, "user_month_activity", fact, marts.user_month_activity,
+                                  marts.merge_user_months, summary)
+
+    # The three views from the rollups, atomic overwrite each.
+    views = {
+        "user_retention_cohorts": marts.retention_cohorts(users, user_months, "group"),
+        "feature_adoption_funnel": marts.funnel_from_rollup(feature_usage, features),
+        "churn_risk_scores": marts.churn_risk(users, user_activity, as_of),
+    }
+    _side_by_side(*[(lambda n=name, d=df: _observed_write(d, core_root, n, "overwrite", summary))
+                     for name, df in views.items()])
     return summary
 
 
-def refresh_feature_rollup(spark: SparkSession, core_root: str, fact: DataFrame, summary: RunSummary) -> DataFrame:
-    """The (feature, user) rollup of all facts, kept current by merging only
-    facts with a key above the highest one it already includes. That key
-    (``through_sk``) is stored in the rollup itself, so the rollup and its
-    position change in one write: a crash in between cannot skip or
-    double-count facts. A missing rollup is rebuilt from all facts."""
-    prev = read_layer(spark, core_root, "feature_user_usage")
+def maintain_rollup(spark: SparkSession, core_root: str, table: str, fact: DataFrame, rollup, merge,
+                    summary: RunSummary) -> DataFrame:
+    """A rollup of all facts kept current by merging only facts with a key
+    above the highest one it already includes. That key (``through_sk``) is
+    stored in the rollup itself, so the rollup and its position change in
+    one write: a crash in between cannot skip or double-count facts. A
+    missing rollup is rebuilt from all facts."""
+    prev = read_layer(spark, core_root, table)
     through = 0
     if prev is not None:
         through = int(prev.agg(F.max("through_sk")).first()[0] or 0)
     top = int(fact.agg(F.max("event_sk")).first()[0] or 0)
     if prev is not None and top <= through:
-        return prev
-    delta = marts.feature_user_rollup(fact.where(F.col("event_sk") > through))
-    merged = marts.merge_feature_rollup(None if prev is None else prev.drop("through_sk"), delta)
+        return prev.drop("through_sk")
+    delta = rollup(fact.where(F.col("event_sk") > through))
+    merged = merge(None if prev is None else prev.drop("through_sk"), delta)
     # Materialize before overwriting the table it was computed from.
     merged = merged.withColumn("through_sk", F.lit(top).cast("bigint")).checkpoint(eager=True)
-    _observed_write(merged, core_root, "feature_user_usage", "overwrite", summary)
-    return read_layer(spark, core_root, "feature_user_usage")
-
-
-def refresh_views(spark: SparkSession, core_root: str, users: DataFrame, daily: DataFrame, rollup: DataFrame,
-                  features: DataFrame, as_of, summary: RunSummary) -> None:
-    views = {
-        "user_retention_cohorts": marts.retention_cohorts(users, daily, "group"),
-        "feature_adoption_funnel": marts.funnel_from_rollup(rollup, features),
-        "churn_risk_scores": marts.churn_risk(users, daily, as_of),
-    }
-    _side_by_side(*[(lambda n=name, d=df: _observed_write(d, core_root, n, "overwrite", summary))
-                     for name, df in views.items()])
+    _observed_write(merged, core_root, table, "overwrite", summary)
+    return read_layer(spark, core_root, table).drop("through_sk")
 
 
 def _side_by_side(*steps) -> None:

@@ -68,7 +68,7 @@ def test_stream_quarantines_bad_events(spark, raw_rows):
     assert sorted(sum((r.reasons for r in rej.collect()), [])) == ["bad_ip", "malformed_json"]
 
 
-def test_stored_funnel_equals_recompute(spark):
+def test_stored_views_equal_recompute(spark):
     from starloom.operators import marts
     w = Warehouse(spark, SF)
     base = scratch_path(spark, "test-funnel")
@@ -76,8 +76,14 @@ def test_stored_funnel_equals_recompute(spark):
     as_of = dt.date(2024, 7, 15)
     for part in (raw.where(F.col("batch_id") <= EARLY_CUTOFF), raw):
         daily_load.run_load(spark, f"{base}/raw", f"{base}/core", part, as_of)
-    stored = read_layer(spark, f"{base}/core", "feature_adoption_funnel")
-    fact = read_layer(spark, f"{base}/core", "fact_events")
-    features = read_layer(spark, f"{base}/core", "dim_features")
-    fresh = marts.feature_adoption(fact, features)
-    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, fresh.select(*stored.columns).collect()))
+    core = f"{base}/core"
+    fact, features = read_layer(spark, core, "fact_events"), read_layer(spark, core, "dim_features")
+    users, daily = read_layer(spark, core, "dim_users"), read_layer(spark, core, "fact_daily_user_activity")
+    fresh = {
+        "feature_adoption_funnel": marts.feature_adoption(fact, features),
+        "user_retention_cohorts": marts.retention_cohorts(users, daily),
+        "churn_risk_scores": marts.churn_risk(users, daily, as_of),
+    }
+    for name, df in fresh.items():
+        stored = read_layer(spark, core, name)
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.select(*stored.columns).collect())), name
