@@ -167,12 +167,18 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
 
     # Rollups of the append-only facts, maintained: each merges only the facts
     # it has not seen yet, so the views below read rollups, not history.
-    feature_usage = maintain_rollup(spark, core_root, "feature_user_usage", fact, marts.feature_user_rollup,
-                                    marts.merge_feature_rollup, summary)
-    user_activity = maintain_rollup(spark, core_root, "user_activity", fact, marts.user_activity_rollup,
-                                    marts.merge_user_activity, summary)
-    user_months = maintain_rollup(spark, core_root, "user_month_activity", fact, marts.user_month_activity,
-                                  marts.merge_user_months, summary)
+    specs = {
+        "feature_user_usage": (marts.feature_user_rollup, marts.merge_feature_rollup),
+        "user_activity": (marts.user_activity_rollup, marts.merge_user_activity),
+        "user_month_activity": (marts.user_month_activity, marts.merge_user_months),
+    }
+    rollups: dict[str, DataFrame] = {}
+
+    def keep(name, fns):
+        rollups[name] = maintain_rollup(spark, core_root, name, fact, fns[0], fns[1], summary)
+
+    _side_by_side(*[(lambda n=n, f=f: keep(n, f)) for n, f in specs.items()])
+    feature_usage, user_activity, user_months = (rollups[n] for n in specs)
 
     # The three views from the rollups, atomic overwrite each.
     views = {
