@@ -180,14 +180,17 @@ def split_valid(raw: DataFrame, staging: DataFrame | None = None) -> tuple[DataF
     typed["processed_at"] = F.localtimestamp()
     good_rows = checked.where(ok).select("raw_payload", *[typed[n].alias(n) for n in STAGING_COLUMNS])
     good_rows = insert_absent(good_rows, staging, ["event_id"])
-    rest = [n for n in STAGING_COLUMNS if n != "event_id"]
+    rest = [n for n in STAGING_COLUMNS if n not in ("event_id", "processed_at")]
+    # MIN over (payload, all columns): a total order, so a recomputed task
+    # keeps the same row among repeats.
     firsts = (good_rows.groupBy("event_id")
-              .agg(F.min_by(F.struct(*rest), F.col("raw_payload")).alias("_k"),
+              .agg(F.min(F.struct("raw_payload", *rest)).alias("_k"),
                    F.count(F.lit(1)).alias("_n")))
     dups = firsts.where(F.col("_n") > 1).select(
         "event_id", F.col("_k.batch_id").alias("batch_id"), F.lit(None).cast("string").alias("raw_payload"),
         F.array(F.lit("duplicate_event_id")).alias("reasons"), (F.col("_n") - 1).alias("n_rows"))
-    good = firsts.select("event_id", "_k.*").select(*STAGING_COLUMNS)
+    good = firsts.select("event_id", "_k.*").withColumn("processed_at", F.localtimestamp()) \
+        .select(*STAGING_COLUMNS)
     return good, bad.unionByName(dups)
 
 

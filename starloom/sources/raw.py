@@ -66,11 +66,14 @@ def ingest_raw(incoming: DataFrame, existing: DataFrame | None, order_col: str |
     so reruns pick the same row. The result is what an append must write;
     its count is the true inserted count.
     """
-    cols = [c for c in incoming.columns if c != "event_id"]
-    rank = F.col(order_col) if order_col else F.col("raw_payload")
+    # MIN over a struct that starts with the ranking column and holds every
+    # column is a total order: a recomputed task picks the same row even when
+    # the same payload arrived in two batches.
+    lead = [order_col] if order_col else ["raw_payload"]
+    cols = lead + [c for c in incoming.columns if c not in ("event_id", *lead)]
     first = (incoming.groupBy("event_id")
-             .agg(F.min_by(F.struct(*cols), rank).alias("_r"))
-             .select("event_id", "_r.*"))
+             .agg(F.min(F.struct(*cols)).alias("_r"))
+             .select("event_id", *[F.col(f"_r.{c}").alias(c) for c in incoming.columns if c != "event_id"]))
     return insert_absent(first, existing, ["event_id"])
 
 
