@@ -11,11 +11,12 @@ from starloom.functions.numeric import pct, round_ratio
 
 
 def feature_avg_uses(funnel: DataFrame) -> DataFrame:
-    """Uses per user per feature, ROUND(uses / users, 1); ordered by
-    uses (descending) at read time."""
+    """Uses per user per feature, ROUND(uses / users, 1), by uses
+    (descending)."""
     return funnel.select(
         "feature_name", "total_uses", "unique_users",
-        round_ratio(F.col("total_uses"), F.col("unique_users"), 1).alias("avg_uses_per_user"))
+        round_ratio(F.col("total_uses"), F.col("unique_users"), 1).alias("avg_uses_per_user"),
+    ).orderBy(F.col("total_uses").desc(), "feature_name")  # at most one row per feature
 
 
 def churn_distribution(churn: DataFrame) -> DataFrame:
@@ -24,19 +25,20 @@ def churn_distribution(churn: DataFrame) -> DataFrame:
     per = churn.groupBy("churn_risk_category").agg(F.count(F.lit(1)).alias("user_count"))
     total = F.sum("user_count").over(Window.partitionBy())
     return per.select("churn_risk_category", "user_count",
-                      pct(F.col("user_count"), total, 1).alias("percentage"))
+                      pct(F.col("user_count"), total, 1).alias("percentage")).orderBy("churn_risk_category")
 
 
 def dau_trend(daily: DataFrame, as_of: _dt.date | str, days: int = 30) -> DataFrame:
     """Per day on or after as_of - ``days`` (no upper bound): distinct
-    active users and total events."""
+    active users and total events, by day."""
     since = F.date_sub(F.lit(as_of).cast("date"), days)
     return (daily.where(F.col("activity_date") >= since)
             .groupBy("activity_date")
             # (activity_date, user_sk) is the daily table's primary key, so
             # distinct users per day = rows per day: no distinct aggregation.
             .agg(F.count("user_sk").alias("daily_active_users"),
-                 F.sum("total_events").cast("bigint").alias("total_events")))
+                 F.sum("total_events").cast("bigint").alias("total_events"))
+            .orderBy("activity_date"))  # one row per day
 
 
 def layer_counts(raw: DataFrame, staging: DataFrame, fact: DataFrame) -> DataFrame:
