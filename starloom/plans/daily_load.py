@@ -132,7 +132,7 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
         new = dims.build_dim_documents(increment, prev, start=next_key_start(prev, "document_sk"))
         _observed_write(new, core_root, "dim_documents", "append", summary)
 
-    _side_by_side(load_dates, load_features, load_users, load_documents)
+    _side_by_side(spark, load_dates, load_features, load_users, load_documents)
 
     users = read_layer(spark, core_root, "dim_users")
     docs = read_layer(spark, core_root, "dim_documents")
@@ -177,7 +177,7 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     def keep(name, fns):
         rollups[name] = maintain_rollup(spark, core_root, name, fact, fns[0], fns[1], summary)
 
-    _side_by_side(*[(lambda n=n, f=f: keep(n, f)) for n, f in specs.items()])
+    _side_by_side(spark, *[(lambda n=n, f=f: keep(n, f)) for n, f in specs.items()])
     feature_usage, user_activity, user_months = (rollups[n] for n in specs)
 
     # The three views from the rollups, atomic overwrite each.
@@ -186,7 +186,7 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
         "feature_adoption_funnel": marts.funnel_from_rollup(feature_usage, features),
         "churn_risk_scores": marts.churn_risk(users, user_activity, as_of),
     }
-    _side_by_side(*[(lambda n=name, d=df: _observed_write(d, core_root, n, "overwrite", summary))
+    _side_by_side(spark, *[(lambda n=name, d=df: _observed_write(d, core_root, n, "overwrite", summary))
                      for name, df in views.items()])
     return summary
 
@@ -213,11 +213,24 @@ def maintain_rollup(spark: SparkSession, core_root: str, table: str, fact: DataF
     return read_layer(spark, core_root, table).drop("through_sk")
 
 
-def _side_by_side(*steps) -> None:
+_INHERITED = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel", "spark.scheduler.pool")
+
+
+def _side_by_side(spark: SparkSession, *steps) -> None:
     """Run independent steps as concurrent Spark jobs (the scheduler shares
-    the executors between them); the first failure is raised."""
+    the executors between them); the caller's job group and pool carry over
+    to the step threads; the first failure is raised."""
+    sc = spark.sparkContext
+    props = {k: sc.getLocalProperty(k) for k in _INHERITED}
+
+    def run(step):
+        for k, v in props.items():
+            if v is not None:
+                sc.setLocalProperty(k, v)
+        return step()
+
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        for f in [pool.submit(step) for step in steps]:
+        for f in [pool.submit(run, step) for step in steps]:
             f.result()
 
 
