@@ -246,3 +246,8 @@ LAYER_PARTITIONS = {
     "fact_daily_user_activity": ["activity_month"],
 }
 PARTITION_TYPES = {"event_date": T.DateType(), "activity_month": T.StringType()}
+# Layers whose writes are rebalanced by partition value first. Raw and
+# staging writes follow a shuffle on event_id that already sizes the tasks,
+# and a load covers a few batches, so moving their payloads again would only
+# add I/O; fact writes may span many days (a backfill), so AQE evens them out.
+REBALANCE_ON_WRITE = {"fact_events", "fact_daily_user_activity"}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS, PARTITION_TYPES
+from starloom.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS, PARTITION_TYPES, REBALANCE_ON_WRITE
 
 
 def layer_path(root: str, table: str) -> str:
@@ -66,7 +66,7 @@ def write_layer(df: DataFrame, root: str, table: str, mode: str = "append", obse
     """
     df = with_layout_columns(df, table)
     parts = _partition_cols(table)
-    if parts:
+    if parts and table in REBALANCE_ON_WRITE:
         # AQE rebalances the rows by partition value before the write: few
         # files per partition, and a hot partition is split over tasks.
         df = df.hint("rebalance", *parts)
