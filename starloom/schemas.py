@@ -251,3 +251,7 @@ PARTITION_TYPES = {"event_date": T.DateType(), "activity_month": T.StringType()}
 # and a load covers a few batches, so moving their payloads again would only
 # add I/O; fact writes may span many days (a backfill), so AQE evens them out.
 REBALANCE_ON_WRITE = {"fact_events", "fact_daily_user_activity"}
+# Sort inside each written file, so min/max statistics let filters on these
+# columns (e.g. event_type = 'feature_used') skip row groups. Task-local sort,
+# no shuffle.
+SORT_ON_WRITE = {"fact_events": ["event_type", "user_sk"], "fact_daily_user_activity": ["activity_date", "user_sk"]}

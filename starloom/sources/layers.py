@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS, PARTITION_TYPES, REBALANCE_ON_WRITE
+from starloom.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS, PARTITION_TYPES, REBALANCE_ON_WRITE, SORT_ON_WRITE
 
 
 def layer_path(root: str, table: str) -> str:
@@ -70,6 +70,8 @@ def write_layer(df: DataFrame, root: str, table: str, mode: str = "append", obse
         # AQE rebalances the rows by partition value before the write: few
         # files per partition, and a hot partition is split over tasks.
         df = df.hint("rebalance", *parts)
+    if table in SORT_ON_WRITE:
+        df = df.sortWithinPartitions(*parts, *SORT_ON_WRITE[table])
     if observation is not None:
         # Rows written, counted on the write itself (last step of the plan).
         df = df.observe(observation, F.count(F.lit(1)).alias("n"))
