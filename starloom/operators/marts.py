@@ -154,10 +154,6 @@ def user_month_activity(fact: DataFrame) -> DataFrame:
     return fact.select("user_sk", month_start(F.col("event_timestamp").cast("date")).alias("activity_month")).distinct()
 
 
-def merge_user_months(prev: DataFrame | None, delta: DataFrame) -> DataFrame:
-    return delta if prev is None else prev.select("user_sk", "activity_month").unionByName(delta).distinct()
-
-
 def churn_category(days) -> "F.Column":
     return (F.when(days > CHURN_HIGH_DAYS, "high")
             .when(days > CHURN_MEDIUM_DAYS, "medium")

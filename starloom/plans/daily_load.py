@@ -26,7 +26,7 @@ from starloom.operators import dims, facts, marts, staging
 from starloom.operators.keys import next_key_start
 from starloom.schemas import FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 from starloom.session import configure
-from starloom.sources.layers import read_layer, write_layer
+from starloom.sources.layers import insert_absent, read_layer, write_layer
 from starloom.sources.raw import ingest_raw
 
 VIEWS = ("user_retention_cohorts", "feature_adoption_funnel", "churn_risk_scores")
@@ -168,14 +168,14 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     # Rollups of the append-only facts, maintained: each merges only the facts
     # it has not seen yet, so the views below read rollups, not history.
     specs = {
-        "feature_user_usage": (marts.feature_user_rollup, marts.merge_feature_rollup),
-        "user_activity": (marts.user_activity_rollup, marts.merge_user_activity),
-        "user_month_activity": (marts.user_month_activity, marts.merge_user_months),
+        "feature_user_usage": (marts.feature_user_rollup, marts.merge_feature_rollup, None),
+        "user_activity": (marts.user_activity_rollup, marts.merge_user_activity, None),
+        "user_month_activity": (marts.user_month_activity, None, ["user_sk", "activity_month"]),
     }
     rollups: dict[str, DataFrame] = {}
 
     def keep(name, fns):
-        rollups[name] = maintain_rollup(spark, core_root, name, fact, fns[0], fns[1], summary)
+        rollups[name] = maintain_rollup(spark, core_root, name, fact, fns[0], fns[1], summary, keys=fns[2])
 
     _side_by_side(spark, *[(lambda n=n, f=f: keep(n, f)) for n, f in specs.items()])
     feature_usage, user_activity, user_months = (rollups[n] for n in specs)
@@ -192,12 +192,15 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
 
 
 def maintain_rollup(spark: SparkSession, core_root: str, table: str, fact: DataFrame, rollup, merge,
-                    summary: RunSummary) -> DataFrame:
+                    summary: RunSummary, keys: list[str] | None = None) -> DataFrame:
     """A rollup of all facts kept current by merging only facts with a key
     above the highest one it already includes. That key (``through_sk``) is
     stored in the rollup itself, so the rollup and its position change in
     one write: a crash in between cannot skip or double-count facts. A
-    missing rollup is rebuilt from all facts."""
+    missing rollup is rebuilt from all facts.
+
+    With ``keys`` the rollup is a growing set: only rows whose keys are not
+    stored yet are appended (no rewrite of the stored rows)."""
     prev = read_layer(spark, core_root, table)
     through = 0
     if prev is not None:
@@ -206,6 +209,11 @@ def maintain_rollup(spark: SparkSession, core_root: str, table: str, fact: DataF
     if prev is not None and top <= through:
         return prev.drop("through_sk")
     delta = rollup(fact.where(F.col("event_sk") > through))
+    if keys is not None:
+        added = insert_absent(delta, None if prev is None else prev.drop("through_sk"), keys)
+        _observed_write(added.withColumn("through_sk", F.lit(top).cast("bigint")), core_root, table, "append",
+                        summary)
+        return read_layer(spark, core_root, table).drop("through_sk")
     merged = merge(None if prev is None else prev.drop("through_sk"), delta)
     # Materialize before overwriting the table it was computed from.
     merged = merged.withColumn("through_sk", F.lit(top).cast("bigint")).checkpoint(eager=True)
