@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators import dims, facts, marts, staging
+from starloom.operators import dims, facts, marts, profile, staging
 from starloom.operators.keys import next_key_start
 from starloom.schemas import FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 from starloom.session import configure
@@ -73,9 +73,14 @@ def new_core_root(base: str) -> str:
 
 
 def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataFrame | None = None,
-                 as_of: _dt.date | str | None = None) -> RunSummary:
+             as_of: _dt.date | str | None = None, apply_plan_changes: bool = False) -> RunSummary:
     """H1: one full run. ``incoming``: (event_id, raw_payload, batch_id)
-    rows delivered since the last run (may repeat old ones)."""
+    rows delivered since the last run (may repeat old ones).
+
+    ``apply_plan_changes``: after the user rows are inserted, the increment's
+    subscription events version the user dimension (C3 fed by X7) before
+    facts bind the current versions; off by default, as in the reference,
+    where every user stays on the default plan."""
     configure(spark)
     summary = RunSummary()
     as_of = as_of or _dt.date.today()
@@ -134,6 +139,14 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
 
     _side_by_side(spark, load_dates, load_features, load_users, load_documents)
 
+    if apply_plan_changes:
+        current = read_layer(spark, core_root, "dim_users")
+        versioned = dims.apply_scd2(current, profile.plan_changes(increment), next_key_start(current, "user_sk"))
+        # Materialize before replacing the table it was computed from.
+        versioned = versioned.checkpoint(eager=True)
+        _observed_write(versioned, core_root, "dim_users", "overwrite", RunSummary())
+        summary.rows["dim_users_versions"] = read_layer(spark, core_root, "dim_users").count()
+
     users = read_layer(spark, core_root, "dim_users")
     docs = read_layer(spark, core_root, "dim_documents")
     features = read_layer(spark, core_root, "dim_features")

@@ -101,3 +101,19 @@ def test_reset_rebuilds_downstream_from_kept_raw(spark):
     assert summary.rows["fact_events"] == w.staging.count()
     users = read_layer(spark, fresh_root, "dim_users")
     assert users.agg(F.min("user_sk")).first()[0] == 1
+
+
+def test_load_with_plan_changes_keeps_invariants(spark):
+    w = Warehouse(spark, SF)
+    base = scratch_path(spark, "test-scd2-load")
+    raw = w.raw.select("event_id", "raw_payload", "batch_id")
+    as_of = dt.date(2024, 7, 15)
+    for part in (raw.where(F.col("batch_id") <= EARLY_CUTOFF), raw):
+        daily_load.run_load(spark, f"{base}/raw", f"{base}/core", part, as_of, apply_plan_changes=True)
+    users = read_layer(spark, f"{base}/core", "dim_users")
+    assert users.where(~F.col("is_current")).count() > 0          # some versions were closed
+    assert users.where("current_plan != 'free'").count() > 0      # plans moved off the default
+    report = daily_load.quality_report(spark, f"{base}/raw", f"{base}/core")
+    assert [tuple(r) for r in report.where("violations != 0").collect()] == []
+    n_users = w.staging.select("user_id").distinct().count()
+    assert users.where("is_current").count() == n_users
