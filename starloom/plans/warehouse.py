@@ -1,13 +1,13 @@
 """The warehouse derived from the given tables.
 
 The ``events`` table goes through the adapter into the raw layer (JSON
-documents) and the parser into the staging layer; both are stored once (as
-the product stores them). Everything above - dimensions, facts, views,
-reports, checks - is computed by each query as one logical plan from the
-stored staging rows: Catalyst prunes columns and pushes filters into the
-Parquet scan, and surrogate keys are stable
-functions of the data (see ``operators.keys``), so a layer used twice in one
-plan agrees with itself.
+documents) and the parser into the staging layer; both are stored once per
+application (as the product stores them). Everything above - dimensions,
+facts, views, reports, checks - is computed by each query from the stored
+staging rows; the keyed user and document dimensions are materialized once
+per query (reliable checkpoint), so every branch of the query reads the same
+keys. Catalyst prunes columns and pushes filters into the Parquet scans, and
+surrogate keys are stable functions of the data (see ``operators.keys``).
 
 Scenario constants (fixed, documented): batches up to EARLY_CUTOFF form the
 first load, the rest the second; AS_OF is the churn / trend reference date.
