@@ -182,9 +182,12 @@ def churn_risk(users: DataFrame, daily: DataFrame, as_of: _dt.date | str, by: st
         j = cur.join(last, "user_sk")
         key_cols = ["user_sk", "user_id"]
     elif by == "user_id":
-        per_sk = daily.groupBy("user_sk").agg(
-            F.max("activity_date").alias("last_active_date"),
-            F.sum("total_events").alias("lifetime_events"))
+        if "lifetime_events" in daily.columns:
+            per_sk = daily.select("user_sk", "last_active_date", "lifetime_events")  # maintained rollup
+        else:
+            per_sk = daily.groupBy("user_sk").agg(
+                F.max("activity_date").alias("last_active_date"),
+                F.sum("total_events").alias("lifetime_events"))
         versions = users.select("user_sk", "user_id")
         last = per_sk.join(versions, "user_sk").groupBy("user_id").agg(
             F.max("last_active_date").alias("last_active_date"),

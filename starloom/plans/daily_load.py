@@ -198,6 +198,9 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
         "user_retention_cohorts": marts.retention_cohorts(users, user_months, "group"),
         "feature_adoption_funnel": marts.funnel_from_rollup(feature_usage, features),
         "churn_risk_scores": marts.churn_risk(users, user_activity, as_of),
+        # The same per user over all versions (activity of closed
+        # versions kept); equals D3 while no user row was ever closed.
+        "churn_risk_by_user": marts.churn_risk(users, user_activity, as_of, by="user_id"),
     }
     _side_by_side(spark, *[(lambda n=name, d=df: _observed_write(d, core_root, n, "overwrite", summary))
                      for name, df in views.items()])

@@ -50,6 +50,8 @@ def build_session(master: str = "local[8]", app: str = "starloom", shuffle_parti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Remove reliable checkpoints once nothing references them.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**SEMANTIC_CONF, **EXECUTION_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)

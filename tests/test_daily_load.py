@@ -83,6 +83,7 @@ def test_stored_views_equal_recompute(spark):
         "feature_adoption_funnel": marts.feature_adoption(fact, features),
         "user_retention_cohorts": marts.retention_cohorts(users, daily),
         "churn_risk_scores": marts.churn_risk(users, daily, as_of),
+        "churn_risk_by_user": marts.churn_risk(users, daily, as_of, by="user_id"),
     }
     for name, df in fresh.items():
         stored = read_layer(spark, core, name)
