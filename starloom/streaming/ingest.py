@@ -52,18 +52,21 @@ def load_micro_batch(batch: DataFrame, raw_root: str, core_root: str) -> None:
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, raw_root: str, core_root: str, checkpoint: str,
-                  max_files_per_trigger: int | None = None):
-    """Start the stream (availableNow): process every landed file not seen
-    yet, then stop. Returns the finished StreamingQuery."""
+                  max_files_per_trigger: int | None = None, every: str | None = None):
+    """Start the stream. By default ``availableNow``: process every landed
+    file not seen yet, then stop, and return the finished query. With
+    ``every`` (e.g. ``"5 minutes"``) it keeps running on a processing-time
+    trigger and the running query is returned."""
     configure(spark)
     reader = spark.readStream.schema(LANDING_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing_dir)
-    q = (stream.writeStream
-         .foreachBatch(lambda df, _epoch: load_micro_batch(df, raw_root, core_root))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    writer = (stream.writeStream
+              .foreachBatch(lambda df, _epoch: load_micro_batch(df, raw_root, core_root))
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    q = writer.start()
+    if not every:
+        q.awaitTermination()
     return q

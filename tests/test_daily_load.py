@@ -118,3 +118,16 @@ def test_load_with_plan_changes_keeps_invariants(spark):
     assert [tuple(r) for r in report.where("violations != 0").collect()] == []
     n_users = w.staging.select("user_id").distinct().count()
     assert users.where("is_current").count() == n_users
+
+
+def test_stream_on_a_processing_time_trigger(spark):
+    w = Warehouse(spark, SF)
+    base = scratch_path(spark, "test-stream-live")
+    stream.land(w.raw.select("event_id", "raw_payload", "batch_id"), f"{base}/landing")
+    q = stream.stream_ingest(spark, f"{base}/landing", f"{base}/raw", f"{base}/core", f"{base}/ckpt",
+                             every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_layer(spark, f"{base}/core", "staging_events").count() == w.staging.count()
