@@ -4,9 +4,9 @@ The ``events`` table goes through the adapter into the raw layer (JSON
 documents) and the parser into the staging layer; both are stored once per
 application (as the product stores them). Everything above - dimensions,
 facts, views, reports, checks - is computed by each query from the stored
-staging rows; the keyed user and document dimensions are materialized once
-per query (reliable checkpoint), so every branch of the query reads the same
-keys. Catalyst prunes columns and pushes filters into the Parquet scans, and
+staging rows; the keyed user and document dimensions are written once per
+query as Parquet in the shared folder, so every branch of the query reads the
+same keys. Catalyst prunes columns and pushes filters into the Parquet scans, and
 surrogate keys are stable functions of the data (see ``operators.keys``).
 
 Scenario constants (fixed, documented): batches up to EARLY_CUTOFF form the
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import dims, facts, marts, profile, staging
 from starloom.operators.keys import next_key_start
-from starloom.schemas import RAW_EVENTS, STAGING_EVENTS
+from starloom.schemas import DIM_DOCUMENTS, DIM_USERS, RAW_EVENTS, STAGING_EVENTS
 from starloom.session import configure, scratch_path, shared_dir
 from starloom.sources.driver import order_events, product_events
 from starloom.sources.raw import to_payload
@@ -97,18 +97,23 @@ class Warehouse:
         return dims.build_dim_features(self.spark)
 
     # The user and document dimensions are computed by each query and then
-    # materialized once (reliable checkpoint in the shared folder), as the
-    # product stores them: every fact, view and check of the query reads the
-    # same keyed rows instead of re-deriving them per branch.
+    # written once as Parquet in the shared folder, as the product stores
+    # them: every fact, view and check of the query reads the same keyed rows
+    # (columnar, pruned to the columns it joins on) instead of re-deriving
+    # them per branch.
+    def _materialize(self, df: DataFrame, name: str, schema) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
+
     @cached_property
     def dim_users(self) -> DataFrame:
-        shared_dir(self.spark)
-        return dims.build_dim_users(self.staging, effective_from_first_event=True).checkpoint(eager=True)
+        return self._materialize(dims.build_dim_users(self.staging, effective_from_first_event=True),
+                                 "dim_users", DIM_USERS)
 
     @cached_property
     def dim_documents(self) -> DataFrame:
-        shared_dir(self.spark)
-        return dims.build_dim_documents(self.staging).checkpoint(eager=True)
+        return self._materialize(dims.build_dim_documents(self.staging), "dim_documents", DIM_DOCUMENTS)
 
     # ---------------------------------------------------------------- facts
     def fact_for(self, stg: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
