@@ -166,12 +166,15 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     _observed_write(new_facts, core_root, "fact_events", "append", summary)
     fact = read_layer(spark, core_root, "fact_events")
 
-    # Daily facts; a rerun touches only months with new facts.
+    # Daily facts; only the days of facts created since the
+    # last daily refresh (its newest updated_at) are recomputed, so facts of
+    # a load that stopped before this step are picked up by the next one.
     daily_prev = read_layer(spark, core_root, "fact_daily_user_activity")
-    if daily_prev is None:
+    daily_since = _watermark(daily_prev, "updated_at")
+    if daily_prev is None or daily_since is None:
         _observed_write(facts.build_daily(fact), core_root, "fact_daily_user_activity", "overwrite", summary)
     else:
-        added = fact.where(F.col("event_sk") > first_new_sk)
+        added = fact.where(F.col("created_at") > F.lit(daily_since))
         refreshed = facts.refresh_daily(fact, daily_prev, added).drop("_action")
         # Materialize before rewriting the partitions it was computed from.
         refreshed = refreshed.checkpoint(eager=True)
@@ -193,7 +196,7 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     _side_by_side(spark, *[(lambda n=n, f=f: keep(n, f)) for n, f in specs.items()])
     feature_usage, user_activity, user_months = (rollups[n] for n in specs)
 
-    # The three views from the rollups, atomic overwrite each.
+    # The views from the rollups, atomic overwrite each.
     views = {
         "user_retention_cohorts": marts.retention_cohorts(users, user_months, "group"),
         "feature_adoption_funnel": marts.funnel_from_rollup(feature_usage, features),
