@@ -38,6 +38,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _local_heap() -> str:
+    """Driver heap for local runs: 60 % of the machine's memory, at most 8 GB."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        return f"{max(1024, min(8192, int(kb * 0.6 / 1024)))}m"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def build_session(master: str = "local[8]", app: str = "starloom", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """A session for tests and local runs (UI off, UTC, AQE)."""
@@ -48,7 +58,7 @@ def build_session(master: str = "local[8]", app: str = "starloom", shuffle_parti
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", _local_heap())
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Remove reliable checkpoints once nothing references them.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
