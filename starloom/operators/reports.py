@@ -32,7 +32,12 @@ def dau_trend(daily: DataFrame, as_of: _dt.date | str, days: int = 30) -> DataFr
     """Per day on or after as_of - ``days`` (no upper bound): distinct
     active users and total events, by day."""
     since = F.date_sub(F.lit(as_of).cast("date"), days)
-    return (daily.where(F.col("activity_date") >= since)
+    recent = daily.where(F.col("activity_date") >= since)
+    if "activity_month" in daily.columns:
+        # Stored daily rows are partitioned by month: the implied month bound
+        # lets the scan skip older partitions.
+        recent = recent.where(F.col("activity_month") >= F.date_format(since, "yyyy-MM"))
+    return (recent
             .groupBy("activity_date")
             # (activity_date, user_sk) is the daily table's primary key, so
             # distinct users per day = rows per day: no distinct aggregation.

@@ -99,3 +99,20 @@ def test_incremental_daily_refresh_prunes_months(spark):
     assert any("activity_month" in f for f in filters)
     days = {r.activity_date.isoformat()[:7] for r in refreshed.select("activity_date").distinct().collect()}
     assert days == {"2024-03"}
+
+
+def test_dau_trend_prunes_stored_months(spark):
+    import datetime as dt
+    import re
+
+    from starloom.operators import reports
+    from starloom.plans import daily_load
+    from starloom.session import scratch_path
+    from starloom.sources.layers import read_layer
+    base = scratch_path(spark, "test-dau")
+    daily_load.run_load(spark, f"{base}/raw", f"{base}/core", Warehouse(spark, SF).raw.select(
+        "event_id", "raw_payload", "batch_id"), dt.date(2024, 7, 15))
+    daily = read_layer(spark, f"{base}/core", "fact_daily_user_activity")
+    plan = _plan(reports.dau_trend(daily, dt.date(2024, 7, 15)))
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert any("activity_month" in f and "2024-06" in f for f in filters)
