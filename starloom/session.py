@@ -16,6 +16,11 @@ SEMANTIC_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Upserts rewrite only the partitions they touch.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Event times carry no zone (TIMESTAMP_NTZ). Some built-ins (date_format,
+    # hour) go through the session zone; in UTC that round trip is the
+    # identity, while a DST zone would shift the wall-clock times of the
+    # skipped spring-forward hour.
+    "spark.sql.session.timeZone": "UTC",
 }
 
 # Execution settings: runtime re-planning, skew splitting, runtime-checked

@@ -52,3 +52,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(got.column_names) == sorted(exp.column_names)
     assert got.num_rows == exp.num_rows
     assert _rows(got) == _rows(exp)
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck):
+    """A driver session in a DST zone gets the same rows (event times are
+    zone-less; the operators pin the session zone to UTC)."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("staging_parse", "session_rollup", "hour_profile"):
+            got = queries()[name](spark, SF).toArrow()
+            exp = duck.sql(oracle_sql()[name]).to_arrow_table()
+            assert _rows(got) == _rows(exp), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
