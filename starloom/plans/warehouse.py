@@ -16,6 +16,7 @@ first load, the rest the second; AS_OF is the churn / trend reference date.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ EARLY_CUTOFF = "batch_20240115"
 
 # (application id, sf_dir) -> (raw path, staging path) written this session.
 _STORED: dict[tuple[str, str], tuple[str, str]] = {}
+_STORED_LOCK = threading.Lock()
 
 
 class Warehouse:
@@ -55,6 +57,10 @@ class Warehouse:
         the shared folder; later queries of the session read them back, as
         the product reads its stored raw and staging tables."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        with _STORED_LOCK:
+            return self._store_once(key)
+
+    def _store_once(self, key: tuple[str, str]) -> tuple[str, str]:
         if key not in _STORED:
             base = scratch_path(self.spark, "warehouse")
             raw_path, stg_path = f"{base}/raw_events", f"{base}/staging_events"
