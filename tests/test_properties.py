@@ -3,6 +3,7 @@ as one run (fact event_ids, daily metrics per user and day)."""
 
 import datetime as dt
 import json
+import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -68,7 +69,7 @@ def _load(spark, batches):
     return ids, metrics, keys
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "4")), deadline=None, suppress_health_check=list(HealthCheck))
 @given(events_st)
 def test_two_runs_equal_one_run(spark, spec):
     rows = _rows(spec)
