@@ -305,3 +305,37 @@ def quality_report(spark: SparkSession, raw_root: str, core_root: str) -> DataFr
     for c in checks[1:]:
         out = out.unionByName(c)
     return out
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: load landed JSON-lines events (event_id, raw_payload,
+    batch_id) into the warehouse once, print the run summary as JSON."""
+    import argparse
+    import json
+
+    from starloom.session import build_session
+    from starloom.streaming.ingest import LANDING_SCHEMA
+
+    p = argparse.ArgumentParser(prog="python -m starloom.plans.daily_load", description=main.__doc__)
+    p.add_argument("--landing", help="folder of landed JSON-lines events (omit to rebuild from raw)")
+    p.add_argument("--raw-root", required=True)
+    p.add_argument("--core-root", required=True)
+    p.add_argument("--as-of", help="reference date of the churn view (default: today)")
+    p.add_argument("--master", default="local[*]")
+    p.add_argument("--apply-plan-changes", action="store_true")
+    p.add_argument("--check", action="store_true", help="also run the quality report; exit 1 on violations")
+    a = p.parse_args(argv)
+    spark = build_session(master=a.master)
+    incoming = spark.read.schema(LANDING_SCHEMA).json(a.landing) if a.landing else None
+    summary = run_load(spark, a.raw_root, a.core_root, incoming, a.as_of, a.apply_plan_changes)
+    out = {"rows": summary.rows, "seconds": summary.seconds}
+    failing = 0
+    if a.check:
+        failing = quality_report(spark, a.raw_root, a.core_root).where("violations != 0").count()
+        out["quality_violations"] = failing
+    print(json.dumps(out))
+    return 1 if failing else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

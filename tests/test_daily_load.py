@@ -154,3 +154,15 @@ def test_daily_catches_up_after_a_load_stopped_before_it(spark):
     from starloom.operators import quality
     assert quality.chk_reconcile(fact, daily).where("difference != 0").count() == 0
     assert daily.count() == w.daily.count()
+
+
+def test_command_line_load(spark, capsys):
+    import json
+    w = Warehouse(spark, SF)
+    base = scratch_path(spark, "test-cli")
+    stream.land(w.raw.select("event_id", "raw_payload", "batch_id"), f"{base}/landing")
+    code = daily_load.main(["--landing", f"{base}/landing", "--raw-root", f"{base}/raw", "--core-root",
+                            f"{base}/core", "--as-of", "2024-07-15", "--check"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and out["quality_violations"] == 0
+    assert out["rows"]["fact_events"] == w.staging.count()
