@@ -20,10 +20,17 @@ def _weights(spark: SparkSession, rows: list[tuple[str, int]], key: str) -> Data
 def _mix(staging: DataFrame, key: str, weights: list[tuple[str, int]]) -> DataFrame:
     counts = staging.groupBy(key).agg(F.count(F.lit(1)).alias("n_events"))
     total = F.sum("n_events").over(Window.partitionBy())  # over the few category rows
-    share = counts.select(key, "n_events", pct(F.col("n_events"), total, 2).alias("actual_pct"))
-    exp = F.broadcast(_weights(staging.sparkSession, weights, key))  # fixed list
-    j = share.join(exp, key, "full_outer")
-    return j.select(
+    share = counts.select(key, "n_events", pct(F.col("n_events"), total, 2).alias("actual_pct"),
+                          F.lit(None).cast("int").alias("expected_pct"))
+    exp = _weights(staging.sparkSession, weights, key).select(
+        key, F.lit(None).cast("bigint").alias("n_events"), F.lit(None).cast("decimal(38,18)").alias("actual_pct"),
+        "expected_pct")
+    # Observed and expected categories side by side: a union and a group-by
+    # over a handful of rows (a full outer join would need a sort-merge join).
+    both = share.unionByName(exp, allowMissingColumns=False).groupBy(key).agg(
+        F.max("n_events").alias("n_events"), F.max("actual_pct").alias("actual_pct"),
+        F.max("expected_pct").alias("expected_pct"))
+    return both.select(
         key,
         F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events"),
         F.coalesce("actual_pct", F.lit(0)).cast("double").alias("actual_pct"),
