@@ -73,14 +73,19 @@ def new_core_root(base: str) -> str:
 
 
 def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataFrame | None = None,
-             as_of: _dt.date | str | None = None, apply_plan_changes: bool = False) -> RunSummary:
+             as_of: _dt.date | str | None = None, apply_plan_changes: bool = False,
+             quarantine: bool = False) -> RunSummary:
     """H1: one full run. ``incoming``: (event_id, raw_payload, batch_id)
     rows delivered since the last run (may repeat old ones).
 
     ``apply_plan_changes``: after the user rows are inserted, the increment's
     subscription events version the user dimension (C3 fed by X7) before
     facts bind the current versions; off by default, as in the reference,
-    where every user stays on the default plan."""
+    where every user stays on the default plan.
+
+    ``quarantine``: events that fail parsing or validation go to the
+    ``staging_rejects`` table with their reasons (B9) instead of failing the
+    load (the default, as the reference's statement fails)."""
     configure(spark)
     summary = RunSummary()
     as_of = as_of or _dt.date.today()
@@ -101,7 +106,13 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     stg_prev = read_layer(spark, core_root, "staging_events")
     since = _watermark(stg_prev, "processed_at")
     candidates = raw if since is None else raw.where(F.col("loaded_at") > F.lit(since))
-    new_stg = staging.new_events(staging.parse_events(candidates), stg_prev)
+    if quarantine:
+        good, rejects = staging.split_valid(candidates, stg_prev)
+        _observed_write(rejects.withColumn("rejected_at", F.localtimestamp()), core_root, "staging_rejects",
+                        "append", summary)
+        new_stg = staging.new_events(good, stg_prev)
+    else:
+        new_stg = staging.new_events(staging.parse_events(candidates), stg_prev)
     _observed_write(new_stg, core_root, "staging_events", "append", summary)
     stg = read_layer(spark, core_root, "staging_events")
 
@@ -323,11 +334,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--as-of", help="reference date of the churn view (default: today)")
     p.add_argument("--master", default="local[*]")
     p.add_argument("--apply-plan-changes", action="store_true")
+    p.add_argument("--quarantine", action="store_true", help="set invalid events aside instead of failing")
     p.add_argument("--check", action="store_true", help="also run the quality report; exit 1 on violations")
     a = p.parse_args(argv)
     spark = build_session(master=a.master)
     incoming = spark.read.schema(LANDING_SCHEMA).json(a.landing) if a.landing else None
-    summary = run_load(spark, a.raw_root, a.core_root, incoming, a.as_of, a.apply_plan_changes)
+    summary = run_load(spark, a.raw_root, a.core_root, incoming, a.as_of, a.apply_plan_changes, a.quarantine)
     out = {"rows": summary.rows, "seconds": summary.seconds}
     failing = 0
     if a.check:

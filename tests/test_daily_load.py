@@ -166,3 +166,19 @@ def test_command_line_load(spark, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 0 and out["quality_violations"] == 0
     assert out["rows"]["fact_events"] == w.staging.count()
+
+
+def test_load_quarantines_or_fails_on_bad_events(spark, raw_rows):
+    import pytest
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    from conftest import event
+    rows = raw_rows([("ok1", event("ok1"), "b"), ("bad", "{broken", "b")])
+    base = scratch_path(spark, "test-load-bad")
+    with pytest.raises((PySparkException, Py4JJavaError)):  # a failed write surfaces as either
+        daily_load.run_load(spark, f"{base}/strict/raw", f"{base}/strict/core", rows, dt.date(2024, 7, 15))
+    summary = daily_load.run_load(spark, f"{base}/q/raw", f"{base}/q/core", rows, dt.date(2024, 7, 15),
+                                  quarantine=True)
+    assert summary.rows["staging_events"] == 1 and summary.rows["staging_rejects"] == 1
+    assert read_layer(spark, f"{base}/q/core", "fact_events").count() == 1
