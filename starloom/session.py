@@ -95,3 +95,21 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared folder."""
     return os.path.join(shared_dir(spark), "starloom", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input:
+    scan splits and shuffle partitions of about ``target_partition_bytes``
+    (so a task's data fits in executor memory without spilling much), AQE
+    coalescing toward the same size, and skew splitting above 4x that.
+    Apply with ``spark.conf.set`` before building plans; the shuffle
+    partition count is also the key-bucket count of ``operators.keys``, so
+    keep it fixed for a warehouse's lifetime of loads."""
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
+    }
