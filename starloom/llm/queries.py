@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import packing, token_counts
+from starloom.llm import packing, sharding, token_counts, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
@@ -29,6 +29,24 @@ def query(name: str):
     return deco
 
 
+@query("op1_warc")
+def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    back = warc.round_trip(read_table(spark, sf_dir, "pages"))
+    return back.select(F.col("key").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+                       "record_type", "refers_to")
+
+
+ORACLE["op1_warc"] = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+           FROM pages),
+m AS (SELECT payload_digest, max(page_id) AS top FROM p GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {warc.MIN_REVISIT} AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {warc.MIN_REVISIT} AND page_id <> top THEN top END AS refers_to
+FROM p JOIN m USING (payload_digest)"""
+
+
 @query("op2_token_counts")
 def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
@@ -45,3 +63,18 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(pieces, docs.count()).select(
         F.col("key").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+SHARDS = 16
+
+
+@query("op8_sharding")
+def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal bytes, equal texts together."""
+    text = F.coalesce("text", F.lit(""))
+    rows = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.md5(text.cast("binary")).alias("digest"))
+    sharded = sharding.minimax_shards(rows, SHARDS, key="doc_id", group="digest", size="size")
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                          F.lit(None).cast("int").alias("grown_shard"))
