@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import packing, sharding, token_counts, warc
+from starloom.llm import packing, quality, sharding, token_counts, topk, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
@@ -78,3 +78,33 @@ def _sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.minimax_shards(rows, SHARDS, key="doc_id", group="digest", size="size")
     return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                           F.lit(None).cast("int").alias("grown_shard"))
+
+
+TOP_K, QUERY_EVERY = 20, 20
+
+
+@query("op3_topk_search")
+def _topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all vectors for every 20th vector."""
+    index = topk.quantised(read_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(index, F.col("id") % QUERY_EVERY == 0, TOP_K)
+
+
+ORACLE["op3_topk_search"] = f"""
+WITH v AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {QUERY_EVERY} = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {TOP_K}"""
+
+
+@query("op10_quality")
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), F.col("score_").alias("score"),
+                         F.when(F.col("score_") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
