@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.bpe import encoder
-from starloom.llm.common import col, slices, text_or_empty
+from starloom.llm.common import col, materialize, slices, text_or_empty
 
 SEQUENCE_TOKENS = 1024
 GROUP_DOCS = 4096
@@ -106,6 +106,7 @@ def pack(pieces: DataFrame, n_docs: int, size: int = SEQUENCE_TOKENS, group_docs
     plus ``sequence_id`` and ``offset``. ``n_docs``: rows that the pieces came
     from, of which each leaves one piece below ``size`` at most."""
     groups = max(1, -(-n_docs // group_docs))
+    pieces = materialize(pieces, "pieces")  # both branches below read them; texts are encoded once
     # An odd sequence id is a packed one, an even one a full piece's own.
     full = pieces.where(F.col("length") >= size).select(
         "*", (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
