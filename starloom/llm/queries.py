@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import packing, quality, sharding, token_counts, topk, warc
+from starloom.llm import near_dup, packing, quality, sharding, token_counts, topk, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
@@ -100,6 +100,28 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {TOP_K}"""
 
 
+@query("op6_minhash_dedup")
+def _minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by 2-word shingles."""
+    found = near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+ORACLE["op6_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 2 THEN [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]
+                               WHEN len(w) = 1 THEN w ELSE [] END) AS s FROM w)),
+n AS (SELECT w.doc_id, count(s.s) AS n_shingles FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * n >= 80 * (x.n_shingles + y.n_shingles - n)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+c(doc_id, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, c.r FROM c JOIN l ON l.a = c.doc_id WHERE c.r < l.b)
+SELECT n.doc_id, n_shingles, min(c.r) AS component_id, n.doc_id = min(c.r) AS kept FROM n JOIN c USING (doc_id) GROUP BY 1, 2"""
+
+
 @query("op10_quality")
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
