@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import col, materialize
 
-VECTOR_BLOCK = 16_384
-QUERY_BLOCK = 512
-INDEX_ROWS = 4096  # rows of an index; a vector block holds several, which share what a query has found
+VECTOR_BLOCK = 65_536
+QUERY_BLOCK = 256
+INDEX_ROWS = 16_384  # rows of an index; a vector block holds several, which share what a query has found
 #: Impact levels of a walk, as shares of the best and then of the worst impact.
-DOWN = (1 / 4, 1 / 16, 1 / 64, 0)
+DOWN = (1 / 16, 0)
 BELOW = (1 / 64, 1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 1)
 SEGMENTS = 4096  # posting segments of a dimension at most
 STOP_SHARE = 2  # a walk may stop once one row in so many can still be a member
@@ -62,6 +62,8 @@ class ImpactIndex:
         counts = np.bincount(flat.ravel(), minlength=dims * self.segments).reshape(dims, self.segments)
         self.starts = np.zeros((dims, self.segments + 1), np.int64)
         np.cumsum(counts, axis=1, out=self.starts[:, 1:])
+        # Room for the postings of one level, used again by every walk.
+        self._walk_rows, self._walk_impact = np.empty(n * dims, np.int64), np.empty(n * dims)
 
     def _segment(self, value: np.ndarray) -> np.ndarray:
         return np.clip((value - self.low) >> self.shift, -1, self.segments)
@@ -102,9 +104,11 @@ class ImpactIndex:
                 m = int(sizes.sum())
                 if m == 0:
                     continue
-                runs = [(d, a, b, w) for d, a, b, w in zip(used.tolist(), lo.tolist(), hi.tolist(), weight.tolist()) if a < b]
-                rows = np.concatenate([self.rows[d, a:b] for d, a, b, _ in runs])
-                impact = np.concatenate([self.values[d, a:b] * w for d, a, b, w in runs])
+                rows, impact, end = self._walk_rows[:m], self._walk_impact[:m], 0
+                for d, a, b, w in zip(used.tolist(), lo.tolist(), hi.tolist(), weight.tolist()):
+                    begin, end = end, end + b - a
+                    rows[begin:end] = self.rows[d, a:b]
+                    np.multiply(self.values[d, a:b], w, out=impact[begin:end])
                 impact += SEEN
                 both += np.bincount(rows, impact, n)
                 walked += m
