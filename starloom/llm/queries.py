@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import near_dup, packing, quality, sharding, token_counts, topk, warc
+from starloom.llm import near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
@@ -100,6 +100,28 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {TOP_K}"""
 
 
+@query("op5_substring_dedup")
+def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 13-word windows that a smaller doc_id has."""
+    kept = substrings.remove_repeats(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    removed = F.aggregate("spans_", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select("doc_id", F.col("n_words_").alias("n_words"), removed.alias("n_removed"),
+                       F.sha2(F.col("kept_text_").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op5_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM d WHERE len(w) >= 13),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM i),
+f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY 1),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (g) WHERE first < doc_id),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+k AS (SELECT p.doc_id, count(r.p) AS n_removed, string_agg(word, ' ' ORDER BY p.p) FILTER (r.p IS NULL) AS kept
+      FROM p LEFT JOIN r ON r.doc_id = p.doc_id AND r.p = p.p GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+
 @query("op6_minhash_dedup")
 def _minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents by 2-word shingles."""
