@@ -145,7 +145,7 @@ def held_out(key: Column) -> Column:
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, 64):
         x = [statistics(t) for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column("y")], ["x", "y"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column("y"), b.column("h")], ["x", "y", "h"])
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
@@ -158,10 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # The sample is bounded, so it may go to every executor; texts stay where they are.
     sample = known.groupBy("key").agg(F.max("y").alias("y")).orderBy(F.xxhash64("key"), "key").limit(rows)
     texts = docs.select(col(docs, key).alias("key"), text_or_empty(docs, text).alias("text"))
-    found = texts.join(F.broadcast(sample), "key").select("text", "y", "key")
+    found = texts.join(F.broadcast(sample), "key").select("text", "y", F.xxhash64("key", "text").alias("h"))
     # Repeated documents could pass the bound: the sample keeps it.
-    measured = found.orderBy(F.xxhash64("key"), "key", F.xxhash64("text")).select("text", "y").limit(rows)
-    got = measured.mapInArrow(_measure, "x array<double>, y double").toPandas()
+    got = found.mapInArrow(_measure, "x array<double>, y double, h long").orderBy("h", "y").limit(rows).toPandas()
     x = np.stack(got["x"].to_list()) if len(got) else np.zeros((0, len(FEATURES)))
     return fit(x, got["y"].to_numpy(np.float64))
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
+from starloom.llm import imatch, near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
@@ -65,6 +65,22 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query("op7_imatch")
+def _imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text and of the next document."""
+    docs = read_table(spark, sf_dir, "documents")
+    lexicon = imatch.fit_lexicon(docs)
+    rows = imatch.successors(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    kept = F.col("text").substr(F.lit(1), (F.col("n_chars") - half).cast("int"))
+    rows = rows.withColumn("edited", F.concat(kept, F.col("next_text").substr(F.lit(1), half)))
+    rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    made = imatch.fingerprints(rows, lexicon, ["text", "edited", "next_text"])
+    return made.select(F.col("key").alias("doc_id"), "n_chars", "edited_sha256", F.col("text").alias("fingerprint"),
+                       F.col("edited").alias("edited_fingerprint"), imatch.likeness("text", "edited").alias("near_edited"),
+                       imatch.likeness("text", "next_text").alias("near_next"))
+
+
 SHARDS = 16
 
 
