@@ -10,10 +10,12 @@ deviations of the threshold. What goes on is confirmed on the full sets.
 
 Documents with one set are one class and enter once, however many copies there
 are. In a band bucket all members are compared with LEADERS leaders, never each
-with each. Buckets that then still hold
-members of different components are the only ones whose members meet each
-other, dealt into blocks of BLOCK members, and only across components; pairs
-that the sketches rule out never leave the join.
+with each. Only buckets that then still hold members of different components
+have more to tell (of buckets with the same members, one). Their sketches are
+compared across components in blocks of bounded size, and a member goes on if
+any sketch of another component is close. The sets of those members meet in
+blocks again: counts of common shingles are one matrix product, and a block gives
+at most the links that join its components - never its pairs.
 
 Defined results: null texts and texts without words have an empty set, are
 linked with nothing and are their own component; a text with fewer words than
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import col, materialize, slices, text_or_empty
@@ -42,7 +44,9 @@ SKETCH_WORDS = 16  # of 64 bits
 SKETCH_BITS = 64 * SKETCH_WORDS
 DEVIATIONS = 4.5
 LEADERS = 2
-BLOCK = 256
+SKETCH_BLOCK = 2048  # sketches of a block's side
+SET_BLOCK = 1 << 20  # shingles of a block's side, counting 1024 at least for a set
+COLUMNS = 4096  # shingles of one matrix product
 CACHE_WORDS = 500_000
 
 _random = np.random.default_rng(20240101)
@@ -120,14 +124,120 @@ def most_bits(similarity: float) -> int:
     return int(np.ceil(mean))
 
 
-def differing_bits(a: Column, b: Column) -> Column:
-    total = F.lit(0)
-    for i in range(SKETCH_WORDS):
-        total = total + F.bit_count(a[i].bitwiseXOR(b[i]))
+def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """XOR population counts of rows of sketches."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
+
+
+def _close(limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 4096):
+            near = differing_bits(_sketches(b.column("sa")), _sketches(b.column("sb"))) <= limit
+            yield b.select(["a", "b"]).filter(pa.array(near))
+    return run
+
+
+def blocks(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows that agree in ``names``, from rows sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        codes = [b.column(c).to_numpy() for c in names]
+        new = np.zeros(b.num_rows - 1, bool)
+        for c in codes:
+            new |= c[1:] != c[:-1]
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), b.num_rows]
+        for s, e in zip(edges, edges[1:]):
+            this = tuple(c[s] for c in codes)
+            if held and this != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(s, e - s))
+            last = this
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the block's first and second side (the same for a block with itself)."""
+    part, i, j = (t.column(c).to_numpy() for c in ("part", "i", "j"))
+    return np.flatnonzero(part == i), np.flatnonzero(part == j)
+
+
+def _near_members(limit: int):
+    """Members with a close sketch of another component in their block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in blocks(batches, ["bucket", "i", "j"]):
+            root = t.column("root").to_numpy()
+            sketch = _sketches(t.column("sketch"))
+            x, y = _sides(t)
+            hit = np.zeros(t.num_rows, bool)
+            for at in range(0, len(x), 64):
+                rows = x[at:at + 64]
+                near = (root[rows][:, None] != root[y][None, :]) & (differing_bits(sketch[rows][:, None, :], sketch[y][None, :, :]) <= limit)
+                hit[rows[near.any(axis=1)]] = True
+                hit[y[near.any(axis=0)]] = True
+            yield from t.select(["bucket", "cid", "root"]).filter(pa.array(hit)).combine_chunks().to_batches()
+    return run
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets."""
+    n = len(sets)
+    total = np.zeros((n, n), np.int64)
+    if not n:
+        return total
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), [len(x) for x in sets])
+    shared = np.flatnonzero(count > 1)
+    place = np.full(len(values), -1, np.int64)
+    place[shared] = np.arange(len(shared))
+    column = place[column]
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for at in range(0, len(shared), COLUMNS):
+        s, e = np.searchsorted(column, [at, at + COLUMNS])
+        dense = np.zeros((n, COLUMNS), np.float32)
+        dense[row[s:e], column[s:e] - at] = 1
+        total += (dense @ dense.T).astype(np.int64)
+    np.fill_diagonal(total, [len(x) for x in sets])
     return total
 
 
-_SIGNED = "n_shingles long, cid long, bands array<long>, sketch array<long>"
+def _block_links(percent: int):
+    """Links that join the components of a block, by exact counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in blocks(batches, ["bucket", "i", "j"]):
+            cid, root = t.column("cid").to_numpy(), t.column("root").to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
+            size = np.array([len(x) for x in sets], np.int64)
+            both = common_counts(sets)
+            linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (root[:, None] != root[None, :])
+            now = dict.fromkeys(root.tolist())
+            now = {r: r for r in now}
+
+            def find(r: int) -> int:
+                while now[r] != r:
+                    r = now[r]
+                return r
+            out = []
+            for x, y in zip(*(v.tolist() for v in np.nonzero(np.triu(linked, 1)))):
+                p, q = find(int(root[x])), find(int(root[y]))
+                if p != q:
+                    now[p] = q
+                    out.append((int(cid[x]), int(cid[y])))
+            yield pa.RecordBatch.from_arrays([pa.array([v[k] for v in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+    return run
+
+
+_SIGNED = "n_shingles long, cid long, bands array<long>, sketch binary"
 
 
 def _sign(size: int):
@@ -146,10 +256,10 @@ def _sign(size: int):
                 with np.errstate(over="ignore"):
                     values = samples(s)
                     band.append(bands(values))
-                    sketch.append(odd_sketch(values))
+                    sketch.append(odd_sketch(values).tobytes())
                 cid.append(class_id(s))
             yield pa.RecordBatch.from_arrays(
-                [b.column("key"), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(band, longs), pa.array(sketch, longs)],
+                [b.column("key"), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(band, longs), pa.array(sketch, pa.binary())],
                 ["key", "n_shingles", "cid", "bands", "sketch"])
     return run
 
@@ -194,20 +304,16 @@ class Links:
         self.buckets = materialize(buckets.join(shared, "bucket").select("bucket", "cid", "n"), "buckets")
         self.roots = docs.sparkSession.createDataFrame([], "node long, root long")
 
-    def add(self, pairs: DataFrame) -> None:
-        """Confirm (a, b) pairs on their full sets and bring the components
-        up to date."""
-        pairs = materialize(pairs.distinct(), "pairs")
-        if pairs.isEmpty():
-            return
-        ends = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        need = self.classes.join(ends, "cid").select("cid", F.struct("key").alias("at"))
+    def sets_of(self, ends: DataFrame) -> DataFrame:
+        """(cid, set) of the classes in ``ends``."""
+        need = self.classes.join(ends.select("cid").distinct(), "cid").select("cid", F.struct("key").alias("at"))
         texts = self.docs.select(F.struct("key").alias("at"), "text").join(need, "at").select("cid", "text")
         sets = texts.mapInArrow(_sets(self.size), "cid long, set binary")
-        sets = materialize(sets.groupBy("cid").agg(F.first("set").alias("set")), "sets")
-        of = lambda side: sets.select(F.col("cid").alias(side), F.col("set").alias(f"set_{side}"))
-        linked = materialize(pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "set_a", "set_b")
-                             .mapInArrow(_confirm(self.percent), "a long, b long"), "confirmed")
+        return materialize(sets.groupBy("cid").agg(F.first("set").alias("set")), "sets")
+
+    def join_up(self, linked: DataFrame) -> None:
+        """Bring the components up to date."""
+        linked = materialize(linked, "confirmed")
         if not linked.isEmpty():
             known = self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
             self.roots = components(linked.unionByName(known))
@@ -217,40 +323,56 @@ class Links:
         return rows.join(self.roots.withColumnRenamed("node", "cid"), "cid", "left") \
             .withColumn("root", F.coalesce("root", "cid"))
 
-    def open_buckets(self) -> DataFrame:
-        """(bucket, cid, n, root) of the buckets that hold more than one component."""
-        rooted = self.rooted(self.buckets)
-        split = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        return rooted.join(split.select("bucket"), "bucket")
-
-    def close(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose sketches are close enough."""
-        sk = lambda side: self.classes.select(F.col("cid").alias(side), F.col("sketch").alias(f"s{side}"))
-        both = pairs.distinct().join(sk("a"), "a").join(sk("b"), "b")
-        return both.where(differing_bits(F.col("sa"), F.col("sb")) <= self.limit).select("a", "b")
-
     def by_leaders(self) -> None:
         """Members of every bucket against its LEADERS leaders."""
         names = [f"lead{i}" for i in range(LEADERS)]
         rank = lambda i: F.struct(F.xxhash64("cid", F.lit(i)), F.col("cid").alias("cid"))
         leaders = self.buckets.groupBy("bucket").agg(*(F.min(rank(i)).alias(x) for i, x in enumerate(names)))
-        pairs = self.buckets.join(leaders, "bucket") \
+        met = self.buckets.join(leaders, "bucket") \
             .select("cid", F.explode(F.array(*(f"{x}.cid" for x in names))).alias("lead")).where("cid <> lead")
-        self.add(self.close(pairs.select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b"))))
+        met = met.select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct()
+        of = lambda side: self.classes.select(F.col("cid").alias(side), F.col("sketch").alias(f"s{side}"))
+        pairs = materialize(met.join(of("a"), "a").join(of("b"), "b").mapInArrow(_close(self.limit), "a long, b long"), "pairs")
+        sets = self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cid")))
+        of = lambda side: sets.select(F.col("cid").alias(side), F.col("set").alias(f"set_{side}"))
+        self.join_up(pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "set_a", "set_b")
+                     .mapInArrow(_confirm(self.percent), "a long, b long"))
+
+    def open_buckets(self) -> DataFrame:
+        """(bucket, cid, root) of the buckets that hold more than one
+        component; of buckets with the same members, one."""
+        rooted = materialize(self.rooted(self.buckets), "rooted")
+        split = rooted.groupBy("bucket").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("cid")).alias("x"), F.sum(F.xxhash64("cid", F.lit(1)).cast("decimal(38,0)")).alias("y")).where("lo <> hi")
+        once = split.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))
+        return rooted.join(once.select("bucket"), "bucket")
+
+    def dealt(self, rows: DataFrame, load, most: int, columns: list[str]) -> DataFrame:
+        """``rows`` of buckets dealt into blocks whose sides carry about ``most``
+        of ``load``, sorted by (bucket, i, j)."""
+        loads = rows.groupBy("bucket").agg(F.ceil(F.sum(load) / most).cast("int").alias("parts"))
+        parted = rows.join(loads, "bucket").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")) \
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        parted = parted.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", *columns)
+        tasks = max(1, int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return parted.repartition(tasks, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
     def by_block(self) -> None:
         """Members of open buckets against members of other components."""
-        rows = self.open_buckets().join(self.classes.select("cid", "sketch"), "cid")
-        parts = F.ceil(F.col("n") / BLOCK).cast("int")
-        rows = rows.withColumn("part", F.pmod(F.xxhash64("cid"), parts).cast("int")) \
-            .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        rows = materialize(rows.select("bucket", "cid", "root", "sketch", "part", F.least("part", "other").alias("i"),
-                                       F.greatest("part", "other").alias("j")), "blocks")
-        x, y = rows.alias("x"), rows.alias("y")
-        same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("bucket", "i", "j")]
-        met = same[0] & same[1] & same[2] & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.root") != F.col("y.root")) \
-            & (differing_bits(F.col("x.sketch"), F.col("y.sketch")) <= self.limit)
-        self.add(x.join(y, met).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")))
+        rows = materialize(self.open_buckets().join(self.classes.select("cid", "sketch"), "cid"), "open")
+        near = self.dealt(rows, F.lit(1), SKETCH_BLOCK, ["cid", "root", "sketch"]) \
+            .mapInArrow(_near_members(self.limit), "bucket long, cid long, root long")
+        near = materialize(near.distinct(), "near")
+        if near.isEmpty():
+            return
+        # Members that are left may again be the same ones in many buckets.
+        alike = near.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("cid")).alias("x"),
+                                           F.sum(F.xxhash64("cid", F.lit(1)).cast("decimal(38,0)")).alias("y"))
+        near = near.join(alike.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
+        with_sets = near.join(self.sets_of(near), "cid")
+        self.join_up(self.dealt(with_sets, F.greatest(F.octet_length("set") / 8, F.lit(1024)), SET_BLOCK, ["cid", "root", "set"])
+                     .mapInArrow(_block_links(self.percent), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = 5,

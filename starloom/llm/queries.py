@@ -8,14 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import imatch, near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
+from starloom.llm import imatch, lattice, near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 OVER_LIMIT = 512
 
 
@@ -160,6 +160,15 @@ c(doc_id, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, c.r FROM c JOIN
 SELECT n.doc_id, n_shingles, min(c.r) AS component_id, n.doc_id = min(c.r) AS kept FROM n JOIN c USING (doc_id) GROUP BY 1, 2"""
 
 
+@query("op9_sentencepiece")
+def _sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to piece ids and decoded again."""
+    path = public_tokenizers.path(PIECES)
+    back = lattice.decode(lattice.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return back.select(F.col("key").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+                       F.crc32("ids").alias("ids_crc32"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @query("op10_quality")
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""

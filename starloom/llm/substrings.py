@@ -239,7 +239,7 @@ def _apply(window: int):
                     gone[:-1] = True
                 elif marks:
                     step = np.zeros(len(words) + 1, np.int64)
-                    first = np.unique(np.array(marks, np.int64))
+                    first = np.unique(np.array(marks.split(","), np.int64))
                     np.add.at(step, first, 1)
                     np.add.at(step, first + window, -1)
                     gone[:-1] = np.cumsum(step)[:-1] > 0
@@ -264,7 +264,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     names = [c for c in docs.columns if c != text] if keep is None else keep
     rows = docs.select(col(docs, key).alias("key"), text_or_empty(docs, text).alias("text"))
     repeats = Repeats(rows, window, broadcast_rows, shard_words)
-    marks = repeats.spans().select(F.col("class").alias("class_"), F.col("key").alias("marked_"), F.col("marks").alias("marks_"))
+    marks = repeats.spans().select(F.col("class").alias("class_"), F.col("key").alias("marked_"), F.array_join(F.col("marks").cast("array<string>"), ",").alias("marks_"))  # lists are slow to hand over row by row
     firsts = repeats.classes.select(F.col("class").alias("class_"), F.col("first").alias("first_"))
     plain = docs.select(*(col(docs, c) for c in names), col(docs, key).alias("key_"), text_or_empty(docs, text).alias("text_"))
     plain = plain.withColumn("class_", F.md5(F.col("text_").cast("binary")))
