@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import col, slices, text_or_empty
+from starloom.llm.common import col, collect_longs, slices, text_or_empty
 from starloom.llm.near_dup import _hash, mix
 
 BASE = 2  # one term in so many is in a lexicon
@@ -99,7 +99,7 @@ def fit_lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: flo
     n = rows.count()
     df = rows.mapInArrow(_count_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     band = df.where((F.col("n") >= max(2, low * n)) & (F.col("n") <= max(2, high * n))).select("term").limit(MOST_TERMS + 1)
-    found = band.toPandas()["term"].to_numpy(np.int64)
+    found = collect_longs(band)
     if len(found) > MOST_TERMS:
         raise ValueError(f"the band holds more than {MOST_TERMS} terms: raise low")
     return np.sort(found.view(np.uint64))

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.automaton import SuffixAutomaton
-from starloom.llm.common import col, materialize, slices, text_or_empty
+from starloom.llm.common import col, collect_longs, materialize, slices, text_or_empty
 from starloom.llm.near_dup import _STEP, _hash, mix
 
 WINDOW = 13
@@ -173,8 +173,7 @@ class Repeats:
         copies = materialize(copies.select("row").distinct(), "copies")
         schema = f"class string, key {self.key_type}, pos int, minimizer long, piece binary, words binary"
         if shared.count() <= self.broadcast_rows and copies.count() <= self.broadcast_rows:
-            sent = [self.spark.sparkContext.broadcast(np.sort(df.toPandas().iloc[:, 0].to_numpy(np.int64)))
-                    for df in (shared, copies)]
+            sent = [self.spark.sparkContext.broadcast(collect_longs(df)) for df in (shared, copies)]
             return materialize(self.docs.mapInArrow(_cut_pieces(self.window, *sent), schema), "pieces")
         wanted = (exploded.select("row", "minimizer").join(shared, "minimizer").join(copies, "row", "left_anti")
                   .groupBy("row").agg(F.collect_set("minimizer").alias("wanted")))
