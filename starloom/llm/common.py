@@ -68,6 +68,19 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield b.slice(at, rows)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores appended while it is taken (names differ
+    by more than case, as Spark resolves them)."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
+def quoted(field) -> str:
+    return f"`{field.name.replace('`', '``')}` {field.dataType.simpleString()}"
+
+
 def text_or_empty(df: DataFrame, name: str) -> Column:
     return F.coalesce(col(df, name).cast("string"), F.lit(""))
 

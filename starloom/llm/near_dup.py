@@ -395,3 +395,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         .select("key", "n_shingles", "component")
     empty = signed.where(F.col("cid").isNull()).select("key", "n_shingles", F.col("key").alias("component"))
     return with_set.unionByName(empty).withColumn("kept", F.col("key").eqNullSafe(F.col("component")))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the one
+    with the smallest (key, hash of the text), null keys first; of repeated rows (equal key
+    and text) one. Texts without words are no duplicates of each other."""
+    own = F.struct(col(docs, key).alias("key"), F.xxhash64(text_or_empty(docs, text)).alias("h"))
+    keyed = docs.select(own.alias("k"), text_or_empty(docs, text).alias("t"))
+    kept = near_duplicates(keyed, "k", "t", shingle_words, percent).where("kept").select(F.col("key").alias("k")).distinct()
+    row = F.struct(*(col(docs, c).alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    # One of each (key, text) before the shuffle, so repeated rows do not meet in one task.
+    once = docs.select(own.alias("k"), row.alias("r")).groupBy("k").agg(F.first("r").alias("r"))
+    return once.join(kept, "k", "left_semi").select(*(F.col(f"r.c{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import col, slices, text_or_empty
+from starloom.llm.common import col, free_name, quoted, slices, text_or_empty
 
 TRAIN_ROWS = 20_000
 FOLDS = 5
@@ -168,16 +168,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 def _scores(model: Trees):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            x = np.array([statistics(t) for t in b.column("text_").to_pylist()]).reshape(b.num_rows, len(FEATURES))
-            keep = [i for i, name in enumerate(b.schema.names) if name != "text_"]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(model.score(x))],
-                                             [*(b.schema.names[i] for i in keep), "score_"])
+            *kept, text = b.columns
+            x = np.array([statistics(t) for t in text.to_pylist()]).reshape(b.num_rows, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(model.score(x))], [f"c{i}" for i in range(len(kept) + 1)])
     return run
 
 
 def score(docs: DataFrame, model: Trees, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all, if not given) of every row and ``score_``."""
+    """The columns ``keep`` (all, if not given) of every row and ``score_``
+    (further underscores, should a kept column be called so)."""
     names = docs.columns if keep is None else keep
-    rows = docs.select(*(col(docs, c) for c in names), text_or_empty(docs, text).alias("text_"))
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_scores(model), f"{fields}, score_ double")
+    rows = docs.select(*(col(docs, c).alias(f"c{i}") for i, c in enumerate(names)), text_or_empty(docs, text).alias("text"))
+    fields = [quoted(f) for f in rows.schema.fields[:-1]]
+    scored = rows.mapInArrow(_scores(model), ", ".join([*fields, f"c{len(names)} double"]))
+    return scored.toDF(*names, free_name(names, "score_"))

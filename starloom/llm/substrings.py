@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.automaton import SuffixAutomaton
-from starloom.llm.common import col, collect_longs, materialize, slices, text_or_empty
+from starloom.llm.common import col, collect_longs, free_name, materialize, quoted, slices, text_or_empty
 from starloom.llm.near_dup import _STEP, _hash, mix
 
 WINDOW = 13
@@ -226,13 +226,16 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([packed if j == i else c for j, c in enumerate(b.columns)], b.schema.names)
 
 
-def _apply(window: int):
+def _apply(window: int, tidy: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in slices(batches):
+            *kept, packed_texts, all_marks, copies = b.columns
             n_words, spans, texts = [], [], []
-            for packed, marks, copy in zip(*(b.column(c).to_pylist() for c in ("text_", "marks_", "copy_"))):
-                words = unpack(packed).split() if packed else []
+            for packed, marks, copy in zip(packed_texts.to_pylist(), all_marks.to_pylist(), copies.to_pylist()):
+                text = unpack(packed) if packed else b""
+                words = text.split()
                 gone = np.zeros(len(words) + 1, bool)
                 if copy and len(words) >= window:
                     gone[:-1] = True
@@ -245,36 +248,38 @@ def _apply(window: int):
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)))
                 n_words.append(len(words))
                 spans.append([{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2])])
-                texts.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g]).decode("utf-8", "surrogatepass"))
-            keep = [i for i, name in enumerate(b.schema.names) if name not in ("text_", "marks_", "copy_")]
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in keep), pa.array(n_words, pa.int64()), pa.array(spans, span), pa.array(texts, pa.string())],
-                [*(b.schema.names[i] for i in keep), "n_words_", "spans_", "kept_text_"])
+                if tidy or len(edge):
+                    text = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
+                texts.append(text.decode("utf-8", "surrogatepass"))
+            out = [*kept, pa.array(n_words, pa.int64()), pa.array(spans, span), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, [f"c{i}" for i in range(len(out))])
     return run
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-                   keep: list[str] | None = None, broadcast_rows: int = BROADCAST_ROWS,
+                   keep: list[str] | None = None, tidy: bool = True, broadcast_rows: int = BROADCAST_ROWS,
                    shard_words: int = SHARD_WORDS) -> DataFrame:
     """The columns ``keep`` (all but the text, if not given) of every row and
     ``n_words_``, ``spans_`` (removed word spans, end exclusive) and
-    ``kept_text_`` (kept words, one space between)."""
+    ``kept_text_`` (kept words, one space between; with ``tidy=False`` texts that
+    lose nothing stay as they are). An output whose name is taken by a
+    kept column gets further underscores."""
     names = [c for c in docs.columns if c != text] if keep is None else keep
     rows = docs.select(col(docs, key).alias("key"), text_or_empty(docs, text).alias("text"))
     repeats = Repeats(rows, window, broadcast_rows, shard_words)
-    marks = repeats.spans().select(F.col("class").alias("class_"), F.col("key").alias("marked_"), F.array_join(F.col("marks").cast("array<string>"), ",").alias("marks_"))  # lists are slow to hand over row by row
-    firsts = repeats.classes.select(F.col("class").alias("class_"), F.col("first").alias("first_"))
-    plain = docs.select(*(col(docs, c) for c in names), col(docs, key).alias("key_"), text_or_empty(docs, text).alias("text_"))
-    plain = plain.withColumn("class_", F.md5(F.col("text_").cast("binary")))
-    quote = lambda f: f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
-    packed = plain.mapInArrow(_squeeze, ", ".join(quote(f) if f.name != "text_" else "text_ binary" for f in plain.schema.fields))
-    # A text has one first key, and marks at most for that key or for larger ones that are copies.
-    met = firsts.join(marks, "class_", "full")
-    joined = packed.join(met, "class_", "left")
-    joined = joined.select(*(col(joined, c) for c in names), "text_",
-                           F.when(F.col("key_") == F.col("marked_"), F.col("marks_")).alias("marks_"),
-                           F.coalesce(F.col("key_") > F.col("first_"), F.lit(False)).alias("copy_"))
-    fields = ", ".join(quote(f) for f in joined.schema.fields[:len(names)])
-    return joined.mapInArrow(_apply(window), (fields + ", " if names else "")
-                             + "n_words_ long, spans_ array<struct<start: bigint, end: bigint>>, kept_text_ string")
+    # Marks as text: lists are slow to hand over row by row.
+    marks = repeats.spans().select("class", F.col("key").alias("marked"), F.array_join(F.col("marks").cast("array<string>"), ",").alias("marks"))
+    kept = [f"c{i}" for i in range(len(names))]
+    plain = docs.select(*(col(docs, c).alias(k) for c, k in zip(names, kept)), col(docs, key).alias("key"), text_or_empty(docs, text).alias("text_"))
+    plain = plain.withColumn("class", F.md5(F.col("text_").cast("binary")))
+    packed = plain.mapInArrow(_squeeze, ", ".join(quoted(f) if f.name != "text_" else "text_ binary" for f in plain.schema.fields))
+    # A text has one first key, and marks at most for that key.
+    met = repeats.classes.select("class", "first").join(marks, "class", "full")
+    joined = packed.join(met, "class", "left").select(
+        *kept, "text_", F.when(F.col("key") == F.col("marked"), F.col("marks")).alias("marks"),
+        F.coalesce(F.col("key") > F.col("first"), F.lit(False)).alias("copy"))
+    fields = [quoted(f) for f in joined.schema.fields[:len(kept)]]
+    n = len(kept)
+    done = joined.mapInArrow(_apply(window, tidy), ", ".join(
+        [*fields, f"c{n} long", f"c{n + 1} array<struct<start: bigint, end: bigint>>", f"c{n + 2} string"]))
+    return done.toDF(*names, *(free_name(names, x) for x in ("n_words_", "spans_", "kept_text_")))
