@@ -7,26 +7,25 @@ from pyspark.sql import functions as F
 
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IPV4 = rf"{_OCTET}(\.{_OCTET}){{3}}"
-_IPV4_MASK = rf"^{_IPV4}(/(3[0-2]|[12]?[0-9]))?$"
-
 _H = r"[0-9A-Fa-f]{1,4}"
-# Full and '::'-compressed IPv6 forms, with an optional embedded IPv4 tail
-# and an optional prefix length.
-_IPV6_BODY = (
-    rf"(({_H}:){{7}}{_H}"
-    rf"|({_H}:){{1,7}}:"
-    rf"|({_H}:){{1,6}}:{_H}"
-    rf"|({_H}:){{1,5}}(:{_H}){{1,2}}"
-    rf"|({_H}:){{1,4}}(:{_H}){{1,3}}"
-    rf"|({_H}:){{1,3}}(:{_H}){{1,4}}"
-    rf"|({_H}:){{1,2}}(:{_H}){{1,5}}"
-    rf"|{_H}:(:{_H}){{1,6}}"
-    rf"|:((:{_H}){{1,7}}|:)"
-    rf"|({_H}:){{6}}{_IPV4}"
-    rf"|::(ffff(:0{{1,4}})?:)?{_IPV4}"
-    rf"|({_H}:){{1,4}}:{_IPV4})"
-)
-_IPV6_MASK = rf"^{_IPV6_BODY}(/(12[0-8]|1[01][0-9]|[1-9]?[0-9]))?$"
+
+
+def _ipv6() -> str:
+    """All forms of 8 groups: whole, or with one '::' for the missing ones;
+    an IPv4 address may stand for the last two groups."""
+    forms = [rf"({_H}:){{7}}{_H}", rf"({_H}:){{6}}{_IPV4}"]
+    for before in range(8):  # groups in front of '::'
+        head = rf"({_H}:){{{before - 1}}}{_H}" if before else ""
+        after = 7 - before
+        forms.append(rf"{head}::({_H}(:{_H}){{0,{after - 1}}})?" if after else f"{head}::")
+        if after >= 2:
+            forms.append(rf"{head}::({_H}:){{0,{after - 2}}}{_IPV4}")
+    return "(" + "|".join(forms) + ")"
+
+
+# Whole-string anchors: a line end after the address is no part of it.
+_IPV4_MASK = rf"\A{_IPV4}(/(3[0-2]|[12]?[0-9]))?\z"
+_IPV6_MASK = rf"\A{_ipv6()}(/(12[0-8]|1[01][0-9]|[1-9]?[0-9]))?\z"
 
 
 def is_inet(col: Column | str) -> Column:

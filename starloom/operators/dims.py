@@ -155,14 +155,21 @@ def apply_scd2(dim: DataFrame, changes: DataFrame, start: int, now: Column | Non
     from starloom.operators.sequence import neighbors
 
     now = now if now is not None else F.localtimestamp()
+    # A change that is a version already (same user, time and state) was
+    # applied before: a rerun of the same changes opens nothing.
+    known = dim.select("user_id", F.col("effective_date").alias("change_ts"), F.struct(*tracked).alias("_state")).distinct()
+    changes = changes.withColumn("_state", F.struct(*tracked)) \
+        .join(known, ["user_id", "change_ts", "_state"], "left_anti").drop("_state")
     affected = changes.select("user_id").distinct()
     old = dim.join(affected, "user_id", "left_semi")
     untouched = dim.join(affected, "user_id", "left_anti")
-    order = ["change_ts", "change_id"]
-    seq_old = old.select("user_id", F.col("effective_date").alias("change_ts"), F.lit("").alias("change_id"),
-                         *tracked, F.col("user_sk").alias("_old_sk"))
+    # At one time, versions come in the order of their keys, before new changes.
+    order = ["change_ts", "_rank", "change_id"]
+    seq_old = old.select("user_id", F.col("effective_date").alias("change_ts"), F.col("user_sk").alias("_rank"),
+                         F.lit("").alias("change_id"), *tracked, F.col("user_sk").alias("_old_sk"))
     seq_new = changes.join(dim.select("user_id").distinct(), "user_id", "left_semi").select(
-        "user_id", "change_ts", "change_id", *tracked, F.lit(None).cast("bigint").alias("_old_sk"))
+        "user_id", "change_ts", F.lit(2**63 - 1).cast("bigint").alias("_rank"), "change_id", *tracked,
+        F.lit(None).cast("bigint").alias("_old_sk"))
     nb = neighbors(seq_old.unionByName(seq_new), "user_id", order, prev_cols=list(tracked))
     differs = None
     for c in tracked:

@@ -194,6 +194,43 @@ def split_valid(raw: DataFrame, staging: DataFrame | None = None) -> tuple[DataF
     return good, bad.unionByName(dups)
 
 
+def split_deliverable(incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that raw can store (id, JSON payload and batch present and the
+    payload well-formed) and the others as rejects with their reasons. A
+    landed line that is no JSON row at all comes with ``_corrupt_record``."""
+    line = F.col("_corrupt_record") if "_corrupt_record" in incoming.columns else F.lit(None).cast("string")
+    c = F.col
+    reasons = [F.when(line.isNotNull(), F.lit("malformed_line"))]
+    reasons += [F.when(line.isNull() & c(n).isNull(), F.lit(f"missing_{n}")) for n in ("event_id", "raw_payload", "batch_id")]
+    reasons.append(F.when(c("raw_payload").isNotNull() & F.try_parse_json("raw_payload").isNull(), F.lit("malformed_json")))
+    checked = incoming.withColumn("_reasons", F.array_compact(F.array(*reasons)))
+    good = checked.where(F.size("_reasons") == 0).select("event_id", "raw_payload", "batch_id")
+    bad = checked.where(F.size("_reasons") > 0).select(
+        "event_id", "batch_id", F.coalesce("raw_payload", line).alias("raw_payload"), F.col("_reasons").alias("reasons"),
+        F.lit(1).cast("bigint").alias("n_rows"))
+    return good, bad
+
+
+def checked_delivery(incoming: DataFrame) -> DataFrame:
+    """``incoming``, failing the statement on a row that raw cannot store: the
+    key, payload and batch rules of the raw table and its JSON type."""
+    c = F.col
+    missing = c("event_id").isNull() | c("raw_payload").isNull() | c("batch_id").isNull()
+    message = F.concat(F.lit("invalid raw event "), F.coalesce("event_id", F.lit("without event_id")))
+    wrong = missing | F.try_parse_json("raw_payload").isNull()
+    return incoming.withColumn("event_id", F.when(wrong, F.raise_error(message)).otherwise(c("event_id")))
+
+
+def new_rejects(rejects: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Rejects that are not stored yet, one row each, with the id that
+    tells them apart: a replay or rerun adds nothing."""
+    parts = [F.coalesce(c, F.lit("\0")) for c in ("event_id", "batch_id", "raw_payload")]
+    identity = F.sha2(F.concat_ws("\1", *parts, F.array_join("reasons", ","), F.col("n_rows").cast("string")), 256)
+    once = rejects.withColumn("reject_id", identity).dropDuplicates(["reject_id"])
+    return insert_absent(once.withColumn("rejected_at", F.localtimestamp()), stored, ["reject_id"]) \
+        .select("event_id", "batch_id", "raw_payload", "reasons", "n_rows", "rejected_at", "reject_id")
+
+
 def quarantine_summary(good: DataFrame, rejects: DataFrame) -> DataFrame:
     """Rows per outcome: ``ok`` for good rows, else one row per reason."""
     ok = good.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("ok").alias("reason"), "n_rows")

@@ -18,6 +18,7 @@ from starloom.functions.inet import is_inet
 from starloom.operators import dims, facts, marts, profile, quality, reports, staging
 from starloom.plans import daily_load
 from starloom.plans.warehouse import EARLY_CUTOFF, Warehouse
+from starloom.schemas import CALENDAR_MONTHS, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 from starloom.session import scratch_path
 from starloom.sources.raw import ingest_raw, raw_inventory, stamp_batch
 from starloom.streaming import ingest as stream
@@ -160,10 +161,9 @@ def _staging_quarantine(w: Warehouse) -> DataFrame:
 # ------------------------------------------------------------- dimensions
 @query("dim_date")
 def _dim_date(w: Warehouse) -> DataFrame:
-    """The calendar rows the event facts reference (the calendar itself
-    is fixed input; this reads it through the data)."""
-    used = w.fact_events.select("date_key").distinct()
-    return w.dim_date.join(used, "date_key", "left_semi")
+    """The whole calendar, with the number of event facts of each day."""
+    used = w.fact_events.groupBy("date_key").agg(F.count(F.lit(1)).alias("n_events"))
+    return w.dim_date.join(used, "date_key", "left").withColumn("n_events", F.coalesce("n_events", F.lit(0)))
 
 
 @query("dim_features")
@@ -361,41 +361,30 @@ def _total_users(w: Warehouse) -> DataFrame:
 @query("retention_matrix")
 def _retention_matrix(w: Warehouse) -> DataFrame:
     """Cohorts x months since signup (D1b rates)."""
-    return reports.retention_matrix(w.retention_true)
+    return reports.retention_matrix(w.retention_true, list(range(CALENDAR_MONTHS)))
 
 
 # ---------------------------------------------------------------- quality
+def _tables(w: Warehouse) -> dict[str, DataFrame]:
+    """Every table that rules are declared for."""
+    return {"raw_events": w.raw, "staging_events": w.staging, "dim_users": w.dim_users, "dim_documents": w.dim_documents,
+            "dim_features": w.dim_features, "dim_date": w.dim_date, "fact_events": w.keyed_fact_events,
+            "fact_daily_user_activity": w.daily, "user_retention_cohorts": w.retention,
+            "feature_adoption_funnel": w.funnel, "churn_risk_scores": w.churn}
+
+
 @query("chk_not_null")
 def _chk_not_null(w: Warehouse) -> DataFrame:
-    """G1."""
-    checks = [
-        quality.chk_not_null(w.staging, "staging_events",
-                             ["event_id", "event_type", "event_timestamp", "user_id", "batch_id"]),
-        quality.chk_not_null(w.dim_users, "dim_users", ["user_sk", "user_id", "is_current"]),
-        quality.chk_not_null(w.dim_documents, "dim_documents", ["document_sk", "document_id"]),
-        quality.chk_not_null(w.fact_events, "fact_events",
-                             ["event_id", "user_sk", "date_key", "event_type", "event_timestamp"]),
-        quality.chk_not_null(w.daily, "fact_daily_user_activity",
-                             ["activity_date", "user_sk", *facts.DAILY_METRICS]),
-    ]
-    return _union(checks)
+    """G1: every declared NOT NULL column."""
+    t = _tables(w)
+    return _union([quality.chk_not_null(t[name], name) for name in NOT_NULL])
 
 
 @query("chk_unique")
 def _chk_unique(w: Warehouse) -> DataFrame:
-    """G2."""
-    checks = [
-        quality.chk_unique(w.staging, "staging_events", ["event_id"]),
-        quality.chk_unique(w.dim_users, "dim_users", ["user_sk"]),
-        quality.chk_unique(w.dim_documents, "dim_documents", ["document_sk"]),
-        quality.chk_unique(w.dim_documents, "dim_documents", ["document_id"]),
-        quality.chk_unique(w.fact_events, "fact_events", ["event_id"]),
-        quality.chk_unique(w.daily, "fact_daily_user_activity", ["activity_date", "user_sk"]),
-        quality.chk_unique(w.retention, "user_retention_cohorts", ["cohort_month", "activity_month"]),
-        quality.chk_unique(w.funnel, "feature_adoption_funnel", ["feature_name"]),
-        quality.chk_unique(w.churn, "churn_risk_scores", ["user_sk"]),
-    ]
-    return _union(checks)
+    """Every declared key."""
+    t = _tables(w)
+    return _union([quality.chk_unique(t[name], name, keys) for name, all_keys in UNIQUE_KEYS.items() for keys in all_keys])
 
 
 @query("chk_one_current")
@@ -420,15 +409,9 @@ def _chk_foreign_keys(w: Warehouse) -> DataFrame:
 
 @query("chk_lengths")
 def _chk_lengths(w: Warehouse) -> DataFrame:
-    """G5."""
-    checks = [
-        quality.chk_lengths(w.staging, "staging_events"),
-        quality.chk_lengths(w.dim_users, "dim_users"),
-        quality.chk_lengths(w.dim_documents, "dim_documents"),
-        quality.chk_lengths(w.dim_features, "dim_features"),
-        quality.chk_lengths(w.fact_events, "fact_events"),
-    ]
-    return _union(checks)
+    """Every declared limit."""
+    t = _tables(w)
+    return _union([quality.chk_lengths(t[name], name) for name in VARCHAR_LIMITS])
 
 
 @query("chk_reconcile")

@@ -26,13 +26,10 @@ from starloom.operators import dims, facts, marts, profile, staging
 from starloom.operators.keys import next_key_start
 from starloom.schemas import FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 from starloom.session import configure
-from starloom.sources.layers import insert_absent, read_layer, write_layer
+from starloom.sources.layers import complete_step, insert_absent, read_layer, since_step, write_layer
 from starloom.sources.raw import ingest_raw
 
 VIEWS = ("user_retention_cohorts", "feature_adoption_funnel", "churn_risk_scores")
-# Watermark margin for clock steps between runs (the anti-joins make the
-# overlap harmless).
-_MARGIN = _dt.timedelta(minutes=1)
 
 
 @dataclass
@@ -55,15 +52,12 @@ def _observed_write(df: DataFrame, root: str, table: str, mode: str, summary: Ru
     summary.seconds[table] = round(summary.seconds.get(table, 0.0) + time.perf_counter() - t0, 3)
 
 
-def _watermark(prev: DataFrame | None, col: str):
-    """Start of the increment: the latest stamp written by the previous
-    step, minus a minute of margin for clock steps between runs (the
-    anti-joins make the overlap harmless). One MAX, answered from Parquet
-    footers."""
-    if prev is None:
-        return None
-    latest = prev.agg(F.max(col)).first()[0]
-    return None if latest is None else latest - _MARGIN
+def _store_rejects(rejects: DataFrame, core_root: str, summary: RunSummary) -> None:
+    """Rejects not stored yet; rows counted over the steps of a run."""
+    stored = read_layer(rejects.sparkSession, core_root, "staging_rejects")
+    own = RunSummary()
+    _observed_write(staging.new_rejects(rejects, stored), core_root, "staging_rejects", "append", own)
+    summary.rows["staging_rejects"] = summary.rows.get("staging_rejects", 0) + own.rows["staging_rejects"]
 
 
 def new_core_root(base: str) -> str:
@@ -93,40 +87,41 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     # A1: raw, exactly once per event_id.
     raw_prev = read_layer(spark, raw_root, "raw_events")
     if incoming is not None:
-        new_raw = ingest_raw(incoming.select("event_id", "raw_payload", "batch_id"), raw_prev)
+        if quarantine:
+            delivered, undeliverable = staging.split_deliverable(incoming)
+            _store_rejects(undeliverable, core_root, summary)
+        else:
+            delivered = staging.checked_delivery(incoming.select("event_id", "raw_payload", "batch_id"))
+        new_raw = ingest_raw(delivered, raw_prev)
         _observed_write(new_raw.withColumn("loaded_at", F.localtimestamp()), raw_root, "raw_events", "append",
                         summary)
-    raw = read_layer(spark, raw_root, "raw_events")
-    if raw is None:
+    found = since_step(spark, raw_root, "raw_events", core_root, "staging")
+    if found is None:
         return summary
 
-    # B: typed staging rows for payload ids not staged yet (strict). Only raw
-    # rows loaded since the last staging write are parsed; the anti-join
-    # keeps a rerun (or a crash between writes) exact.
+    # B: typed staging rows for payload ids not staged yet (strict). Only the
+    # raw files that staging has not completed are parsed; the anti-join keeps
+    # a rerun (or a crash between writes) exact.
+    candidates, _, raw_files = found
     stg_prev = read_layer(spark, core_root, "staging_events")
-    since = _watermark(stg_prev, "processed_at")
-    candidates = raw if since is None else raw.where(F.col("loaded_at") > F.lit(since))
     if quarantine:
         good, rejects = staging.split_valid(candidates, stg_prev)
-        _observed_write(rejects.withColumn("rejected_at", F.localtimestamp()), core_root, "staging_rejects",
-                        "append", summary)
+        _store_rejects(rejects, core_root, summary)
         new_stg = staging.new_events(good, stg_prev)
     else:
         new_stg = staging.new_events(staging.parse_events(candidates), stg_prev)
     _observed_write(new_stg, core_root, "staging_events", "append", summary)
-    stg = read_layer(spark, core_root, "staging_events")
+    complete_step(spark, core_root, "staging", raw_files)
 
-    # The increment of this load: staging rows processed after the last
-    # completed load (its fact write). A user or document without a row has
-    # all its staging rows in here - every earlier load inserted rows for
-    # everything it staged - so the dimensions aggregate the increment only.
+    # The increment of this load: the staging files that no load has brought
+    # into the facts yet, whoever wrote them. A user or document without a row
+    # has all its staging rows in here - every earlier load inserted rows for
+    # everything it took in - so the dimensions aggregate the increment only.
+    increment, stg_done, stg_files = since_step(spark, core_root, "staging_events", core_root, "facts")
     fact_prev = read_layer(spark, core_root, "fact_events")
-    first_new_sk, since = 0, None
+    first_new_sk = 0
     if fact_prev is not None:
-        top = fact_prev.agg(F.max("event_sk"), F.max("created_at")).first()  # from footers
-        first_new_sk = int(top[0] or 0)
-        since = None if top[1] is None else top[1] - _MARGIN
-    increment = stg if since is None else stg.where(F.col("processed_at") > F.lit(since))
+        first_new_sk = int(fact_prev.agg(F.max("event_sk")).first()[0] or 0)
 
     # Dimensions, insert-if-absent with keys after the max.
     # They do not depend on each other, so their jobs run side by side.
@@ -140,7 +135,9 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
 
     def load_users():
         prev = read_layer(spark, core_root, "dim_users")
-        new = dims.build_dim_users(increment, prev, start=next_key_start(prev, "user_sk"))
+        # Versions are dated by first event when changes, which carry event time, may follow.
+        new = dims.build_dim_users(increment, prev, start=next_key_start(prev, "user_sk"),
+                                   effective_from_first_event=apply_plan_changes)
         _observed_write(new, core_root, "dim_users", "append", summary)
 
     def load_documents():
@@ -164,32 +161,31 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     dates = read_layer(spark, core_root, "dim_date")
 
     # Facts for staging rows not loaded yet: the increment, plus rows a
-    # load drops (dates outside the calendar), which are retried every run;
+    # load dropped (dates outside the calendar), which are retried every run;
     # the anti-join keeps it exact.
-    stg_new = stg
-    if since is not None:
-        lo, hi = dates.agg(F.min("full_date"), F.max("full_date")).first()
-        off_calendar = (F.col("event_timestamp") < F.lit(lo).cast("timestamp_ntz")) | \
-            (F.col("event_timestamp") >= F.date_add(F.lit(hi), 1).cast("timestamp_ntz"))
-        stg_new = stg.where((F.col("processed_at") > F.lit(since)) | off_calendar)
+    lo, hi = dates.agg(F.min("full_date"), F.max("full_date")).first()
+    off_calendar = (F.col("event_timestamp") < F.lit(lo).cast("timestamp_ntz")) | \
+        (F.col("event_timestamp") >= F.date_add(F.lit(hi), 1).cast("timestamp_ntz"))
+    stg_new = increment.unionByName(stg_done.where(off_calendar))
     new_facts = facts.build_fact_events(stg_new, users, docs, features, dates, existing=fact_prev,
                                         event_keys=True, start=first_new_sk)
     _observed_write(new_facts, core_root, "fact_events", "append", summary)
+    complete_step(spark, core_root, "facts", stg_files)
     fact = read_layer(spark, core_root, "fact_events")
 
-    # Daily facts; only the days of facts created since the
-    # last daily refresh (its newest updated_at) are recomputed, so facts of
-    # a load that stopped before this step are picked up by the next one.
+    # Daily facts; only the days of facts in files that no
+    # daily refresh has completed are recomputed, so facts of a load that
+    # stopped before this step are picked up by the next one.
     daily_prev = read_layer(spark, core_root, "fact_daily_user_activity")
-    daily_since = _watermark(daily_prev, "updated_at")
-    if daily_prev is None or daily_since is None:
+    added, _, fact_files = since_step(spark, core_root, "fact_events", core_root, "daily")
+    if daily_prev is None:
         _observed_write(facts.build_daily(fact), core_root, "fact_daily_user_activity", "overwrite", summary)
     else:
-        added = fact.where(F.col("created_at") > F.lit(daily_since))
         refreshed = facts.refresh_daily(fact, daily_prev, added).drop("_action")
         # Materialize before rewriting the partitions it was computed from.
         refreshed = refreshed.checkpoint(eager=True)
         _observed_write(refreshed, core_root, "fact_daily_user_activity", "partitions", summary)
+    complete_step(spark, core_root, "daily", fact_files)
     daily = read_layer(spark, core_root, "fact_daily_user_activity")
 
     # Rollups of the append-only facts, maintained: each merges only the facts

@@ -11,7 +11,7 @@ ratios DOUBLE.
 from __future__ import annotations
 
 from starloom.plans.warehouse import AS_OF, EARLY_CUTOFF
-from starloom.schemas import FEATURE_SEED
+from starloom.schemas import CALENDAR_MONTHS, FEATURE_SEED, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 
 _AS_OF = f"DATE '{AS_OF.isoformat()}'"
 _CUT = f"'{EARLY_CUTOFF}'"
@@ -248,8 +248,9 @@ SELECT 'ok' AS reason, COUNT(DISTINCT event_id) AS n_rows FROM staging""")
 ORACLE["dim_date"] = _w("fact_events", """
 SELECT CAST(date_key AS BIGINT) AS date_key, full_date, CAST(day_of_week AS BIGINT) AS day_of_week, day_name,
        CAST(week_of_year AS BIGINT) AS week_of_year, CAST(month AS BIGINT) AS month, month_name,
-       CAST(quarter AS BIGINT) AS quarter, CAST(year AS BIGINT) AS year, is_weekend
-FROM dim_date WHERE date_key IN (SELECT date_key FROM fact_events)""")
+       CAST(quarter AS BIGINT) AS quarter, CAST(year AS BIGINT) AS year, is_weekend,
+       (SELECT COUNT(*) FROM fact_events f WHERE f.date_key = dim_date.date_key) AS n_events
+FROM dim_date""")
 
 ORACLE["dim_features"] = _w("fact_events", """
 SELECT CAST(f.feature_sk AS BIGINT) AS feature_sk, f.feature_id, f.feature_name, f.feature_category, f.is_premium,
@@ -387,7 +388,7 @@ SELECT 'dim_date' AS table_name, COUNT(*) AS n_rows FROM dim_date
 UNION ALL SELECT 'fact_events', COUNT(*) FROM fact_events
 UNION ALL SELECT 'feature_adoption_funnel', COUNT(*) FROM funnel""")
 
-ORACLE["retention_matrix"] = with_ctes("retention") + """
+ORACLE["retention_matrix"] = _w("retention", f"""
 , rt AS (
   SELECT r.cohort_month, r.months_since_signup,
          CAST(ROUND(100.0 * r.retained_users / s.n, 2) AS DOUBLE) AS rate
@@ -395,26 +396,28 @@ ORACLE["retention_matrix"] = with_ctes("retention") + """
   JOIN (SELECT CAST(date_trunc('month', signup_date) AS DATE) AS cohort_month, COUNT(*) AS n
         FROM dim_users WHERE is_current GROUP BY 1) s ON r.cohort_month = s.cohort_month
   WHERE r.months_since_signup IS NOT NULL)
-SELECT * FROM (PIVOT rt ON months_since_signup USING first(rate) GROUP BY cohort_month)"""
+SELECT cohort_month, {", ".join(f'MAX(rate) FILTER (WHERE months_since_signup = {m}) AS "{m}"' for m in range(CALENDAR_MONTHS))}
+FROM rt GROUP BY cohort_month""")
 
 ORACLE["total_users"] = _w("dim_users", "SELECT COUNT(*) AS total_users FROM dim_users WHERE is_current")
 
 # ------------------------------------------------------------------ quality
-def _not_null(table: str, cols: list[str], label: str | None = None) -> str:
-    parts = [f"SELECT '{label or table}' AS table_name, 'not_null' AS rule, '{c}' AS column_name, "
-             f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {table}" for c in cols]
-    return "\nUNION ALL ".join(parts)
+# Tables by the name that rules are declared under; the load stamps and the
+# facts' own key are set by the load and exist in no query here.
+_RULE_TABLES = {"raw_events": "raw_rows", "staging_events": "staging", "fact_daily_user_activity": "daily",
+                "user_retention_cohorts": "retention", "feature_adoption_funnel": "funnel", "churn_risk_scores": "churn"}
+_RAW_ROWS = ", raw_rows AS (SELECT event_id, event_id AS raw_payload, batch_id FROM staging)\n"
+_LOAD_SET = {"loaded_at", "processed_at", "created_at", "updated_at", "effective_date", "event_sk"}
+
+
+def _rule(kind: str, label: str, name: str, count: str, table: str) -> str:
+    return f"SELECT '{label}' AS table_name, '{kind}' AS rule, '{name}' AS column_name, CAST({count} AS BIGINT) AS violations {table}"
 
 
-ORACLE["chk_not_null"] = _w("daily", "\nUNION ALL ".join([
-    _not_null("staging", ["event_id", "event_type", "event_timestamp", "user_id", "batch_id"], "staging_events"),
-    _not_null("dim_users", ["user_sk", "user_id", "is_current"]),
-    _not_null("dim_documents", ["document_sk", "document_id"]),
-    _not_null("fact_events", ["event_id", "user_sk", "date_key", "event_type", "event_timestamp"]),
-    _not_null("daily", ["activity_date", "user_sk", "total_events", "login_count", "documents_edited",
-                        "documents_created", "total_active_seconds", "distinct_features_used"],
-              "fact_daily_user_activity"),
-]))
+ORACLE["chk_not_null"] = _w("daily", _RAW_ROWS + "\nUNION ALL ".join(
+    _rule("not_null", t, c, "0", "") if c in _LOAD_SET else
+    _rule("not_null", t, c, f"COUNT(*) FILTER (WHERE {c} IS NULL)", f"FROM {_RULE_TABLES.get(t, t)}")
+    for t, columns in NOT_NULL.items() for c in columns))
 
 
 def _unique(table: str, keys: list[str], label: str | None = None) -> str:
@@ -425,17 +428,9 @@ def _unique(table: str, keys: list[str], label: str | None = None) -> str:
             f"FROM (SELECT {k}, COUNT(*) AS n FROM {table} WHERE {nn} GROUP BY {k})")
 
 
-ORACLE["chk_unique"] = _w("churn", "\nUNION ALL ".join([
-    _unique("staging", ["event_id"], "staging_events"),
-    _unique("dim_users", ["user_sk"]),
-    _unique("dim_documents", ["document_sk"]),
-    _unique("dim_documents", ["document_id"]),
-    _unique("fact_events", ["event_id"]),
-    _unique("daily", ["activity_date", "user_sk"], "fact_daily_user_activity"),
-    _unique("retention", ["cohort_month", "activity_month"], "user_retention_cohorts"),
-    _unique("funnel", ["feature_name"], "feature_adoption_funnel"),
-    _unique("churn", ["user_sk"], "churn_risk_scores"),
-]))
+ORACLE["chk_unique"] = _w("daily retention funnel churn", _RAW_ROWS + "\nUNION ALL ".join(
+    _rule("unique", t, ",".join(keys), "0", "") if set(keys) & _LOAD_SET else _unique(_RULE_TABLES.get(t, t), keys, t)
+    for t, all_keys in UNIQUE_KEYS.items() for keys in all_keys))
 
 ORACLE["chk_one_current"] = _w("dim_users", """
 SELECT 'dim_users' AS table_name, 'one_current' AS rule, 'user_id' AS column_name,
@@ -467,18 +462,8 @@ def _lengths(table: str, limits: dict[str, int], label: str) -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def _length_sql() -> str:
-    from starloom.schemas import VARCHAR_LIMITS as L
-    return "\nUNION ALL ".join([
-        _lengths("staging", L["staging_events"], "staging_events"),
-        _lengths("dim_users", L["dim_users"], "dim_users"),
-        _lengths("dim_documents", L["dim_documents"], "dim_documents"),
-        _lengths("dim_features", L["dim_features"], "dim_features"),
-        _lengths("fact_events", L["fact_events"], "fact_events"),
-    ])
-
-
-ORACLE["chk_lengths"] = _w("fact_events", _length_sql())
+ORACLE["chk_lengths"] = _w("fact_events", _RAW_ROWS + "\nUNION ALL ".join(
+    _lengths(_RULE_TABLES.get(t, t), limits, t) for t, limits in VARCHAR_LIMITS.items()))
 
 ORACLE["chk_reconcile"] = _w("daily", """
 SELECT COALESCE(f.activity_date, d.activity_date) AS activity_date,

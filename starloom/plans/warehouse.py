@@ -130,6 +130,12 @@ class Warehouse:
     def fact_events(self) -> DataFrame:
         return self.fact_for(self.staging)
 
+    @cached_property
+    def keyed_fact_events(self) -> DataFrame:
+        """The facts with their own keys, as a load stores them."""
+        return facts.build_fact_events(self.staging, self.dim_users, self.dim_documents, self.dim_features,
+                                       self.dim_date, event_keys=True)
+
     @cached_property
     def daily(self) -> DataFrame:
         return facts.build_daily(self.fact_events)

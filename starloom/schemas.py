@@ -59,6 +59,9 @@ EVENT_TYPE_WEIGHTS = [
 # Platform weights (percent).
 PLATFORM_WEIGHTS = [("web", 60), ("mobile", 25), ("desktop", 10), ("api", 5)]
 
+# Months of the calendar (2020 to 2026): the span that a cohort can be followed.
+CALENDAR_MONTHS = 84
+
 # Length limits of the VARCHAR columns, per table.
 VARCHAR_LIMITS = {
     "raw_events": {"event_id": 255, "batch_id": 255},
@@ -223,7 +226,18 @@ FACT_DAILY = T.StructType([
     T.StructField("updated_at", NTZ, False),
 ])
 
+STAGING_REJECTS = T.StructType([
+    T.StructField("event_id", T.StringType(), True),
+    T.StructField("batch_id", T.StringType(), True),
+    T.StructField("raw_payload", T.StringType(), True),
+    T.StructField("reasons", T.ArrayType(T.StringType()), True),
+    T.StructField("n_rows", T.LongType(), True),
+    T.StructField("rejected_at", NTZ, True),
+    T.StructField("reject_id", T.StringType(), True),
+])
+
 LAYER_SCHEMAS = {
+    "staging_rejects": STAGING_REJECTS,
     "raw_events": RAW_EVENTS,
     "staging_events": STAGING_EVENTS,
     "dim_users": DIM_USERS,

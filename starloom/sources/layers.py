@@ -8,6 +8,7 @@ steps read and rewrite only the partitions they touch.
 from __future__ import annotations
 
 import os
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,46 @@ def read_layer(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     return spark.read.schema(T.StructType(fields)).parquet(layer_path(root, table))
 
 
+def _read_files(spark: SparkSession, root: str, table: str, like: DataFrame, files: list[str]) -> DataFrame:
+    if not files:
+        return like.where(F.lit(False))
+    # inputFiles() gives URIs; a path is their decoded form.
+    return spark.read.schema(like.schema).option("basePath", layer_path(root, table)).parquet(*map(unquote, files))
+
+
+def since_step(spark: SparkSession, root: str, table: str, state_root: str,
+               step: str) -> tuple[DataFrame, DataFrame, list[str]] | None:
+    """An append-only layer as its files that ``step`` has not completed yet,
+    those that it has, and the names of the former (see ``complete_step``);
+    None when the layer was never written.
+
+    A layer's files are written once and never changed, so the set of files
+    says exactly which rows a step has seen, whatever the clocks of the writers
+    and however late a commit becomes visible. The names are file listings,
+    which reading the layer needs anyway; no stored row is scanned."""
+    layer = read_layer(spark, root, table)
+    if layer is None:
+        return None
+    files, state = layer.inputFiles(), os.path.join(state_root, "read_state")
+    done: set[str] = set()
+    if exists(spark, state, step):
+        done = {r.file for r in spark.read.schema("file string").parquet(layer_path(state, step)).collect()}
+    new = [f for f in files if f not in done]
+    if len(new) == len(files):
+        return layer, layer.where(F.lit(False)), new
+    return (_read_files(spark, root, table, layer, new),
+            _read_files(spark, root, table, layer, [f for f in files if f in done]), new)
+
+
+def complete_step(spark: SparkSession, state_root: str, step: str, files: list[str]) -> None:
+    """Record that ``step`` has stored its result for ``files``. Called after the
+    result is committed: a crash in between makes the step see the files
+    again, and its insert-if-absent keeps the result exact."""
+    if files:
+        spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.mode("append") \
+            .parquet(layer_path(os.path.join(state_root, "read_state"), step))
+
+
 def write_layer(df: DataFrame, root: str, table: str, mode: str = "append", observation=None) -> None:
     """Write one layer.
 

@@ -17,13 +17,15 @@ from pyspark.sql import types as T
 
 from starloom.operators import staging
 from starloom.session import configure
-from starloom.sources.layers import read_layer, write_layer
+from starloom.sources.layers import complete_step, read_layer, since_step, write_layer
 from starloom.sources.raw import ingest_raw
 
 LANDING_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType(), True),
     T.StructField("raw_payload", T.StringType(), True),
     T.StructField("batch_id", T.StringType(), True),
+    # A line that is no such row, as it landed.
+    T.StructField("_corrupt_record", T.StringType(), True),
 ])
 
 
@@ -33,22 +35,36 @@ def land(raw: DataFrame, landing_dir: str) -> None:
 
 
 def load_micro_batch(batch: DataFrame, raw_root: str, core_root: str) -> None:
-    """One micro-batch: new raw rows (exactly once by event_id), then their
-    staging rows. Rows that do not parse or validate go to the
+    """One micro-batch: new raw rows (exactly once by event_id), then the
+    staging rows of every raw file that staging has not completed - those of
+    this batch, and those of an earlier one that stopped between the two
+    writes. Rows that raw cannot store, and rows that do not parse or validate, go to the
     ``staging_rejects`` table with their reasons instead of failing the
-    stream (B9), so one bad event cannot stop ingestion."""
+    stream (B9), so one bad event cannot stop ingestion and none is lost."""
     spark = batch.sparkSession
-    incoming = batch.where(F.col("event_id").isNotNull() & F.col("raw_payload").isNotNull()
-                           & F.col("batch_id").isNotNull())
-    raw_prev = read_layer(spark, raw_root, "raw_events")
-    new_raw = ingest_raw(incoming, raw_prev).withColumn("loaded_at", F.localtimestamp())
-    # Materialize the new rows once: they are written and then parsed.
-    new_raw = new_raw.checkpoint(eager=True)
-    write_layer(new_raw, raw_root, "raw_events", "append")
+    good_raw, bad_raw = staging.split_deliverable(batch)
+    new_raw = ingest_raw(good_raw, read_layer(spark, raw_root, "raw_events"))
+    write_layer(new_raw.withColumn("loaded_at", F.localtimestamp()), raw_root, "raw_events", "append")
+    store_rejects(bad_raw, core_root)
+    stage_new_raw(spark, raw_root, core_root)
+
+
+def store_rejects(rejects: DataFrame, core_root: str) -> None:
+    stored = read_layer(rejects.sparkSession, core_root, "staging_rejects")
+    write_layer(staging.new_rejects(rejects, stored), core_root, "staging_rejects", "append")
+
+
+def stage_new_raw(spark: SparkSession, raw_root: str, core_root: str) -> None:
+    """Staging rows and rejects of the raw files that staging has not completed."""
+    found = since_step(spark, raw_root, "raw_events", core_root, "staging")
+    if found is None or not found[2]:
+        return
+    candidates, _, files = found
     stg_prev = read_layer(spark, core_root, "staging_events")
-    good, rejects = staging.split_valid(new_raw, stg_prev)
+    good, rejects = staging.split_valid(candidates, stg_prev)
+    store_rejects(rejects, core_root)
     write_layer(staging.new_events(good, stg_prev), core_root, "staging_events", "append")
-    write_layer(rejects.withColumn("rejected_at", F.localtimestamp()), core_root, "staging_rejects", "append")
+    complete_step(spark, core_root, "staging", files)
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, raw_root: str, core_root: str, checkpoint: str,

@@ -1,5 +1,7 @@
 import datetime as dt
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import quality
@@ -133,7 +135,7 @@ def test_stream_on_a_processing_time_trigger(spark):
     assert read_layer(spark, f"{base}/core", "staging_events").count() == w.staging.count()
 
 
-def test_daily_catches_up_after_a_load_stopped_before_it(spark):
+def test_daily_catches_up_after_a_load_stopped_before_it(spark, monkeypatch):
     """Facts written by a load that stopped before its daily step reach the
     daily table in the next load."""
     w = Warehouse(spark, SF)
@@ -142,12 +144,14 @@ def test_daily_catches_up_after_a_load_stopped_before_it(spark):
     raw = w.raw.select("event_id", "raw_payload", "batch_id")
     as_of = dt.date(2024, 7, 15)
     daily_load.run_load(spark, f"{base}/raw", core, raw.where(F.col("batch_id") <= EARLY_CUTOFF), as_of)
-    # Simulate the second load stopping right after its fact write: run it
-    # against a copy of the core root, then restore the previous daily rows.
-    before = read_layer(spark, core, "fact_daily_user_activity").checkpoint(eager=True)
-    daily_load.run_load(spark, f"{base}/raw", core, raw, as_of)
-    from starloom.sources.layers import write_layer
-    write_layer(before, core, "fact_daily_user_activity", "overwrite")
+    # The second load stops right after its fact write.
+
+    def crash(*_):
+        raise RuntimeError("stopped")
+    monkeypatch.setattr(daily_load.facts, "refresh_daily", crash)
+    with pytest.raises(RuntimeError, match="stopped"):
+        daily_load.run_load(spark, f"{base}/raw", core, raw, as_of)
+    monkeypatch.undo()
     daily_load.run_load(spark, f"{base}/raw", core, None, as_of)  # nothing new delivered
     daily = read_layer(spark, core, "fact_daily_user_activity")
     fact = read_layer(spark, core, "fact_events")
@@ -182,3 +186,95 @@ def test_load_quarantines_or_fails_on_bad_events(spark, raw_rows):
                                   quarantine=True)
     assert summary.rows["staging_events"] == 1 and summary.rows["staging_rejects"] == 1
     assert read_layer(spark, f"{base}/q/core", "fact_events").count() == 1
+
+
+def _events(raw_rows, ids, **kw):
+    from conftest import event
+    return raw_rows([(i, event(i, **kw), "b1") for i in ids])
+
+
+def _ids(spark, root, table):
+    df = read_layer(spark, root, table)
+    return [] if df is None else sorted(r.event_id for r in df.select("event_id").collect())
+
+
+def test_stream_replay_after_a_crash_between_the_writes(spark, raw_rows, monkeypatch):
+    base = scratch_path(spark, "test-crash")
+    batch = _events(raw_rows, ["a", "b"])
+
+    def crash(*_):
+        raise RuntimeError("stopped")
+    monkeypatch.setattr(stream, "stage_new_raw", crash)
+    with pytest.raises(RuntimeError):
+        stream.load_micro_batch(batch, f"{base}/raw", f"{base}/core")
+    monkeypatch.undo()
+    assert _ids(spark, f"{base}/raw", "raw_events") == ["a", "b"]
+    for _ in range(2):
+        stream.load_micro_batch(batch, f"{base}/raw", f"{base}/core")
+        assert _ids(spark, f"{base}/core", "staging_events") == ["a", "b"]
+        assert _ids(spark, f"{base}/raw", "raw_events") == ["a", "b"]
+
+
+def test_staging_committed_during_a_load_with_an_old_stamp(spark, raw_rows):
+    """Rows whose stamps lie before the newest fact still reach the facts."""
+    from starloom.operators import staging
+    from starloom.sources.layers import write_layer
+    base = scratch_path(spark, "test-late")
+    raw_root, core = f"{base}/raw", f"{base}/core"
+    daily_load.run_load(spark, raw_root, core, _events(raw_rows, ["a"]))
+    late = staging.parse_events(_events(raw_rows, ["late"])).withColumn(
+        "processed_at", F.localtimestamp() - F.expr("INTERVAL 1 DAY"))
+    write_layer(late, core, "staging_events", "append")
+    for _ in range(2):
+        daily_load.run_load(spark, raw_root, core, _events(raw_rows, ["a"]))
+        assert _ids(spark, core, "fact_events") == ["a", "late"]
+    daily = read_layer(spark, core, "fact_daily_user_activity")
+    assert daily.agg(F.sum("total_events")).first()[0] == 2
+
+
+def test_rejects_are_stored_once_and_nothing_is_dropped(spark, raw_rows):
+    from conftest import event
+    base = scratch_path(spark, "test-rejects")
+    rows = spark.createDataFrame(
+        [("ok", json.dumps(event("ok")), "b"), (None, json.dumps(event("n")), "b"), ("p", None, "b"), ("bad", "{broken", "b"),
+         ("q", json.dumps(event("q")), None), ("ip", json.dumps(event("ip", ctx={"platform": "web", "ip_address": "300.0.0.1"})), "b")],
+        "event_id string, raw_payload string, batch_id string")
+    for _ in range(3):
+        daily_load.run_load(spark, f"{base}/raw", f"{base}/core", rows, quarantine=True)
+    assert _ids(spark, f"{base}/raw", "raw_events") == ["ip", "ok"]
+    assert _ids(spark, f"{base}/core", "staging_events") == ["ok"]
+    want = ["bad_ip", "malformed_json", "missing_batch_id", "missing_event_id", "missing_raw_payload"]
+    reasons = lambda root: sorted(x for r in read_layer(spark, root, "staging_rejects").collect() for x in r.reasons)
+    assert reasons(f"{base}/core") == want
+    # The same through the stream, with a line that is no JSON at all.
+    stream.land(rows, f"{base}/landing")
+    spark.createDataFrame([("{no json",)], "value string").coalesce(1).write.mode("append").text(f"{base}/landing")
+    stream.stream_ingest(spark, f"{base}/landing", f"{base}/raw2", f"{base}/core2", f"{base}/ckpt")
+    assert reasons(f"{base}/core2") == sorted([*want, "malformed_line"])
+
+
+def test_strict_load_fails_before_a_malformed_event_is_stored(spark, raw_rows):
+    base = scratch_path(spark, "test-strict")
+    with pytest.raises(Exception, match="invalid raw event"):
+        daily_load.run_load(spark, f"{base}/raw", f"{base}/core", raw_rows([("x", "{broken", "b")]))
+    daily_load.run_load(spark, f"{base}/raw", f"{base}/core", _events(raw_rows, ["a"]))
+    assert _ids(spark, f"{base}/raw", "raw_events") == ["a"]
+
+
+def test_plan_changes_in_the_stored_load_follow_event_time(spark, raw_rows):
+    from conftest import event
+    base = scratch_path(spark, "test-plan")
+    rows = raw_rows([("1", event("1", ts="2024-03-01T10:00:00.000000Z"), "b"),
+                     ("2", event("2", "subscription_upgraded", ts="2024-03-02T10:00:00.000000Z", props={"plan": "pro"}), "b"),
+                     ("3", event("3", "subscription_upgraded", ts="2024-03-02T10:00:00.000000Z", props={"plan": "enterprise"}), "b")])
+    counts = []
+    for _ in range(2):
+        daily_load.run_load(spark, f"{base}/raw", f"{base}/core", rows, apply_plan_changes=True)
+        users = read_layer(spark, f"{base}/core", "dim_users")
+        assert [r.current_plan for r in users.where("is_current").collect()] == ["enterprise"]
+        counts.append(users.count())
+    assert counts[0] == counts[1]
+    # The same changes applied to the result open nothing either.
+    from starloom.operators import dims, profile
+    changes = profile.plan_changes(read_layer(spark, f"{base}/core", "staging_events"))
+    assert dims.apply_scd2(users, changes, 100).count() == counts[0]

@@ -37,3 +37,10 @@ def test_is_inet_agrees_with_ipaddress(spark, good, bad):
     got = _check(spark, good + bad)
     assert all(got[v] for v in good)
     assert not any(got[v] for v in bad)
+
+
+def test_inet_edges(spark):
+    good = ["::abcd:1.2.3.4", "1::2:1.2.3.4", "1:2:3:4:5:6:1.2.3.4", "::", "::1.2.3.4", "::1:2:3:4:5:6:7", "1:2:3:4:5:6:7::", "1:2:3:4:5::1.2.3.4"]
+    bad = ["1.2.3.4\n", "::1\n", "1:2:3:4:5:6:7:8::", "1:2:3:4:5:6::1.2.3.4", "1::2::3", "1.2.3.4 ", "1:2:3:4:5:6:7:1.2.3.4"]
+    got = _check(spark, good + bad)
+    assert [v for v in good if not got[v]] == [] and [v for v in bad if got[v]] == []
