@@ -328,7 +328,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--raw-root", required=True)
     p.add_argument("--core-root", required=True)
     p.add_argument("--as-of", help="reference date of the churn view (default: today)")
-    p.add_argument("--master", default="local[*]")
+    p.add_argument("--master", help="e.g. local[*] (default: what spark-submit or the cluster set)")
     p.add_argument("--apply-plan-changes", action="store_true")
     p.add_argument("--quarantine", action="store_true", help="set invalid events aside instead of failing")
     p.add_argument("--check", action="store_true", help="also run the quality report; exit 1 on violations")

@@ -53,17 +53,23 @@ def _local_heap() -> str:
         return "4g"
 
 
-def build_session(master: str = "local[8]", app: str = "starloom", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", app: str = "starloom", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
-    """A session for tests and local runs (UI off, UTC, AQE)."""
+    """A session for tests and local runs (UI off, UTC, AQE). With
+    ``master=None`` the master, memory and partition settings are those of the launcher
+    (spark-submit, a cluster's defaults) and only the settings that results
+    depend on are added."""
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = (
+            builder.master(master)
+            .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
+            .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+            .config("spark.driver.memory", _local_heap())
+        )
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", _local_heap())
+        builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Remove reliable checkpoints once nothing references them.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -78,11 +84,15 @@ def build_session(master: str = "local[8]", app: str = "starloom", shuffle_parti
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, a laptop) a folder
-    under the system temp dir is set once for this session.
+    Read from the session; only when it is unset in a local session (tests, a
+    laptop) a folder under the system temp dir is set once for this session.
+    On a cluster an unset folder is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         path = tempfile.mkdtemp(prefix="starloom-ckpt-")
