@@ -331,12 +331,12 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     words = rows.mapInArrow(_list_words(model), _WORD_ROW)
     n = F.char_length("word")
     shortest = 2 if model.bpe else 1
-    lengths = lambda s: F.transform(F.sequence(F.lit(shortest), F.least(F.lit(model.longest), n - s)), lambda e: F.struct(
-        s.alias("start"), (s + e).cast("int").alias("end")))
-    spans = F.when(n >= shortest, F.flatten(F.transform(F.sequence(F.lit(0), n - shortest), lengths)))
-    exploded = words.select("*", F.explode_outer(spans).alias("span")).select(
-        "word_no", "word", "start_over", "docs", F.col("span.start").alias("start"), F.col("span.end").alias("end"),
-        F.col("word").substr(F.col("span.start") + 1, F.col("span.end") - F.col("span.start")).alias("sub"))
+    # Rows of documents have no word and pass through both explodes once.
+    starts = words.select("*", F.explode_outer(F.when(n >= shortest, F.sequence(F.lit(0), n - shortest))).alias("start"))
+    longest = F.least(F.lit(model.longest), n - F.col("start"))
+    spans = starts.select("*", F.explode_outer(F.when(F.col("start").isNotNull(), F.sequence(F.lit(shortest), longest))).alias("size"))
+    exploded = spans.select("word_no", "word", "start_over", "docs", "start", (F.col("start") + F.col("size")).alias("end"),
+                            F.col("word").substr(F.col("start") + 1, F.col("size")).alias("sub"))
     joined = exploded.join(F.broadcast(piece_table(spark, model)), "sub", "left")
     if not model.bpe:
         # A character that is no piece of its own still is an edge, at the unknown's price.
