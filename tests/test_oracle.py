@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from starloom.plans.catalog import QUERIES
+from starloom.plans.oracle import ORACLE
 from starloom.sources.driver import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -38,14 +40,15 @@ def _rows(tbl):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SKIP_SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP_SLOW))
 def test_query_matches_oracle(spark, duck, name):
     got = queries()[name](spark, SF).toArrow()
     exp = duck.sql(oracle_sql()[name]).to_arrow_table()
