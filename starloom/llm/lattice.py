@@ -52,7 +52,6 @@ SPACE = "▁"  # fixed value of the format: an escaped space
 LONG = 60
 WORDS = 300_000
 DOCS = 64  # documents that travel together
-_WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 @dataclass(frozen=True)
@@ -65,14 +64,15 @@ class Pieces:
     byte_id: tuple[int, ...]
     unknown: int
     longest: int
-    parting: str  # pattern of the places inside a word that no piece crosses
+    words: str  # pattern of the words of a normalised text
     spelled: tuple[bytes, ...]  # text of every id
 
 
-def parting(pieces: list[str], few: int = 3) -> str:
-    """Pattern of the empty places between letters or digits and punctuation
-    that stand side by side in no piece. Punctuation with up to ``few``
-    alphanumeric neighbours counts; those neighbours do not."""
+def word_pattern(pieces: list[str], few: int = 3) -> str:
+    """Pattern of the words of a normalised text. A word starts at a run of
+    escaped spaces, and between letters or digits and punctuation that stand side
+    by side in no piece. Punctuation with up to ``few`` alphanumeric neighbours
+    counts as such; those neighbours, and all other characters, never part."""
     beside: dict[str, set[str]] = {}
     for p in pieces:
         for a, b in zip(p, p[1:]):
@@ -83,10 +83,11 @@ def parting(pieces: list[str], few: int = 3) -> str:
                         beside[mark].add(other)
     marks = {m for m, others in beside.items() if len(others) <= few}
     if not marks:
-        return ""
+        return f"{SPACE}*[^{SPACE}]+|{SPACE}+"
     spared = "".join(map(re.escape, sorted({o for m in marks for o in beside[m]})))
-    plain, mark = f"[^\\W_{spared}]", "[" + "".join(map(re.escape, sorted(marks))) + "]"
-    return f"(?<={plain})(?={mark})|(?<={mark})(?={plain})"
+    among = "".join(map(re.escape, sorted(marks)))
+    run, rest = f"(?:[^\\W_{spared}]+|[{among}]+)", f"(?:(?![{SPACE}{among}])[\\W_{spared}])+"
+    return f"{SPACE}*(?:{run}(?:{rest}{run}?)*|(?:{rest}{run}?)+)|{SPACE}+"
 
 
 def load(path: str) -> Pieces:
@@ -110,7 +111,7 @@ def load(path: str) -> Pieces:
     spelled[unknown] = model.trainer_spec.unk_surface.encode()
     return Pieces(model.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE, rules.add_dummy_prefix, normal,
                   tuple(byte[b] for b in range(256)) if len(byte) == 256 else (), unknown,
-                  max((len(p) for p, _, _ in normal), default=0), parting([p for p, _, _ in normal]), tuple(spelled))
+                  max((len(p) for p, _, _ in normal), default=0), word_pattern([p for p, _, _ in normal]), tuple(spelled))
 
 
 # ---------------------------------------------------------------- folds
@@ -226,17 +227,7 @@ def split_words(text: str, model: Pieces) -> list[str]:
     where letters and punctuation meet that no piece holds side by side."""
     if not text:
         return []
-    words = _WORD.findall((SPACE if model.prefix else "") + text.replace(" ", SPACE))
-    if not model.parting:
-        return words
-    part = re.compile(model.parting).split
-    out = []
-    for w in words:
-        if w.lstrip(SPACE).isalnum():
-            out.append(w)
-        else:
-            out += part(w)
-    return out
+    return re.findall(model.words, (SPACE if model.prefix else "") + text.replace(" ", SPACE))
 
 
 _EDGE = "struct<key: double, start: int, end: int>"

@@ -189,12 +189,13 @@ def test_classifier_without_or_with_one_class():
         assert len(quality.statistics(text)) == width and np.isfinite(quality.statistics(text)).all()
 
 
-def test_parting_never_cuts_a_piece():
+def test_words_never_cut_a_piece():
     model = lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
-    assert lattice.split_words("Ab,c.", model) == ["▁Ab", ",", "c", "."]
-    import re
-    part = re.compile(model.parting)
-    assert model.parting and not any(part.search(p) for p, _, _ in model.pieces)
+    assert lattice.split_words("Ab,c.  d ", model) == ["▁Ab", ",", "c", ".", "▁▁d", "▁"]
+    for text in [*ODD, *(p.replace("▁", " ") for p, _, _ in model.pieces[::7])]:
+        assert "".join(lattice.split_words(text, model)) == (("▁" + text.replace(" ", "▁")) if text else "")
+    bare = lambda p: lattice.split_words(p.lstrip("▁").replace("▁", " "), model)
+    assert all(len(bare(p)) == 1 for p, _, _ in model.pieces if p.strip("▁"))
 
 
 def test_long_words_fold_as_the_library_does():
