@@ -20,6 +20,7 @@ from starloom.plans import daily_load
 from starloom.plans.warehouse import EARLY_CUTOFF, Warehouse
 from starloom.schemas import CALENDAR_MONTHS, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 from starloom.session import scratch_path
+from starloom.sources.layers import read_layer
 from starloom.sources.raw import ingest_raw, raw_inventory, stamp_batch
 from starloom.streaming import ingest as stream
 
@@ -483,7 +484,6 @@ def _stream_ingest(w: Warehouse) -> DataFrame:
     stream.stream_ingest(spark, landing, raw_root, core_root, f"{base}/checkpoint")
     stream.land(raw, landing)
     stream.stream_ingest(spark, landing, raw_root, core_root, f"{base}/checkpoint")
-    from starloom.sources.layers import read_layer
     return read_layer(spark, core_root, "staging_events").select("event_id", "batch_id", "event_type", "user_id")
 
 
@@ -506,6 +506,28 @@ def _daily_load(w: Warehouse) -> DataFrame:
     return daily_load.layer_counts(w.spark, raw_root, core_root)
 
 
+@query("reset_rebuild")
+def _reset_rebuild(w: Warehouse) -> DataFrame:
+    """H2: downstream layers rebuilt under a new core root from the kept raw
+    layer; rows per stored table."""
+    raw_root, core_root, _ = _run_two_loads(w)
+    fresh = daily_load.new_core_root(core_root.rsplit("/", 1)[0])
+    daily_load.run_load(w.spark, raw_root, fresh, None, w.as_of)
+    return daily_load.layer_counts(w.spark, raw_root, fresh)
+
+
+@query("stored_user_versions")
+def _stored_user_versions(w: Warehouse) -> DataFrame:
+    """C3 in the stored load: user versions after a load that applies the
+    subscription events, and a rerun of it that must add nothing."""
+    base = scratch_path(w.spark, "versions-load")
+    raw = w.raw.select("event_id", "raw_payload", "batch_id")
+    for _ in range(2):
+        daily_load.run_load(w.spark, f"{base}/raw", f"{base}/core", raw, w.as_of, apply_plan_changes=True)
+    return read_layer(w.spark, f"{base}/core", "dim_users").select(
+        "user_id", "current_plan", "account_status", "is_current", "effective_date", "end_date")
+
+
 @query("run_summary")
 def _run_summary(w: Warehouse) -> DataFrame:
     """H3: rows written per table over the two runs, from the writes'

@@ -534,3 +534,5 @@ UNION ALL SELECT 'fact_daily_user_activity', COUNT(*) FROM daily""")
 
 ORACLE["daily_load"] = _COUNTS
 ORACLE["run_summary"] = _COUNTS.rsplit("\nUNION ALL", 1)[0]
+ORACLE["reset_rebuild"] = _COUNTS
+ORACLE["stored_user_versions"] = ORACLE["dim_users_scd2"]

@@ -12,7 +12,7 @@ from starloom.plans.oracle import ORACLE
 from starloom.sources.driver import TABLES
 
 SF = "/root/testdata/sf0.001"
-SKIP_SLOW = {"daily_load", "run_summary", "stream_ingest"}  # covered in test_daily_load
+SKIP_SLOW = {"daily_load", "run_summary", "stream_ingest", "reset_rebuild"}  # covered in test_daily_load
 
 
 @pytest.fixture(scope="module")
