@@ -3,20 +3,19 @@
 A text's terms are its distinct words, A-Z lower-cased and without punctuation
 at their ends. The lexicon keeps the terms whose document frequency, counted over
 all documents, lies in a band: at least ``low`` and at most ``high`` of all documents.
-LEXICONS random subsets of it, of different densities, are fixed by a hash of
-the term. In each, a text's terms are sorted and hashed to 16 bits; the
+LEXICONS random subsets of it, of different densities, are drawn by a hash of
+the term, each on its own. In each, a text's terms are sorted and hashed to 16 bits; the
 fingerprint is the row of these hashes. A likeness is the share of the
 lexicons, among those in which either text has terms, where both hashes agree:
 dense lexicons tell small changes of short texts, sparse ones keep agreeing
 for texts of which half has changed.
 
-Only a term that some lexicon can hold is counted (one in BASE, by hash). As every
-kept term occurs in at least ``low`` of the documents, there are at most (mean distinct
-terms of a text) / (low * BASE) of them, however many documents: that
-bound makes them fit for a broadcast, and it is checked.
+Every term is counted. As every kept term occurs in at least ``low`` of the
+documents, there are at most (mean distinct terms of a text) / low of them, however
+many documents: that bound makes them fit for a broadcast, and it is checked.
 
-Defined results: null texts are empty; a text without terms of the lexicon
-has a fingerprint of its whole text instead, like only to itself; every row
+Defined results: null texts are empty; a text without terms in any of the
+lexicons has a fingerprint of its whole text instead, like only to itself; every row
 gives a row, repeated rows too; an empty table gives an empty result.
 """
 
@@ -39,23 +38,31 @@ from pyspark.sql import types as T
 from starloom.llm.common import col, collect_longs, slices, text_or_empty
 from starloom.llm.near_dup import _hash, mix
 
-BASE = 2  # one term in so many is in a lexicon
-LEVELS, PER_LEVEL = 8, 12  # densities 1/BASE, half of it, ..., with so many lexicons each
+LEVELS, PER_LEVEL = 8, 12  # densities 1/2, 1/4, ..., with so many lexicons each
 LEXICONS = LEVELS * PER_LEVEL
 LOW, HIGH = 2e-4, 0.1
-MOST_TERMS = 4_000_000  # of a lexicon: 32 MB
+MOST_TERMS = 8_000_000  # of the band: 64 MB
 FLUSH_TERMS = 500_000  # counted in a task before they are passed on
 ENDS = b".,;:!?\"'()[]{}<>|#$%&*-_=+/\\~^@`"
 
+# A level has bits of the dice for itself: 1 + 2 + ... + LEVELS of 64.
+_MASKS = [np.uint64(((1 << (level + 1)) - 1) << (level * (level + 1) // 2)) for level in range(LEVELS)]
 _SEED = np.arange(1, PER_LEVEL + 1, dtype=np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)
 
 
 def terms(text: str) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the terms a lexicon can hold."""
+    """Sorted distinct 64-bit hashes of the terms."""
     words = {w.strip(ENDS) for w in text.encode("utf-8", "surrogatepass").lower().split()}
     words.discard(b"")
-    h = np.fromiter(map(_hash.__getitem__, words), np.uint64, len(words))
-    return np.unique(h[h % np.uint64(BASE) == 0])
+    return np.unique(np.fromiter(map(_hash.__getitem__, words), np.uint64, len(words)))
+
+
+def members(t: np.ndarray) -> Iterator[np.ndarray]:
+    """For each level, which terms (columns) its lexicons (rows) hold."""
+    with np.errstate(over="ignore"):
+        dice = mix(t[None, :] + _SEED)
+    for mask in _MASKS:
+        yield (dice & mask) == 0
 
 
 def fingerprint(text: str, lexicon: np.ndarray) -> str:
@@ -65,31 +72,45 @@ def fingerprint(text: str, lexicon: np.ndarray) -> str:
         t = t[lexicon[np.minimum(np.searchsorted(lexicon, t), len(lexicon) - 1)] == t]
     else:
         t = t[:0]
-    if not len(t):
-        return "t" + hashlib.sha1(text.encode("utf-8", "surrogatepass")).hexdigest()
-    with np.errstate(over="ignore"):
-        dice = mix(t[None, :] + _SEED)
     out = []
-    for level in range(LEVELS):
-        member = (dice & np.uint64((1 << level) - 1)) == 0
+    for level, member in enumerate(members(t)):
         for seed in range(PER_LEVEL):
             own = t[member[seed]]
             out.append(xxhash.xxh3_64_intdigest(own.tobytes(), seed=seed) % 0xFFFF + 1 if len(own) else 0)
+    if not any(out):
+        return "t" + hashlib.sha1(text.encode("utf-8", "surrogatepass")).hexdigest()
     return "i" + np.array(out, ">u2").tobytes().hex()
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    waiting: list[np.ndarray] = []
+
+    def merge() -> None:
+        nonlocal found, counts
+        new, n = np.unique(np.concatenate([found[:0], *waiting]), return_counts=True)
+        both, at = np.unique(np.concatenate([found, new]), return_inverse=True)
+        total = np.zeros(len(both), np.int64)
+        total[at[:len(found)]] = counts
+        total[at[len(found):]] += n
+        found, counts = both, total
+        waiting.clear()
+
     def flush() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.fromiter(counts, np.uint64, len(counts)).view(np.int64)),
-                                           pa.array(list(counts.values()), pa.int64())], ["term", "n"])
-    counts: dict[int, int] = {}
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["term", "n"])
+
+    n_waiting = 0
     for b in slices(batches):
         for text in b.column("text").to_pylist():
-            for t in terms(text).tolist():
-                counts[t] = counts.get(t, 0) + 1
-        if len(counts) > FLUSH_TERMS:
-            yield flush()
-            counts.clear()
+            waiting.append(terms(text))
+            n_waiting += len(waiting[-1])
+        if n_waiting > FLUSH_TERMS:
+            merge()
+            n_waiting = 0
+            if len(found) > FLUSH_TERMS:
+                yield flush()
+                found, counts = found[:0], counts[:0]
+    merge()
     yield flush()
 
 
@@ -105,9 +126,24 @@ def fit_lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: flo
     return np.sort(found.view(np.uint64))
 
 
-def fingerprints(df: DataFrame, lexicon: np.ndarray, texts: list[str]) -> DataFrame:
-    """``df`` with each of the text columns ``texts`` replaced by its fingerprint."""
+def like(x: str, y: str) -> float:
+    """Share of agreeing lexicons of two fingerprints, 0 to 1."""
+    if x == y:
+        return 1.0
+    if x[0] != "i" or y[0] != "i":
+        return 0.0
+    p, q = (np.frombuffer(bytes.fromhex(v[1:]), ">u2") for v in (x, y))
+    either = (p > 0) | (q > 0)
+    return float(((p == q) & either).sum() / max(1, either.sum()))
+
+
+def fingerprints(df: DataFrame, lexicon: np.ndarray, texts: list[str],
+                 near: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """``df`` with each of the text columns ``texts`` replaced by its fingerprint,
+    and a column for each of ``near``: the likeness of those two. It is taken in the
+    same worker: a second one a task would cost its memory again."""
     sent = df.sparkSession.sparkContext.broadcast(lexicon)
+    near = near or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A next document's text comes again as the next row's own.
@@ -118,26 +154,21 @@ def fingerprints(df: DataFrame, lexicon: np.ndarray, texts: list[str]) -> DataFr
             for i in range(b.num_rows):
                 for name in texts:
                     made[name].append(of(cols[name][i] or ""))
+            shares = [pa.array(list(map(like, made[x], made[y])), pa.float64()) for x, y in near.values()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(made[n], pa.string()) if n in made else b.column(n) for n in b.schema.names], b.schema.names)
+                [pa.array(made[n], pa.string()) if n in made else b.column(n) for n in b.schema.names] + shares,
+                [*b.schema.names, *near])
 
-    return df.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields))
+    return df.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+                                        + [f"`{name}` double" for name in near]))
 
 
 def _likeness(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x: str, y: str) -> float:
-        if x == y:
-            return 1.0
-        if x[0] != "i" or y[0] != "i":
-            return 0.0
-        p, q = (np.frombuffer(bytes.fromhex(v[1:]), ">u2") for v in (x, y))
-        either = (p > 0) | (q > 0)
-        return float(((p == q) & either).sum() / max(1, either.sum()))
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series([like(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of agreeing lexicons of two fingerprint columns, 0 to 1."""
+    """The likeness of two fingerprint columns."""
     return F.pandas_udf(_likeness, T.DoubleType())(F.col(a), F.col(b))
 
 

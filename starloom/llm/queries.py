@@ -75,10 +75,10 @@ def _imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = F.col("text").substr(F.lit(1), (F.col("n_chars") - half).cast("int"))
     rows = rows.withColumn("edited", F.concat(kept, F.col("next_text").substr(F.lit(1), half)))
     rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    made = imatch.fingerprints(rows, lexicon, ["text", "edited", "next_text"])
+    made = imatch.fingerprints(rows, lexicon, ["text", "edited", "next_text"],
+                               near={"near_edited": ("text", "edited"), "near_next": ("text", "next_text")})
     return made.select(F.col("key").alias("doc_id"), "n_chars", "edited_sha256", F.col("text").alias("fingerprint"),
-                       F.col("edited").alias("edited_fingerprint"), imatch.likeness("text", "edited").alias("near_edited"),
-                       imatch.likeness("text", "next_text").alias("near_next"))
+                       F.col("edited").alias("edited_fingerprint"), "near_edited", "near_next")
 
 
 SHARDS = 16

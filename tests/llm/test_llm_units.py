@@ -165,6 +165,23 @@ def test_fingerprints():
     assert like("", "") == 1.0 and imatch.fingerprint("w1", lexicon[:0])[0] == "t"
 
 
+def test_every_term_is_in_lexicons_of_its_own():
+    words = [f"w{i}" for i in range(300)]
+    lexicon = imatch.terms(" ".join(words))
+    assert len(lexicon) == 300  # no term is left out by its hash
+    # A text of one band term is told by that term, with more than the term as without.
+    assert all(imatch.fingerprint(w, lexicon)[0] == "i" for w in words)
+    assert all(imatch.fingerprint(w, lexicon) == imatch.fingerprint(f"{w} qqq", lexicon) for w in words)
+    # One term less: each of the densest lexicons held it with a chance of its own of one half.
+    row = lambda w: np.frombuffer(bytes.fromhex(imatch.fingerprint(" ".join(w), lexicon)[1:]), ">u2")
+    whole = row(words)
+    changed = np.array([row(words[:i] + words[i + 1:]) != whole for i in range(300)])
+    assert (np.abs(changed[:, :imatch.PER_LEVEL].mean(axis=0) - 0.5) < 0.15).all()
+    # Lexicons of 9 and more of these terms differ from each other.
+    dense = 5 * imatch.PER_LEVEL
+    assert len({c.tobytes() for c in changed.T[:dense]}) == dense
+
+
 def test_boosted_trees_learn_and_traverse():
     rng = np.random.default_rng(7)
     x = rng.normal(size=(1500, 5))
