@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import quality
 from starloom.plans import daily_load
+from starloom.plans.catalog import QUERIES
 from starloom.plans.warehouse import EARLY_CUTOFF, Warehouse
 from starloom.session import scratch_path
 from starloom.sources.layers import read_layer
@@ -44,6 +45,28 @@ def test_two_runs_then_rerun_writes_nothing(spark):
     assert failing == [] and report.count() > 40
 
 
+def test_run_summary_tells_every_step(spark, monkeypatch):
+    real, stored = daily_load.run_load, []
+
+    def load(spark, raw_root, core_root, *args):
+        summary = real(spark, raw_root, core_root, *args)
+        stored.append({t: read_layer(spark, raw_root if t == "raw_events" else core_root, t).count()
+                       for t in summary.rows})
+        return summary
+    monkeypatch.setattr(daily_load, "run_load", load)
+    got = {r.table_name: r.n_rows for r in QUERIES["run_summary"](spark, SF).collect()}
+    early, full = stored
+    overwritten = {"feature_user_usage", "user_activity", *daily_load.VIEWS, "churn_risk_by_user"}
+    want = {t: n + early[t] * (t in overwritten) for t, n in full.items()}
+    # Daily facts: those of the early run, and the months that the second one touched.
+    w = Warehouse(spark, SF)
+    month = lambda c: F.trunc(F.col(c).cast("date"), "month").alias("month")
+    touched = w.staging.where(F.col("batch_id") > EARLY_CUTOFF).select(month("event_timestamp")).distinct()
+    want["fact_daily_user_activity"] = early["fact_daily_user_activity"] + w.daily.select(
+        month("activity_date")).join(touched, "month").count()
+    assert len(got) == 15 and got == want
+
+
 def test_stream_replays_add_nothing(spark):
     w = Warehouse(spark, SF)
     base = scratch_path(spark, "test-stream")
