@@ -4,12 +4,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import quality
+from starloom.operators import dims, quality
 from starloom.plans import daily_load
 from starloom.plans.catalog import QUERIES
 from starloom.plans.warehouse import EARLY_CUTOFF, Warehouse
 from starloom.session import scratch_path
-from starloom.sources.layers import read_layer
+from starloom.sources.layers import read_layer, write_layer
 from starloom.streaming import ingest as stream
 
 SF = "/root/testdata/sf0.001"
@@ -45,6 +45,27 @@ def test_two_runs_then_rerun_writes_nothing(spark):
     assert failing == [] and report.count() > 40
 
 
+def test_quality_report_covers_raw_and_views(spark, raw_rows):
+    from conftest import event
+
+    base = scratch_path(spark, "test-quality")
+    raw_root, core_root = f"{base}/raw", f"{base}/core"
+    known = dims.build_dim_features(spark).first().feature_id
+    rows = [(f"e{i}", event(f"e{i}", "feature_used", props={"feature_id": known}), "2024-03-01") for i in range(3)]
+    daily_load.run_load(spark, raw_root, core_root, raw_rows(rows), dt.date(2024, 7, 15))
+    for view in daily_load.VIEWS:
+        stored = read_layer(spark, core_root, view)
+        one = spark.createDataFrame(stored.limit(1).collect(), stored.schema)
+        write_layer(one, core_root, view, "append")
+    raw = read_layer(spark, raw_root, "raw_events")
+    one = spark.createDataFrame(raw.limit(1).collect(), raw.schema)
+    write_layer(one.withColumn("event_id", F.lit("x" * 256)), raw_root, "raw_events", "append")
+    failing = {(r.table_name, r.rule): r.violations for r in
+               daily_load.quality_report(spark, raw_root, core_root).where("violations != 0").collect()}
+    assert {t for t, rule in failing if rule == "unique"} == set(daily_load.VIEWS)
+    assert [t for t, rule in failing if rule != "unique"] == ["raw_events"] and set(failing.values()) == {1}
+
+
 def test_run_summary_tells_every_step(spark, monkeypatch):
     real, stored = daily_load.run_load, []
 
