@@ -95,3 +95,26 @@ def collect_longs(df: DataFrame) -> np.ndarray:
     on their way to the driver."""
     rows = df.mapInArrow(_pack, "packed binary").collect()
     return np.sort(np.frombuffer(b"".join(r.packed for r in rows), np.int64))
+
+
+def runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows that agree in ``names`` (of any type), from rows sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        codes = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
+        new = np.zeros(max(0, b.num_rows - 1), bool)
+        for c in codes:
+            new |= (c[1:] != c[:-1]).astype(bool)
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), b.num_rows]
+        for s, e in zip(edges, edges[1:]):
+            if s == e:
+                continue
+            this = tuple(c[s] for c in codes)
+            if held and this != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(s, e - s))
+            last = this
+    if held:
+        yield pa.Table.from_batches(held)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import imatch, lattice, near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
+from starloom.llm import divergence, imatch, lattice, near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
@@ -177,3 +177,35 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), F.col("score_").alias("score"),
                          F.when(F.col("score_") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+@query("op11_divergence")
+def _divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of every language against each other and against the language."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+m AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS used,
+             1 + 1000000000 * CAST(coalesce(c.n, 0) + 1 AS HUGEINT) // (coalesce(m.n, 0) + l.v) AS p,
+             1 + 1000000000 * CAST(k.n + 1 AS HUGEINT) // (l.n + l.v) AS q
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN m ON m.lang = g.lang AND m.source = g.source
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE used > 0 AND p > q),
+r AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+             CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200"""
