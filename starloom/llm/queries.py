@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import divergence, imatch, lattice, near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
+from starloom.llm import conversations, divergence, imatch, lattice, near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
@@ -209,3 +209,73 @@ o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.valu
 r AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
              CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
 SELECT * FROM r WHERE part = 'pair' OR rank <= 200"""
+
+
+@query("op12_conversations")
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged, audited and repaired."""
+    given = read_table(spark, sf_dir, "conversations")
+    of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(of("conv_id"), F.lit(":"), of("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.translate(of("text"), ".!?", "")).otherwise(of("text"))
+    damaged = given.where(fault != 0).select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(of("role")).alias("role"), text.alias("text"),
+        F.explode(F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+    rows = conversations.ordered(damaged)
+    plans = conversations.repair_plans(rows)
+    hashed = conversations.digests(conversations.repaired(rows, plans))
+    every = given.groupBy("conv_id").agg(F.lit(1).alias("one")) \
+        .select("conv_id", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")).alias("ckey"))
+    found = every.join(plans, "ckey", "left").join(hashed, "ckey", "left")
+    longs = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select("conv_id", *(F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in longs),
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+ORACLE["op12_conversations"] = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+g AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT)),
+                    lambda c, b: xor(t[CAST(xor(c, b) & 255 AS BIGINT) + 1], c >> 8), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS f
+      FROM g, crc),
+d AS (SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(CASE f WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM h),
+o AS (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS z,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM d),
+q AS (SELECT *, CASE WHEN z = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(z, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+             substr(role, 1, 1) AS c, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (i > 1 AND before || c NOT IN ('su', 'ua', 'au')) AS illegal FROM q GROUP BY 1),
+m(f, c, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(f, t, cost, edit) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'),
+    (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')),
+e AS (SELECT q.conv_id, q.i, s.f, s.f AS t, 2 AS cost, 'D' AS edit FROM q, (SELECT DISTINCT f FROM ins) s
+      UNION ALL SELECT conv_id, i, m.f, m.t, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K' FROM q JOIN m ON m.c = q.c WHERE fault IN ('', 'truncated')
+      UNION ALL SELECT conv_id, i, m.f, m.t, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R' FROM q, m WHERE fault IN ('', 'truncated') AND m.c <> 's'),
+w AS (SELECT e.conv_id, e.i, ins.f, e.t, min({'cost': ins.cost + e.cost, 'edit': ins.edit || e.edit}) AS w
+      FROM e JOIN ins ON ins.t = e.f GROUP BY 1, 2, 3, 4),
+p(conv_id, i, s, best) AS (
+    SELECT conv_id, CAST(0 AS BIGINT), 0, {'cost': 0, 'audit': ''} FROM n
+    UNION ALL SELECT w.conv_id, w.i, w.t, min({'cost': p.best.cost + w.w.cost, 'audit': p.best.audit || w.w.edit})
+    FROM p JOIN w ON w.conv_id IS NOT DISTINCT FROM p.conv_id AND w.i = p.i + 1 AND w.f = p.s GROUP BY 1, 2, 3),
+b AS (SELECT n.conv_id, min({'cost': p.best.cost + ins.cost, 'audit': p.best.audit || ins.edit}) AS b
+      FROM n JOIN p ON p.conv_id IS NOT DISTINCT FROM n.conv_id AND p.i = n.n JOIN ins ON ins.f = p.s AND ins.t IN (0, 3) GROUP BY 1),
+x AS (SELECT conv_id, b.audit AS audit, unnest(string_split(b.audit, '')) AS edit, unnest(range(1, length(b.audit) + 1)) AS j FROM b WHERE b.audit <> ''),
+y AS (SELECT *, count(*) FILTER (edit <> 'I') OVER u AS i, count(*) FILTER (edit <> 'D') OVER u - 1 AS place,
+             length(replace(audit, 'D', '')) % 2 AS odd FROM x WINDOW u AS (PARTITION BY conv_id ORDER BY j)),
+l AS (SELECT y.conv_id, y.j, CASE WHEN edit = 'K' THEN q.role WHEN (place + odd) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+             CASE WHEN edit = 'I' THEN '' ELSE q.text END AS line
+      FROM y LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM y.conv_id AND q.i = y.i WHERE edit <> 'D'),
+r AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY j) AS whole FROM l GROUP BY 1)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.b.cost, 0) AS BIGINT) AS cost,
+       coalesce(b.b.audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM a.conv_id"""
