@@ -118,3 +118,19 @@ def runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Tab
             last = this
     if held:
         yield pa.Table.from_batches(held)
+
+
+#: Keys that are joined by broadcast at most, because each has many rows.
+HEAVY_KEYS = 10_000
+
+
+def spread_join(rows: DataFrame, keyed: DataFrame, key: str, n: str) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed``, which has one row a key and in
+    ``n`` the number of that key's rows. Keys with more than a HEAVY_KEYS-th
+    of all rows (so at most HEAVY_KEYS keys) meet their rows by broadcast;
+    no other key is large enough to matter to a task."""
+    total = keyed.agg(F.sum(n)).first()[0] or 0
+    heavy = F.col(n) > max(total / HEAVY_KEYS, 100)
+    hot = F.broadcast(keyed.where(heavy))
+    cold = rows.join(F.broadcast(keyed.where(heavy).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(cold.join(keyed.where(~heavy), key))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import conversations, divergence, imatch, lattice, near_dup, packing, quality, sharding, substrings, token_counts, topk, warc
+from starloom.llm import conversations, divergence, imatch, lattice, near_dup, ngram_join, packing, quality, sharding, substrings, token_counts, topk, warc
 from starloom.llm.common import ship
 from starloom.sources.driver import read_table
 
@@ -279,3 +279,25 @@ SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(b.b.audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id
 LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+@query("op13_ngram_join")
+def _ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by 4-word shingles."""
+    found = ngram_join.ngram_join(read_table(spark, sf_dir, "documents"), shingle_words=4, percent=85)
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+ORACLE["op13_ngram_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 4 THEN [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]
+                               WHEN len(w) >= 1 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w)),
+n AS (SELECT w.doc_id, count(s.s) AS n_shingles FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * n >= 85 * (x.n_shingles + y.n_shingles - n)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+c(doc_id, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.b, c.r FROM c JOIN l ON l.a = c.doc_id WHERE c.r < l.b)
+SELECT n.doc_id, n_shingles, min(c.r) AS component_id FROM n JOIN c USING (doc_id) GROUP BY 1, 2"""
