@@ -21,7 +21,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import zlib
+import heapq
 from collections import Counter
 from collections.abc import Iterator
 
@@ -45,7 +45,7 @@ _SAFE = (2**63 - 1) // SCALE - 1
 #: Letters A-Z to a-z; all bytes that are no letter and below 0x80 part terms.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
-_COUNTED = "lang string, source string, bucket int, terms binary, n array<long>, docs array<long>"
+_COUNTED = "lang string, source string, term binary, n long, docs long"
 _KEPT = "lang string, bucket int, source string, whole boolean, terms binary, ids array<int>, counts array<long>"
 _PRICED = "lang string, source string, part string, item string, value long"
 
@@ -54,41 +54,39 @@ def _batch(columns: dict[str, list], types: dict[str, pa.DataType]) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(columns[c], t) for c, t in types.items()], list(types))
 
 
-def _count(buckets: int):
-    types = {"lang": pa.string(), "source": pa.string(), "bucket": pa.int32(), "terms": pa.binary(),
-             "n": pa.list_(pa.int64()), "docs": pa.list_(pa.int64())}
-
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences and documents of the terms of a task's groups."""
     def dealt(seen: dict) -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in seen.items():
-            by: dict[int, list[bytes]] = {}
-            for term in n:
-                by.setdefault(zlib.crc32(term) % buckets, []).append(term)
-            columns: dict[str, list] = {c: [] for c in types}
-            for bucket, terms in by.items():
-                terms.sort()  # neighbours with common beginnings compress well
-                for c, v in zip(types, (lang, source, bucket, b" ".join(terms), [n[t] for t in terms], [docs[t] for t in terms])):
-                    columns[c].append(v)
-            yield _batch(columns, types)
+            rows = len(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * rows, pa.string()), pa.array([source] * rows, pa.string()), pa.array(list(n), pa.binary()),
+                 pa.array(list(n.values()), pa.int64()), pa.array(list(map(docs.__getitem__, n)), pa.int64())],
+                ["lang", "source", "term", "n", "docs"])
+
+    seen: dict[tuple, tuple[Counter, Counter]] = {}
+    held = 0
+    for b in batches:
+        for lang, source, text in zip(*(b.column(c) for c in ("lang", "source", "text"))):
+            terms = text.as_py().translate(_TERM_BYTES).split()
+            if not terms:
+                continue
+            group = (lang.as_py(), source.as_py())
+            n, docs = seen.get(group) or seen.setdefault(group, (Counter(), Counter()))
+            held -= len(n)
+            n.update(terms)
+            docs.update(set(terms))
+            held += len(n)
+            if held > FLUSH:
+                yield from dealt(seen)
+                seen, held = {}, 0
+    yield from dealt(seen)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple, tuple[Counter, Counter]] = {}
-        held = 0
-        for b in batches:
-            for lang, source, text in zip(*(b.column(c) for c in ("lang", "source", "text"))):
-                terms = text.as_py().translate(_TERM_BYTES).split()
-                if not terms:
-                    continue
-                group = (lang.as_py(), source.as_py())
-                n, docs = seen.get(group) or seen.setdefault(group, (Counter(), Counter()))
-                held -= len(n)
-                n.update(terms)
-                docs.update(set(terms))
-                held += len(n)
-                if held > FLUSH:
-                    yield from dealt(seen)
-                    seen, held = {}, 0
-        yield from dealt(seen)
-    return run
+
+def _total(place: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    np.add.at(out, place, n)
+    return out
 
 
 def _keep(min_docs: int):
@@ -98,32 +96,26 @@ def _keep(min_docs: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ["lang", "bucket"]):
-            rows = [(s.as_py(), w.as_py().split(b" "), n.as_py(), d.as_py())
-                    for s, w, n, d in zip(*(t.column(c) for c in ("source", "terms", "n", "docs")))]
-            docs: Counter = Counter()
-            for _, terms, _, d in rows:
-                docs.update(dict(zip(terms, d)))
-            kept = sorted(w for w, d in docs.items() if d >= min_docs)
-            if not kept:
+            term = t.column("term").combine_chunks().dictionary_encode()
+            source = t.column("source").combine_chunks().dictionary_encode()
+            place, n = term.indices.to_numpy(), t.column("n").to_numpy()
+            kept = np.flatnonzero(_total(place, t.column("docs").to_numpy(), len(term.dictionary)) >= min_docs)
+            if not len(kept):
                 continue
-            place = {w: i for i, w in enumerate(kept)}
-            counts: dict[str, np.ndarray] = {}
-            for source, terms, n, _ in rows:
-                pairs = [(place[w], x) for w, x in zip(terms, n) if w in place]
-                if pairs:
-                    own = counts.setdefault(source, np.zeros(len(kept), np.int64))
-                    i, x = np.array(pairs, np.int64).T
-                    own[i] += x  # a term stands once in a row
+            kept = kept[pc.sort_indices(term.dictionary.take(pa.array(kept))).to_numpy()]  # by bytes
+            number = np.full(len(term.dictionary), -1, np.int64)
+            number[kept] = np.arange(len(kept))
+            here = number[place] >= 0
+            key, at = np.unique(source.indices.to_numpy()[here].astype(np.int64) * len(kept) + number[place[here]], return_inverse=True)
+            counts = _total(at, n[here], len(key))
+            owner, ids = np.divmod(key, len(kept))
             lang, bucket = t.column("lang")[0].as_py(), t.column("bucket")[0].as_py()
-            out: dict[str, list] = {c: [] for c in types}
-            made = [(None, True, b" ".join(kept), None, sum(counts.values()))]
-            for source, own in counts.items():
-                at = np.flatnonzero(own)
-                made.append((source, False, None, at, own[at]))
-            for source, whole, terms, ids, n in made:
-                for c, v in zip(types, (lang, bucket, source, whole, terms, ids, n)):
-                    out[c].append(v)
-            yield _batch(out, types)
+            words = b" ".join(term.dictionary.take(pa.array(kept)).to_pylist())
+            made = [(None, True, words, None, _total(ids, counts, len(kept)))]
+            edges = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(owner)]
+            for s, e in zip(edges, edges[1:]):
+                made.append((source.dictionary[int(owner[s])].as_py(), False, None, ids[s:e], counts[s:e]))
+            yield _batch(dict(zip(types, map(list, zip(*((lang, bucket, *row) for row in made))))), types)
     return run
 
 
@@ -180,6 +172,7 @@ def _price(top: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, int] = {}
+        best: dict[tuple, list[tuple]] = {}  # of a group: its top (-value, term) so far
         for t in runs(batches, ["lang", "bucket", "i", "j"]):
             whole = t.filter(t.column("whole"))
             groups = t.filter(pc.invert(t.column("whole")))
@@ -196,14 +189,17 @@ def _price(top: int):
             if i == j:
                 all_counts = whole.column("counts")[0].values.to_numpy()
                 q = shares(all_counts, whole.column("n")[0].as_py(), v)
-                made = []
                 for row in range(groups.num_rows):
                     p = shares(counts[row], n[row], v)
                     at = np.flatnonzero((counts[row] > 0) & (p > q))
                     f = prices(p[at], q[at])
-                    for k in np.argsort(-f, kind="stable")[:top]:  # ties stay in UTF-8 order
-                        made.append((lang, source[row], "term", terms[at[k]].decode("utf-8", "surrogatepass"), int(f[k])))
-                yield rows(made)
+                    own = best.setdefault((lang, source[row]), [])
+                    if len(own) == top:
+                        high = f >= -own[-1][0]
+                        at, f = at[high], f[high]
+                    if len(at):
+                        own += ((-value, terms[k]) for k, value in zip(at.tolist(), f.tolist()))
+                        best[lang, source[row]] = heapq.nsmallest(top, own)  # ties in UTF-8 order
             trees = Trees(counts)
             step = max(1, WALK // len(terms))
             x, y = np.triu_indices(groups.num_rows, 1)
@@ -224,6 +220,7 @@ def _price(top: int):
                 yield rows([(g, s, "pair", o, x) for (g, s, o), x in sums.items()])
                 sums = {}
         yield rows([(g, s, "pair", o, x) for (g, s, o), x in sums.items()])
+        yield rows([(g, s, "term", term.decode("utf-8", "surrogatepass"), -value) for (g, s), own in best.items() for value, term in own])
     return run
 
 
@@ -231,7 +228,8 @@ def term_counts(docs: DataFrame, min_docs: int) -> DataFrame:
     """Kept terms by (lang, bucket), of the language as a whole and of its
     sources. ``docs``: (lang, source, text) without nulls."""
     tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    counted = docs.select("lang", "source", F.col("text").cast("binary").alias("text")).mapInArrow(_count(4 * tasks), _COUNTED)
+    counted = docs.select("lang", "source", F.col("text").cast("binary").alias("text")).mapInArrow(_count, _COUNTED) \
+        .withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(4 * tasks)).cast("int"))
     return counted.repartition(tasks, "lang", "bucket").sortWithinPartitions("lang", "bucket").mapInArrow(_keep(min_docs), _KEPT)
 
 
