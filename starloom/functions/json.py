@@ -1,5 +1,5 @@
-"""Payload access: the JSON document is parsed once into a VARIANT and every
-field is read from that value."""
+"""Payload access: fields as the text that the document holds, and values of
+a document parsed into a VARIANT."""
 
 from __future__ import annotations
 
@@ -7,6 +7,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def numbers_as_texts(payload: Column) -> Column:
+    """The document with its number literals in quotes. Escapes are set aside
+    (as control characters, which no well-formed document holds), so that a string
+    is all from one quote to the next."""
+    p = F.replace(payload, F.lit("\\\\"), F.lit("\x04"))
+    p = F.replace(p, F.lit('\\"'), F.lit("\x03"))
+    p = F.regexp_replace(p, r'("[^"]*+")|(-?[0-9][0-9.eE+-]*+)', "$1\x01$2\x02")
+    p = F.translate(F.replace(p, F.lit("\x01\x02"), F.lit("")), "\x01\x02", '""')
+    return F.replace(F.replace(p, F.lit("\x03"), F.lit('\\"')), F.lit("\x04"), F.lit("\\\\"))
+
+
+def literal_fields(payload: Column, fields: dict[str, str]) -> Column:
+    """A struct of one- and two-level fields as the text that the document
+    holds: a number keeps its literal (``12.0``, ``1.50`` and ``1e3`` stay as they
+    are), of repeated keys the last counts, JSON null and a missing key
+    give NULL. NULL for documents that are no objects."""
+    top: dict[str, list[str]] = {}
+    for path in fields.values():
+        head, _, rest = path.partition(".")
+        top.setdefault(head, [])
+        if rest:
+            top[head].append(rest)
+    kinds = ", ".join(f"{h}: " + (f"struct<{', '.join(f'{r}: string' for r in rest)}>" if rest else "string")
+                      for h, rest in top.items())
+    # Read in the mode that nulls what does not fit: that the document is well-formed is checked on its own.
+    doc = F.from_json(F.when(payload.rlike(r"^\s*\{"), numbers_as_texts(payload)), f"struct<{kinds}>")
+    return F.struct(*(_at(doc, path).alias(name) for name, path in fields.items()))
+
+
+def _at(doc: Column, path: str) -> Column:
+    for step in path.split("."):
+        doc = doc[step]
+    return doc
+
+
 def payload_field(v: Column, path: str) -> Column:
     """A field as text, like ``->>``: JSON null and a missing key give NULL;
     numbers and booleans give their text."""

@@ -107,6 +107,7 @@ def build_dim_users(staging: DataFrame, existing: DataFrame | None = None, start
         F.lit(None).cast("timestamp_ntz").alias("end_date"),
         now.alias("created_at"),
         now.alias("updated_at"),
+        F.lit(None).cast("string").alias("change_id"),
     )
     keyed = assign_keys(rows, ["user_id"], "user_sk", start)
     return keyed.select("user_sk", *[c for c in rows.columns])
@@ -135,19 +136,26 @@ def build_dim_documents(staging: DataFrame, existing: DataFrame | None = None, s
 
 # --------------------------------------------------------------------- C3
 def apply_scd2(dim: DataFrame, changes: DataFrame, start: int, now: Column | None = None,
-               tracked: tuple[str, ...] = ("current_plan", "account_status")) -> DataFrame:
+               tracked: tuple[str, ...] = ("current_plan", "account_status"), earlier: DataFrame | None = None) -> DataFrame:
     """SCD type 2 on the user dimension.
 
     ``changes``: (user_id, change_ts, change_id, <tracked columns>), the
     state a user is in from ``change_ts`` on. For every user with changes,
-    the existing versions and the changes form one sequence in time order:
+    the existing versions and the changes form one sequence in the order of
+    (change_ts, change_id), a user's first version before changes of its time:
     each existing version stays (same key; its end_date / is_current follow
     from the version after it), and each change whose state differs from the
-    state just before it opens a new version (new key from ``start`` + 1).
-    A change later than the current version closes it; a late change, older
-    than the current version, is placed inside the history (the version it
-    falls into ends at the change). Users without changes are returned
-    unchanged; at most one row per user stays current.
+    state just before it opens a new version (new key from ``start`` + 1),
+    which keeps the change_id. A change later than the current version closes
+    it; a late change, older than the current version, is placed inside the
+    history (the version it falls into ends at the change). Users without
+    changes are returned unchanged; at most one row per user stays current.
+
+    A change is recognised by its id, so changes that were applied before add
+    nothing, also with others at the same time and in the same state.
+    ``earlier``: all changes seen before (the change log). With it, a change that
+    opened nothing when it came takes part again, since a late change before
+    it may have made it one.
 
     The ordering runs through ``sequence.neighbors``, so a user with very
     many versions or changes is split over several tasks.
@@ -155,20 +163,24 @@ def apply_scd2(dim: DataFrame, changes: DataFrame, start: int, now: Column | Non
     from starloom.operators.sequence import neighbors
 
     now = now if now is not None else F.localtimestamp()
-    # A change that is a version already (same user, time and state) was
-    # applied before: a rerun of the same changes opens nothing.
-    known = dim.select("user_id", F.col("effective_date").alias("change_ts"), F.struct(*tracked).alias("_state")).distinct()
-    changes = changes.withColumn("_state", F.struct(*tracked)) \
-        .join(known, ["user_id", "change_ts", "_state"], "left_anti").drop("_state")
+    if "change_id" not in dim.columns:
+        dim = dim.withColumn("change_id", F.lit(None).cast("string"))
+    columns = ["user_id", "change_ts", "change_id", *tracked]
     affected = changes.select("user_id").distinct()
+    if earlier is not None:
+        changes = changes.select(*columns).unionByName(earlier.select(*columns).join(affected, "user_id", "left_semi")) \
+            .dropDuplicates(["user_id", "change_id"])
+    # Changes that opened a stored version come in with that version.
+    known = dim.where(F.col("change_id").isNotNull()).select("user_id", "change_id")
+    changes = changes.join(known, ["user_id", "change_id"], "left_anti")
     old = dim.join(affected, "user_id", "left_semi")
     untouched = dim.join(affected, "user_id", "left_anti")
-    # At one time, versions come in the order of their keys, before new changes.
     order = ["change_ts", "_rank", "change_id"]
-    seq_old = old.select("user_id", F.col("effective_date").alias("change_ts"), F.col("user_sk").alias("_rank"),
-                         F.lit("").alias("change_id"), *tracked, F.col("user_sk").alias("_old_sk"))
+    seq_old = old.select("user_id", F.col("effective_date").alias("change_ts"),
+                         F.when(F.col("change_id").isNull(), 0).otherwise(1).alias("_rank"),
+                         F.coalesce("change_id", F.lit("")).alias("change_id"), *tracked, F.col("user_sk").alias("_old_sk"))
     seq_new = changes.join(dim.select("user_id").distinct(), "user_id", "left_semi").select(
-        "user_id", "change_ts", F.lit(2**63 - 1).cast("bigint").alias("_rank"), "change_id", *tracked,
+        "user_id", "change_ts", F.lit(1).alias("_rank"), "change_id", *tracked,
         F.lit(None).cast("bigint").alias("_old_sk"))
     nb = neighbors(seq_old.unionByName(seq_new), "user_id", order, prev_cols=list(tracked))
     differs = None
@@ -190,6 +202,7 @@ def apply_scd2(dim: DataFrame, changes: DataFrame, start: int, now: Column | Non
         F.col("_end").alias("end_date"),
         "created_at",
         F.when(moved, now).otherwise(F.col("updated_at")).alias("updated_at"),
+        "change_id",
     )
     base = old.groupBy("user_id").agg(F.min_by(F.struct("email", "signup_date"), F.col("effective_date")).alias("_b"))
     opened = chain.where(F.col("_old_sk").isNull()).join(base, "user_id").select(

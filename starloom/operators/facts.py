@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
-from starloom.sources.layers import insert_absent, upsert
+from starloom.sources.layers import KeyIndex, insert_absent, upsert
 
 FACT_COLUMNS = [
     "event_id", "user_sk", "document_sk", "feature_sk", "date_key", "event_type", "session_id",
@@ -20,7 +20,7 @@ DAILY_METRICS = [
 
 
 def build_fact_events(staging: DataFrame, users: DataFrame, documents: DataFrame, features: DataFrame,
-                      dates: DataFrame, existing: DataFrame | None = None, event_keys: bool = False,
+                      dates: DataFrame, existing: DataFrame | KeyIndex | None = None, event_keys: bool = False,
                       start: int = 0, now: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Staging rows not loaded yet, bound to the dimensions.
 

@@ -68,26 +68,11 @@ def feature_user_rollup(fact: DataFrame) -> DataFrame:
         F.max("event_timestamp").alias("last_ts"))
 
 
-def merge_feature_rollup(prev: DataFrame | None, delta: DataFrame) -> DataFrame:
-    """Combine a stored rollup with the rollup of new facts (one full outer
-    join on (feature, user))."""
-    if prev is None:
-        return delta
-    p = prev.select("feature_sk", "user_sk", *[F.col(c).alias(f"_p_{c}") for c in
-                                              ("n", "dur_sum", "dur_n", "first_ts", "last_ts")])
-    j = p.join(delta, ["feature_sk", "user_sk"], "full_outer")
-
-    def add(c):
-        return (F.coalesce(F.col(f"_p_{c}"), F.lit(0)) + F.coalesce(F.col(c), F.lit(0))).alias(c)
-
-    return j.select(
-        "feature_sk", "user_sk", add("n"),
-        F.when(F.col("_p_dur_sum").isNull() & F.col("dur_sum").isNull(), F.lit(None))
-        .otherwise(F.coalesce(F.col("_p_dur_sum"), F.lit(0)) + F.coalesce(F.col("dur_sum"), F.lit(0)))
-        .alias("dur_sum"),
-        add("dur_n"),
-        F.least("_p_first_ts", "first_ts").alias("first_ts"),
-        F.greatest("_p_last_ts", "last_ts").alias("last_ts"))
+def merge_feature_rollup(partials: DataFrame) -> DataFrame:
+    """The rollup of all facts from the rollups of disjoint parts of them."""
+    return partials.groupBy("feature_sk", "user_sk").agg(
+        F.sum("n").alias("n"), F.sum("dur_sum").alias("dur_sum"), F.sum("dur_n").alias("dur_n"),
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
 
 
 def funnel_from_rollup(per_user: DataFrame, features: DataFrame) -> DataFrame:
@@ -139,14 +124,9 @@ def user_activity_rollup(fact: DataFrame) -> DataFrame:
         F.max(F.col("event_timestamp").cast("date")).alias("last_active_date"))
 
 
-def merge_user_activity(prev: DataFrame | None, delta: DataFrame) -> DataFrame:
-    if prev is None:
-        return delta
-    p = prev.select("user_sk", F.col("lifetime_events").alias("_pn"), F.col("last_active_date").alias("_pd"))
-    j = p.join(delta, "user_sk", "full_outer")
-    return j.select("user_sk",
-                    (F.coalesce("_pn", F.lit(0)) + F.coalesce("lifetime_events", F.lit(0))).alias("lifetime_events"),
-                    F.greatest("_pd", "last_active_date").alias("last_active_date"))
+def merge_user_activity(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("user_sk").agg(
+        F.sum("lifetime_events").alias("lifetime_events"), F.max("last_active_date").alias("last_active_date"))
 
 
 def user_month_activity(fact: DataFrame) -> DataFrame:
@@ -154,6 +134,10 @@ def user_month_activity(fact: DataFrame) -> DataFrame:
     return fact.select("user_sk", month_start(F.col("event_timestamp").cast("date")).alias("activity_month")).distinct()
 
 
+def merge_user_months(partials: DataFrame) -> DataFrame:
+    return partials.distinct()
+
+
 def churn_category(days) -> "F.Column":
     return (F.when(days > CHURN_HIGH_DAYS, "high")
             .when(days > CHURN_MEDIUM_DAYS, "medium")

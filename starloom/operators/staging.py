@@ -1,8 +1,9 @@
 """Raw -> staging: parse, type, validate, and keep only new events.
 
-The payload is parsed once per row into a VARIANT (``parse_json``); every
-field is then read from that value, so there is one JSON parse per event no
-matter how many columns are extracted.
+The payload is read twice per row, however many columns are extracted: into
+a VARIANT (``parse_json``), which says whether it is well-formed and gives the
+``properties`` object, and into a struct of texts, which keeps number literals
+as they stand in the document (``12.0`` is no INTEGER).
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.inet import is_inet
-from starloom.functions.json import payload_field, payload_text
+from starloom.functions.json import literal_fields, payload_text
 from starloom.schemas import NOT_NULL, VARCHAR_LIMITS
-from starloom.sources.layers import insert_absent
+from starloom.sources.layers import KeyIndex, insert_absent
 
 # Text fields of the payload, by staging column.
 TEXT_FIELDS = {
@@ -28,6 +29,14 @@ TEXT_FIELDS = {
     "ip_address": "context.ip_address",
 }
 
+# Text of the fields that are cast.
+CAST_FIELDS = {
+    "_ts": "event_timestamp",
+    "_edit_duration_sec": "properties.edit_duration_sec",
+    "_duration_sec": "properties.duration_sec",
+    "_characters_added": "properties.characters_added",
+}
+
 STAGING_COLUMNS = [
     "event_id", "event_type", "event_timestamp", "user_id", "session_id", "document_id",
     "feature_id", "duration_seconds", "characters_added", "platform", "user_agent",
@@ -62,16 +71,13 @@ def parse_events(raw: DataFrame, strict: bool = True, check_contract: bool = Tru
     """
     v = F.parse_json("raw_payload") if strict else F.try_parse_json("raw_payload")
     cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
-    parsed = raw.select(F.col("batch_id"), v.alias("_v"))
-    v = F.col("_v")
-    cols: dict[str, Column] = {name: payload_field(v, path) for name, path in TEXT_FIELDS.items()}
-    cols["event_timestamp"] = cast(payload_field(v, "event_timestamp"), "timestamp_ntz")
-    cols["duration_seconds"] = F.coalesce(
-        cast(payload_field(v, "properties.edit_duration_sec"), "int"),
-        cast(payload_field(v, "properties.duration_sec"), "int"),
-    )
-    cols["characters_added"] = cast(payload_field(v, "properties.characters_added"), "int")
-    cols["properties"] = payload_text(v, "properties")
+    parsed = raw.select(F.col("batch_id"), v.alias("_v"), literal_fields(F.col("raw_payload"), {**TEXT_FIELDS, **CAST_FIELDS}).alias("_t"))
+    t = F.col("_t")
+    cols: dict[str, Column] = {name: t[name] for name in TEXT_FIELDS}
+    cols["event_timestamp"] = cast(t["_ts"], "timestamp_ntz")
+    cols["duration_seconds"] = F.coalesce(cast(t["_edit_duration_sec"], "int"), cast(t["_duration_sec"], "int"))
+    cols["characters_added"] = cast(t["_characters_added"], "int")
+    cols["properties"] = payload_text(F.col("_v"), "properties")
     cols["batch_id"] = F.col("batch_id")
     cols["processed_at"] = F.localtimestamp()
     # Extract every field once; the checks below reference the extracted
@@ -104,9 +110,9 @@ def fail_on_duplicates(df: DataFrame, key: str, message: str) -> DataFrame:
     return df.unionByName(guard.drop("_n"))
 
 
-def new_events(parsed: DataFrame, staging: DataFrame | None, strict_unique: bool = True) -> DataFrame:
-    """Parsed rows whose (payload) event_id is not in staging yet; a
-    rerun adds nothing. With ``strict_unique`` a repeated event_id among the
+def new_events(parsed: DataFrame, staging: DataFrame | KeyIndex | None, strict_unique: bool = True) -> DataFrame:
+    """Parsed rows whose (payload) event_id is not in staging (or its key
+    index) yet; a rerun adds nothing. With ``strict_unique`` a repeated event_id among the
     new rows fails the statement (primary key)."""
     out = insert_absent(parsed, staging, ["event_id"])
     if strict_unique:
@@ -129,7 +135,7 @@ def contract_report(staging: DataFrame) -> DataFrame:
     return nn.unionByName(dup).select("rule", "column_name", F.col("violations").cast("bigint"))
 
 
-def split_valid(raw: DataFrame, staging: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def split_valid(raw: DataFrame, staging: DataFrame | KeyIndex | None = None) -> tuple[DataFrame, DataFrame]:
     """Split raw rows into good typed rows and rejects with reasons,
     instead of failing the batch.
 
@@ -141,16 +147,12 @@ def split_valid(raw: DataFrame, staging: DataFrame | None = None) -> tuple[DataF
     extracted fields.
     """
     v = F.try_parse_json("raw_payload")
-    base = raw.select("batch_id", "raw_payload", v.alias("_v"))
-    vv = F.col("_v")
-    ints = {"edit_duration_sec": "properties.edit_duration_sec", "duration_sec": "properties.duration_sec",
-            "characters_added": "properties.characters_added"}
+    base = raw.select("batch_id", "raw_payload", v.alias("_v"),
+                      literal_fields(F.col("raw_payload"), {**TEXT_FIELDS, **CAST_FIELDS}).alias("_t"))
+    ints = ("edit_duration_sec", "duration_sec", "characters_added")
     fields = base.select(
-        "batch_id", "raw_payload", vv.isNull().alias("_malformed"),
-        *[payload_field(vv, p).alias(n) for n, p in TEXT_FIELDS.items()],
-        payload_field(vv, "event_timestamp").alias("_ts"),
-        *[payload_field(vv, p).alias(f"_{n}") for n, p in ints.items()],
-        payload_text(vv, "properties").alias("properties"))
+        "batch_id", "raw_payload", F.col("_v").isNull().alias("_malformed"),
+        *[F.col("_t")[n].alias(n) for n in (*TEXT_FIELDS, *CAST_FIELDS)], payload_text(F.col("_v"), "properties").alias("properties"))
     c = F.col
     limits = VARCHAR_LIMITS["staging_events"]
     reasons = [F.when(c("_malformed"), F.lit("malformed_json"))]
@@ -222,13 +224,20 @@ def checked_delivery(incoming: DataFrame) -> DataFrame:
 
 
 def new_rejects(rejects: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Rejects that are not stored yet, one row each, with the id that
-    tells them apart: a replay or rerun adds nothing."""
+    """What ``rejects`` adds to the stored ones: equal rejects (same id,
+    batch, payload and reasons) are one with their number. A reject is
+    identified within its batch, so a replay or rerun of a delivery adds nothing
+    and a delivery that brings more of them adds the difference; n_rows of
+    a reject_id sums up to the largest number that came at once."""
     parts = [F.coalesce(c, F.lit("\0")) for c in ("event_id", "batch_id", "raw_payload")]
-    identity = F.sha2(F.concat_ws("\1", *parts, F.array_join("reasons", ","), F.col("n_rows").cast("string")), 256)
-    once = rejects.withColumn("reject_id", identity).dropDuplicates(["reject_id"])
-    return insert_absent(once.withColumn("rejected_at", F.localtimestamp()), stored, ["reject_id"]) \
-        .select("event_id", "batch_id", "raw_payload", "reasons", "n_rows", "rejected_at", "reject_id")
+    identity = F.sha2(F.concat_ws("\1", *parts, F.array_join("reasons", ",")), 256)
+    came = rejects.withColumn("reject_id", identity).groupBy("reject_id").agg(
+        F.sum("n_rows").alias("n_rows"), *(F.first(c).alias(c) for c in ("event_id", "batch_id", "raw_payload", "reasons")))
+    if stored is not None:
+        had = stored.join(came.select("reject_id"), "reject_id", "left_semi").groupBy("reject_id").agg(F.sum("n_rows").alias("had"))
+        came = came.join(had, "reject_id", "left") \
+            .withColumn("n_rows", F.col("n_rows") - F.coalesce("had", F.lit(0))).where("n_rows > 0")
+    return came.select("event_id", "batch_id", "raw_payload", "reasons", "n_rows", F.localtimestamp().alias("rejected_at"), "reject_id")
 
 
 def quarantine_summary(good: DataFrame, rejects: DataFrame) -> DataFrame:

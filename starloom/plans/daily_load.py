@@ -19,17 +19,30 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import dims, facts, marts, profile, staging
-from starloom.operators.keys import next_key_start
 from starloom.schemas import FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 from starloom.session import configure
-from starloom.sources.layers import complete_step, insert_absent, read_layer, since_step, write_layer
+from starloom.sources.layers import (
+    current,
+    exists,
+    maximum,
+    position,
+    read_keys,
+    read_layer,
+    since,
+    vacuum,
+    write_layer,
+)
 from starloom.sources.raw import ingest_raw
+from starloom.streaming.ingest import store_rejects
 
 VIEWS = ("user_retention_cohorts", "feature_adoption_funnel", "churn_risk_scores")
+#: Tables that every run writes, in the order of its steps.
+STEPS = ("raw_events", "staging_events", "dim_date", "dim_features", "dim_users", "dim_documents", "fact_events",
+         "fact_daily_user_activity", "feature_user_usage", "user_activity", "user_month_activity", *VIEWS, "churn_risk_by_user")
 
 
 @dataclass
@@ -44,22 +57,13 @@ class RunSummary:
         return spark.createDataFrame(sorted(self.rows.items()), "step string, n_rows bigint")
 
 
-def _observed_write(df: DataFrame, root: str, table: str, mode: str, summary: RunSummary) -> None:
+def _write(df: DataFrame, root: str, table: str, mode: str, summary: RunSummary, sources: dict[str, int] | None = None) -> None:
     t0 = time.perf_counter()
-    obs = Observation(f"{table}_{uuid.uuid4().hex[:8]}")
-    write_layer(df, root, table, mode, observation=obs)
-    summary.rows[table] = summary.rows.get(table, 0) + int(obs.get.get("n", 0) or 0)
+    n = write_layer(df, root, table, mode, sources)
+    summary.rows[table] = summary.rows.get(table, 0) + n
     summary.seconds[table] = round(summary.seconds.get(table, 0.0) + time.perf_counter() - t0, 3)
 
 
-def _store_rejects(rejects: DataFrame, core_root: str, summary: RunSummary) -> None:
-    """Rejects not stored yet; rows counted over the steps of a run."""
-    stored = read_layer(rejects.sparkSession, core_root, "staging_rejects")
-    own = RunSummary()
-    _observed_write(staging.new_rejects(rejects, stored), core_root, "staging_rejects", "append", own)
-    summary.rows["staging_rejects"] = summary.rows.get("staging_rejects", 0) + own.rows["staging_rejects"]
-
-
 def new_core_root(base: str) -> str:
     """H2: a fresh versioned core root (downstream layers empty, keys
     restart at 1); raw stays where it is."""
@@ -85,166 +89,169 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
     as_of = as_of or _dt.date.today()
 
     # A1: raw, exactly once per event_id.
-    raw_prev = read_layer(spark, raw_root, "raw_events")
     if incoming is not None:
         if quarantine:
             delivered, undeliverable = staging.split_deliverable(incoming)
-            _store_rejects(undeliverable, core_root, summary)
+            summary.rows["staging_rejects"] = store_rejects(undeliverable, core_root)
         else:
             delivered = staging.checked_delivery(incoming.select("event_id", "raw_payload", "batch_id"))
-        new_raw = ingest_raw(delivered, raw_prev)
-        _observed_write(new_raw.withColumn("loaded_at", F.localtimestamp()), raw_root, "raw_events", "append",
-                        summary)
-    found = since_step(spark, raw_root, "raw_events", core_root, "staging")
-    if found is None:
+        new_raw = ingest_raw(delivered, read_keys(spark, raw_root, "raw_events"))
+        _write(new_raw.withColumn("loaded_at", F.localtimestamp()), raw_root, "raw_events", "append", summary)
+    if not exists(spark, raw_root, "raw_events"):
         return summary
+    for table in STEPS:
+        summary.rows.setdefault(table, 0)
 
     # B: typed staging rows for payload ids not staged yet (strict). Only the
-    # raw files that staging has not completed are parsed; the anti-join keeps
-    # a rerun (or a crash between writes) exact.
-    candidates, _, raw_files = found
-    stg_prev = read_layer(spark, core_root, "staging_events")
-    if quarantine:
-        good, rejects = staging.split_valid(candidates, stg_prev)
-        _store_rejects(rejects, core_root, summary)
-        new_stg = staging.new_events(good, stg_prev)
-    else:
-        new_stg = staging.new_events(staging.parse_events(candidates), stg_prev)
-    _observed_write(new_stg, core_root, "staging_events", "append", summary)
-    complete_step(spark, core_root, "staging", raw_files)
-
-    # The increment of this load: the staging files that no load has brought
-    # into the facts yet, whoever wrote them. A user or document without a row
-    # has all its staging rows in here - every earlier load inserted rows for
-    # everything it took in - so the dimensions aggregate the increment only.
-    increment, stg_done, stg_files = since_step(spark, core_root, "staging_events", core_root, "facts")
-    fact_prev = read_layer(spark, core_root, "fact_events")
-    first_new_sk = 0
-    if fact_prev is not None:
-        first_new_sk = int(fact_prev.agg(F.max("event_sk")).first()[0] or 0)
+    # raw loads that staging has not read are parsed; the position is committed with the rows.
+    found = since(spark, raw_root, "raw_events", position(spark, core_root, "staging_events", "raw_events"))
+    if found is not None:
+        candidates, number = found
+        staged = read_keys(spark, core_root, "staging_events")
+        if quarantine:
+            new_stg, rejects = staging.split_valid(candidates, staged)
+            summary.rows["staging_rejects"] = summary.rows.get("staging_rejects", 0) + store_rejects(rejects, core_root)
+        else:
+            # A repeated payload id fails the write of the key index, before the commit.
+            new_stg = staging.new_events(staging.parse_events(candidates), staged, strict_unique=False)
+        _write(new_stg, core_root, "staging_events", "append", summary, {"raw_events": number})
+    if not exists(spark, core_root, "staging_events"):
+        return summary
+
+    # The increment of this load: what the facts have not read of staging,
+    # whoever wrote it. A user or document without a row has all its staging
+    # rows in here - every earlier load inserted rows for everything it took in -
+    # so the dimensions aggregate the increment only.
+    found = since(spark, core_root, "staging_events", position(spark, core_root, "fact_events", "staging_events"))
 
     # Dimensions, insert-if-absent with keys after the max.
     # They do not depend on each other, so their jobs run side by side.
     def load_dates():
         prev = read_layer(spark, core_root, "dim_date")
-        _observed_write(dims.build_dim_date(spark, existing=prev), core_root, "dim_date", "append", summary)
+        _write(dims.build_dim_date(spark, existing=prev), core_root, "dim_date", "append", summary)
 
     def load_features():
         prev = read_layer(spark, core_root, "dim_features")
-        _observed_write(dims.build_dim_features(spark, prev), core_root, "dim_features", "append", summary)
+        _write(dims.build_dim_features(spark, prev), core_root, "dim_features", "append", summary)
 
     def load_users():
         prev = read_layer(spark, core_root, "dim_users")
         # Versions are dated by first event when changes, which carry event time, may follow.
-        new = dims.build_dim_users(increment, prev, start=next_key_start(prev, "user_sk"),
+        new = dims.build_dim_users(found[0], prev, start=maximum(spark, core_root, "dim_users"),
                                    effective_from_first_event=apply_plan_changes)
-        _observed_write(new, core_root, "dim_users", "append", summary)
+        _write(new, core_root, "dim_users", "append", summary)
 
     def load_documents():
         prev = read_layer(spark, core_root, "dim_documents")
-        new = dims.build_dim_documents(increment, prev, start=next_key_start(prev, "document_sk"))
-        _observed_write(new, core_root, "dim_documents", "append", summary)
+        new = dims.build_dim_documents(found[0], prev, start=maximum(spark, core_root, "dim_documents"))
+        _write(new, core_root, "dim_documents", "append", summary)
 
-    _side_by_side(spark, load_dates, load_features, load_users, load_documents)
+    _side_by_side(spark, load_dates, load_features, *([load_users, load_documents] if found else []))
 
     if apply_plan_changes:
-        current = read_layer(spark, core_root, "dim_users")
-        versioned = dims.apply_scd2(current, profile.plan_changes(increment), next_key_start(current, "user_sk"))
-        # Materialize before replacing the table it was computed from.
-        versioned = versioned.checkpoint(eager=True)
-        _observed_write(versioned, core_root, "dim_users", "overwrite", RunSummary())
-        summary.rows["dim_users_versions"] = read_layer(spark, core_root, "dim_users").count()
-
+        version_users(spark, core_root, summary)
     users = read_layer(spark, core_root, "dim_users")
-    docs = read_layer(spark, core_root, "dim_documents")
     features = read_layer(spark, core_root, "dim_features")
-    dates = read_layer(spark, core_root, "dim_date")
-
-    # Facts for staging rows not loaded yet: the increment, plus rows a
-    # load dropped (dates outside the calendar), which are retried every run;
-    # the anti-join keeps it exact.
-    lo, hi = dates.agg(F.min("full_date"), F.max("full_date")).first()
-    off_calendar = (F.col("event_timestamp") < F.lit(lo).cast("timestamp_ntz")) | \
-        (F.col("event_timestamp") >= F.date_add(F.lit(hi), 1).cast("timestamp_ntz"))
-    stg_new = increment.unionByName(stg_done.where(off_calendar))
-    new_facts = facts.build_fact_events(stg_new, users, docs, features, dates, existing=fact_prev,
-                                        event_keys=True, start=first_new_sk)
-    _observed_write(new_facts, core_root, "fact_events", "append", summary)
-    complete_step(spark, core_root, "facts", stg_files)
+    if found:
+        load_facts(spark, core_root, found, users, features, summary)
     fact = read_layer(spark, core_root, "fact_events")
 
-    # Daily facts; only the days of facts in files that no
-    # daily refresh has completed are recomputed, so facts of a load that
-    # stopped before this step are picked up by the next one.
+    # Daily facts; only the days of facts that no daily refresh
+    # has read are recomputed, so facts of a load that stopped before this
+    # step are picked up by the next one.
+    added = since(spark, core_root, "fact_events", position(spark, core_root, "fact_daily_user_activity", "fact_events"))
     daily_prev = read_layer(spark, core_root, "fact_daily_user_activity")
-    added, _, fact_files = since_step(spark, core_root, "fact_events", core_root, "daily")
     if daily_prev is None:
-        _observed_write(facts.build_daily(fact), core_root, "fact_daily_user_activity", "overwrite", summary)
-    else:
-        refreshed = facts.refresh_daily(fact, daily_prev, added).drop("_action")
-        # Materialize before rewriting the partitions it was computed from.
-        refreshed = refreshed.checkpoint(eager=True)
-        _observed_write(refreshed, core_root, "fact_daily_user_activity", "partitions", summary)
-    complete_step(spark, core_root, "daily", fact_files)
-    daily = read_layer(spark, core_root, "fact_daily_user_activity")
-
-    # Rollups of the append-only facts, maintained: each merges only the facts
-    # it has not seen yet, so the views below read rollups, not history.
-    specs = {
-        "feature_user_usage": (marts.feature_user_rollup, marts.merge_feature_rollup, None),
-        "user_activity": (marts.user_activity_rollup, marts.merge_user_activity, None),
-        "user_month_activity": (marts.user_month_activity, None, ["user_sk", "activity_month"]),
-    }
+        _write(facts.build_daily(fact), core_root, "fact_daily_user_activity", "overwrite", summary,
+               {"fact_events": added[1] if added else 0})
+    elif added:
+        refreshed = facts.refresh_daily(fact, daily_prev, added[0]).drop("_action")
+        _write(refreshed, core_root, "fact_daily_user_activity", "partitions", summary, {"fact_events": added[1]})
+
+    # Rollups of the append-only facts: each load adds one of its own facts,
+    # the views below merge them, so nothing here reads history.
     rollups: dict[str, DataFrame] = {}
+    _side_by_side(spark, *[(lambda n=n: rollups.update({n: maintain_rollup(spark, core_root, n, summary)})) for n in ROLLUPS])
 
-    def keep(name, fns):
-        rollups[name] = maintain_rollup(spark, core_root, name, fact, fns[0], fns[1], summary, keys=fns[2])
-
-    _side_by_side(spark, *[(lambda n=n, f=f: keep(n, f)) for n, f in specs.items()])
-    feature_usage, user_activity, user_months = (rollups[n] for n in specs)
-
-    # The views from the rollups, atomic overwrite each.
+    # The views from the rollups, each replaced by one commit.
     views = {
-        "user_retention_cohorts": marts.retention_cohorts(users, user_months, "group"),
-        "feature_adoption_funnel": marts.funnel_from_rollup(feature_usage, features),
-        "churn_risk_scores": marts.churn_risk(users, user_activity, as_of),
+        "user_retention_cohorts": marts.retention_cohorts(users, rollups["user_month_activity"], "group"),
+        "feature_adoption_funnel": marts.funnel_from_rollup(rollups["feature_user_usage"], features),
+        "churn_risk_scores": marts.churn_risk(users, rollups["user_activity"], as_of),
         # The same per user over all versions (activity of closed
         # versions kept); equals D3 while no user row was ever closed.
-        "churn_risk_by_user": marts.churn_risk(users, user_activity, as_of, by="user_id"),
+        "churn_risk_by_user": marts.churn_risk(users, rollups["user_activity"], as_of, by="user_id"),
     }
-    _side_by_side(spark, *[(lambda n=name, d=df: _observed_write(d, core_root, n, "overwrite", summary))
-                     for name, df in views.items()])
+    _side_by_side(spark, *[(lambda n=name, d=df: _write(d, core_root, n, "overwrite", summary)) for name, df in views.items()])
+    for table in (*views, *ROLLUPS, "fact_daily_user_activity", "dim_users"):
+        vacuum(spark, core_root, table)
     return summary
 
 
-def maintain_rollup(spark: SparkSession, core_root: str, table: str, fact: DataFrame, rollup, merge,
-                    summary: RunSummary, keys: list[str] | None = None) -> DataFrame:
-    """A rollup of all facts kept current by merging only facts with a key
-    above the highest one it already includes. That key (``through_sk``) is
-    stored in the rollup itself, so the rollup and its position change in
-    one write: a crash in between cannot skip or double-count facts. A
-    missing rollup is rebuilt from all facts.
-
-    With ``keys`` the rollup is a growing set: only rows whose keys are not
-    stored yet are appended (no rewrite of the stored rows)."""
-    prev = read_layer(spark, core_root, table)
-    through = 0
-    if prev is not None:
-        through = int(prev.agg(F.max("through_sk")).first()[0] or 0)
-    top = int(fact.agg(F.max("event_sk")).first()[0] or 0)
-    if prev is not None and top <= through:
-        return prev.drop("through_sk")
-    delta = rollup(fact.where(F.col("event_sk") > through))
-    if keys is not None:
-        added = insert_absent(delta, None if prev is None else prev.drop("through_sk"), keys)
-        _observed_write(added.withColumn("through_sk", F.lit(top).cast("bigint")), core_root, table, "append",
-                        summary)
-        return read_layer(spark, core_root, table).drop("through_sk")
-    merged = merge(None if prev is None else prev.drop("through_sk"), delta)
-    # Materialize before overwriting the table it was computed from.
-    merged = merged.withColumn("through_sk", F.lit(top).cast("bigint")).checkpoint(eager=True)
-    _observed_write(merged, core_root, table, "overwrite", summary)
-    return read_layer(spark, core_root, table).drop("through_sk")
+def version_users(spark: SparkSession, core_root: str, summary: RunSummary) -> None:
+    """C3 in the stored load: staging's subscription events go to the change
+    log, and those that the user versions have not read are applied."""
+    new = since(spark, core_root, "staging_events", position(spark, core_root, "user_changes", "staging_events"))
+    if new is not None:
+        _write(profile.plan_changes(new[0]), core_root, "user_changes", "append", RunSummary(), {"staging_events": new[1]})
+    new = since(spark, core_root, "user_changes", position(spark, core_root, "dim_users", "user_changes"))
+    if new is not None:
+        versioned = dims.apply_scd2(read_layer(spark, core_root, "dim_users"), new[0], maximum(spark, core_root, "dim_users"),
+                                    earlier=read_layer(spark, core_root, "user_changes"))
+        _write(versioned, core_root, "dim_users", "overwrite", RunSummary(), {"user_changes": new[1]})
+    summary.rows["dim_users_versions"] = read_layer(spark, core_root, "dim_users").count()
+
+
+def load_facts(spark: SparkSession, core_root: str, found: tuple[DataFrame, int], users: DataFrame, features: DataFrame,
+               summary: RunSummary) -> None:
+    """Facts for the increment, and for earlier rows whose date has come
+    into the calendar since. Rows outside of it are kept aside in
+    ``staging_unplaced`` and retried from there; staging itself is not read again."""
+    increment, number = found
+    dates = read_layer(spark, core_root, "dim_date")
+    lo, hi = dates.agg(F.min("full_date"), F.max("full_date")).first()
+    placed = (F.col("event_timestamp") >= F.lit(lo).cast("timestamp_ntz")) & \
+        (F.col("event_timestamp") < F.date_add(F.lit(hi), 1).cast("timestamp_ntz"))
+    waiting = read_layer(spark, core_root, "staging_unplaced")
+    aside = since(spark, core_root, "staging_events", position(spark, core_root, "staging_unplaced", "staging_events"))
+    if aside is not None:
+        _write(aside[0].where(~placed), core_root, "staging_unplaced", "append", RunSummary(), {"staging_events": aside[1]})
+    rows = increment.drop("event_month")
+    if waiting is not None:
+        rows = rows.unionByName(waiting.where(placed))
+    new_facts = facts.build_fact_events(rows, users, read_layer(spark, core_root, "dim_documents"), features, dates,
+                                        existing=read_keys(spark, core_root, "fact_events"), event_keys=True,
+                                        start=maximum(spark, core_root, "fact_events"))
+    _write(new_facts, core_root, "fact_events", "append", summary, {"staging_events": number})
+
+
+#: Rollups of the facts: what a load adds, and how its parts are merged.
+ROLLUPS = {
+    "feature_user_usage": (marts.feature_user_rollup, marts.merge_feature_rollup),
+    "user_activity": (marts.user_activity_rollup, marts.merge_user_activity),
+    "user_month_activity": (marts.user_month_activity, marts.merge_user_months),
+}
+#: Parts of a rollup that are merged into one.
+ROLLUP_PARTS = 16
+
+
+def read_rollup(spark: SparkSession, core_root: str, table: str) -> DataFrame:
+    """A rollup of all facts that it has read: its parts, merged."""
+    return ROLLUPS[table][1](read_layer(spark, core_root, table))
+
+
+def maintain_rollup(spark: SparkSession, core_root: str, table: str, summary: RunSummary) -> DataFrame:
+    """A rollup of all facts, kept current by adding the rollup of the facts
+    that it has not read; its position is committed with those rows, so a stop in
+    between cannot skip or count facts twice. Now and then its parts are merged."""
+    new = since(spark, core_root, "fact_events", position(spark, core_root, table, "fact_events"))
+    if new is not None:
+        _write(ROLLUPS[table][0](new[0]), core_root, table, "append", summary, {"fact_events": new[1]})
+    elif not exists(spark, core_root, table):
+        _write(ROLLUPS[table][0](read_layer(spark, core_root, "fact_events")), core_root, table, "append", summary)
+    if len(current(spark, core_root, table).loads) > ROLLUP_PARTS:
+        _write(read_rollup(spark, core_root, table), core_root, table, "overwrite", RunSummary())
+    return read_rollup(spark, core_root, table)
 
 
 _INHERITED = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel", "spark.scheduler.pool")
@@ -269,13 +276,13 @@ def _side_by_side(spark: SparkSession, *steps) -> None:
 
 
 def layer_counts(spark: SparkSession, raw_root: str, core_root: str) -> DataFrame:
-    """Rows per stored table, read back from storage."""
+    """Rows per stored table, read back from storage (rollups merged)."""
     parts = []
-    tables = [("raw_events", raw_root)] + [(t, core_root) for t in (
-        "staging_events", "dim_users", "dim_documents", "dim_features", "dim_date", "fact_events",
-        "fact_daily_user_activity")]
-    for table, root in tables:
-        df = read_layer(spark, root, table)
+    for table in STEPS:
+        if table in ROLLUPS:
+            df = read_rollup(spark, core_root, table) if exists(spark, core_root, table) else None
+        else:
+            df = read_layer(spark, raw_root if table == "raw_events" else core_root, table)
         if df is not None:
             parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(table).alias("table_name"), "n_rows"))
     out = parts[0]

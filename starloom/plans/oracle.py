@@ -522,17 +522,61 @@ SELECT user_id, plan, account_status, valid_from, valid_to FROM plan_history""")
 
 ORACLE["stream_ingest"] = _w("staging", "SELECT event_id, batch_id, event_type, user_id FROM staging")
 
-_COUNTS = _w("daily", """
+# What one run (all batches) stores; the rollups merged.
+_STORED = """
 SELECT 'raw_events' AS table_name, COUNT(*) AS n_rows FROM staging
 UNION ALL SELECT 'staging_events', COUNT(*) FROM staging
 UNION ALL SELECT 'dim_users', COUNT(*) FROM dim_users
 UNION ALL SELECT 'dim_documents', COUNT(*) FROM dim_documents
 UNION ALL SELECT 'dim_features', COUNT(*) FROM dim_features
 UNION ALL SELECT 'dim_date', COUNT(*) FROM dim_date
-UNION ALL SELECT 'fact_events', COUNT(*) FROM fact_events
-UNION ALL SELECT 'fact_daily_user_activity', COUNT(*) FROM daily""")
+UNION ALL SELECT 'fact_events', COUNT(*) FROM fact_events"""
+
+_COUNTS = _w("daily retention funnel churn", _STORED + """
+UNION ALL SELECT 'fact_daily_user_activity', COUNT(*) FROM daily
+UNION ALL SELECT 'feature_user_usage', COUNT(*) FROM (
+  SELECT DISTINCT feature_sk, user_sk FROM fact_events WHERE event_type = 'feature_used')
+UNION ALL SELECT 'user_activity', COUNT(DISTINCT user_sk) FROM fact_events
+UNION ALL SELECT 'user_month_activity', COUNT(*) FROM (SELECT DISTINCT user_sk, date_trunc('month', event_timestamp) FROM fact_events)
+UNION ALL SELECT 'user_retention_cohorts', COUNT(*) FROM retention
+UNION ALL SELECT 'feature_adoption_funnel', COUNT(*) FROM funnel
+UNION ALL SELECT 'churn_risk_scores', COUNT(*) FROM churn
+UNION ALL SELECT 'churn_risk_by_user', COUNT(*) FROM churn""")
 
 ORACLE["daily_load"] = _COUNTS
-ORACLE["run_summary"] = _COUNTS.rsplit("\nUNION ALL", 1)[0]
 ORACLE["reset_rebuild"] = _COUNTS
+
+# Rows that two runs write: the early batches, then the rest. Dimensions and
+# event layers insert, rollups add a part per run, the second run replaces
+# the months of user-day facts that it touches, views are written by both runs.
+ORACLE["run_summary"] = _w("daily daily_early", f"""
+, runs(run) AS (VALUES ('early'), ('late'), ('all')),
+  seen AS (
+  SELECT run, s.* FROM staging s JOIN runs
+    ON run = 'all' OR (run = 'early') = (batch_id <= {_CUT})),
+  placed AS (
+  SELECT *, date_trunc('month', event_timestamp) AS month FROM seen
+  WHERE event_timestamp >= TIMESTAMP '2020-01-01' AND event_timestamp < TIMESTAMP '2027-01-01'),
+  cohorts AS (SELECT run, user_id, date_trunc('month', MIN(event_timestamp)) AS cohort FROM seen GROUP BY 1, 2),
+  months AS (SELECT DISTINCT run, user_id, month FROM placed),
+  written AS (
+  SELECT 'fact_daily_user_activity' AS table_name, 'early' AS run, COUNT(*) AS n FROM daily_early
+  UNION ALL SELECT 'fact_daily_user_activity', 'late', COUNT(*) FROM daily
+    WHERE date_trunc('month', activity_date) IN (SELECT month FROM placed WHERE run = 'late')
+  UNION ALL SELECT 'feature_user_usage', run, COUNT(*) FROM (
+    SELECT DISTINCT run, feature_id, user_id FROM placed WHERE event_type = 'feature_used') GROUP BY run
+  UNION ALL SELECT 'user_activity', run, COUNT(DISTINCT user_id) FROM placed GROUP BY run
+  UNION ALL SELECT 'user_month_activity', run, COUNT(*) FROM months GROUP BY run
+  UNION ALL SELECT 'user_retention_cohorts', run, COUNT(*) FROM (
+    SELECT DISTINCT c.run, cohort, month FROM cohorts c LEFT JOIN months m ON m.run = c.run AND m.user_id = c.user_id) GROUP BY run
+  UNION ALL SELECT 'feature_adoption_funnel', run, COUNT(DISTINCT p.feature_id) FROM placed p
+    JOIN dim_features d ON d.feature_id = p.feature_id WHERE event_type = 'feature_used' GROUP BY run
+  UNION ALL SELECT 'churn_risk_scores', run, COUNT(DISTINCT user_id) FROM placed GROUP BY run
+  UNION ALL SELECT 'churn_risk_by_user', run, COUNT(DISTINCT user_id) FROM placed GROUP BY run)
+{_STORED.strip()}
+UNION ALL SELECT table_name, CAST(SUM(n) AS BIGINT) FROM written
+  WHERE run = 'early' OR run = CASE WHEN table_name IN (
+    'user_retention_cohorts', 'feature_adoption_funnel', 'churn_risk_scores', 'churn_risk_by_user') THEN 'all' ELSE 'late' END
+  GROUP BY table_name""")
+
 ORACLE["stored_user_versions"] = ORACLE["dim_users_scd2"]

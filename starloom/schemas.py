@@ -164,6 +164,17 @@ DIM_USERS = T.StructType([
     T.StructField("end_date", NTZ, True),
     T.StructField("created_at", NTZ, False),
     T.StructField("updated_at", NTZ, False),
+    # The change that opened this version; NULL for a user's first one.
+    T.StructField("change_id", T.StringType(), True),
+])
+
+# Every state change of a user ever seen, also those that opened no version.
+USER_CHANGES = T.StructType([
+    T.StructField("user_id", T.StringType(), False),
+    T.StructField("change_ts", NTZ, False),
+    T.StructField("change_id", T.StringType(), False),
+    T.StructField("current_plan", T.StringType(), True),
+    T.StructField("account_status", T.StringType(), True),
 ])
 
 DIM_DOCUMENTS = T.StructType([
@@ -236,6 +247,59 @@ STAGING_REJECTS = T.StructType([
     T.StructField("reject_id", T.StringType(), True),
 ])
 
+# Rollups of the facts: one partial row per key and load.
+FEATURE_USER_USAGE = T.StructType([
+    T.StructField("feature_sk", T.LongType(), True),
+    T.StructField("user_sk", T.LongType(), False),
+    T.StructField("n", T.LongType(), False),
+    T.StructField("dur_sum", T.LongType(), True),
+    T.StructField("dur_n", T.LongType(), False),
+    T.StructField("first_ts", NTZ, True),
+    T.StructField("last_ts", NTZ, True),
+])
+
+USER_ACTIVITY = T.StructType([
+    T.StructField("user_sk", T.LongType(), False),
+    T.StructField("lifetime_events", T.LongType(), False),
+    T.StructField("last_active_date", T.DateType(), True),
+])
+
+USER_MONTH_ACTIVITY = T.StructType([
+    T.StructField("user_sk", T.LongType(), False),
+    T.StructField("activity_month", T.DateType(), False),
+])
+
+USER_RETENTION_COHORTS = T.StructType([
+    T.StructField("cohort_month", T.DateType(), True),
+    T.StructField("activity_month", T.DateType(), True),
+    T.StructField("months_since_signup", T.LongType(), True),
+    T.StructField("cohort_size", T.LongType(), True),
+    T.StructField("retained_users", T.LongType(), True),
+    T.StructField("retention_rate", T.DecimalType(23, 2), True),
+])
+
+FEATURE_ADOPTION_FUNNEL = T.StructType([
+    T.StructField("feature_name", T.StringType(), True),
+    T.StructField("feature_category", T.StringType(), True),
+    T.StructField("is_premium_feature", T.BooleanType(), True),
+    T.StructField("unique_users", T.LongType(), True),
+    T.StructField("total_uses", T.LongType(), True),
+    T.StructField("avg_duration_seconds", T.DecimalType(23, 2), True),
+    T.StructField("first_used_at", NTZ, True),
+    T.StructField("last_used_at", NTZ, True),
+])
+
+_CHURN_COLUMNS = [
+    T.StructField("user_id", T.StringType(), True),
+    T.StructField("current_plan", T.StringType(), True),
+    T.StructField("last_active_date", T.DateType(), True),
+    T.StructField("days_since_last_activity", T.LongType(), True),
+    T.StructField("lifetime_events", T.LongType(), True),
+    T.StructField("churn_risk_category", T.StringType(), True),
+]
+CHURN_RISK_SCORES = T.StructType([T.StructField("user_sk", T.LongType(), True), *_CHURN_COLUMNS])
+CHURN_RISK_BY_USER = T.StructType(_CHURN_COLUMNS)
+
 LAYER_SCHEMAS = {
     "staging_rejects": STAGING_REJECTS,
     "raw_events": RAW_EVENTS,
@@ -246,26 +310,47 @@ LAYER_SCHEMAS = {
     "dim_date": DIM_DATE,
     "fact_events": FACT_EVENTS,
     "fact_daily_user_activity": FACT_DAILY,
+    # Staging rows without a place in the facts yet (dates outside the calendar).
+    "staging_unplaced": STAGING_EVENTS,
+    "user_changes": USER_CHANGES,
+    "feature_user_usage": FEATURE_USER_USAGE,
+    "user_activity": USER_ACTIVITY,
+    "user_month_activity": USER_MONTH_ACTIVITY,
+    "user_retention_cohorts": USER_RETENTION_COHORTS,
+    "feature_adoption_funnel": FEATURE_ADOPTION_FUNNEL,
+    "churn_risk_scores": CHURN_RISK_SCORES,
+    "churn_risk_by_user": CHURN_RISK_BY_USER,
 }
 
-# Physical layout of the stored layers: partition columns (bounded by the
-# calendar) so incremental steps read and rewrite only what they touch: raw
-# and staging by delivery batch, event facts by event day (a refresh reads
-# only the touched days), user-day facts by month (a small table whose
-# touched months are rewritten whole).
+# Physical layout of the stored layers, below the folder of each load. Partition
+# columns are bounded by the calendar: staging by event month, event facts
+# by event day (a refresh reads only the touched days), user-day facts by month
+# (a small table whose touched months are replaced whole).
 LAYER_PARTITIONS = {
-    "raw_events": ["batch_id"],
-    "staging_events": ["batch_id"],
+    "staging_events": ["event_month"],
+    "fact_events": ["event_date"],
+    "fact_daily_user_activity": ["activity_month"],
+}
+PARTITION_TYPES = {"event_date": T.DateType(), "event_month": T.StringType(), "activity_month": T.StringType()}
+# Tables whose partitions are replaced one by one.
+REPLACED_BY_PARTITION = {"fact_daily_user_activity"}
+# Columns that the rows of a write are gathered by: files hold few of their
+# values, and AQE splits a hot one over tasks.
+REBALANCE_ON_WRITE = {
+    "staging_events": ["event_month", "event_type"],
     "fact_events": ["event_date"],
     "fact_daily_user_activity": ["activity_month"],
 }
-PARTITION_TYPES = {"event_date": T.DateType(), "activity_month": T.StringType()}
-# Layers whose writes are rebalanced by partition value first. Raw and
-# staging writes follow a shuffle on event_id that already sizes the tasks,
-# and a load covers a few batches, so moving their payloads again would only
-# add I/O; fact writes may span many days (a backfill), so AQE evens them out.
-REBALANCE_ON_WRITE = {"fact_events", "fact_daily_user_activity"}
 # Sort inside each written file, so min/max statistics let filters on these
-# columns (e.g. event_type = 'feature_used') skip row groups. Task-local sort,
+# columns (e.g. event_type = 'feature_used') skip row groups and pages. Task-local sort,
 # no shuffle.
-SORT_ON_WRITE = {"fact_events": ["event_type", "user_sk"], "fact_daily_user_activity": ["activity_date", "user_sk"]}
+SORT_ON_WRITE = {
+    "raw_events": ["batch_id"],
+    "staging_events": ["event_type", "user_id"],
+    "fact_events": ["event_type", "user_sk"],
+    "fact_daily_user_activity": ["activity_date", "user_sk"],
+}
+# Tables with a key index (see sources.layers): unique, never changed once stored.
+LAYER_KEYS = {"raw_events": "event_id", "staging_events": "event_id", "fact_events": "event_id"}
+# Surrogate keys whose maximum each commit keeps.
+LAYER_MAXIMA = {"fact_events": "event_sk", "dim_users": "user_sk", "dim_documents": "document_sk"}

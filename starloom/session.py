@@ -14,13 +14,13 @@ SEMANTIC_CONF = {
     "spark.sql.ansi.enabled": "true",
     # JSON objects with a repeated key keep the last value (JSONB rule).
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # Upserts rewrite only the partitions they touch.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Event times carry no zone (TIMESTAMP_NTZ). Some built-ins (date_format,
     # hour) go through the session zone; in UTC that round trip is the
     # identity, while a DST zone would shift the wall-clock times of the
     # skipped spring-forward hour.
     "spark.sql.session.timeZone": "UTC",
+    # Key indexes are found by their folders, not by partitions that a catalog keeps.
+    "spark.sql.hive.manageFilesourcePartitions": "false",
 }
 
 # Execution settings: runtime re-planning, skew splitting, runtime-checked
@@ -30,7 +30,7 @@ EXECUTION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # MIN / MAX / COUNT of stored layers from Parquet footers (watermarks).
+    # MIN / MAX / COUNT of stored layers from Parquet footers.
     "spark.sql.parquet.aggregatePushdown": "true",
 }
 

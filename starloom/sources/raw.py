@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.json import json_timestamp_text, payload_field
 from starloom.sources.driver import feature_name_of
-from starloom.sources.layers import insert_absent
+from starloom.sources.layers import KeyIndex, insert_absent
 
 
 def to_payload(events: DataFrame) -> DataFrame:
@@ -58,8 +58,9 @@ def stamp_batch(df: DataFrame, day: Column | None = None, suffix: Column | None
     return df.withColumn("loaded_at", F.localtimestamp())
 
 
-def ingest_raw(incoming: DataFrame, existing: DataFrame | None, order_col: str | None = None) -> DataFrame:
-    """Rows of ``incoming`` whose event_id is not in ``existing`` raw yet.
+def ingest_raw(incoming: DataFrame, existing: DataFrame | KeyIndex | None, order_col: str | None = None) -> DataFrame:
+    """Rows of ``incoming`` whose event_id is not in ``existing`` raw (or its
+    key index) yet.
 
     Repeats of one event_id inside the batch keep one row: the first by
     ``order_col`` when given (delivery order), else the smallest payload,

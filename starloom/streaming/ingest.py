@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from starloom.operators import staging
 from starloom.session import configure
-from starloom.sources.layers import complete_step, read_layer, since_step, write_layer
+from starloom.sources.layers import position, read_keys, read_layer, since, write_layer
 from starloom.sources.raw import ingest_raw
 
 LANDING_SCHEMA = T.StructType([
@@ -36,35 +36,34 @@ def land(raw: DataFrame, landing_dir: str) -> None:
 
 def load_micro_batch(batch: DataFrame, raw_root: str, core_root: str) -> None:
     """One micro-batch: new raw rows (exactly once by event_id), then the
-    staging rows of every raw file that staging has not completed - those of
+    staging rows of every raw load that staging has not read - that of
     this batch, and those of an earlier one that stopped between the two
     writes. Rows that raw cannot store, and rows that do not parse or validate, go to the
     ``staging_rejects`` table with their reasons instead of failing the
     stream (B9), so one bad event cannot stop ingestion and none is lost."""
     spark = batch.sparkSession
     good_raw, bad_raw = staging.split_deliverable(batch)
-    new_raw = ingest_raw(good_raw, read_layer(spark, raw_root, "raw_events"))
+    new_raw = ingest_raw(good_raw, read_keys(spark, raw_root, "raw_events"))
     write_layer(new_raw.withColumn("loaded_at", F.localtimestamp()), raw_root, "raw_events", "append")
     store_rejects(bad_raw, core_root)
     stage_new_raw(spark, raw_root, core_root)
 
 
-def store_rejects(rejects: DataFrame, core_root: str) -> None:
+def store_rejects(rejects: DataFrame, core_root: str) -> int:
+    """Rejects (and numbers of them) that are not stored yet; rows written."""
     stored = read_layer(rejects.sparkSession, core_root, "staging_rejects")
-    write_layer(staging.new_rejects(rejects, stored), core_root, "staging_rejects", "append")
+    return write_layer(staging.new_rejects(rejects, stored), core_root, "staging_rejects", "append")
 
 
 def stage_new_raw(spark: SparkSession, raw_root: str, core_root: str) -> None:
-    """Staging rows and rejects of the raw files that staging has not completed."""
-    found = since_step(spark, raw_root, "raw_events", core_root, "staging")
-    if found is None or not found[2]:
+    """Staging rows and rejects of the raw loads that staging has not read."""
+    found = since(spark, raw_root, "raw_events", position(spark, core_root, "staging_events", "raw_events"))
+    if found is None:
         return
-    candidates, _, files = found
-    stg_prev = read_layer(spark, core_root, "staging_events")
-    good, rejects = staging.split_valid(candidates, stg_prev)
+    candidates, number = found
+    good, rejects = staging.split_valid(candidates, read_keys(spark, core_root, "staging_events"))
     store_rejects(rejects, core_root)
-    write_layer(staging.new_events(good, stg_prev), core_root, "staging_events", "append")
-    complete_step(spark, core_root, "staging", files)
+    write_layer(good, core_root, "staging_events", "append", {"raw_events": number})
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, raw_root: str, core_root: str, checkpoint: str,
