@@ -129,7 +129,7 @@ def contract_report(staging: DataFrame) -> DataFrame:
     stack = ", ".join(f"'{c}', `{c}`" for c in not_null)
     nn = counts.selectExpr(f"stack({len(not_null)}, {stack}) as (column_name, violations)") \
         .withColumn("rule", F.lit("not_null"))
-    dup = (staging.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    dup = (staging.where(F.col("event_id").isNotNull()).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
            .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias("violations"))
            .withColumn("column_name", F.lit("event_id")).withColumn("rule", F.lit("unique")))
     return nn.unionByName(dup).select("rule", "column_name", F.col("violations").cast("bigint"))

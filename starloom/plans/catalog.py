@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from starloom.functions.inet import is_inet
 from starloom.operators import dims, facts, marts, profile, quality, reports, staging
 from starloom.plans import daily_load
-from starloom.plans.warehouse import EARLY_CUTOFF, Warehouse
+from starloom.plans.warehouse import BROKEN_EVERY, EARLY_CUTOFF, Warehouse, number_of
 from starloom.schemas import CALENDAR_MONTHS, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 from starloom.session import scratch_path
 from starloom.sources.layers import read_layer
@@ -135,8 +135,8 @@ def _staging_properties(w: Warehouse) -> DataFrame:
 
 @query("ip_valid")
 def _ip_valid(w: Warehouse) -> DataFrame:
-    """Address validity per event."""
-    return w.staging.select("event_id", "ip_address", is_inet(F.col("ip_address")).alias("ip_valid"))
+    """Address validity per event, invalid addresses included."""
+    return w.staging_broken.select("event_id", "ip_address", is_inet(F.col("ip_address")).alias("ip_valid"))
 
 
 @query("staging_increment")
@@ -148,14 +148,14 @@ def _staging_increment(w: Warehouse) -> DataFrame:
 
 @query("staging_contract")
 def _staging_contract(w: Warehouse) -> DataFrame:
-    """NOT NULL and key rules of staging, as violation counts."""
-    return staging.contract_report(w.staging)
+    """NOT NULL and key rules of staging, as violation counts of broken events."""
+    return staging.contract_report(w.staging_broken)
 
 
 @query("staging_quarantine")
 def _staging_quarantine(w: Warehouse) -> DataFrame:
-    """Good rows vs rejects per reason."""
-    good, rejects = staging.split_valid(w.raw)
+    """Good rows vs rejects per reason, over broken events."""
+    good, rejects = staging.split_valid(w.raw_broken)
     return staging.quarantine_summary(good, rejects)
 
 
@@ -225,9 +225,10 @@ def _fact_events(w: Warehouse) -> DataFrame:
 
 @query("fact_events_dropped")
 def _fact_events_dropped(w: Warehouse) -> DataFrame:
-    """C6f over product events plus the 1995-2001 order stream."""
+    """C6f over product events plus the 1995-2001 order stream; users whose
+    number leaves 3 when divided by 7 have no current row."""
     stg = w.staging_with_orders
-    users = dims.build_dim_users(stg, effective_from_first_event=True)
+    users = dims.build_dim_users(stg, effective_from_first_event=True).withColumn("is_current", number_of("user_id") % 7 != 3)
     return facts.explain_dropped(stg, users, w.dim_date)
 
 
@@ -343,8 +344,8 @@ def _layer_pct_of_raw(w: Warehouse) -> DataFrame:
 
 @query("duplicate_events")
 def _duplicate_events(w: Warehouse) -> DataFrame:
-    """E6."""
-    return reports.duplicate_events(w.staging)
+    """E6, over broken events."""
+    return reports.duplicate_events(w.staging_broken)
 
 
 @query("table_counts")
@@ -368,7 +369,7 @@ def _retention_matrix(w: Warehouse) -> DataFrame:
 # ---------------------------------------------------------------- quality
 def _tables(w: Warehouse) -> dict[str, DataFrame]:
     """Every table that rules are declared for."""
-    return {"raw_events": w.raw, "staging_events": w.staging, "dim_users": w.dim_users, "dim_documents": w.dim_documents,
+    return {"raw_events": w.raw_broken, "staging_events": w.staging_broken, "dim_users": w.dim_users, "dim_documents": w.dim_documents,
             "dim_features": w.dim_features, "dim_date": w.dim_date, "fact_events": w.keyed_fact_events,
             "fact_daily_user_activity": w.daily, "user_retention_cohorts": w.retention,
             "feature_adoption_funnel": w.funnel, "churn_risk_scores": w.churn}
@@ -376,49 +377,54 @@ def _tables(w: Warehouse) -> dict[str, DataFrame]:
 
 @query("chk_not_null")
 def _chk_not_null(w: Warehouse) -> DataFrame:
-    """G1: every declared NOT NULL column."""
+    """G1: every declared NOT NULL column; raw and staging hold broken events."""
     t = _tables(w)
     return _union([quality.chk_not_null(t[name], name) for name in NOT_NULL])
 
 
 @query("chk_unique")
 def _chk_unique(w: Warehouse) -> DataFrame:
-    """Every declared key."""
+    """Every declared key; raw and staging hold broken events."""
     t = _tables(w)
     return _union([quality.chk_unique(t[name], name, keys) for name, all_keys in UNIQUE_KEYS.items() for keys in all_keys])
 
 
 @query("chk_one_current")
 def _chk_one_current(w: Warehouse) -> DataFrame:
-    """G3."""
-    return quality.chk_one_current(w.dim_users)
+    """G3, with a second current row of every tenth user."""
+    users = w.dim_users
+    return quality.chk_one_current(users.unionByName(users.where(number_of("user_id") % 10 == 1)))
 
 
 @query("chk_foreign_keys")
 def _chk_foreign_keys(w: Warehouse) -> DataFrame:
-    """G4."""
+    """G4, against dimensions that lack some of their rows."""
     f = w.fact_events
+    users = w.dim_users.where(number_of("user_id") % 10 != 2)
+    docs = w.dim_documents.where(number_of("document_id") % 10 != 3)
+    features, dates = w.dim_features.where("feature_id <> 'comments'"), w.dim_date.where("month <> 2")
     checks = [
-        quality.chk_foreign_key(f, "fact_events", "user_sk", w.dim_users, "user_sk", False),
-        quality.chk_foreign_key(f, "fact_events", "document_sk", w.dim_documents, "document_sk", True),
-        quality.chk_foreign_key(f, "fact_events", "feature_sk", w.dim_features, "feature_sk", True),
-        quality.chk_foreign_key(f, "fact_events", "date_key", w.dim_date, "date_key", False),
-        quality.chk_foreign_key(w.daily, "fact_daily_user_activity", "user_sk", w.dim_users, "user_sk", False),
+        quality.chk_foreign_key(f, "fact_events", "user_sk", users, "user_sk", False),
+        quality.chk_foreign_key(f, "fact_events", "document_sk", docs, "document_sk", True),
+        quality.chk_foreign_key(f, "fact_events", "feature_sk", features, "feature_sk", True),
+        quality.chk_foreign_key(f, "fact_events", "date_key", dates, "date_key", False),
+        quality.chk_foreign_key(w.daily, "fact_daily_user_activity", "user_sk", users, "user_sk", False),
     ]
     return _union(checks)
 
 
 @query("chk_lengths")
 def _chk_lengths(w: Warehouse) -> DataFrame:
-    """Every declared limit."""
+    """Every declared limit; raw and staging hold broken events."""
     t = _tables(w)
     return _union([quality.chk_lengths(t[name], name) for name in VARCHAR_LIMITS])
 
 
 @query("chk_reconcile")
 def _chk_reconcile(w: Warehouse) -> DataFrame:
-    """G6."""
-    return quality.chk_reconcile(w.fact_events, w.daily)
+    """G6, with some facts lost after the daily rows were made."""
+    kept = w.fact_events.where(number_of("event_id") % BROKEN_EVERY != 0)
+    return quality.chk_reconcile(kept, w.daily)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

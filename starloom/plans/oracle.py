@@ -10,7 +10,7 @@ ratios DOUBLE.
 
 from __future__ import annotations
 
-from starloom.plans.warehouse import AS_OF, EARLY_CUTOFF
+from starloom.plans.warehouse import AS_OF, BROKEN, BROKEN_EVERY, EARLY_CUTOFF
 from starloom.schemas import CALENDAR_MONTHS, FEATURE_SEED, NOT_NULL, UNIQUE_KEYS, VARCHAR_LIMITS
 
 _AS_OF = f"DATE '{AS_OF.isoformat()}'"
@@ -164,6 +164,21 @@ CTE = {
   SELECT user_id, plan, account_status, change_ts AS valid_from,
          lead(change_ts) OVER (PARTITION BY user_id ORDER BY change_ts, change_id) AS valid_to
   FROM plan_points)""",
+    # Events with one defect each, by the remainder of their number; a
+    # malformed document has no field.
+    "broken": f"""broken AS (
+  SELECT k, event_id AS raw_id, CASE WHEN k NOT IN ({BROKEN['malformed_json']}, {BROKEN['missing_event_id']}) THEN event_id END AS event_id,
+         CASE WHEN k NOT IN ({BROKEN['malformed_json']}, {BROKEN['missing_event_type']}) THEN event_type END AS event_type,
+         CASE WHEN k NOT IN ({BROKEN['malformed_json']}, {BROKEN['bad_timestamp']}) THEN event_timestamp END AS event_timestamp,
+         CASE WHEN k NOT IN ({BROKEN['malformed_json']}, {BROKEN['missing_user_id']}) THEN user_id END AS user_id,
+         CASE WHEN k <> {BROKEN['malformed_json']} THEN session_id END AS session_id,
+         CASE WHEN k <> {BROKEN['malformed_json']} THEN document_id END AS document_id,
+         CASE WHEN k <> {BROKEN['malformed_json']} THEN feature_id END AS feature_id,
+         CASE k WHEN {BROKEN['too_long_platform']} THEN repeat('x', 60) WHEN {BROKEN['malformed_json']} THEN NULL ELSE platform END AS platform,
+         CASE k WHEN {BROKEN['bad_ip']} THEN '300.1.2.3' WHEN {BROKEN['malformed_json']} THEN NULL ELSE ip_address END AS ip_address,
+         duration_seconds AS given_seconds, batch_id,
+         unnest(CASE k WHEN {BROKEN['duplicate_event_id']} THEN [1, 2] ELSE [1] END) AS copy
+  FROM (SELECT *, CAST(substr(event_id, 5) AS BIGINT) % {BROKEN_EVERY} AS k FROM staging))""",
 }
 
 _ORDER = list(CTE)
@@ -221,25 +236,30 @@ SELECT event_id, document_id AS prop_document_id,
        plan AS prop_plan, billing_cycle AS prop_billing_cycle, reason AS prop_reason
 FROM staging""")
 
-ORACLE["ip_valid"] = _w("staging", """
-SELECT event_id, ip_address, TRUE AS ip_valid FROM staging""")
+ORACLE["ip_valid"] = _w("broken", """
+SELECT event_id, ip_address, ip_address LIKE '192.168.%' AS ip_valid FROM broken""")
 
 ORACLE["staging_increment"] = _w("staging", f"""
 SELECT event_id, batch_id FROM staging WHERE batch_id > {_CUT}""")
 
-ORACLE["staging_contract"] = _w("staging", """
+ORACLE["staging_contract"] = _w("broken", """
 SELECT 'not_null' AS rule, 'event_id' AS column_name,
-       CAST(COUNT(*) FILTER (WHERE event_id IS NULL) AS BIGINT) AS violations FROM staging
-UNION ALL SELECT 'not_null', 'event_type', COUNT(*) FILTER (WHERE event_type IS NULL) FROM staging
-UNION ALL SELECT 'not_null', 'event_timestamp', COUNT(*) FILTER (WHERE event_timestamp IS NULL) FROM staging
-UNION ALL SELECT 'not_null', 'user_id', COUNT(*) FILTER (WHERE user_id IS NULL) FROM staging
-UNION ALL SELECT 'not_null', 'batch_id', COUNT(*) FILTER (WHERE batch_id IS NULL) FROM staging
+       CAST(COUNT(*) FILTER (WHERE event_id IS NULL) AS BIGINT) AS violations FROM broken
+UNION ALL SELECT 'not_null', 'event_type', COUNT(*) FILTER (WHERE event_type IS NULL) FROM broken
+UNION ALL SELECT 'not_null', 'event_timestamp', COUNT(*) FILTER (WHERE event_timestamp IS NULL) FROM broken
+UNION ALL SELECT 'not_null', 'user_id', COUNT(*) FILTER (WHERE user_id IS NULL) FROM broken
+UNION ALL SELECT 'not_null', 'batch_id', COUNT(*) FILTER (WHERE batch_id IS NULL) FROM broken
 UNION ALL SELECT 'not_null', 'processed_at', 0
 UNION ALL SELECT 'unique', 'event_id', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT)
-FROM (SELECT event_id, COUNT(*) AS n FROM staging GROUP BY event_id HAVING COUNT(*) > 1)""")
+FROM (SELECT event_id, COUNT(*) AS n FROM broken WHERE event_id IS NOT NULL GROUP BY event_id HAVING COUNT(*) > 1)""")
 
-ORACLE["staging_quarantine"] = _w("staging", """
-SELECT 'ok' AS reason, COUNT(DISTINCT event_id) AS n_rows FROM staging""")
+ORACLE["staging_quarantine"] = _w("broken", f"""
+, reasons(reason, k) AS (VALUES {", ".join(f"('{r}', {k})" for r, k in BROKEN.items())})
+SELECT reason, CAST(SUM(n) AS BIGINT) AS n_rows FROM (
+  SELECT COALESCE(r.reason, 'ok') AS reason, CASE WHEN r.reason = 'duplicate_event_id' THEN copy - 1 ELSE 1 END AS n
+  FROM broken b LEFT JOIN reasons r ON r.k = b.k AND (r.reason <> 'bad_integer' OR given_seconds IS NOT NULL)
+  UNION ALL SELECT 'ok', COUNT(DISTINCT event_id) FROM broken WHERE k = (SELECT k FROM reasons WHERE reason = 'duplicate_event_id'))
+GROUP BY reason""")
 
 # --------------------------------------------------------------- dimensions
 ORACLE["dim_date"] = _w("fact_events", """
@@ -284,7 +304,7 @@ FROM fact_events""")
 ORACLE["fact_events_dropped"] = _w("dim_date", """
 , everything AS (SELECT event_id, user_id, event_timestamp FROM staging
                  UNION ALL SELECT event_id, user_id, event_timestamp FROM orders_staging)
-SELECT 'no_current_user' AS reason, CAST(0 AS BIGINT) AS n_events
+SELECT 'no_current_user' AS reason, COUNT(*) AS n_events FROM everything WHERE CAST(substr(user_id, 5) AS BIGINT) % 7 = 3
 UNION ALL
 SELECT 'date_out_of_range', COUNT(*) FROM everything e
 WHERE CAST(strftime(e.event_timestamp, '%Y%m%d') AS INT) NOT IN (SELECT date_key FROM dim_date)""")
@@ -377,8 +397,8 @@ SELECT layer, record_count,
        CAST(ROUND(100.0 * record_count / (SELECT record_count FROM layers WHERE layer = 'Raw'), 2) AS DOUBLE) AS pct_of_raw
 FROM layers""")
 
-ORACLE["duplicate_events"] = _w("staging", """
-SELECT DISTINCT event_id, n_rows FROM (SELECT event_id, COUNT(*) OVER (PARTITION BY event_id) AS n_rows FROM staging)
+ORACLE["duplicate_events"] = _w("broken", """
+SELECT DISTINCT event_id, n_rows FROM (SELECT event_id, COUNT(*) OVER (PARTITION BY event_id) AS n_rows FROM broken)
 WHERE n_rows > 1""")
 
 ORACLE["table_counts"] = _w("funnel", """
@@ -402,9 +422,9 @@ ORACLE["total_users"] = _w("dim_users", "SELECT COUNT(*) AS total_users FROM dim
 # ------------------------------------------------------------------ quality
 # Tables by the name that rules are declared under; the load stamps and the
 # facts' own key are set by the load and exist in no query here.
-_RULE_TABLES = {"raw_events": "raw_rows", "staging_events": "staging", "fact_daily_user_activity": "daily",
+_RULE_TABLES = {"raw_events": "raw_rows", "staging_events": "broken", "fact_daily_user_activity": "daily",
                 "user_retention_cohorts": "retention", "feature_adoption_funnel": "funnel", "churn_risk_scores": "churn"}
-_RAW_ROWS = ", raw_rows AS (SELECT event_id, event_id AS raw_payload, batch_id FROM staging)\n"
+_RAW_ROWS = ", raw_rows AS (SELECT raw_id AS event_id, raw_id AS raw_payload, batch_id FROM broken)\n"
 _LOAD_SET = {"loaded_at", "processed_at", "created_at", "updated_at", "effective_date", "event_sk"}
 
 
@@ -412,7 +432,7 @@ def _rule(kind: str, label: str, name: str, count: str, table: str) -> str:
     return f"SELECT '{label}' AS table_name, '{kind}' AS rule, '{name}' AS column_name, CAST({count} AS BIGINT) AS violations {table}"
 
 
-ORACLE["chk_not_null"] = _w("daily", _RAW_ROWS + "\nUNION ALL ".join(
+ORACLE["chk_not_null"] = _w("daily broken", _RAW_ROWS + "\nUNION ALL ".join(
     _rule("not_null", t, c, "0", "") if c in _LOAD_SET else
     _rule("not_null", t, c, f"COUNT(*) FILTER (WHERE {c} IS NULL)", f"FROM {_RULE_TABLES.get(t, t)}")
     for t, columns in NOT_NULL.items() for c in columns))
@@ -426,30 +446,30 @@ def _unique(table: str, keys: list[str], label: str | None = None) -> str:
             f"FROM (SELECT {k}, COUNT(*) AS n FROM {table} WHERE {nn} GROUP BY {k})")
 
 
-ORACLE["chk_unique"] = _w("daily retention funnel churn", _RAW_ROWS + "\nUNION ALL ".join(
+ORACLE["chk_unique"] = _w("daily retention funnel churn broken", _RAW_ROWS + "\nUNION ALL ".join(
     _rule("unique", t, ",".join(keys), "0", "") if set(keys) & _LOAD_SET else _unique(_RULE_TABLES.get(t, t), keys, t)
     for t, all_keys in UNIQUE_KEYS.items() for keys in all_keys))
 
 ORACLE["chk_one_current"] = _w("dim_users", """
 SELECT 'dim_users' AS table_name, 'one_current' AS rule, 'user_id' AS column_name,
        CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS violations
-FROM (SELECT user_id, COUNT(*) AS n FROM dim_users WHERE is_current GROUP BY user_id)""")
+FROM (SELECT user_id, CASE CAST(substr(user_id, 5) AS BIGINT) % 10 WHEN 1 THEN 2 ELSE 1 END AS n FROM dim_users WHERE is_current)""")
 
 ORACLE["chk_foreign_keys"] = _w("daily", """
 SELECT 'fact_events' AS table_name, 'foreign_key' AS rule, 'user_sk' AS column_name,
-       CAST(COUNT(*) FILTER (WHERE user_sk IS NULL OR user_sk NOT IN (SELECT user_sk FROM dim_users)) AS BIGINT) AS violations
+       CAST(COUNT(*) FILTER (WHERE user_sk IS NULL OR user_sk NOT IN (SELECT user_sk FROM dim_users WHERE CAST(substr(user_id, 5) AS BIGINT) % 10 <> 2)) AS BIGINT) AS violations
 FROM fact_events
 UNION ALL SELECT 'fact_events', 'foreign_key', 'document_sk',
-       COUNT(*) FILTER (WHERE document_sk IS NOT NULL AND document_sk NOT IN (SELECT document_sk FROM dim_documents))
+       COUNT(*) FILTER (WHERE document_sk IS NOT NULL AND document_sk NOT IN (SELECT document_sk FROM dim_documents WHERE CAST(substr(document_id, 5) AS BIGINT) % 10 <> 3))
 FROM fact_events
 UNION ALL SELECT 'fact_events', 'foreign_key', 'feature_sk',
-       COUNT(*) FILTER (WHERE feature_sk IS NOT NULL AND feature_sk NOT IN (SELECT feature_sk FROM dim_features))
+       COUNT(*) FILTER (WHERE feature_sk IS NOT NULL AND feature_sk NOT IN (SELECT feature_sk FROM dim_features WHERE feature_id <> 'comments'))
 FROM fact_events
 UNION ALL SELECT 'fact_events', 'foreign_key', 'date_key',
-       COUNT(*) FILTER (WHERE date_key IS NULL OR date_key NOT IN (SELECT date_key FROM dim_date))
+       COUNT(*) FILTER (WHERE date_key IS NULL OR date_key NOT IN (SELECT date_key FROM dim_date WHERE month <> 2))
 FROM fact_events
 UNION ALL SELECT 'fact_daily_user_activity', 'foreign_key', 'user_sk',
-       COUNT(*) FILTER (WHERE user_sk IS NULL OR user_sk NOT IN (SELECT user_sk FROM dim_users))
+       COUNT(*) FILTER (WHERE user_sk IS NULL OR user_sk NOT IN (SELECT user_sk FROM dim_users WHERE CAST(substr(user_id, 5) AS BIGINT) % 10 <> 2))
 FROM daily""")
 
 
@@ -460,14 +480,15 @@ def _lengths(table: str, limits: dict[str, int], label: str) -> str:
     return "\nUNION ALL ".join(parts)
 
 
-ORACLE["chk_lengths"] = _w("fact_events", _RAW_ROWS + "\nUNION ALL ".join(
+ORACLE["chk_lengths"] = _w("fact_events broken", _RAW_ROWS + "\nUNION ALL ".join(
     _lengths(_RULE_TABLES.get(t, t), limits, t) for t, limits in VARCHAR_LIMITS.items()))
 
 ORACLE["chk_reconcile"] = _w("daily", """
 SELECT COALESCE(f.activity_date, d.activity_date) AS activity_date,
        CAST(COALESCE(f.n, 0) AS BIGINT) AS fact_events, CAST(COALESCE(d.n, 0) AS BIGINT) AS daily_events,
        CAST(COALESCE(f.n, 0) - COALESCE(d.n, 0) AS BIGINT) AS difference
-FROM (SELECT CAST(event_timestamp AS DATE) AS activity_date, COUNT(*) AS n FROM fact_events GROUP BY 1) f
+FROM (SELECT CAST(event_timestamp AS DATE) AS activity_date, COUNT(*) AS n FROM fact_events
+      WHERE CAST(substr(event_id, 5) AS BIGINT) % 97 <> 0 GROUP BY 1) f
 FULL OUTER JOIN (SELECT activity_date, SUM(total_events) AS n FROM daily GROUP BY 1) d
   ON f.activity_date = d.activity_date""")
 

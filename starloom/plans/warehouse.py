@@ -32,6 +32,18 @@ from starloom.sources.raw import to_payload
 AS_OF = _dt.date(2024, 7, 15)
 EARLY_CUTOFF = "batch_20240115"
 
+# Defects of the broken events: the remainder of an event's number by
+# BROKEN_EVERY that has each of them.
+BROKEN_EVERY = 97
+BROKEN = {"bad_ip": 1, "missing_user_id": 2, "missing_event_type": 3, "duplicate_event_id": 4, "too_long_platform": 5,
+          "malformed_json": 6, "bad_timestamp": 7, "bad_integer": 8, "missing_event_id": 9}
+
+
+def number_of(name: str):
+    """The number that an id ends with."""
+    return F.regexp_extract(name, "([0-9]+)$", 1).cast("bigint")
+
+
 # (application id, sf_dir) -> (raw path, staging path) written this session.
 _STORED: dict[tuple[str, str], tuple[str, str]] = {}
 _STORED_LOCK = threading.Lock()
@@ -93,6 +105,35 @@ class Warehouse:
     def staging_late(self) -> DataFrame:
         return self.staging.where(F.col("batch_id") > EARLY_CUTOFF)
 
+    # ------------------------------------------------------ broken events
+    @cached_property
+    def raw_broken(self) -> DataFrame:
+        """The raw layer with defects in its documents: by the remainder of
+        the event's number, one kind each (see BROKEN)."""
+        k, p = number_of("event_id") % BROKEN_EVERY, F.col("raw_payload")
+        cut = lambda pattern, new: F.regexp_replace(p, pattern, new)
+        broken = {
+            "bad_ip": cut('"ip_address":"[^"]*"', '"ip_address":"300.1.2.3"'),
+            "missing_user_id": cut('"user_id":"[^"]*",', ""),
+            "missing_event_type": cut('"event_type":"[^"]*",', ""),
+            "too_long_platform": cut('"platform":"[^"]*"', f'"platform":"{"x" * 60}"'),
+            "malformed_json": p.substr(F.lit(1), F.length(p) - 1),
+            "bad_timestamp": cut('"event_timestamp":"[^"]*"', '"event_timestamp":"soon"'),
+            "bad_integer": cut('"(edit_duration_sec|duration_sec)":([0-9]+)', '"$1":$2.0'),
+            "missing_event_id": cut('"event_id":"[^"]*",', ""),
+        }
+        payload = None
+        for kind, text in broken.items():
+            payload = (F if payload is None else payload).when(k == BROKEN[kind], text)
+        copies = F.when(k == BROKEN["duplicate_event_id"], F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        return self.raw.select("event_id", payload.otherwise(p).alias("raw_payload"), "batch_id", "loaded_at",
+                               F.explode(copies).alias("copy")).drop("copy")
+
+    @cached_property
+    def staging_broken(self) -> DataFrame:
+        """What a lenient parse makes of the broken documents."""
+        return staging.parse_events(self.raw_broken, strict=False, check_contract=False)
+
     # ---------------------------------------------------------- dimensions
     @cached_property
     def dim_date(self) -> DataFrame:

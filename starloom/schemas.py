@@ -45,13 +45,13 @@ CHURN_LOW_DAYS = 7
 # Event type weights of the product's event model (share in percent).
 EVENT_TYPE_WEIGHTS = [
     ("document_edited", 35),
-    ("feature_used", 20),
-    ("user_login", 15),
     ("document_created", 10),
+    ("user_login", 15),
+    ("feature_used", 20),
     ("document_shared", 8),
     ("user_logout", 5),
-    ("subscription_upgraded", 3),
     ("subscription_started", 2),
+    ("subscription_upgraded", 3),
     ("subscription_cancelled", 1),
     ("document_deleted", 1),
 ]
@@ -122,7 +122,8 @@ FOREIGN_KEYS = [
 ]
 
 # --------------------------------------------------------------------------
-# Layer schemas
+# Layer schemas: column names, types and NOT NULL are fixed values too, as
+# are the limits and keys above.
 # --------------------------------------------------------------------------
 
 NTZ = T.TimestampNTZType()
