@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import materialize
+from starloom.llm.common import col, free_name, materialize
 
 BLOCK_GROUPS = 1 << 18
 CACHED_BLOCKS = 64
@@ -98,9 +98,11 @@ def minimax_shards(rows: DataFrame, n_shards: int, key: str, group: str, size: s
                    block_groups: int = BLOCK_GROUPS) -> DataFrame:
     """``rows`` plus ``shard`` (int from 0) and ``slot`` (long, gapless from 0
     in each shard). ``size``: a row's size, zero or more. ``rows`` must read the same
-    each time (a table, or rows that were written)."""
-    extra = {"k_": F.col(key), "g_": F.col(group), "s_": F.col(size).cast("long"), "u_": F.monotonically_increasing_id()}
-    own = [F.col(c) for c in rows.columns]
+    each time (a table, or rows that were written). New columns get an underscore
+    at their end while the rows have one of that name."""
+    extra = {"k_": col(rows, key), "g_": col(rows, group), "s_": col(rows, size).cast("long"), "u_": F.monotonically_increasing_id()}
+    # Input columns go under names of their own, so none meets one that is used here.
+    own = [col(rows, c).alias(f"in_{i}") for i, c in enumerate(rows.columns)]
     keyed = materialize(rows.select(*own, *(c.alias(n) for n, c in extra.items())), "rows")
     groups = materialize(keyed.groupBy("g_").agg(F.sum("s_").alias("size"), F.count("*").alias("n"),
                                                  F.min("k_").alias("first")), "groups")
@@ -131,4 +133,5 @@ def minimax_shards(rows: DataFrame, n_shards: int, key: str, group: str, size: s
     subs = subs.select("g_", "sub", (F.sum("sub_n").over(Window.partitionBy("g_").orderBy("sub")) - F.col("sub_n")).alias("sub_at"))
     numbered = joined.withColumn("i", F.row_number().over(Window.partitionBy("g_", "sub").orderBy("k_", "u_")) - 1)
     return numbered.join(subs, ["g_", "sub"]).select(
-        *rows.columns, "shard", (F.col("at") + F.col("sub_at") + F.col("i")).alias("slot"))
+        *(F.col(f"in_{i}").alias(c) for i, c in enumerate(rows.columns)), F.col("shard").alias(free_name(rows.columns, "shard")),
+        (F.col("at") + F.col("sub_at") + F.col("i")).alias(free_name(rows.columns, "slot")))

@@ -37,6 +37,7 @@ INDEX_ROWS = 16_384  # rows of an index; a vector block holds several, which sha
 #: Impact levels of a walk, as shares of the best and then of the worst impact.
 DOWN = (1 / 16, 0)
 BELOW = (1 / 64, 1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 1)
+LARGEST = 1 << 27  # quantised components that take part at most
 SEGMENTS = 4096  # posting segments of a dimension at most
 STOP_SHARE = 2  # a walk may stop once one row in so many can still be a member
 SEEN = 1 << 36  # one dimension seen, beside what it adds
@@ -142,22 +143,24 @@ def _stack(vectors: pd.Series, dims: int) -> np.ndarray:
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
-    """(id, v): one integer vector an id, of the vectors that take part."""
+    """(id, v): integer vectors of the rows that take part; repeated ids stay
+    rows of their own. Vectors with a component beyond LARGEST take no part:
+    their inner products would not fit a long."""
     raw = vectors.select(col(vectors, id_col).cast("long").alias("id"), col(vectors, vector_col).alias("e"))
-    bad = lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf"))
+    bad = lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) > LARGEST / scale)
     fit = raw.where(F.col("id").isNotNull() & F.col("e").isNotNull() & ~F.coalesce(F.exists("e", bad), F.lit(False)))
     v = F.transform("e", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return fit.select("id", v.alias("v")).groupBy("id").agg(F.max("v").alias("v"))
+    return fit.select("id", v.alias("v"))
 
 
 def top_k(index: DataFrame, is_query, k: int = 20, vector_block: int = VECTOR_BLOCK,
           query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of ``index`` (id, v) for
     each row that ``is_query`` (a Column of id) holds for."""
-    index = materialize(index.select("id", "v", F.size("v").alias("dims")), "vectors")
+    index = materialize(index.select("id", "v", F.size("v").alias("dims"), F.monotonically_increasing_id().alias("row")), "vectors")
     sizes = index.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     n_v, n_q = max(1, -(-sizes.n // vector_block)), max(1, -(-sizes.q // query_block))
-    deal = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")
+    deal = lambda seed, n: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = index.select("id", "v", "dims", deal(1, n_v).alias("vb"), every(n_q).alias("qb"))
     right = index.where(is_query).select("id", "v", "dims", deal(2, n_q).alias("qb"), every(n_v).alias("vb"))
