@@ -30,7 +30,7 @@ _UNLIKE = re.compile(
     "[^\x00-\x1b\x20-\x7f\x80-\xb1\xb4-\xb8\xba\xbb\xbf-ʯͰ-҂Ҋ-ԯ"
     "‐-‧‰-⁞ぁ-ゖァ-ヺ一-龥가-힣]")
 
-CACHE_WORDS = 400_000  # pre-tokens kept per Python worker
+CACHE_WORDS = 120_000  # pre-tokens kept per Python worker
 CACHE_CHARS = 48  # longer ones are merged each time
 
 

@@ -47,7 +47,7 @@ LEADERS = 2
 SKETCH_BLOCK = 2048  # sketches of a block's side
 SET_BLOCK = 1 << 20  # shingles of a block's side, counting 1024 at least for a set
 COLUMNS = 4096  # shingles of one matrix product
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 _random = np.random.default_rng(20240101)
 _MUL = _random.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -237,7 +237,7 @@ def _block_links(percent: int):
     return run
 
 
-_SIGNED = "n_shingles long, cid long, bands array<long>, sketch binary"
+_SIGNED = "text_hash long, n_shingles long, cid long, bands array<long>, sketch binary"
 
 
 def _sign(size: int):
@@ -259,8 +259,8 @@ def _sign(size: int):
                     sketch.append(odd_sketch(values).tobytes())
                 cid.append(class_id(s))
             yield pa.RecordBatch.from_arrays(
-                [b.column("key"), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(band, longs), pa.array(sketch, pa.binary())],
-                ["key", "n_shingles", "cid", "bands", "sketch"])
+                [b.column("key"), b.column("text_hash"), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(band, longs), pa.array(sketch, pa.binary())],
+                ["key", "text_hash", "n_shingles", "cid", "bands", "sketch"])
     return run
 
 
@@ -306,8 +306,9 @@ class Links:
 
     def sets_of(self, ends: DataFrame) -> DataFrame:
         """(cid, set) of the classes in ``ends``."""
-        need = self.classes.join(ends.select("cid").distinct(), "cid").select("cid", F.struct("key").alias("at"))
-        texts = self.docs.select(F.struct("key").alias("at"), "text").join(need, "at").select("cid", "text")
+        # By key and text, so that rows of one key do not all meet each other's classes.
+        need = self.classes.join(ends.select("cid").distinct(), "cid").select("cid", "at")
+        texts = self.docs.select(F.struct("key", "text_hash").alias("at"), "text").join(need, "at").select("cid", "text")
         sets = texts.mapInArrow(_sets(self.size), "cid long, set binary")
         return materialize(sets.groupBy("cid").agg(F.first("set").alias("set")), "sets")
 
@@ -379,12 +380,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                     percent: int = 80) -> DataFrame:
     """(key, n_shingles, component, kept) of every row: documents whose
     shingle sets have 100 * |both| >= percent * |either| are linked."""
-    rows = docs.select(col(docs, key).alias("key"), text_or_empty(docs, text).alias("text"))
+    words = text_or_empty(docs, text)
+    rows = docs.select(col(docs, key).alias("key"), F.xxhash64(words).alias("text_hash"), words.alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     signed = materialize(rows.mapInArrow(_sign(shingle_words), f"key {kind}, {_SIGNED}"), "signed")
     classes = materialize(
         signed.where(F.col("cid").isNotNull()).groupBy("cid")
-        .agg(F.min("key").alias("key"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+        .agg(F.min("key").alias("key"), F.min(F.struct("key", "text_hash")).alias("at"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
     links = Links(rows, classes, shingle_words, percent)
     links.by_leaders()
     links.by_block()
