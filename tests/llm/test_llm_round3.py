@@ -291,8 +291,79 @@ def test_divide_skip_finds_all_partners():
             assert sorted(index.partners(x, percent).tolist()) == want
 
 
+def test_members_without_a_possible_partner_leave():
+    rng = np.random.default_rng(9)
+    sizes = rng.choice([1, 2, 3, 40, 63, 64, 65, 300, 383], 60)
+    bucket = np.repeat(np.arange(60), sizes)
+    rest = [rng.integers(1, 60, len(bucket)), rng.integers(0, 9, len(bucket)), rng.integers(1, 12, len(bucket))]
+    got = ngram_join._matched(85, bucket, rest)
+    for i in range(len(bucket)):
+        others = [j for j in np.flatnonzero(bucket == bucket[i]) if j != i]
+        want = any(ngram_join.may_link(85, *(x[i] for x in rest), *(x[j] for x in rest)) for j in others)
+        assert got[i] == want
+    # Linked sets always count as possible where they meet first, however large.
+    for n, m, common in ((20, 20, 19), (100, 117, 100), (100, 100, 92), (1, 1, 1), (400, 470, 400)):
+        assert 100 * common >= 85 * (n + m - common)
+        least = -(-85 * (n + m) // 185)
+        shared = common - max(ngram_join.least_overlap(n, 85), ngram_join.least_overlap(m, 85)) + 1
+        assert ngram_join.may_link(85, n, n - common, shared, m, m - common, shared) and least <= common
+
+
 def test_heavy_keys_meet_their_rows(spark):
     rows = spark.createDataFrame([(1, i) for i in range(900)] + [(k, 0) for k in range(2, 50)], "k long, x long")
     keyed = rows.groupBy("k").count().where("k <> 5")
     want = Counter(r.k for r in rows.collect() if r.k != 5)
     assert Counter(r.k for r in spread_join(rows, keyed, "k", "count").collect()) == want
+
+
+# ------------------------------------------- faults found in earlier operators
+def test_repeated_vectors_are_candidates_and_large_ones_take_no_part(spark):
+    from pyspark.sql import functions as F
+
+    from starloom.llm import topk
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.25, 0.0]), (2, [3e38, -3e38]), (3, [-1.0, 2.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(topk.quantised(df), F.col("id") % 20 == 0, k=3).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got if r.query_id == 0) == [
+        (0, 1, 1, 2048), (0, 2, 1, 1024), (0, 3, 20, 0)]
+
+
+def test_many_texts_under_one_key(spark):
+    """Rows of one key meet their own classes only."""
+    import time
+
+    from starloom.llm import near_dup
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(30)) for _ in range(600)]
+    texts += [t + " more" for t in texts]
+    took = []
+    for keys in (range(1200), [7] * 1200):
+        df = table(spark, list(zip(keys, texts)), "doc_id long, text string")
+        began = time.time()
+        got = near_dup.near_duplicates(df).collect()
+        took.append(time.time() - began)
+        assert len(got) == 1200
+    assert took[1] < 3 * took[0] + 5
+
+
+def test_shards_of_rows_with_clashing_names(spark):
+    from starloom.llm import sharding
+    rows = [(i, f"g{i % 7}", 1 + i % 5, "a", "b", "c", "d", "e") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, digest string, size long, n string, at string, shard string, k_ string, `a.b` string")
+    got = sharding.minimax_shards(df, 4, "doc_id", "digest", "size")
+    assert got.columns == [*df.columns, "shard_", "slot"] and got.count() == 40
+    assert {(r.n, r.at, r.shard, r.k_) for r in got.collect()} == {("a", "b", "c", "d")}
+
+
+def test_stages_keep_odd_columns(spark):
+    import corpus_pipeline
+    rng = random.Random(6)
+    base = [" ".join(f"w{rng.randrange(400)}" for _ in range(60)) for _ in range(8)]
+    rows = [(i, t, "en", "s", len(t), "x", "y", "z") for i, t in enumerate(base + base[:2])] + [(90, None, None, None, None, "x", "y", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, cid string, n string")
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        out = stage(spark, df, "/root/testdata/sf0.001")
+        assert out.columns == df.columns and {r["a.b"] for r in out.collect()} == {"x"}, name
+    kept = corpus_pipeline.STAGES[0][1](spark, df, "/root/testdata/sf0.001")
+    assert kept.columns == df.columns
+    kept.collect()
