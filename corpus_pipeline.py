@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import near_dup, packing, quality, substrings
-from starloom.llm.common import materialize, ship
+from starloom.llm.common import col, materialize, ship
 from starloom.sources.driver import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,16 +19,21 @@ TOKENIZER = "byte_bpe_50k.json"
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (score of at least
-    ``quality.THRESHOLD``); it learns from the labels that are not held out."""
+    ``quality.THRESHOLD``); it learns from the labels that are not held out.
+    Null texts are scored as empty ones, every repeated row by itself; an empty
+    table stays empty."""
     ship(spark)
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model)
-    return scored.where(F.col(scored.columns[-1]) >= quality.THRESHOLD).select(*docs.columns)
+    return scored.where(F.col(scored.columns[-1]) >= quality.THRESHOLD).select(
+        *(col(scored, c).alias(c) for c in docs.columns))
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles,
-    similarity of at least 0.8), the one with the smallest doc_id."""
+    similarity of at least 0.8), the one with the smallest doc_id. Texts
+    without words, null ones too, are no duplicates of each other; of rows with
+    equal doc_id and text one stays; an empty table stays empty."""
     ship(spark)
     return near_dup.keep_one(docs)
 
@@ -36,19 +41,22 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 13-word windows of documents with smaller doc_ids.
     Texts that repeat nothing stay as they are (null ones turn empty);
-    n_chars follows a text that changes."""
+    n_chars follows a text that changes. Rows of one doc_id are no earlier
+    documents of each other; an empty table stays empty."""
     ship(spark)
     kept = substrings.remove_repeats(docs, keep=[c for c in docs.columns if c != "text"], tidy=False)
-    spans, text = (kept[c] for c in kept.columns[-2:])
+    spans, text = (col(kept, c) for c in kept.columns[-2:])
     now = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         now["n_chars"] = F.when(F.size(spans) > 0, F.char_length(text).cast(kind)).otherwise(kept["n_chars"])
-    return kept.select(*((now[c] if c in now else kept[c]).alias(c) for c in docs.columns))
+    return kept.select(*((now[c] if c in now else col(kept, c)).alias(c) for c in docs.columns))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, placed in sequences of 1024 tokens."""
+    """Token pieces of all documents, placed in sequences of 1024 tokens. A
+    null text is an empty one (its end token alone), repeated rows are packed each;
+    an empty table has no pieces."""
     ship(spark)
     pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER))
     return packing.pack(pieces, docs.count()).withColumnRenamed("key", "doc_id")
