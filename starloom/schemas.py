@@ -301,6 +301,14 @@ _CHURN_COLUMNS = [
 CHURN_RISK_SCORES = T.StructType([T.StructField("user_sk", T.LongType(), True), *_CHURN_COLUMNS])
 CHURN_RISK_BY_USER = T.StructType(_CHURN_COLUMNS)
 
+# Violations found by the reports on parts of a growing table.
+QUALITY_COUNTS = T.StructType([
+    T.StructField("table_name", T.StringType(), False),
+    T.StructField("rule", T.StringType(), False),
+    T.StructField("column_name", T.StringType(), False),
+    T.StructField("violations", T.LongType(), False),
+])
+
 LAYER_SCHEMAS = {
     "staging_rejects": STAGING_REJECTS,
     "raw_events": RAW_EVENTS,
@@ -314,6 +322,7 @@ LAYER_SCHEMAS = {
     # Staging rows without a place in the facts yet (dates outside the calendar).
     "staging_unplaced": STAGING_EVENTS,
     "user_changes": USER_CHANGES,
+    "quality_counts": QUALITY_COUNTS,
     "feature_user_usage": FEATURE_USER_USAGE,
     "user_activity": USER_ACTIVITY,
     "user_month_activity": USER_MONTH_ACTIVITY,

@@ -325,6 +325,40 @@ def test_staging_layout_skips_files_by_month_type_and_user(spark, halves):
     assert total > 40 and read < 0.2 * total and picked.count() > 0
 
 
+def test_the_kept_report_reads_new_rows_and_finds_old_faults(spark, raw_rows, monkeypatch):
+    from starloom.plans import quality_log
+
+    base = scratch_path(spark, "test-report")
+    raw_root, core = f"{base}/raw", f"{base}/core"
+    load = lambda ids, b: daily_load.run_load(spark, raw_root, core, raw_rows(
+        [(i, event(i, "document_edited", ts="2024-03-01T10:00:00Z", props={"document_id": "d1"}), b) for i in ids]), AS_OF)
+    failing = lambda df: {(r.table_name, r.rule, r.column_name): r.violations for r in df.where("violations <> 0").collect()}
+    load(["a", "b", "c"], "b1")
+    assert failing(quality_log.report(spark, raw_root, core)) == {}
+    whole = {tuple(r) for r in daily_load.quality_report(spark, raw_root, core).collect()}
+    assert {tuple(r) for r in quality_log.report(spark, raw_root, core).collect()} >= {r for r in whole if r[1] != "reconcile"}
+    old = {t: set(read_layer(spark, r, t).inputFiles()) for t, r in (("raw_events", raw_root), ("staging_events", core), ("fact_events", core))}
+    load(["d"], "b2")
+    # An old event stored again, with its old key, an unknown user, and too long a platform.
+    fact = read_layer(spark, core, "fact_events").where("event_id = 'a'")
+    bad = fact.withColumn("user_sk", F.lit(999).cast("bigint")).withColumn("platform", F.lit("p" * 60))
+    write_layer(spark.createDataFrame(bad.collect(), bad.schema), core, "fact_events")
+    seen = []
+    real = quality_log._check_new
+
+    def watch(spark, root, core_root, table, new):
+        seen.append((table, set(new.inputFiles())))
+        return real(spark, root, core_root, table, new)
+    monkeypatch.setattr(quality_log, "_check_new", watch)
+    got = failing(quality_log.report(spark, raw_root, core))
+    assert {t for t, _ in seen} == set(old) and not any(files & old[t] for t, files in seen)
+    want = {("fact_events", "unique", "event_id"): 1, ("fact_events", "unique", "event_sk"): 1, ("fact_events", "foreign_key", "user_sk"): 1,
+            ("fact_events", "max_length", "platform"): 1, ("fact_daily_user_activity", "reconcile", "total_events"): 1}
+    assert got == want == failing(daily_load.quality_report(spark, raw_root, core))
+    del want["fact_daily_user_activity", "reconcile", "total_events"]  # no new facts, no day to reconcile
+    assert failing(quality_log.report(spark, raw_root, core)) == want
+
+
 def test_plan_changes_come_from_a_log(spark, raw_rows):
     base = scratch_path(spark, "test-log")
     core = f"{base}/core"
