@@ -73,6 +73,17 @@ def explain_dropped(staging: DataFrame, users: DataFrame, dates: DataFrame) -> D
     return no_user.unionByName(no_date)
 
 
+# Largest value of the INTEGER columns that the daily metrics are declared as.
+INTEGER_MAX = 2**31 - 1
+
+
+def _integer(name: str) -> Column:
+    """A metric as BIGINT; a value beyond INTEGER fails the statement."""
+    c = F.col(name)
+    return F.when(c <= INTEGER_MAX, c).otherwise(
+        F.raise_error(F.concat(F.lit(f"integer out of range in {name}: "), c.cast("string")))).cast("bigint").alias(name)
+
+
 def build_daily(fact: DataFrame, now: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per (event date, user_sk): events, logins, edits and
     creations (event counts, not distinct documents), active seconds
@@ -95,7 +106,7 @@ def build_daily(fact: DataFrame, now: Column | None = None, keep: tuple[str, ...
     ]
     aggs += [F.min(c).alias(c) for c in keep]
     out = fact.groupBy(F.col("event_timestamp").cast("date").alias("activity_date"), "user_sk").agg(*aggs)
-    return out.select("activity_date", "user_sk", *DAILY_METRICS, *keep,
+    return out.select("activity_date", "user_sk", *map(_integer, DAILY_METRICS), *keep,
                       now.alias("created_at"), now.alias("updated_at"))
 
 

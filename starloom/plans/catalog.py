@@ -258,9 +258,11 @@ def _daily_upsert(w: Warehouse) -> DataFrame:
 def _daily_incremental(w: Warehouse) -> DataFrame:
     """The early daily table refreshed month by month with the late
     facts: equals a full rebuild."""
-    early = facts.build_daily(w.fact_for(w.staging_early))
-    late = w.fact_for(w.staging_late)
-    refreshed = facts.refresh_daily(w.fact_events, early, late).drop("_action")
+    stored = w.fact_for(w.staging, keep=("batch_id",))
+    stored = w._materialize(stored, "facts", stored.schema)  # as a load stores them: built once, read by every branch
+    early = facts.build_daily(stored.where(F.col("batch_id") <= EARLY_CUTOFF))
+    late = stored.where(F.col("batch_id") > EARLY_CUTOFF)
+    refreshed = facts.refresh_daily(stored, early, late).drop("_action")
     months = facts.touched_days(late).select(facts.month_of_day(F.col("_day")).alias("_month")).distinct()
     untouched = early.join(F.broadcast(months), facts.month_of_day(F.col("activity_date")) == F.col("_month"),
                            "left_anti")

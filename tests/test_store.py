@@ -359,6 +359,15 @@ def test_the_kept_report_reads_new_rows_and_finds_old_faults(spark, raw_rows, mo
     assert failing(quality_log.report(spark, raw_root, core)) == want
 
 
+def test_daily_metrics_stay_in_the_integer_range(spark):
+    fact = lambda seconds: spark.createDataFrame(
+        [(dt.datetime(2024, 3, 1), 1, "document_edited", s, None) for s in seconds],
+        "event_timestamp timestamp_ntz, user_sk long, event_type string, duration_seconds int, feature_sk long")
+    assert facts.build_daily(fact([2**31 - 1])).first().total_active_seconds == 2**31 - 1
+    with pytest.raises(Exception, match="integer out of range in total_active_seconds: 2147483648"):
+        facts.build_daily(fact([2**31 - 1, 1])).collect()
+
+
 def test_plan_changes_come_from_a_log(spark, raw_rows):
     base = scratch_path(spark, "test-log")
     core = f"{base}/core"
