@@ -47,6 +47,7 @@ from starloom.schemas import (
     REPLACED_BY_PARTITION,
     SORT_ON_WRITE,
 )
+from starloom.session import configure
 
 #: Commits that stay, the newest ones; their folders stay too.
 KEPT_COMMITS = 10
@@ -212,7 +213,7 @@ def _key_table(spark: SparkSession, root: str, table: str, buckets: int) -> str:
     """The catalog name of a table's key index, registered in this session."""
     path, key = layer_path(root, table) + "__keys", LAYER_KEYS[table]
     name = "starloom_keys_" + hashlib.sha256(path.encode()).hexdigest()[:24]
-    if not spark.catalog.tableExists(name):
+    if not configure(spark).catalog.tableExists(name):
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (`{key}` STRING, load_id STRING) USING parquet PARTITIONED BY (load_id) "
                   f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
     return name
