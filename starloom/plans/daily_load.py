@@ -277,19 +277,20 @@ def _side_by_side(spark: SparkSession, *steps) -> None:
 
 
 def layer_counts(spark: SparkSession, raw_root: str, core_root: str) -> DataFrame:
-    """Rows per stored table, read back from storage (rollups merged)."""
-    parts = []
+    """Rows per stored table, read back from storage (rollups merged), in one
+    aggregation over all of them."""
+    found = []
     for table in STEPS:
         if table in ROLLUPS:
             df = read_rollup(spark, core_root, table) if exists(spark, core_root, table) else None
         else:
             df = read_layer(spark, raw_root if table == "raw_events" else core_root, table)
         if df is not None:
-            parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(table).alias("table_name"), "n_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            found.append((table, df))
+    out = spark.createDataFrame([(table, 0) for table, _ in found], "table_name string, one bigint")  # empty tables count 0
+    for table, df in found:
+        out = out.unionByName(df.select(F.lit(table).alias("table_name"), F.lit(1).cast("bigint").alias("one")))
+    return out.groupBy("table_name").agg(F.sum("one").alias("n_rows"))
 
 
 def quality_report(spark: SparkSession, raw_root: str, core_root: str) -> DataFrame:
