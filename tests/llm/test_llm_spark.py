@@ -139,10 +139,12 @@ def test_top_k(spark):
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, id int, v int")
     got = topk.top_k(topk.quantised(df), F.col("id") % 20 == 0, k=6, vector_block=40, query_block=3)
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect())
-    kept = {i: np.floor(64 * np.array(v, float)).astype(int) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    kept = [(i, np.floor(64 * np.array(v, float)).astype(int)) for i, v in rows
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    # As in the query's SQL, rows that share an id are rows of their own, and no candidates of each other.
     want = []
-    for q in (i for i in kept if i % 20 == 0):
-        best = sorted((-int(kept[q] @ v), i) for i, v in kept.items() if i != q and len(v) == len(kept[q]))[:6]
+    for q in {i for i, _ in kept if i % 20 == 0}:
+        best = sorted((-int(x @ v), i) for j, x in kept if j == q for i, v in kept if i != q and len(v) == len(x))[:6]
         want += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     assert got == sorted(want)
     assert topk.top_k(topk.quantised(df.limit(0)), F.col("id") % 20 == 0).count() == 0
