@@ -270,7 +270,7 @@ def test_minimax_shards(spark, monkeypatch):
     assert sharding.minimax_shards(df.limit(0), 4, "id", "g", "s").count() == 0
 
 
-def test_successors_and_fingerprints(spark):
+def test_successors_and_fingerprints(spark, monkeypatch):
     got = imatch.successors(table(spark, ROWS)).collect()
     plain = lambda rows: sorted((k is not None, k or 0, t or "") for k, t in rows)
     assert plain((r.key, r.text) for r in got) == plain(ROWS)
@@ -297,6 +297,11 @@ def test_successors_and_fingerprints(spark):
     want = sorted((str(k), imatch.fingerprint(t or "", lexicon)) for k, t in ROWS)
     assert sorted((str(r.doc_id), r.text) for r in made) == want
     assert len(imatch.fit_lexicon(table(spark, []))) == 0
+    # A band too large to be broadcast is joined, with the same result.
+    monkeypatch.setattr(imatch, "MOST_TERMS", 0)
+    band = imatch.fit_lexicon(docs, low=0.0, high=0.5)
+    joined = imatch.fingerprints(docs.select("doc_id", "text", F.lit(1).alias("row_")), band, ["text"], near={"own": ("text", "text")}).collect()
+    assert sorted((str(r.doc_id), r.text) for r in joined) == want and all(r.own == 1.0 for r in joined)
 
 
 def test_lattice_equals_the_library(spark, monkeypatch):

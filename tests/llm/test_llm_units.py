@@ -237,3 +237,35 @@ def test_long_viterbi_equals_brute_force():
         paths = ([0, *c, n] for k in range(n) for c in itertools.combinations(range(1, n), k))
         best = max((p for p in paths if all(x in score for x in zip(p, p[1:]))), key=lambda p: sum(score[x] for x in zip(p, p[1:])))
         assert lattice.long_viterbi(n, edges) == best
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aB1.,!é \t\x1c\u2028", max_size=9), max_size=30), st.integers(2, 40))
+def test_terms_are_the_stripped_words(parts, chunk):
+    text = " ".join(parts)
+    plain = lambda t: {w.strip(imatch.ENDS) for w in t.encode().lower().split()} - {b""}
+    found = imatch.terms(text)
+    assert found.tolist() == sorted({int(imatch.terms(w.decode())[0]) for w in plain(text)})
+    assert len(found) == len(plain(text))
+    assert imatch._chunk_terms(b" ".join(imatch._chunks(text.encode().lower()))).size >= len(found)
+
+
+def test_terms_of_long_texts_and_words():
+    words = [f"w{i}" for i in range(30_000)]
+    whole = imatch.terms(" ".join(words))
+    assert len(whole) == 30_000 and set(imatch.terms("(w7) W29999!").tolist()) <= set(whole.tolist())
+    assert len(imatch.terms("x" * 200_000 + " w7 " + "x" * 200_000 + ".")) == 2
+
+
+def test_fingerprint_hashes_each_lexicon_as_a_set():
+    """Against sets drawn term by term."""
+    t = imatch.terms(" ".join(f"w{i}" for i in range(2_500)))
+    seed = [int(x) for x in imatch._SEED[:, 0]]
+    mixed = lambda x: int(imatch.mix(np.array([x % 2**64], np.uint64))[0])
+    want = []
+    for level in range(imatch.LEVELS):
+        for j in range(imatch.PER_LEVEL):
+            own = [int(x) for x in t.tolist() if not mixed(x + seed[j]) & int(imatch._MASKS[level])]
+            want.append(mixed(sum(map(mixed, own)) + int(imatch._PLACE[len(want)])) % 0xFFFF + 1 if own else 0)
+    got = np.frombuffer(bytes.fromhex(imatch.fingerprint_of(t, "")[1:]), ">u2")
+    assert got.tolist() == want
