@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import col, free_name, materialize
+from starloom.llm.common import col, free_name, materialize, spread_join
 
 BLOCK_GROUPS = 1 << 18
 CACHED_BLOCKS = 64
@@ -127,7 +127,8 @@ def minimax_shards(rows: DataFrame, n_shards: int, key: str, group: str, size: s
     placed = placed.join(F.broadcast(starts), "shard").select("g_", "n", "shard", (F.col("at") - F.col("shard_at")).alias("at"))
     # Null groups never meet in a join by equality: a marked copy of the value does.
     same = lambda df: df.withColumn("g_", F.struct(F.col("g_")))
-    joined = same(keyed).join(same(placed), "g_").withColumn(
+    # Rows of a large group are dealt by ``sub``, too: its place comes to them.
+    joined = spread_join(same(keyed), same(placed), "g_", "n").withColumn(
         "sub", F.pmod(F.xxhash64("u_"), F.ceil(F.col("n") / SUB_ROWS)))
     subs = joined.groupBy("g_", "sub").agg(F.count("*").alias("sub_n"))
     subs = subs.select("g_", "sub", (F.sum("sub_n").over(Window.partitionBy("g_").orderBy("sub")) - F.col("sub_n")).alias("sub_at"))
