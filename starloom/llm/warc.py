@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import col, materialize, slices
+from starloom.llm.common import HEAVY_KEYS, col, materialize, slices
 from starloom.session import scratch_path
 
 MIN_REVISIT = 1000
@@ -155,9 +155,16 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
         .withColumn("sha", F.sha1("payload"))
     large = F.octet_length("payload") >= min_revisit
     # One row per payload that occurs again; counted before the shuffle.
-    again = (rows.where(large).groupBy("sha").agg(F.max("key").alias("top"), F.count("*").alias("n"))
-             .where("n > 1").select("sha", "top", F.lit(True).alias("again")))
-    joined = rows.join(again, "sha", "left")
+    again = materialize(rows.where(large).groupBy("sha").agg(F.max("key").alias("top"), F.count("*").alias("n")).where("n > 1"), "again")
+    # Payloads with a HEAVY_KEYS-th of all repeats (so at most HEAVY_KEYS) meet their rows by
+    # broadcast; those rows go on under keys of their own, which match nothing.
+    heavy = F.col("n") > max((again.agg(F.sum("n")).first()[0] or 0) / HEAVY_KEYS, 100)
+    met = rows.join(F.broadcast(again.where(heavy).select("sha", F.col("top").alias("heavy_top"), F.lit(True).alias("heavy"))), "sha", "left")
+    spread = F.concat("sha", F.lit("-"), (F.monotonically_increasing_id() % HEAVY_KEYS).cast("string"))
+    met = met.withColumn("place", F.when(F.col("heavy"), spread).otherwise(F.col("sha")))
+    rest = again.where(~heavy).select(F.col("sha").alias("place"), F.col("top").alias("rest_top"), F.lit(True).alias("rest"))
+    joined = met.join(rest, "place", "left").select(
+        *rows.columns, F.coalesce("heavy_top", "rest_top").alias("top"), F.coalesce("heavy", "rest").alias("again"))
     revisit = F.coalesce("again", F.lit(False)) & large & ~F.col("key").eqNullSafe(F.col("top"))
     text = joined.select(F.col("key").cast("string"), "url", "payload", "sha", F.col("top").cast("string"),
                          revisit.alias("revisit"))
