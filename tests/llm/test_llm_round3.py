@@ -367,3 +367,16 @@ def test_stages_keep_odd_columns(spark):
     kept = corpus_pipeline.STAGES[0][1](spark, df, "/root/testdata/sf0.001")
     assert kept.columns == df.columns
     kept.collect()
+
+
+def test_payloads_with_many_copies_are_revisits(spark):
+    """Payloads met by broadcast, by join, and those that occur once."""
+    from starloom.llm import warc
+    from starloom.session import scratch_path
+    hot, pair, once = "h" * 2000, "p" * 1500, "o" * 1200
+    pages = [(i, "u", hot) for i in range(150)] + [(200, "u", pair), (201, "u", pair), (202, "u", once), (203, "u", "s"), (204, "u", "s")]
+    path = scratch_path(spark, "warc-hot")
+    warc.write_warc(table(spark, pages, "page_id long, url string, html string"), path)
+    got = {int(r.key): (r.record_type, r.refers_to and int(r.refers_to)) for r in warc.read_warc(spark, path).collect()}
+    want = {i: ("revisit", 149) for i in range(149)} | {149: ("response", None), 200: ("revisit", 201)}
+    assert got == want | {i: ("response", None) for i in (201, 202, 203, 204)}
