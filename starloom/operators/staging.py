@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.inet import is_inet
-from starloom.functions.json import literal_fields, payload_text
+from starloom.functions.json import payload_text, read_documents
 from starloom.schemas import NOT_NULL, VARCHAR_LIMITS
 from starloom.sources.layers import KeyIndex, insert_absent
 
@@ -71,12 +71,12 @@ def parse_events(raw: DataFrame, strict: bool = True, check_contract: bool = Tru
     """
     v = F.parse_json("raw_payload") if strict else F.try_parse_json("raw_payload")
     cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
-    parsed = raw.select(F.col("batch_id"), v.alias("_v"), literal_fields(F.col("raw_payload"), {**TEXT_FIELDS, **CAST_FIELDS}).alias("_t"))
-    t = F.col("_t")
-    cols: dict[str, Column] = {name: t[name] for name in TEXT_FIELDS}
-    cols["event_timestamp"] = cast(t["_ts"], "timestamp_ntz")
-    cols["duration_seconds"] = F.coalesce(cast(t["_edit_duration_sec"], "int"), cast(t["_duration_sec"], "int"))
-    cols["characters_added"] = cast(t["_characters_added"], "int")
+    parsed = read_documents(raw.select("batch_id", "raw_payload"), "raw_payload", {**TEXT_FIELDS, **CAST_FIELDS}, v)
+    t = F.col
+    cols: dict[str, Column] = {name: t(name) for name in TEXT_FIELDS}
+    cols["event_timestamp"] = cast(t("_ts"), "timestamp_ntz")
+    cols["duration_seconds"] = F.coalesce(cast(t("_edit_duration_sec"), "int"), cast(t("_duration_sec"), "int"))
+    cols["characters_added"] = cast(t("_characters_added"), "int")
     cols["properties"] = payload_text(F.col("_v"), "properties")
     cols["batch_id"] = F.col("batch_id")
     cols["processed_at"] = F.localtimestamp()
@@ -147,12 +147,10 @@ def split_valid(raw: DataFrame, staging: DataFrame | KeyIndex | None = None) ->
     extracted fields.
     """
     v = F.try_parse_json("raw_payload")
-    base = raw.select("batch_id", "raw_payload", v.alias("_v"),
-                      literal_fields(F.col("raw_payload"), {**TEXT_FIELDS, **CAST_FIELDS}).alias("_t"))
     ints = ("edit_duration_sec", "duration_sec", "characters_added")
-    fields = base.select(
+    fields = read_documents(raw.select("batch_id", "raw_payload"), "raw_payload", {**TEXT_FIELDS, **CAST_FIELDS}, v).select(
         "batch_id", "raw_payload", F.col("_v").isNull().alias("_malformed"),
-        *[F.col("_t")[n].alias(n) for n in (*TEXT_FIELDS, *CAST_FIELDS)], payload_text(F.col("_v"), "properties").alias("properties"))
+        *TEXT_FIELDS, *CAST_FIELDS, payload_text(F.col("_v"), "properties").alias("properties"))
     c = F.col
     limits = VARCHAR_LIMITS["staging_events"]
     reasons = [F.when(c("_malformed"), F.lit("malformed_json"))]
