@@ -135,6 +135,13 @@ def contract_report(staging: DataFrame) -> DataFrame:
     return nn.unionByName(dup).select("rule", "column_name", F.col("violations").cast("bigint"))
 
 
+def with_reasons(rows: DataFrame, reasons: list[Column]) -> DataFrame:
+    """``rows`` with those ``reasons`` that are not NULL as ``_reasons``. They come
+    out of a generator, so a filter on them is neither worked out a second time below
+    the rows nor drawn into the constraints of every later join."""
+    return rows.select("*", F.inline(F.array(F.struct(F.array_compact(F.array(*reasons)).alias("_reasons")))))
+
+
 def split_valid(raw: DataFrame, staging: DataFrame | KeyIndex | None = None) -> tuple[DataFrame, DataFrame]:
     """Split raw rows into good typed rows and rejects with reasons,
     instead of failing the batch.
@@ -165,7 +172,7 @@ def split_valid(raw: DataFrame, staging: DataFrame | KeyIndex | None = None) ->
     reasons.append(F.when(bad_int, F.lit("bad_integer")))
     reasons.append(F.when(c("ip_address").isNotNull() & ~is_inet(c("ip_address")), F.lit("bad_ip")))
     reasons += [F.when(F.length(c(n)) > m, F.lit(f"too_long_{n}")) for n, m in limits.items() if n in TEXT_FIELDS]
-    checked = fields.withColumn("_reasons", F.array_compact(F.array(*reasons)))
+    checked = with_reasons(fields, reasons)
     ok = F.size("_reasons") == 0
 
     bad = checked.where(~ok).select(
@@ -203,7 +210,7 @@ def split_deliverable(incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
     reasons = [F.when(line.isNotNull(), F.lit("malformed_line"))]
     reasons += [F.when(line.isNull() & c(n).isNull(), F.lit(f"missing_{n}")) for n in ("event_id", "raw_payload", "batch_id")]
     reasons.append(F.when(c("raw_payload").isNotNull() & F.try_parse_json("raw_payload").isNull(), F.lit("malformed_json")))
-    checked = incoming.withColumn("_reasons", F.array_compact(F.array(*reasons)))
+    checked = with_reasons(incoming, reasons)
     good = checked.where(F.size("_reasons") == 0).select("event_id", "raw_payload", "batch_id")
     bad = checked.where(F.size("_reasons") > 0).select(
         "event_id", "batch_id", F.coalesce("raw_payload", line).alias("raw_payload"), F.col("_reasons").alias("reasons"),

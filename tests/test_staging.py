@@ -123,3 +123,14 @@ def test_number_literals_beside_strings(spark):
     got = staging.parse_events(raw, strict=False, check_contract=False).orderBy("event_id").collect()
     assert [(r.event_id, r.user_id, r.session_id, r.document_id, r.duration_seconds) for r in got] == [
         ('a-1 "2.0" \\', "1.50", '["1","-2e3","3"]', None, None), ("x", "-0", None, None, 7)]
+
+
+def test_reasons_are_worked_out_once(spark):
+    """The address check of a row stands once in each branch, not again in the filter that uses it."""
+    raw = spark.createDataFrame([("e1", "{}", "b")], "event_id string, raw_payload string, batch_id string")
+    good, rejects = staging.split_valid(raw)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (good, rejects)]
+    assert [p.count("RLIKE(ip_address") for p in plans] == [2, 4]  # IPv4, IPv6
+    delivered, undeliverable = staging.split_deliverable(raw)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (delivered, undeliverable)]
+    assert [sum("malformed_json" in line for line in p.splitlines()) for p in plans] == [1, 1]
