@@ -162,3 +162,15 @@ def test_scd2_places_a_late_change_inside_history(spark, raw_rows):
         ("pro", "active", "2024-02-01", None, True)]
     before = {r.user_sk for r in v2.collect()}
     assert before <= {r.user_sk for r in v3}  # existing versions keep their keys
+
+
+def test_given_events_are_dealt_over_tasks(spark, tmp_path):
+    """One row group of events must not make, store and parse all documents in one task."""
+    from starloom.sources.driver import product_events
+
+    spark.sql("""SELECT id AS event_id, id % 9 AS user_id, 'view' AS event_type, 1.0D AS value, '{"k": 3}' AS props,
+                 timestamp_ntz'2024-01-01 00:00:00' AS ts FROM range(1000)""").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    events = product_events(spark, str(tmp_path))
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan and plan.index("Project") < plan.index("RebalancePartitions")
+    assert events.count() == 1000
