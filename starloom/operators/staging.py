@@ -1,6 +1,6 @@
 """Raw -> staging: parse, type, validate, and keep only new events.
 
-The payload is read twice per row, however many columns are extracted: into
+The payload is read twice per row, in a generator, however many columns are extracted: into
 a VARIANT (``parse_json``), which says whether it is well-formed and gives the
 ``properties`` object, and into a struct of texts, which keeps number literals
 as they stand in the document (``12.0`` is no INTEGER).
