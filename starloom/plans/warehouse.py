@@ -1,8 +1,8 @@
 """The warehouse derived from the given tables.
 
 The ``events`` table goes through the adapter into the raw layer (JSON
-documents) and the parser into the staging layer; both are stored once per
-application (as the product stores them). Everything above - dimensions,
+documents) and the parser into the staging layer; each is stored once per
+application (as the product stores them), when a query first reads it. Everything above - dimensions,
 facts, views, reports, checks - is computed by each query from the stored
 staging rows; the keyed user and document dimensions are written once per
 query as Parquet in the shared folder, so every branch of the query reads the
@@ -44,9 +44,9 @@ def number_of(name: str):
     return F.regexp_extract(name, "([0-9]+)$", 1).cast("bigint")
 
 
-# (application id, sf_dir) -> (raw path, staging path) written this session.
-_STORED: dict[tuple[str, str], tuple[str, str]] = {}
-_STORED_LOCK = threading.Lock()
+# (application id, sf_dir, layer) -> path written this session.
+_STORED: dict[tuple[str, str, str], str] = {}
+_STORED_LOCK = threading.RLock()
 
 
 class Warehouse:
@@ -63,35 +63,31 @@ class Warehouse:
         """Product events in staging shape (adapter output)."""
         return product_events(self.spark, self.sf_dir)
 
-    def _stored(self) -> tuple[str, str]:
-        """Write the raw layer (JSON documents) and the staging layer (typed
-        rows) once per application and set of given tables, as Parquet in
-        the shared folder; later queries of the session read them back, as
-        the product reads its stored raw and staging tables."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+    def _stored(self, layer: str) -> str:
+        """Where the raw layer (JSON documents) or the staging layer (typed rows, from the stored
+        raw one) is: written once per application and set of given tables by the first query
+        that reads it, as Parquet in the shared folder; later queries of the session read it
+        back, as the product reads its stored raw and staging tables. A query that reads no
+        staging does not wait for it."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, layer)
         with _STORED_LOCK:
-            return self._store_once(key)
-
-    def _store_once(self, key: tuple[str, str]) -> tuple[str, str]:
-        if key not in _STORED:
-            base = scratch_path(self.spark, "warehouse")
-            raw_path, stg_path = f"{base}/raw_events", f"{base}/staging_events"
-            to_payload(self.events).withColumn("loaded_at", F.localtimestamp()) \
-                .write.mode("overwrite").parquet(raw_path)
-            raw = self.spark.read.schema(RAW_EVENTS).parquet(raw_path)
-            staging.parse_events(raw).write.mode("overwrite").parquet(stg_path)
-            _STORED[key] = (raw_path, stg_path)
-        return _STORED[key]
+            if key not in _STORED:
+                rows = to_payload(self.events).withColumn("loaded_at", F.localtimestamp()) if layer == "raw_events" \
+                    else staging.parse_events(self.raw)
+                path = scratch_path(self.spark, layer)
+                rows.write.mode("overwrite").parquet(path)
+                _STORED[key] = path
+            return _STORED[key]
 
     @cached_property
     def raw(self) -> DataFrame:
         """Raw layer: one JSON document per event (stored)."""
-        return self.spark.read.schema(RAW_EVENTS).parquet(self._stored()[0])
+        return self.spark.read.schema(RAW_EVENTS).parquet(self._stored("raw_events"))
 
     @cached_property
     def staging(self) -> DataFrame:
         """Staging layer: typed, validated events (stored)."""
-        return self.spark.read.schema(STAGING_EVENTS).parquet(self._stored()[1])
+        return self.spark.read.schema(STAGING_EVENTS).parquet(self._stored("staging_events"))
 
     @cached_property
     def raw_early(self) -> DataFrame:

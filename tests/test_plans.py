@@ -116,3 +116,17 @@ def test_dau_trend_prunes_stored_months(spark):
     plan = _plan(reports.dau_trend(daily, dt.date(2024, 7, 15)))
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
     assert any("activity_month" in f and "2024-06" in f for f in filters)
+
+
+def test_queries_of_raw_do_not_wait_for_staging(spark, tmp_path):
+    import os
+
+    from starloom.plans import warehouse
+    from starloom.plans.catalog import QUERIES
+    sf = str(tmp_path / "tables")
+    os.symlink(SF, sf)
+    layers = lambda: {k[2] for k in warehouse._STORED if k[1] == sf}
+    assert QUERIES["raw_ingest"](spark, sf).count() > 0
+    assert layers() == {"raw_events"}
+    assert QUERIES["staging_parse"](spark, sf).count() > 0
+    assert layers() == {"raw_events", "staging_events"}
