@@ -95,12 +95,13 @@ def parse_events(raw: DataFrame, strict: bool = True, check_contract: bool = Tru
     return fields.select(*[checks[n].alias(n) for n in STAGING_COLUMNS])
 
 
-def fail_on_duplicates(df: DataFrame, key: str, message: str) -> DataFrame:
+def fail_on_duplicates(df: DataFrame, key: str, message: str, keys: DataFrame | None = None) -> DataFrame:
     """``df`` unchanged, plus a guard branch that fails the query when a key
     value occurs more than once. The duplicate count is a partial (map-side)
     aggregation, so a key repeated millions of times costs no more than a
-    unique one; with no duplicates the guard adds no rows."""
-    dups = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    unique one; with no duplicates the guard adds no rows. ``keys``: the keys
+    of ``df``, where they come cheaper than with the rows."""
+    dups = (df if keys is None else keys).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     guard = dups.select("_n", *[
         (F.col(key) if c == key else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c in df.columns
     ]).withColumn(key, F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit(message + ": "), F.col(key))))
@@ -110,13 +111,22 @@ def fail_on_duplicates(df: DataFrame, key: str, message: str) -> DataFrame:
     return df.unionByName(guard.drop("_n"))
 
 
-def new_events(parsed: DataFrame, staging: DataFrame | KeyIndex | None, strict_unique: bool = True) -> DataFrame:
+def payload_ids(raw: DataFrame) -> DataFrame:
+    """The event_id of every document, and nothing else read of it."""
+    return read_documents(raw.select("raw_payload"), "raw_payload", {"event_id": "event_id"}).select("event_id")
+
+
+def new_events(parsed: DataFrame, staging: DataFrame | KeyIndex | None, strict_unique: bool = True,
+               ids: DataFrame | None = None) -> DataFrame:
     """Parsed rows whose (payload) event_id is not in staging (or its key
     index) yet; a rerun adds nothing. With ``strict_unique`` a repeated event_id among the
-    new rows fails the statement (primary key)."""
-    out = insert_absent(parsed, staging, ["event_id"])
+    new rows fails the statement (primary key). Stored and repeated keys are looked
+    for among ``ids`` (:func:`payload_ids` of the rows that were parsed), so that
+    the documents are not parsed for each of these steps."""
+    out = insert_absent(parsed, staging, ["event_id"], ids)
     if strict_unique:
-        out = fail_on_duplicates(out, "event_id", "duplicate key value violates unique constraint on event_id")
+        new_ids = None if ids is None else insert_absent(ids.where(F.col("event_id").isNotNull()), staging, ["event_id"], ids)
+        out = fail_on_duplicates(out, "event_id", "duplicate key value violates unique constraint on event_id", new_ids)
     return out.select(*parsed.columns)
 
 
@@ -186,7 +196,7 @@ def split_valid(raw: DataFrame, staging: DataFrame | KeyIndex | None = None) ->
     typed["batch_id"] = c("batch_id")
     typed["processed_at"] = F.localtimestamp()
     good_rows = checked.where(ok).select("raw_payload", *[typed[n].alias(n) for n in STAGING_COLUMNS])
-    good_rows = insert_absent(good_rows, staging, ["event_id"])
+    good_rows = insert_absent(good_rows, staging, ["event_id"], payload_ids(raw))
     rest = [n for n in STAGING_COLUMNS if n not in ("event_id", "processed_at")]
     # MIN over (payload, all columns): a total order, so a recomputed task
     # keeps the same row among repeats.
@@ -220,12 +230,13 @@ def split_deliverable(incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def checked_delivery(incoming: DataFrame) -> DataFrame:
     """``incoming``, failing the statement on a row that raw cannot store: the
-    key, payload and batch rules of the raw table and its JSON type."""
+    key, payload and batch rules of the raw table and its JSON type. The payload
+    carries the check, so a step that reads only ids does not parse it again."""
     c = F.col
     missing = c("event_id").isNull() | c("raw_payload").isNull() | c("batch_id").isNull()
     message = F.concat(F.lit("invalid raw event "), F.coalesce("event_id", F.lit("without event_id")))
     wrong = missing | F.try_parse_json("raw_payload").isNull()
-    return incoming.withColumn("event_id", F.when(wrong, F.raise_error(message)).otherwise(c("event_id")))
+    return incoming.withColumn("raw_payload", F.when(wrong, F.raise_error(message)).otherwise(c("raw_payload")))
 
 
 def new_rejects(rejects: DataFrame, stored: DataFrame | None) -> DataFrame:

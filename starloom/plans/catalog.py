@@ -143,7 +143,7 @@ def _ip_valid(w: Warehouse) -> DataFrame:
 def _staging_increment(w: Warehouse) -> DataFrame:
     """After the early batches are staged, a run over all of raw stages
     only the rest."""
-    return staging.new_events(staging.parse_events(w.raw), w.staging_early).select("event_id", "batch_id")
+    return staging.new_events(staging.parse_events(w.raw), w.staging_early, ids=staging.payload_ids(w.raw)).select("event_id", "batch_id")
 
 
 @query("staging_contract")

@@ -114,7 +114,7 @@ def run_load(spark: SparkSession, raw_root: str, core_root: str, incoming: DataF
             summary.rows["staging_rejects"] = summary.rows.get("staging_rejects", 0) + store_rejects(rejects, core_root)
         else:
             # A repeated payload id fails the write of the key index, before the commit.
-            new_stg = staging.new_events(staging.parse_events(candidates), staged, strict_unique=False)
+            new_stg = staging.new_events(staging.parse_events(candidates), staged, strict_unique=False, ids=staging.payload_ids(candidates))
         _write(new_stg, core_root, "staging_events", "append", summary, {"raw_events": number})
     if not exists(spark, core_root, "staging_events"):
         return summary

@@ -353,17 +353,18 @@ def vacuum(spark: SparkSession, root: str, table: str) -> int:
 
 
 # --------------------------------------------------------------- set logic
-def insert_absent(new: DataFrame, existing: DataFrame | KeyIndex | None, keys: list[str]) -> DataFrame:
+def insert_absent(new: DataFrame, existing: DataFrame | KeyIndex | None, keys: list[str], probe: DataFrame | None = None) -> DataFrame:
     """Rows of ``new`` whose key is not stored yet (ON CONFLICT DO NOTHING).
 
     The stored keys are probed, not shuffled: they are semi-joined with the
     (distinct) new keys - the build side - which yields the few keys already
     stored; the new rows are then anti-joined with those. Of a key index each bucket is
     read by one task and meets its share of the new keys there: only the new
-    rows move, however many there are."""
+    rows move, however many there are. ``probe``: the keys of ``new`` (or more), where
+    they come cheaper than with the rows."""
     if existing is None:
         return new
-    probe = new.select(*keys).distinct()
+    probe = (new if probe is None else probe).select(*keys).distinct()
     if isinstance(existing, KeyIndex):
         hits = existing.df.join(probe.hint("shuffle_hash"), keys, "left_semi")
         return new.join(hits.hint("shuffle_hash"), keys, "left_anti")

@@ -134,3 +134,26 @@ def test_reasons_are_worked_out_once(spark):
     delivered, undeliverable = staging.split_deliverable(raw)
     plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (delivered, undeliverable)]
     assert [sum("malformed_json" in line for line in p.splitlines()) for p in plans] == [1, 1]
+
+
+def test_new_events_parse_each_document_once(spark, raw_rows):
+    """Stored and repeated ids are looked for without parsing the documents again."""
+    raw = raw_rows([("a", event("a"), "b"), ("b", event("b"), "b"), ("b2", event("b"), "b")])
+    parsed, ids = staging.parse_events(raw), staging.payload_ids(raw)
+    new = staging.new_events(parsed, raw_rows([("b", "{}", "b")]), ids=ids)
+    assert new._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert [r.event_id for r in new.collect()] == ["a"]
+    with pytest.raises(Exception, match="duplicate key value.*: b"):
+        staging.new_events(parsed, raw_rows([("a", "{}", "b")]), ids=ids).collect()
+
+
+def test_delivery_is_checked_once(spark, raw_rows):
+    from starloom.sources.raw import ingest_raw
+    delivery = raw_rows([("a", "{}", "b"), ("b", "{}", "b"), ("b", "{}", "b")])
+    new = ingest_raw(staging.checked_delivery(delivery), raw_rows([("a", "{}", "b")]))
+    assert new._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert [tuple(r) for r in new.collect()] == [("b", "{}", "b")]
+    for row in [(None, "{}", "b"), ("c", None, "b"), ("c", "{}", None), ("c", "{", "b")]:
+        wrong = spark.createDataFrame([row], delivery.schema)
+        with pytest.raises(Exception, match="invalid raw event"):
+            ingest_raw(staging.checked_delivery(wrong), delivery).collect()
