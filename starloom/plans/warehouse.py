@@ -201,9 +201,10 @@ class Warehouse:
 
     @cached_property
     def staging_with_orders(self) -> DataFrame:
-        """Product events plus the multi-year order stream."""
+        """Product events plus the multi-year order stream, whose documents are parsed
+        once a query and stored as staging is: every branch of the query reads the typed rows."""
         other = staging.parse_events(to_payload(order_events(self.spark, self.sf_dir)))
-        return self.staging.unionByName(other)
+        return self.staging.unionByName(self._materialize(other, "staging_orders", STAGING_EVENTS))
 
     # ------------------------------------------- two-load SCD2 scenario
     def two_load_scenario(self) -> tuple[DataFrame, DataFrame]:

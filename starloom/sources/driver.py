@@ -141,4 +141,6 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapt_orders(read_table(spark, sf_dir, "orders"))
+    # Dealt out like the product events.
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    return adapt_orders(orders.hint("rebalance"))

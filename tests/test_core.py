@@ -174,3 +174,10 @@ def test_given_events_are_dealt_over_tasks(spark, tmp_path):
     plan = events._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in plan and plan.index("Project") < plan.index("RebalancePartitions")
     assert events.count() == 1000
+
+
+def test_given_orders_are_dealt_over_tasks(spark):
+    from starloom.sources.driver import order_events
+
+    plan = order_events(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan and plan.index("Project") < plan.index("RebalancePartitions")

@@ -130,3 +130,12 @@ def test_queries_of_raw_do_not_wait_for_staging(spark, tmp_path):
     assert layers() == {"raw_events"}
     assert QUERIES["staging_parse"](spark, sf).count() > 0
     assert layers() == {"raw_events", "staging_events"}
+
+
+def test_dropped_rows_parse_the_order_stream_once(spark):
+    from starloom.operators import dims
+    w = Warehouse(spark, SF)
+    stg = w.staging_with_orders
+    users = dims.build_dim_users(stg, effective_from_first_event=True)
+    plan = facts.explain_dropped(stg, users, w.dim_date)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "parse_json" not in plan
