@@ -12,18 +12,20 @@ place, so each part - a word - has a lattice of its own. For the distinct words:
 
 A unigram model's fold is Viterbi: the best score to each position, left to
 right. The pieces of a BPE model are chosen by merges, and the best sum of
-scores is not what the library gives for it, so its fold takes, step after step,
-the edge of the best score (leftmost on ties) that joins exactly two present
-pieces. The state of either is a word's cut positions.
+scores is not what the library gives for it, so its fold takes the edges by
+score (leftmost first on ties), each if it joins exactly two present pieces. One pass
+is exact if no merge makes way for a better edge than itself; for words that hold a piece
+for which this does not hold (see ``late_pieces``) the fold looks for the best edge
+step after step. The state of either is a word's cut positions.
 
 Words of up to LONG characters fold in Spark with positions as bits of a
 long. Longer ones are folded from the same edges in the task, where the
 positions are a list.
 
 All steps are narrow: a task lists the words of its documents that it has not met, lets them pass
-through explode, join, grouping and fold, and spells its documents with the
-result. Nothing is shuffled or stored, and a hot word costs no more than any
-other. A task keeps at most WORDS words and then starts over.
+through explode, join, grouping and fold, and spells its documents, which travel as the
+numbers of their words, with the result. Nothing is shuffled or stored, and a hot word costs
+no more than any other. A task keeps about WORDS words at most and then starts over.
 
 Defined results: a null text is empty and has no pieces; characters that no
 piece holds are spelled by their UTF-8 bytes; every input row gives a row,
@@ -40,6 +42,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,6 +67,7 @@ class Pieces:
     byte_id: tuple[int, ...]
     unknown: int
     longest: int
+    late: frozenset[str]  # pieces of a BPE model that one pass by score may miss
     words: str  # pattern of the words of a normalised text
     spelled: tuple[bytes, ...]  # text of every id
 
@@ -90,6 +94,28 @@ def word_pattern(pieces: list[str], few: int = 3) -> str:
     return f"{SPACE}*(?:{run}(?:{rest}{run}?)*|(?:{rest}{run}?)+)|{SPACE}+"
 
 
+def late_pieces(ranks: dict[str, float]) -> frozenset[str]:
+    """Pieces whose merges do not come in the order of (rank, start).
+
+    A merge that comes after one of a worse rank joins what that one made. Up to then
+    nothing crossed its ends, so what happened between them is what happens to its
+    piece alone: it is enough to merge every piece on its own."""
+    late = set()
+    for piece in ranks:
+        tokens, last = [(c, i) for i, c in enumerate(piece)], (float("-inf"), 0)
+        while len(tokens) > 1:
+            found = [(ranks[a + b], i, k) for k, ((a, i), (b, _)) in enumerate(zip(tokens, tokens[1:])) if a + b in ranks]
+            if not found:
+                break
+            rank, i, k = min(found)
+            if (rank, i) < last:
+                late.add(piece)
+                break
+            last = rank, i
+            tokens[k:k + 2] = [(tokens[k][0] + tokens[k + 1][0], i)]
+    return frozenset(late)
+
+
 def load(path: str) -> Pieces:
     """Read a model file; raises ValueError where its rules go beyond this operator."""
     model = sentencepiece_model_pb2.ModelProto()
@@ -109,18 +135,32 @@ def load(path: str) -> Pieces:
         spelled[i] = bytes([b])
     unknown = next(i for i, p in enumerate(model.pieces) if p.type == kind.UNKNOWN)
     spelled[unknown] = model.trainer_spec.unk_surface.encode()
-    return Pieces(model.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE, rules.add_dummy_prefix, normal,
+    bpe = model.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
+    return Pieces(bpe, rules.add_dummy_prefix, normal,
                   tuple(byte[b] for b in range(256)) if len(byte) == 256 else (), unknown,
-                  max((len(p) for p, _, _ in normal), default=0), word_pattern([p for p, _, _ in normal]), tuple(spelled))
+                  max((len(p) for p, _, _ in normal), default=0),
+                  late_pieces({p: -score for p, _, score in normal if len(p) > 1} if bpe else {}), word_pattern([p for p, _, _ in normal]), tuple(spelled))
 
 
 # ---------------------------------------------------------------- folds
+# An edge of a BPE model is packed: its rank, start (32 bits), whether it is late (1 bit) and size (7 bits).
+def _start(edge: Column) -> Column:
+    return F.call_function("shiftright", edge, F.lit(8)).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+
+
+def _unpacked(edge: int) -> tuple[int, int, int]:
+    start = edge >> 8 & 0xFFFFFFFF
+    return edge >> 40, start, start + (edge & 127)
+
+
 def _bpe_fold(edges: Column, n: Column) -> Column:
-    """Cut positions (bits 0 to n) after all merges; ``edges`` are (rank, start,
-    end, ...) in the order in which they are taken."""
+    """Cut positions (bits 0 to n) after all merges; ``edges`` are packed, in the order
+    in which they are taken."""
+    start = _start
+    end = lambda x: start(x) + x.bitwiseAND(127).cast("int")
     bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
-    ends = lambda x: bit(x["start"]).bitwiseOR(bit(x["end"]))
-    inner = lambda x: (bit(x["end"]) - 1).bitwiseAND(F.bitwise_not(bit(x["start"] + 1) - 1))
+    ends = lambda x: bit(start(x)).bitwiseOR(bit(end(x)))
+    inner = lambda x: (bit(end(x)) - 1).bitwiseAND(F.bitwise_not(bit(start(x) + 1) - 1))
     fold_edges = F.transform(edges, lambda x: F.struct(ends(x).alias("ends"), inner(x).alias("inner")))
     joins = lambda cuts: lambda x: (cuts.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(cuts.bitwiseAND(x["inner"])) == 1)
     state = F.struct((bit(n + 1) - 1).alias("cuts"), fold_edges.alias("edges"))
@@ -133,6 +173,20 @@ def _bpe_fold(edges: Column, n: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), state, step, lambda s: s["cuts"])
 
 
+def _one_pass_fold(edges: Column, n: Column) -> Column:
+    """As ``_bpe_fold``, for words without late pieces."""
+    bits = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1
+
+    def step(cuts: Column, x: Column) -> Column:
+        start, size = _start(x), x.bitwiseAND(127).cast("int")
+        ends = F.call_function("shiftleft", bits(size) + 2, start)
+        inner = F.call_function("shiftleft", bits(size - 1), start + 1)
+        joins = (F.bitwise_not(cuts).bitwiseAND(ends) == 0) & (F.bit_count(cuts.bitwiseAND(inner)) == 1)
+        return F.when(joins, cuts.bitwiseAND(F.bitwise_not(inner))).otherwise(cuts)
+
+    return F.aggregate(edges, bits(n + 1), step)
+
+
 def _viterbi_fold(edges: Column, n: Column) -> Column:
     """Cut positions of the best path; ``edges`` are (score, start, end) by
     (end, start), one of each span, with single characters among them."""
@@ -189,36 +243,40 @@ def long_viterbi(n: int, edges: list[tuple[float, int, int]]) -> list[int]:
 
 
 # ---------------------------------------------------------------- stages
-_WORD_ROW = "word_no long, word string, start_over boolean, docs binary"
+_WORD_ROW = "word string, docs binary"  # either is set
+
+
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first asked for; ``fresh`` are those not listed yet."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.fresh.append(word)
+        self[word] = n = len(self)
+        return n
 
 
 def _list_words(model: Pieces):
-    """Words not met in this task yet, then the documents that need them."""
+    """Words not met in this task yet, then the documents that need them, as numbers of words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(3).compress
-        known: dict[str, int] = {}
-        count = 0
+        squeeze = zstandard.ZstdCompressor(1).compress
+        known = _Numbers()
         for b in slices(batches, DOCS):
-            texts = b.column("text").to_pylist()
             start_over = len(known) > WORDS
             if start_over:
                 known.clear()
-            fresh = []
-            for text in texts:
-                for w in split_words(text, model):
-                    if w not in known:
-                        known[w] = count
-                        fresh.append(w)
-                        count += 1
+            coded = [np.fromiter(map(known.__getitem__, words), "<i4", len(words)).tobytes()
+                     for words in (split_words(t, model) for t in b.column("text").to_pylist())]
+            fresh, known.fresh = known.fresh, []
             n = len(fresh)
             whole = pa.BufferOutputStream()
-            with pa.ipc.new_stream(whole, b.schema) as out:
-                out.write_batch(b)
-            at = pa.array([None] * n + [0], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*range(count - n, count), None], pa.int64()), pa.array([*fresh, None], pa.string()),
-                 pa.array([False] * n + [start_over]), pa.array([squeeze(whole.getvalue())], pa.binary()).take(at)],
-                ["word_no", "word", "start_over", "docs"])
+            rows = pa.RecordBatch.from_arrays([b.column("key"), pa.array(coded, pa.binary())], ["key", "words"])
+            with pa.ipc.new_stream(whole, rows.schema.with_metadata({"start_over": str(int(start_over))})) as out:
+                out.write_batch(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([*fresh, None], pa.string()),
+                                              pa.array([None] * n + [squeeze(whole.getvalue())], pa.binary())], ["word", "docs"])
     return run
 
 
@@ -234,17 +292,14 @@ _EDGE = "struct<key: double, start: int, end: int>"
 
 
 def _group_edges():
-    """Consecutive edges of a word as one row; rows of documents pass."""
-    edge = pa.struct([("key", pa.float64()), ("start", pa.int32()), ("end", pa.int32())])
-
+    """Consecutive edges of a word, which is named in the first row, as one row; rows of documents pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.RecordBatch | None = None
         for b in batches:
             if rest is not None and rest.num_rows:
                 b = pa.Table.from_batches([rest, b]).combine_chunks().to_batches()[0]
             # The last word of a batch may go on in the next one.
-            no = b.column("word_no").fill_null(-1).to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(np.concatenate([[True], (no[1:] != no[:-1]) | (no[1:] < 0)])) if len(no) else np.zeros(0, int)
+            starts = np.flatnonzero(firsts(b))
             if not len(starts):
                 continue
             cut = int(starts[-1])
@@ -254,17 +309,17 @@ def _group_edges():
         if rest is not None and rest.num_rows:
             yield grouped(rest, np.zeros(1, int))
 
+    def firsts(b: pa.RecordBatch) -> np.ndarray:
+        return pc.or_(b.column("word").is_valid(), b.column("docs").is_valid()).to_numpy(zero_copy_only=False)
+
     def grouped(b: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
-        real = b.column("start").is_valid().to_numpy(zero_copy_only=False)
+        real = b.column("edge").is_valid().to_numpy(zero_copy_only=False)
         before = np.concatenate([[0], np.cumsum(real)])
         offsets = before[np.concatenate([starts, [b.num_rows]])]
-        found = b.filter(pa.array(real))
-        edges = pa.StructArray.from_arrays([found.column("score"), found.column("start"), found.column("end")], fields=list(edge))
+        edges = b.column("edge").filter(pa.array(real))
         first = pa.array(starts, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [*(b.column(c).take(first) for c in ("word", "start_over", "docs")),
-             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), edges)],
-            ["word", "start_over", "docs", "edges"])
+        return pa.RecordBatch.from_arrays([b.column("word").take(first), b.column("docs").take(first),
+                                           pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), edges)], ["word", "docs", "edges"])
     return run
 
 
@@ -279,27 +334,25 @@ def _spell(model: Pieces):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        known: dict[str, bytes] = {}
-        stale: dict[str, bytes] = {}
+        known: list[bytes] = []
+        stale: list[bytes] = []
         for b in batches:
-            for word, over, docs, cuts, edges in zip(*(b.column(c).to_pylist() for c in (
-                    "word", "start_over", "docs", "cuts", "edges"))):
+            for word, docs, cuts, edges in zip(*(b.column(c).to_pylist() for c in ("word", "docs", "cuts", "edges"))):
                 if word is not None:
                     if cuts is None:
-                        found = [(e["key"], e["start"], e["end"]) for e in json.loads(edges)]
-                        at = (long_merges if model.bpe else long_viterbi)(len(word), found)
+                        found = json.loads(edges)
+                        at = long_merges(len(word), [_unpacked(e) for e in found]) if model.bpe else \
+                            long_viterbi(len(word), [(e["key"], e["start"], e["end"]) for e in found])
                     else:
                         at = [i for i in range(len(word) + 1) if cuts >> i & 1]
-                    parts = [word[s:e] for s, e in zip(at, at[1:])]
-                    stale[word] = b"".join([ids.get(p) or char(p) for p in parts])
+                    stale.append(b"".join([ids.get(p) or char(p) for p in (word[s:e] for s, e in zip(at, at[1:]))]))
                     continue
-                if over:
-                    known.clear()
-                known.update(stale)
-                stale.clear()
                 rows = pa.ipc.open_stream(unpack(docs)).read_all().combine_chunks()
-                texts = rows.column("text").to_pylist()
-                spelled = [b"".join(map(known.__getitem__, split_words(t, model))) for t in texts]
+                if rows.schema.metadata[b"start_over"] == b"1":
+                    known = []
+                known += stale
+                stale = []
+                spelled = [b"".join(map(known.__getitem__, np.frombuffer(w, "<i4").tolist())) for w in rows.column("words").to_pylist()]
                 yield pa.RecordBatch.from_arrays([one_chunk(rows.column("key")), pa.array(spelled, pa.binary())], ["key", "ids"])
     return run
 
@@ -309,16 +362,19 @@ def one_chunk(column: pa.ChunkedArray) -> pa.Array:
 
 
 def piece_table(spark: SparkSession, model: Pieces) -> DataFrame:
-    return spark.createDataFrame([(p, float(s)) for p, _, s in model.pieces], "sub string, score double")
+    """Pieces with their scores, those of a BPE model also with their ranks."""
+    if not model.bpe:
+        return spark.createDataFrame([(p, float(s)) for p, _, s in model.pieces], "sub string, score double")
+    rank = {s: r for r, s in enumerate(sorted({s for _, _, s in model.pieces}, reverse=True))}
+    return spark.createDataFrame([(p, rank[s], p in model.late) for p, _, s in model.pieces], "sub string, score long, late boolean")
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids) of every row: little-endian unsigned 32-bit piece ids, as
-    the model file at ``path`` segments the text, without added pieces."""
-    model = load(path)
+def _folded(docs: DataFrame, model: Pieces, key: str, text: str) -> DataFrame:
+    """Distinct words of each task with their cut positions, each batch of documents after its words."""
+    if model.bpe and model.longest > 127:
+        raise ValueError("pieces of more than 127 characters are not supported")
     spark = docs.sparkSession
     rows = docs.select(col(docs, key).alias("key"), text_or_empty(docs, text).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
     words = rows.mapInArrow(_list_words(model), _WORD_ROW)
     n = F.char_length("word")
     shortest = 2 if model.bpe else 1
@@ -326,49 +382,77 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     starts = words.select("*", F.explode_outer(F.when(n >= shortest, F.sequence(F.lit(0), n - shortest))).alias("start"))
     longest = F.least(F.lit(model.longest), n - F.col("start"))
     spans = starts.select("*", F.explode_outer(F.when(F.col("start").isNotNull(), F.sequence(F.lit(shortest), longest))).alias("size"))
-    exploded = spans.select("word_no", "word", "start_over", "docs", "start", (F.col("start") + F.col("size")).alias("end"),
-                            F.col("word").substr(F.col("start") + 1, F.col("size")).alias("sub"))
+    exploded = spans.select("*", F.col("word").substr(F.col("start") + 1, F.col("size")).alias("sub"))
     joined = exploded.join(F.broadcast(piece_table(spark, model)), "sub", "left")
     if not model.bpe:
         # A character that is no piece of its own still is an edge, at the unknown's price.
         price = min((s for _, _, s in model.pieces), default=0.0) - 10
-        joined = joined.withColumn("score", F.when(F.col("end") - F.col("start") == 1, F.coalesce("score", F.lit(price)))
-                                   .otherwise(F.col("score")))
-    hit = F.col("score").isNotNull()
-    # A word without any edge keeps one row: that of its first span.
-    joined = joined.where(hit | F.col("start").isNull() | ((F.col("start") == 0) & (F.col("end") == shortest)))
-    joined = joined.select("word_no", "word", "start_over", "docs", "score", F.when(hit, F.col("start")).alias("start"),
-                           F.when(hit, F.col("end")).alias("end"))
-    grouped = joined.mapInArrow(_group_edges(), f"word string, start_over boolean, docs binary, edges array<{_EDGE}>")
+        joined = joined.withColumn("score", F.when(F.col("size") == 1, F.coalesce("score", F.lit(price))).otherwise(F.col("score")))
+    hit, first = F.col("score").isNotNull(), F.col("start").isNull() | ((F.col("start") == 0) & (F.col("size") == shortest))
+    # A word keeps the row of its first span, with or without an edge; the text goes on there only.
     if model.bpe:
-        order = F.sort_array(F.transform("edges", lambda x: F.struct((-x["key"]).alias("key"), x["start"].alias("start"), x["end"].alias("end"))))
-        fold = _bpe_fold
+        kind, shift = "bigint", lambda x, k: F.call_function("shiftleft", x.cast("long"), F.lit(k))
+        edge = shift(F.col("score"), 40).bitwiseOR(shift(F.col("start"), 8)).bitwiseOR(
+            F.when(F.col("late"), F.lit(128)).otherwise(F.lit(0)).cast("long")).bitwiseOR(F.col("size").cast("long"))
+    else:
+        kind, edge = _EDGE, F.struct(F.col("score").alias("key"), "start", (F.col("start") + F.col("size")).alias("end"))
+    joined = joined.where(hit | first).select(F.when(first, F.col("word")).alias("word"), "docs", F.when(hit, edge).alias("edge"))
+    grouped = joined.mapInArrow(_group_edges(), f"word string, docs binary, edges array<{kind}>")
+    if model.bpe:
+        order = F.sort_array("edges")
     else:
         order = F.transform(F.sort_array(F.transform("edges", lambda x: F.struct(x["end"].alias("end"), x["start"].alias("start"), x["key"].alias("key")))),
                             lambda x: F.struct(x["key"].alias("key"), x["key"].alias("score"), x["start"].alias("start"), x["end"].alias("end")))
-        fold = _viterbi_fold
-    folded = grouped.withColumn("edges", order)
-    folded = folded.withColumn("cuts", F.when(n <= LONG, fold(F.col("edges"), n)))
+    edges = F.col("edges")
+    if not model.bpe:
+        cuts = _viterbi_fold(edges, n)
+    elif not model.late:
+        cuts = _one_pass_fold(edges, n)
+    else:
+        late = F.exists(edges, lambda x: x.bitwiseAND(128) != 0)
+        cuts = F.when(late, _bpe_fold(edges, n)).otherwise(_one_pass_fold(edges, n))
+    folded = grouped.withColumn("edges", order).withColumn("cuts", F.when(n <= LONG, cuts))
     # Only long words need their edges further on (as text: lists are slow to hand over row by row).
-    folded = folded.select("word", "start_over", "docs", "cuts", F.when(n > LONG, F.to_json("edges")).alias("edges"))
-    return folded.mapInArrow(_spell(model), f"key {kind}, ids binary")
+    return folded.select("word", "docs", "cuts", F.when(n > LONG, F.to_json("edges")).alias("edges"))
 
 
-def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """``encoded`` with ``text``: the text that the piece ids spell (bytes that
-    are no UTF-8 become U+FFFD)."""
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids) of every row: little-endian unsigned 32-bit piece ids, as
+    the model file at ``path`` segments the text, without added pieces."""
     model = load(path)
+    return _folded(docs, model, key, text).mapInArrow(_spell(model), f"key {_kind(docs, key)}, ids binary")
+
 
+def _kind(docs: DataFrame, key: str) -> str:
+    return docs.select(col(docs, key)).schema[0].dataType.simpleString()
+
+
+def _decode(model: Pieces, ids: str):
+    """The batches with the text of their ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = pa.array(model.spelled, pa.binary())
         for b in slices(batches):
             out = []
             for raw in b.column(ids).to_pylist():
-                text = b"".join([model.spelled[i] for i in np.frombuffer(raw or b"", "<u4").tolist()])
+                found = spelled.take(pa.array(np.frombuffer(raw, "<u4"))) if raw else None
+                text = b"" if found is None else found.buffers()[2].to_pybytes()
                 out.append((text[1:] if model.prefix and text[:1] == b" " else text).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], [*b.schema.names, "text"])
+    return run
 
+
+def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+    """``encoded`` with ``text``: the text that the piece ids spell (bytes that
+    are no UTF-8 become U+FFFD)."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(run, f"{fields}, text string")
+    return encoded.mapInArrow(_decode(load(path), ids), f"{fields}, text string")
+
+
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``decode(encode(docs))``, with both in the same Python workers: (key, ids, text)."""
+    model = load(path)
+    spell, read = _spell(model), _decode(model, "ids")
+    return _folded(docs, model, key, text).mapInArrow(lambda batches: read(spell(batches)), f"key {_kind(docs, key)}, ids binary, text string")
 
 
 def library(path: str) -> sentencepiece.SentencePieceProcessor:

@@ -400,3 +400,34 @@ def test_pipeline(spark, tmp_path):
         mine = b"".join(bytes(r.ids) for r in sorted((r for r in packed if r.doc_id == k), key=lambda r: r.start))
         if ids.count(k) == 1:
             assert np.frombuffer(mine, "<u4").tolist() == [*lib.encode(t, add_special_tokens=False).ids, 0]
+
+
+def test_late_pieces_of_a_bpe_model_equal_the_library(spark, tmp_path):
+    """Merges that make way for a better one: a pass over the edges by score is not enough."""
+    model = sentencepiece_model_pb2.ModelProto()
+    kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
+    model.trainer_spec.model_type = sentencepiece_model_pb2.TrainerSpec.BPE
+    model.normalizer_spec.name, model.normalizer_spec.remove_extra_whitespaces = "identity", False
+    for name, kind in (("<unk>", kinds.UNKNOWN), ("<s>", kinds.CONTROL), ("</s>", kinds.CONTROL)):
+        model.pieces.add(piece=name, score=0.0, type=kind)
+    rng = random.Random(9)
+    pieces = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(2, 4))) for _ in range(40)} | {"▁a", "▁b"})
+    rng.shuffle(pieces)
+    for i, p in enumerate([*pieces, "▁", "a", "b", "c"]):
+        model.pieces.add(piece=p, score=-float(i), type=kinds.NORMAL)
+    path = str(tmp_path / "late.model")
+    with open(path, "wb") as fh:
+        fh.write(model.SerializeToString())
+    assert lattice.load(path).late
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = [(i, " ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 14))) for _ in range(8))) for i in range(25)]
+    rows += [(30, "abc" * 40), (31, ""), (32, None)]
+    for r in lattice.round_trip(table(spark, rows), path).collect():
+        text = dict(rows)[r.key] or ""
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == lib.encode(text) and r.text == text
+
+
+def test_lattice_has_three_python_nodes_a_stage(spark):
+    from starloom.llm.queries import QUERIES
+    plan = QUERIES["op9_sentencepiece"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 3

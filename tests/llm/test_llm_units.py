@@ -269,3 +269,10 @@ def test_fingerprint_hashes_each_lexicon_as_a_set():
             want.append(mixed(sum(map(mixed, own)) + int(imatch._PLACE[len(want)])) % 0xFFFF + 1 if own else 0)
     got = np.frombuffer(bytes.fromhex(imatch.fingerprint_of(t, "")[1:]), ">u2")
     assert got.tolist() == want
+
+
+def test_late_pieces_are_those_that_one_pass_misses():
+    assert lattice.late_pieces({"ab": 5.0, "abc": 2.0, "bc": 9.0}) == {"abc"}
+    assert lattice.late_pieces({"ab": 1.0, "abc": 2.0, "bc": 9.0}) == frozenset()
+    model = lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
+    assert model.late == {"▁" * 16}
