@@ -25,7 +25,8 @@ positions are a list.
 All steps are narrow: a task lists the words of its documents that it has not met, lets them pass
 through explode, join, grouping and fold, and spells its documents, which travel as the
 numbers of their words, with the result. Nothing is shuffled or stored, and a hot word costs
-no more than any other. A task keeps about WORDS words at most and then starts over.
+no more than any other. A task keeps about WORDS words or CHARS characters of them at most
+and then starts over; the fewer tasks, the fewer words are met twice (see ``large_tasks``).
 
 Defined results: a null text is empty and has no pieces; characters that no
 piece holds are spelled by their UTF-8 bytes; every input row gives a row,
@@ -42,18 +43,17 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import sentencepiece
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from sentencepiece import sentencepiece_model_pb2
 
 from starloom.llm.common import col, slices, text_or_empty
 
 SPACE = "▁"  # fixed value of the format: an escaped space
 LONG = 60
-WORDS = 300_000
+WORDS = 1_000_000
+CHARS = 16_000_000
+SPLITS = 5
 DOCS = 64  # documents that travel together
 
 
@@ -118,6 +118,8 @@ def late_pieces(ranks: dict[str, float]) -> frozenset[str]:
 
 def load(path: str) -> Pieces:
     """Read a model file; raises ValueError where its rules go beyond this operator."""
+    from sentencepiece import sentencepiece_model_pb2  # here, as Python workers have no use for it
+
     model = sentencepiece_model_pb2.ModelProto()
     with open(path, "rb") as fh:
         model.ParseFromString(fh.read())
@@ -251,9 +253,11 @@ class _Numbers(dict):
 
     def __init__(self) -> None:
         self.fresh: list[str] = []
+        self.chars = 0
 
     def __missing__(self, word: str) -> int:
         self.fresh.append(word)
+        self.chars += len(word)
         self[word] = n = len(self)
         return n
 
@@ -262,14 +266,17 @@ def _list_words(model: Pieces):
     """Words not met in this task yet, then the documents that need them, as numbers of words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(1).compress
+        # With plain spaces: most words then take a byte a character here.
+        found, front = re.compile(model.words.replace(SPACE, " ")).findall, " " if model.prefix else ""
         known = _Numbers()
         for b in slices(batches, DOCS):
-            start_over = len(known) > WORDS
+            start_over = len(known) > WORDS or known.chars > CHARS
             if start_over:
                 known.clear()
+                known.chars = 0
             coded = [np.fromiter(map(known.__getitem__, words), "<i4", len(words)).tobytes()
-                     for words in (split_words(t, model) for t in b.column("text").to_pylist())]
-            fresh, known.fresh = known.fresh, []
+                     for words in (found(front + t.replace(SPACE, " ")) if t else [] for t in b.column("text").to_pylist())]
+            fresh, known.fresh = [w.replace(" ", SPACE) for w in known.fresh], []
             n = len(fresh)
             whole = pa.BufferOutputStream()
             rows = pa.RecordBatch.from_arrays([b.column("key"), pa.array(coded, pa.binary())], ["key", "words"])
@@ -310,7 +317,7 @@ def _group_edges():
             yield grouped(rest, np.zeros(1, int))
 
     def firsts(b: pa.RecordBatch) -> np.ndarray:
-        return pc.or_(b.column("word").is_valid(), b.column("docs").is_valid()).to_numpy(zero_copy_only=False)
+        return b.column("word").is_valid().to_numpy(zero_copy_only=False) | b.column("docs").is_valid().to_numpy(zero_copy_only=False)
 
     def grouped(b: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
         real = b.column("edge").is_valid().to_numpy(zero_copy_only=False)
@@ -323,6 +330,30 @@ def _group_edges():
     return run
 
 
+class _Spelled:
+    """Ids of numbered words, one after the other in an array that grows by halves."""
+
+    def __init__(self) -> None:
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.n = 0
+
+    def add(self, ids: np.ndarray, ends: np.ndarray) -> None:
+        have, n = int(self.ends[self.n]), self.n + len(ends)
+        if have + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:have], np.zeros(len(ids) + have // 2, "<u4")])
+        if n >= len(self.ends):
+            self.ends = np.concatenate([self.ends[:self.n + 1], np.zeros(len(ends) + self.n // 2, np.int64)])
+        self.ids[have:have + len(ids)] = ids
+        self.ends[self.n + 1:n + 1] = have + ends
+        self.n = n
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """Ids of a sequence of words."""
+        start, size = self.ends[words], self.ends[words + 1] - self.ends[words]
+        before = np.cumsum(size) - size
+        return self.ids[np.arange(int(size.sum())) + np.repeat(start - before, size)]
+
+
 def _spell(model: Pieces):
     """Ids of the words as they come, then of the documents made of them."""
     ids = {p: np.array([i], "<u4").tobytes() for p, i, _ in model.pieces}
@@ -332,27 +363,51 @@ def _spell(model: Pieces):
             return np.array([model.unknown], "<u4").tobytes()
         return np.array([model.byte_id[x] for x in c.encode("utf-8", "surrogatepass")], "<u4").tobytes()
 
+    def of_words(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words in a row, and where those of each word end."""
+        words, n = b.column("word").to_pylist(), b.num_rows
+        size = np.fromiter(map(len, words), np.int64, n)
+        base = np.cumsum(size) - size
+        # Cuts of all words in a row: the last of a word is the first of the next.
+        bits = b.column("cuts").fill_null(0).to_numpy(zero_copy_only=False)
+        row, place = np.nonzero(bits[:, None] >> np.arange(LONG + 1) & 1)
+        starts = place < size[row]
+        row, cut = row[starts], (base[row] + place)[starts]
+        long = b.column("cuts").is_null().to_numpy(zero_copy_only=False)
+        for k in np.flatnonzero(long).tolist():
+            found = json.loads(b.column("edges")[k].as_py())
+            at = long_merges(len(words[k]), [_unpacked(e) for e in found]) if model.bpe else \
+                long_viterbi(len(words[k]), [(e["key"], e["start"], e["end"]) for e in found])
+            row, cut = np.concatenate([row, np.full(len(at) - 1, k)]), np.concatenate([cut, base[k] + np.array(at[:-1], np.int64)])
+        if long.any():
+            order = np.argsort(cut, kind="stable")
+            row, cut = row[order], cut[order]
+        whole, cuts = "".join(words), cut.tolist()
+        parts = [ids.get(p) or char(p) for p in map(whole.__getitem__, map(slice, cuts, [*cuts[1:], len(whole)]))]
+        ends = np.cumsum(np.bincount(row, minlength=n))
+        size = np.cumsum([0, *map(len, parts)]) // 4
+        return np.frombuffer(b"".join(parts), "<u4"), size[ends]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        known: list[bytes] = []
-        stale: list[bytes] = []
+        known = _Spelled()
+        stale = []
         for b in batches:
-            for word, docs, cuts, edges in zip(*(b.column(c).to_pylist() for c in ("word", "docs", "cuts", "edges"))):
-                if word is not None:
-                    if cuts is None:
-                        found = json.loads(edges)
-                        at = long_merges(len(word), [_unpacked(e) for e in found]) if model.bpe else \
-                            long_viterbi(len(word), [(e["key"], e["start"], e["end"]) for e in found])
-                    else:
-                        at = [i for i in range(len(word) + 1) if cuts >> i & 1]
-                    stale.append(b"".join([ids.get(p) or char(p) for p in (word[s:e] for s, e in zip(at, at[1:]))]))
-                    continue
-                rows = pa.ipc.open_stream(unpack(docs)).read_all().combine_chunks()
+            docs = b.column("docs").to_pylist()
+            at = 0
+            for k in [*np.flatnonzero(b.column("docs").is_valid().to_numpy(zero_copy_only=False)).tolist(), b.num_rows]:
+                if k > at:
+                    stale.append(of_words(b.slice(at, k - at)))
+                at = k + 1
+                if k == b.num_rows:
+                    break
+                rows = pa.ipc.open_stream(unpack(docs[k])).read_all().combine_chunks()
                 if rows.schema.metadata[b"start_over"] == b"1":
-                    known = []
-                known += stale
+                    known = _Spelled()
+                for part in stale:
+                    known.add(*part)
                 stale = []
-                spelled = [b"".join(map(known.__getitem__, np.frombuffer(w, "<i4").tolist())) for w in rows.column("words").to_pylist()]
+                spelled = [known.of(np.frombuffer(w, "<i4")).tobytes() for w in rows.column("words").to_pylist()]
                 yield pa.RecordBatch.from_arrays([one_chunk(rows.column("key")), pa.array(spelled, pa.binary())], ["key", "ids"])
     return run
 
@@ -416,6 +471,12 @@ def _folded(docs: DataFrame, model: Pieces, key: str, text: str) -> DataFrame:
     return folded.select("word", "docs", "cuts", F.when(n > LONG, F.to_json("edges")).alias("edges"))
 
 
+def large_tasks(table: DataFrame) -> DataFrame:
+    """A given table with some SPLITS of its splits a task, in as many tasks as fill all cores."""
+    splits, cores = table.rdd.getNumPartitions(), table.sparkSession.sparkContext.defaultParallelism
+    return table.coalesce(min(max(splits, 1), cores * max(1, round(splits / (SPLITS * cores)))))
+
+
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids) of every row: little-endian unsigned 32-bit piece ids, as
     the model file at ``path`` segments the text, without added pieces."""
@@ -455,6 +516,8 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     return _folded(docs, model, key, text).mapInArrow(lambda batches: read(spell(batches)), f"key {_kind(docs, key)}, ids binary, text string")
 
 
-def library(path: str) -> sentencepiece.SentencePieceProcessor:
+def library(path: str):
     """The library's own processor of a file, to compare with."""
+    import sentencepiece
+
     return sentencepiece.SentencePieceProcessor(model_file=path)

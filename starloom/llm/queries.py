@@ -164,7 +164,7 @@ SELECT n.doc_id, n_shingles, min(c.r) AS component_id, n.doc_id = min(c.r) AS ke
 def _sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to piece ids and decoded again."""
     path = public_tokenizers.path(PIECES)
-    back = lattice.round_trip(read_table(spark, sf_dir, "documents"), path)
+    back = lattice.round_trip(lattice.large_tasks(read_table(spark, sf_dir, "documents")), path)
     return back.select(F.col("key").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
                        F.crc32("ids").alias("ids_crc32"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -431,3 +431,17 @@ def test_lattice_has_three_python_nodes_a_stage(spark):
     from starloom.llm.queries import QUERIES
     plan = QUERIES["op9_sentencepiece"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 3
+
+
+def test_words_are_shared_by_the_splits_of_a_task(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(9000).repartition(cores * 12).write.parquet(path)
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a split for each file
+    try:
+        docs = spark.read.parquet(path)
+        assert docs.rdd.getNumPartitions() == cores * 12
+        assert lattice.large_tasks(docs).rdd.getNumPartitions() == cores * 2 and lattice.large_tasks(docs).count() == 9000
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert lattice.large_tasks(spark.read.parquet(path)).count() == 9000
